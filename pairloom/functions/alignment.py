@@ -1,0 +1,75 @@
+"""Word alignment for METEOR (Banerjee & Lavie 2005), per Arrow batch."""
+
+from __future__ import annotations
+
+from collections import defaultdict
+from collections.abc import Callable
+
+import pyarrow as pa
+from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
+
+ALIGNED = StructType([StructField("matches", IntegerType()), StructField("chunks", IntegerType())])
+
+
+def _take_last(candidates: list[tuple[int, list]], free: dict[object, list[int]]) -> list[tuple[int, int]]:
+    """From the end of the prediction, take the last free reference position any key offers."""
+    matches = []
+    for i, keys in candidates:
+        best = max((k for k in keys if free.get(k)), key=lambda k: free[k][-1], default=None)
+        if best is not None:
+            matches.append((i, free[best].pop()))
+    return matches
+
+
+def align(pred: list[str], ref: list[str], stem: Callable[[str], str] | None, synonyms: list | None) -> tuple[int, int]:
+    """(matched words, chunks) after the exact, stem and synonym stages."""
+    stages = [(lambda i: [pred[i]], lambda w: w)]
+    if stem is not None:
+        stages.append((lambda i: [stem(pred[i])], stem))
+    if synonyms is not None:
+        stages.append((lambda i: [pred[i], *(synonyms[i] or [])], lambda w: w))
+    open_pred = list(range(len(pred) - 1, -1, -1))
+    open_ref = list(range(len(ref)))
+    matches: list[tuple[int, int]] = []
+    for keys_of, ref_key in stages:
+        free: dict[object, list[int]] = defaultdict(list)
+        for j in open_ref:
+            free[ref_key(ref[j])].append(j)
+        new = _take_last([(i, keys_of(i)) for i in open_pred], free)
+        matches += new
+        used_pred, used_ref = {i for i, _ in new}, {j for _, j in new}
+        open_pred = [i for i in open_pred if i not in used_pred]
+        open_ref = [j for j in open_ref if j not in used_ref]
+    matches.sort()
+    breaks = sum(
+        1 for (i, j), (k, m) in zip(matches, matches[1:]) if (k, m) != (i + 1, j + 1)
+    )
+    return len(matches), breaks + 1 if matches else 0
+
+
+def alignment(stem: Callable[[str], str] | None = None, with_synonyms: bool = False):
+    """A column function `(pred_tokens, ref_tokens[, synonyms]) -> struct<matches, chunks>`."""
+
+    def batch(p, r, s):
+        rows = [
+            align(pt or [], rt or [], stem, sy if with_synonyms else None)
+            for pt, rt, sy in zip(p.to_pylist(), r.to_pylist(), s)
+        ]
+        return pa.StructArray.from_arrays(
+            [pa.array([m for m, _ in rows], pa.int32()), pa.array([c for _, c in rows], pa.int32())],
+            names=ALIGNED.names,
+        )
+
+    if with_synonyms:
+
+        @F.arrow_udf(ALIGNED)
+        def run(p: pa.Array, r: pa.Array, s: pa.Array) -> pa.Array:
+            return batch(p, r, s.to_pylist())
+    else:
+
+        @F.arrow_udf(ALIGNED)
+        def run(p: pa.Array, r: pa.Array) -> pa.Array:
+            return batch(p, r, [None] * len(p))
+
+    return run

@@ -1,0 +1,95 @@
+"""Counts shared by the text metrics, computed per Arrow batch.
+
+Spark has no multiset intersection or longest common subsequence over arrays,
+and the relational form shuffles every n-gram, so these stay map-only.
+"""
+
+from __future__ import annotations
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
+
+MAX_ORDER = 4
+
+
+def _flat_tokens(lists: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """Tokens of all rows end to end, and the token count of each row."""
+    lengths = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
+    return lists.flatten(), lengths.astype(np.int64)
+
+
+def _coded(p: pa.Array, r: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Token numbers of both sides over one dictionary; rows of `p`, then rows of `r`."""
+    p_tokens, p_len = _flat_tokens(p)
+    r_tokens, r_len = _flat_tokens(r)
+    codes = pa.concat_arrays([p_tokens, r_tokens]).dictionary_encode().indices
+    return codes.to_numpy(zero_copy_only=False).astype(np.int64), p_len, r_len
+
+
+def _clipped_counts(p: pa.Array, r: pa.Array) -> list[np.ndarray]:
+    """Per row, the size of the n-gram multiset intersection, for n = 1..4."""
+    codes, p_len, r_len = _coded(p, r)
+    rows = len(p_len)
+    lengths = np.concatenate([p_len, r_len])
+    owner = np.repeat(np.arange(2 * rows), lengths)
+    left = np.repeat(np.cumsum(lengths), lengths) - np.arange(len(codes))
+    grams = codes
+    found = []
+    for n in range(1, MAX_ORDER + 1):
+        at = np.flatnonzero(left >= n)
+        if n > 1:
+            # An n-gram is its (n-1)-gram plus the token after; renumber to keep codes small.
+            widened = np.zeros_like(codes)
+            wide = grams[at] * (codes.max(initial=0) + 1) + codes[at + n - 1]
+            widened[at] = np.unique(wide, return_inverse=True)[1]
+            grams = widened
+        span = grams.max(initial=0) + 1
+        key = owner[at] * span + grams[at]
+        cut = np.searchsorted(owner[at], rows)
+        p_keys, p_counts = np.unique(key[:cut], return_counts=True)
+        r_keys, r_counts = np.unique(key[cut:] - rows * span, return_counts=True)
+        both, in_p, in_r = np.intersect1d(p_keys, r_keys, assume_unique=True, return_indices=True)
+        shared = np.minimum(p_counts[in_p], r_counts[in_r])
+        found.append(np.bincount(both // span, weights=shared, minlength=rows).astype(np.int32))
+    return found
+
+
+OVERLAP = StructType([StructField(f"m{n}", IntegerType()) for n in range(1, MAX_ORDER + 1)])
+
+
+@F.arrow_udf(OVERLAP)
+def ngram_overlap(p: pa.Array, r: pa.Array) -> pa.Array:
+    """Clipped 1- to 4-gram overlap of two token arrays."""
+    counts = _clipped_counts(p, r)
+    return pa.StructArray.from_arrays(
+        [pa.array(c, pa.int32()) for c in counts], names=OVERLAP.names
+    )
+
+
+def _lcs(a: np.ndarray, b: np.ndarray) -> int:
+    """LCS length with one bit per token of `a` (Crochemore et al. 2001, Hyyrö 2004)."""
+    where: dict[int, int] = {}
+    for i, token in enumerate(a.tolist()):
+        where[token] = where.get(token, 0) | (1 << i)
+    full = (1 << len(a)) - 1
+    row = full
+    for token in b.tolist():
+        hit = row & where.get(token, 0)
+        row = ((row + hit) | (row - hit)) & full
+    return len(a) - row.bit_count()
+
+
+@F.arrow_udf(IntegerType())
+def lcs_length(p: pa.Array, r: pa.Array) -> pa.Array:
+    """Longest common subsequence length of two token arrays, whole texts, no cap."""
+    codes, p_len, r_len = _coded(p, r)
+    p_end = np.cumsum(p_len)
+    r_end = np.cumsum(r_len) + (p_end[-1] if len(p_end) else 0)
+    lengths = [
+        _lcs(codes[pe - pn : pe], codes[re - rn : re])
+        for pe, pn, re, rn in zip(p_end, p_len, r_end, r_len)
+    ]
+    return pa.array(lengths, pa.int32())

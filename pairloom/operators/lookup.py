@@ -1,0 +1,50 @@
+"""Joining a large frame to a keyed lookup table without trusting the table to be small."""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+BROADCAST_ROWS = 50_000
+BROADCAST_BYTES = 32 * 1024 * 1024
+
+
+def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> bool:
+    """Measure a frame, reading at most `max_rows + 1` rows of it."""
+    seen = (
+        df.limit(max_rows + 1)
+        .agg(F.count("*").alias("n"), F.sum(F.octet_length(F.to_json(F.struct("*")))).alias("b"))
+        .head()
+    )
+    return seen["n"] <= max_rows and (seen["b"] or 0) <= max_bytes
+
+
+def lookup_join(
+    big: DataFrame,
+    table: DataFrame,
+    on: str | list[str],
+    how: str = "left",
+    max_rows: int = BROADCAST_ROWS,
+    salts: int = 32,
+) -> DataFrame:
+    """Join on the lookup's key: broadcast when measured small, else a salted shuffle join.
+
+    The salt is the input partition, so a key that owns a third of the rows is
+    spread over `salts` tasks; the lookup is repeated once per salt.
+    """
+    on = [on] if isinstance(on, str) else list(on)
+    if how not in ("left", "inner"):
+        raise ValueError(f"lookup_join supports left and inner, not {how!r}")
+    if fits_broadcast(table, max_rows):
+        return big.join(F.broadcast(table), on, how)
+    salted = big.withColumn("__salt", F.spark_partition_id() % F.lit(salts))
+    copies = table.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    return salted.join(copies, [*on, "__salt"], how).drop("__salt")
+
+
+def null_safe(left: DataFrame, right: DataFrame, on: list[str]) -> Column:
+    """A join condition under which null keys meet null keys."""
+    condition = F.lit(True)
+    for c in on:
+        condition = condition & left[c].eqNullSafe(right[c])
+    return condition
