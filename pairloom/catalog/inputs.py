@@ -18,11 +18,16 @@ def training_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """`(id, inputs, targets)`: each user turn with the assistant turn right after it.
 
     A self-join on the unique (conversation, turn) key, so a conversation of any
-    length spreads over tasks.
+    length spreads over tasks. The explicit repartition is the one a sort-merge
+    join needs anyway; it keeps later Python stages parallel when the other side
+    is small enough to be broadcast.
     """
     turns = table(spark, sf_dir, "conversations")
-    asked = turns.where(F.col("role") == "user").select(
-        "conv_id", (F.col("turn") + 1).alias("turn"), F.col("text").alias("inputs")
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    asked = (
+        turns.where(F.col("role") == "user")
+        .select("conv_id", (F.col("turn") + 1).alias("turn"), F.col("text").alias("inputs"))
+        .repartition(parts, "conv_id", "turn")
     )
     answered = turns.where(F.col("role") == "assistant").select("conv_id", "turn", F.col("text").alias("targets"))
     return asked.join(answered, ["conv_id", "turn"]).select(
@@ -78,16 +83,20 @@ def wide_summaries(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def nested_mrc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents as contexts: line k asks, line k + 1 answers; the last line has no answer.
+    """Documents as contexts: the second line answers the first, the last one the one before it;
+    the last line as a question has no answer.
 
     Spanish documents get a null list, one-line documents an empty one.
     """
     lines = F.split("text", "\n")
-    follow = F.zip_with(
-        F.slice(lines, F.lit(1), F.size(lines) - 1),
-        F.slice(lines, F.lit(2), F.size(lines)),
-        lambda q, a: F.struct(q.alias("question"), a.alias("answer")),
-    )
+    qa = lambda q, a: F.struct(q.alias("question"), a.alias("answer"))
+    follow = F.when(
+        F.size(lines) > 1,
+        F.array(
+            qa(F.get(lines, F.lit(0)), F.get(lines, F.lit(1))),
+            qa(F.try_element_at(lines, F.lit(-2)), F.element_at(lines, -1)),
+        ),
+    ).otherwise(F.array().cast("array<struct<question:string,answer:string>>"))
     return table(spark, sf_dir, "documents").select(
         "doc_id",
         F.col("text").alias("context"),

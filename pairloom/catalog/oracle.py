@@ -208,10 +208,12 @@ def _summaries(ids: str, condition: str) -> str:
 FLAT_QA = """
 lines AS (SELECT doc_id, lang, text, string_split(text, chr(10)) AS l FROM documents),
 qa AS (
-  SELECT doc_id, text AS context, k AS question_no, l[k + 1] AS question, l[k + 2] AS answer
-  FROM lines, unnest(range(0, len(l) - 1)) AS places(k) WHERE lang <> 'es'
+  SELECT doc_id, text AS context, 0 AS question_no, l[1] AS question, l[2] AS answer
+  FROM lines WHERE lang <> 'es' AND len(l) > 1
   UNION ALL
-  SELECT doc_id, text, CASE WHEN lang <> 'es' THEN len(l) - 1 ELSE 0 END, l[-1], {no_answer} FROM lines)""".format(
+  SELECT doc_id, text, 1, l[-2], l[-1] FROM lines WHERE lang <> 'es' AND len(l) > 1
+  UNION ALL
+  SELECT doc_id, text, CASE WHEN lang <> 'es' AND len(l) > 1 THEN 2 ELSE 0 END, l[-1], {no_answer} FROM lines)""".format(
     no_answer=text(NO_ANSWER)
 )
 
@@ -346,7 +348,7 @@ SELECT 'bert_score', 'f1', round(avg(sf), 6), count(*) FROM f""",
     "training_pairs": f"WITH {PAIRS} SELECT id, inputs, targets FROM pairs",
     "unpivot_targets": f"WITH {WIDE} "
     + " UNION ALL ".join(f"SELECT doc_id, '{k}' AS type, {k} AS summary FROM wide" for k in SUMMARY_TYPES),
-    "flatten_qa": f"WITH {FLAT_QA} SELECT doc_id, question_no, question, answer FROM qa",
+    "flatten_qa": f"WITH {FLAT_QA} SELECT doc_id, question_no::BIGINT AS question_no, question, answer FROM qa",
     "summary_pairs": _summaries("doc_id, ", "true"),
     "summary_pairs_complete": _summaries("", "{kind} IS NOT NULL"),
     "choice_pairs": f"""WITH g AS (SELECT item_id // 5 AS group_id, list(text ORDER BY item_id) AS c FROM benchmark GROUP BY 1)
@@ -354,7 +356,7 @@ SELECT 'bert_score', 'f1', round(avg(sf), 6), count(*) FROM f""",
           {' || '.join(f"'{i}. ' || c[{i}] || chr(10)" for i in range(1, 6))} || chr(10) || 'Target: ' ||
           c[group_id % 5 + 1] || chr(10) || chr(10) || 'Number:' AS inputs,
           (group_id % 5 + 1)::VARCHAR AS targets FROM g""",
-    "mrc_pairs": f"WITH {FLAT_QA} SELECT doc_id, question_no, {mrc('context', 'question')} AS inputs, answer AS targets FROM qa",
+    "mrc_pairs": f"WITH {FLAT_QA} SELECT doc_id, question_no::BIGINT AS question_no, {mrc('context', 'question')} AS inputs, answer AS targets FROM qa",
     "mrc_prompts_flat": f"WITH {PAIRS} SELECT {mrc('inputs', 'targets')} AS inputs, id::VARCHAR AS targets FROM pairs",
     "split_exact": f"""SELECT doc_id, CASE WHEN row_number() OVER (ORDER BY {HASH_DOC}, doc_id) <=
         ceil(0.2 * (SELECT count(*) FROM documents)) THEN 'test' ELSE 'train' END AS split FROM documents""",

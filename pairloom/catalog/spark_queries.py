@@ -71,7 +71,7 @@ def q_meteor(spark, sf_dir):
 
 
 def q_ngram_overlap(spark, sf_dir):
-    return _featured(spark, sf_dir, "overlap").select("id", "n_pred", "n_ref", "overlap.*")
+    return _featured(spark, sf_dir, "overlap").select("id", "n_pred", "n_ref", "stats.*")
 
 
 def q_soft_alignment(spark, sf_dir):

@@ -9,8 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pairloom.constants import TASK_METRICS
-from pairloom.functions.alignment import alignment
-from pairloom.functions.overlap import lcs_length, ngram_overlap
+from pairloom.functions.pair_stats import FIELDS, pair_stats
 from pairloom.functions.text import is_blank, strip
 from pairloom.functions.tokens import Tokenizer, whitespace_tokens
 from pairloom.operators.lookup import lookup_join
@@ -70,7 +69,7 @@ SCORE = "score"
 
 
 def _overlaps() -> list[Column]:
-    return [F.col(f"overlap.m{n}") for n in range(1, 5)]
+    return [F.col(f"stats.{m}") for m in FIELDS["overlap"]]
 
 
 def _rouge() -> dict[str, Column]:
@@ -80,7 +79,7 @@ def _rouge() -> dict[str, Column]:
     return {
         "rouge-1": rouge_recall(m1, n_ref, blank),
         "rouge-2": rouge_recall(m2, n_ref - 1, blank),
-        "rouge-l": rouge_recall(F.col("lcs"), n_ref, blank),
+        "rouge-l": rouge_recall(F.col("stats.lcs"), n_ref, blank),
     }
 
 
@@ -106,7 +105,7 @@ _REGISTRY: dict[str, Metric] = {
         Metric(
             "meteor",
             lambda: {
-                SCORE: meteor(F.col("aligned.matches"), F.col("aligned.chunks"), F.col("n_pred"), F.col("n_ref"))
+                SCORE: meteor(F.col("stats.matches"), F.col("stats.chunks"), F.col("n_pred"), F.col("n_ref"))
             },
             frozenset({"aligned"}),
         ),
@@ -176,21 +175,14 @@ def with_features(
     stem: Callable[[str], str] | None = None,
     synonyms: DataFrame | None = None,
 ) -> DataFrame:
-    """Add only the counts the metrics need; the Arrow functions share one Python pass."""
-    if not features & {"overlap", "lcs", "aligned"}:
+    """Add `stats`, holding only the counts the metrics need, from one Python pass."""
+    counted = features & set(FIELDS)
+    if not counted:
         return pairs
     out = with_token_counts(pairs, tokenizer)
-    if "aligned" in features and synonyms is not None:
+    use_synonyms = "aligned" in counted and synonyms is not None
+    arguments = ["p_tokens", "r_tokens"]
+    if use_synonyms:
         out = with_synonyms(out, synonyms)
-    p, r = F.col("p_tokens"), F.col("r_tokens")
-    added = {}
-    if "overlap" in features:
-        added["overlap"] = ngram_overlap(p, r)
-    if "lcs" in features:
-        added["lcs"] = lcs_length(p, r)
-    if "aligned" in features:
-        lowered = [F.transform(p, F.lower), F.transform(r, F.lower)]
-        if synonyms is not None:
-            lowered.append(F.col("p_synonyms"))
-        added["aligned"] = alignment(stem, synonyms is not None)(*lowered)
-    return out.withColumns(added)
+        arguments.append("p_synonyms")
+    return out.withColumn("stats", pair_stats(counted, stem, use_synonyms)(*map(F.col, arguments)))
