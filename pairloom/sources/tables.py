@@ -31,7 +31,9 @@ def read_pairs_csv(
     Quoted newlines make a single file unsplittable: give many files, or convert
     to Parquet once.
     """
-    read = spark.read.options(**_CSV).option("multiLine", True).option("enforceSchema", False).csv(path)
+    # With its own null mark an unquoted empty field is null and a quoted one is "".
+    reader = spark.read.options(**_CSV, multiLine=True, enforceSchema=False, nullValue="\0")
+    read = reader.csv(path)
     return read.select(*[missing_to_null(c, na_values).alias(c) for c in columns or read.columns])
 
 
