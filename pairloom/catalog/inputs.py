@@ -10,6 +10,10 @@ from pairloom.functions.tokens import whitespace_tokens
 from pairloom.operators.ordered import ordered_positions
 
 
+# An id is the conversation's number times this, plus the turn.
+TURN_SPAN = 2**32
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -31,7 +35,7 @@ def training_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     answered = turns.where(F.col("role") == "assistant").select("conv_id", "turn", F.col("text").alias("targets"))
     return asked.join(answered, ["conv_id", "turn"]).select(
-        (F.col("conv_id") * 1000 + F.col("turn") - 1).alias("id"), "inputs", "targets"
+        (F.col("conv_id") * TURN_SPAN + F.col("turn") - 1).alias("id"), "inputs", "targets"
     )
 
 
@@ -53,7 +57,7 @@ def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """`(id, messages)`: a pair's turns, preceded by the system turn when one comes right before."""
     turns = table(spark, sf_dir, "conversations")
     system = turns.where(F.col("role") == "system").select(
-        (F.col("conv_id") * 1000 + F.col("turn") + 1).alias("id"), F.col("text").alias("system")
+        (F.col("conv_id") * TURN_SPAN + F.col("turn") + 1).alias("id"), F.col("text").alias("system")
     )
     turn = lambda role, c: F.struct(F.lit(role).alias("role"), F.col(c).alias("content"))
     pair = F.array(turn("user", "inputs"), turn("assistant", "targets"))

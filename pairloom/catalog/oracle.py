@@ -16,7 +16,7 @@ from pairloom.catalog.spark_queries import (
     TOKENS_PER_STEP,
     WORLD,
 )
-from pairloom.catalog.inputs import VECTORS_PER_SIDE
+from pairloom.catalog.inputs import TURN_SPAN, VECTORS_PER_SIDE
 from pairloom.constants import (
     ASCII_DIGITS,
     CHOICE_INTRO,
@@ -56,14 +56,14 @@ def normalized(x: str) -> str:
     return f"translate({canonical}, {text(PERSIAN_DIGITS + PUNCTUATION)}, {text(ASCII_DIGITS)})"
 
 
-PAIRS = """
+PAIRS = f"""
 turns AS (
   SELECT conv_id, turn, role, text,
          lead(role) OVER w AS next_role, lead(text) OVER w AS next_text, lag(role) OVER w AS prev_role,
          lag(text) OVER w AS prev_text
   FROM conversations WINDOW w AS (PARTITION BY conv_id ORDER BY turn)),
 pairs AS (
-  SELECT conv_id * 1000 + turn AS id, text AS inputs, next_text AS targets,
+  SELECT conv_id * {TURN_SPAN} + turn AS id, text AS inputs, next_text AS targets,
          CASE WHEN prev_role = 'system' THEN prev_text END AS system
   FROM turns WHERE role = 'user' AND next_role = 'assistant')"""
 
@@ -228,7 +228,7 @@ toks AS (SELECT conv_id, turn, unnest(w) AS tok, generate_subscripts(w, 1) AS pl
 placed AS (SELECT conv_id, turn, tok, row_number() OVER (ORDER BY conv_id, turn, place) - 1 AS g FROM toks),
 blocks AS (
   SELECT g // {BLOCK} AS block_id, string_agg(tok, ' ' ORDER BY g) AS tokens,
-         count(DISTINCT conv_id * 1000 + turn) AS n_docs, count(*) AS n_tokens
+         count(DISTINCT (conv_id, turn)) AS n_docs, count(*) AS n_tokens
   FROM placed GROUP BY 1)"""
 
 STEPS = """

@@ -84,7 +84,7 @@ def _rouge() -> dict[str, Column]:
 
 
 def _vector_score(name: str) -> Column:
-    return F.coalesce(F.col(f"soft_{name}"), _zero())
+    return F.coalesce(F.col(name), _zero())
 
 
 _REGISTRY: dict[str, Metric] = {

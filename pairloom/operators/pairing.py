@@ -24,13 +24,16 @@ def pair(
 
 
 def unmatched(predictions: DataFrame, references: DataFrame, on: str = "id") -> DataFrame:
-    """Rows of each side without a partner: `(side, n_unmatched)`, one row per side."""
-    p = predictions.select(F.col(on).alias("id"))
-    r = references.select(F.col(on).alias("id"))
-    count = lambda left, right, side: (
-        left.join(right, "id", "left_anti").agg(F.count("*").alias("n_unmatched")).select(F.lit(side).alias("side"), "*")
+    """Rows of each side without a partner: `(side, n_unmatched)`, one row per side.
+
+    Both sides are counted by key in one aggregation, combined before the shuffle.
+    """
+    rows = lambda df, p, r: df.select(F.col(on).alias("id"), F.lit(p).alias("p"), F.lit(r).alias("r"))
+    by_key = rows(predictions, 1, 0).unionByName(rows(references, 0, 1)).groupBy("id").agg(F.sum("p").alias("p"), F.sum("r").alias("r"))
+    lone = lambda n, other: F.coalesce(F.sum(F.when(F.col(other) == 0, F.col(n))), F.lit(0)).cast("long")
+    return by_key.agg(lone("p", "r").alias("prediction"), lone("r", "p").alias("reference")).unpivot(
+        [], ["prediction", "reference"], "side", "n_unmatched"
     )
-    return count(p, r, "prediction").unionByName(count(r, p, "reference"))
 
 
 def pair_by_position(

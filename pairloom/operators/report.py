@@ -30,19 +30,18 @@ def _scored(
     featured = with_features(
         normalize_pairs(pairs, on_null).select("id", "prediction", "reference"), features, tokenizer, stem, synonyms
     )
-    if "vectors" in features:
-        if vectors is None:
-            raise ValueError("bert_score needs a vectors frame (id, side, pos, vec)")
-        soft = soft_alignment(vectors)
-        featured = featured.join(
-            soft.select("id", *[F.col(c).alias(f"soft_{c}") for c in ("precision", "recall", "f1")]), "id", "left"
-        )
-    layout, columns = [], []
+    layout, texts, soft = [], [], []
     for m in chosen:
         for part, score in m.scores().items():
             layout.append((m.name, part, f"s{len(layout)}"))
-            columns.append(score.cast("double").alias(layout[-1][2]))
-    return featured.select("id", *columns), layout
+            (soft if "vectors" in m.features else texts).append(score.cast("double").alias(layout[-1][2]))
+    wide = featured.select("id", *texts)
+    if soft:
+        if vectors is None:
+            raise ValueError("bert_score needs a vectors frame (id, side, pos, vec)")
+        # Only ids and finished scores meet the aligned vectors.
+        wide = wide.join(soft_alignment(vectors), "id", "left").select(*wide.columns, *soft)
+    return wide, layout
 
 
 def _lines(layout: list[tuple[str, str, str]], extra: Sequence[Column] = ()) -> Column:

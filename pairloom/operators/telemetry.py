@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from pairloom.operators.lookup import lookup_join
 from pairloom.operators.ordered import running_total
+from pairloom.session import checkpointed
 
 GIB = 1024**3
 
@@ -33,28 +34,41 @@ def throughput(
     """`(run, step, throughput, elapsed_time)` at every N-th step of `(run, step, ts)`, steps from 1.
 
     Throughput is cumulative since the run's first event, from the nominal token
-    count, or from the `tokens` column. Elapsed time covers the last N steps. The
-    previous window's end comes from an equi-join on (run, step), so a run of any
-    length spreads over tasks.
+    count, or from the `tokens` column. Elapsed time covers the last N steps. Each
+    logged step is one window's end and the next one's begin, so one aggregation
+    by (run, step) finds both: no self-join, and a run of any length spreads over tasks.
     """
-    logged = steps.where(F.col("step") % every == 0).select(run, "step", "ts")
-    previous = logged.select(run, (F.col("step") + every).alias("step"), F.col("ts").alias("__previous"))
-    starts = steps.groupBy(run).agg(F.min("ts").alias("__start"))
-    joined = lookup_join(logged.join(previous, [run, "step"], "left"), starts, run, "inner")
+    logged = steps.where(F.col("step") % every == 0)
+    ends = F.struct(F.col("step").alias("step"), F.col("ts").alias("end"), F.lit(None).cast("timestamp").alias("begin"))
+    begins = F.struct(
+        (F.col("step") + every).alias("step"), F.lit(None).cast("timestamp").alias("end"), F.col("ts").alias("begin")
+    )
+    windows = (
+        logged.select(run, F.explode(F.array(ends, begins)).alias("w"))
+        .groupBy(run, F.col("w.step").alias("step"))
+        .agg(F.max("w.end").alias("__end"), F.max("w.begin").alias("__begin"))
+        .where(F.col("__end").isNotNull())
+    )
+    joined = lookup_join(windows, run_starts(steps, run), run, "inner")
     if tokens is None:
         done = F.col("step") * F.lit(batch * max_len * accum * world)
     else:
-        total = running_total(steps, ["step"], F.col(tokens), partition_by=[run])
+        total = running_total(steps, ["step"], F.col(tokens), partition_by=[run]).where(F.col("step") % every == 0)
         joined = joined.join(total.select(run, "step", (F.col("before") + F.col("value")).alias("__done")), [run, "step"])
         done = F.col("__done")
     return joined.select(
         run,
         "step",
-        _rate(done, seconds_between(F.col("__start"), F.col("ts"))).alias("throughput"),
-        seconds_between(F.coalesce("__previous", "__start"), F.col("ts")).alias("elapsed_time"),
+        _rate(done, seconds_between(F.col("__start"), F.col("__end"))).alias("throughput"),
+        seconds_between(F.coalesce("__begin", "__start"), F.col("__end")).alias("elapsed_time"),
     )
 
 
+def run_starts(steps: DataFrame, run: str = "run") -> DataFrame:
+    """First timestamp of each run, kept, as it is both measured and joined."""
+    return checkpointed(steps.groupBy(run).agg(F.min("ts").alias("__start")))
+
+
 def epoch_throughput(
     steps: DataFrame,
     every: int,
@@ -72,9 +86,8 @@ def epoch_throughput(
     ends = steps.groupBy(run, epoch).agg(
         F.min("ts").alias("__begin"), F.max("ts").alias("__end"), F.max("step").alias("step")
     )
-    starts = steps.groupBy(run).agg(F.min("ts").alias("__start"))
     done = F.floor(F.col("step") / every) * F.lit(every * batch * max_len * accum * world)
-    return lookup_join(ends, starts, run, "inner").select(
+    return lookup_join(ends, run_starts(steps, run), run, "inner").select(
         run,
         epoch,
         "step",
