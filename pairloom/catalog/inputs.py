@@ -148,9 +148,8 @@ def step_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = table(spark, sf_dir, "events").select(
         F.col("user_id").alias("run"), F.col("ts").cast("timestamp").alias("ts"), "event_id", "event_type", "value"
     )
-    placed = ordered_positions(events.select("run", "ts", "event_id"), ["ts", "event_id"], ["run"])
-    steps = placed.select("event_id", (F.col("pos") + 1).alias("step"))
-    return events.join(steps, "event_id")
+    placed = ordered_positions(events, ["ts", "event_id"], ["run"], keep=("event_type", "value"))
+    return placed.withColumn("step", F.col("pos") + 1).drop("pos")
 
 
 def hardware_samples(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -16,7 +16,7 @@ def drop_marked(df: DataFrame, column: str, markers=PAGE_MARKERS) -> DataFrame:
     if not markers:
         return df
     marked = reduce(or_, [F.col(column).contains(m) for m in markers])
-    return df.where(~F.coalesce(marked, F.lit(False)))
+    return df.where(F.col(column).isNull() | ~marked)
 
 
 def drop_incomplete(df: DataFrame, columns: list[str] | None = None) -> DataFrame:

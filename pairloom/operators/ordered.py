@@ -18,11 +18,13 @@ def running_total(
     value: Column,
     partition_by: list[str] | None = None,
     parts: int | None = None,
+    keep: tuple[str, ...] = (),
 ) -> DataFrame:
-    """`partition_by + order_by + (value, before)`; `before` sums `value` over earlier rows.
+    """`partition_by + order_by + keep + (amount, before)`; `before` sums `value` over earlier rows.
 
     Range partitions over the whole order split even a group that owns most of
-    the rows. Only the keys and the value are shuffled. Each range partition can
+    the rows. Only the keys, the value and the few columns in `keep` are shuffled;
+    wide columns are better joined back on the keys. Each range partition can
     continue at most one group, so the carried-in bases number at most one per
     partition and are broadcast. The order must be unique within a group.
     """
@@ -30,14 +32,14 @@ def running_total(
     n_parts = _parts(df, parts)
     # Range bounds come from a sample: checkpoint, so both passes see the same ones.
     ranged = checkpointed(
-        df.select(*by, *order_by, value.cast("long").alias("value"))
+        df.select(*by, *order_by, *keep, value.cast("long").alias("amount"))
         .repartitionByRange(n_parts, *by, *order_by)
         .withColumn("__part", F.spark_partition_id())
     )
     carried = Window.partitionBy(*(by or [F.lit(0)])).orderBy("__part")
     bases = (
         ranged.groupBy(*by, "__part")
-        .agg(F.sum("value").alias("__total"))
+        .agg(F.sum("amount").alias("__total"))
         .withColumn("__base", F.sum("__total").over(carried.rowsBetween(Window.unboundedPreceding, -1)))
         .where(F.col("__base").isNotNull())
         .select(*[F.col(c).alias(f"__by_{c}") for c in by], F.col("__part").alias("__base_part"), "__base")
@@ -49,14 +51,15 @@ def running_total(
     return (
         ranged.withColumn(
             "__inside",
-            F.coalesce(F.sum("value").over(local.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)),
+            F.coalesce(F.sum("amount").over(local.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)),
         )
         .withColumn("__tied", F.rank().over(local) != F.row_number().over(local))
         .join(F.broadcast(bases), same_group, "left")
         .select(
             *by,
             *order_by,
-            "value",
+            *keep,
+            "amount",
             F.when(F.col("__tied"), F.raise_error(F.lit("the order is not unique")))
             .otherwise(F.col("__inside") + F.coalesce("__base", F.lit(0)))
             .cast("long")
@@ -66,11 +69,15 @@ def running_total(
 
 
 def ordered_positions(
-    df: DataFrame, order_by: list[str], partition_by: list[str] | None = None, parts: int | None = None
+    df: DataFrame,
+    order_by: list[str],
+    partition_by: list[str] | None = None,
+    parts: int | None = None,
+    keep: tuple[str, ...] = (),
 ) -> DataFrame:
-    """`partition_by + order_by + pos`, `pos` counting from 0 in each group."""
-    ranked = running_total(df, order_by, F.lit(1), partition_by, parts)
-    return ranked.drop("value").withColumnRenamed("before", "pos")
+    """`partition_by + order_by + keep + pos`, `pos` counting from 0 in each group."""
+    ranked = running_total(df, order_by, F.lit(1), partition_by, parts, keep)
+    return ranked.drop("amount").withColumnRenamed("before", "pos")
 
 
 def file_positions(df: DataFrame) -> DataFrame:

@@ -54,7 +54,7 @@ def throughput(
         done = F.col("step") * F.lit(batch * max_len * accum * world)
     else:
         total = running_total(steps, ["step"], F.col(tokens), partition_by=[run]).where(F.col("step") % every == 0)
-        joined = joined.join(total.select(run, "step", (F.col("before") + F.col("value")).alias("__done")), [run, "step"])
+        joined = joined.join(total.select(run, "step", (F.col("before") + F.col("amount")).alias("__done")), [run, "step"])
         done = F.col("__done")
     return joined.select(
         run,

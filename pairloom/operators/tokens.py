@@ -40,12 +40,14 @@ def pack_sequences(
     if max_len < 1:
         raise ValueError("max_len must be positive")
     order = [order] if isinstance(order, str) else list(order)
-    filled = df.select(*order, F.col(tokens).alias("__tokens")).where(F.size("__tokens") > 0)
-    offsets = running_total(filled, order, F.size("__tokens"), parts=parts)
-    start, stop = F.col("before"), F.col("before") + F.col("value")
+    listed = df.select(*order, F.col(tokens).alias("__tokens"))
+    # Empty rows are dropped by the offsets' own count: a filter on the token
+    # column would tokenise every text once more in the scan.
+    offsets = running_total(listed, order, F.size("__tokens"), parts=parts).where(F.col("amount") > 0)
+    start, stop = F.col("before"), F.col("before") + F.col("amount")
     block = F.col("block_id")
     slices = (
-        filled.join(offsets, order)
+        listed.join(offsets, order)
         .withColumn("block_id", F.explode(F.sequence(F.floor(start / max_len), F.floor((stop - 1) / max_len))))
         .withColumn("__from", F.greatest(start, block * max_len))
         .withColumn("__to", F.least(stop, (block + 1) * max_len))

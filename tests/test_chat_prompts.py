@@ -82,9 +82,7 @@ def test_split_response_tagged(spark):
 
 def test_drop_marked(spark):
     frame = spark.createDataFrame([("an RSS feed",), ("an rss feed",), (None,), ("نمایش پروفایل",)], "t string")
-    assert sorted(drop_marked(frame, "t").collect(), key=str) == [(None,), ("an rss feed",)] or {
-        r[0] for r in drop_marked(frame, "t").collect()
-    } == {None, "an rss feed"}
+    assert {r["t"] for r in drop_marked(frame, "t").collect()} == {None, "an rss feed"}
     assert drop_marked(frame, "t", ()).count() == 4
     assert drop_marked(frame.dropna(), "t", ("(", ".")).count() == 3
 
