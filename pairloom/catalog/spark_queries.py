@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pairloom.catalog import inputs as src
+from pairloom.functions.pair_stats import OVERLAPS
 from pairloom.functions.text import normalize_text, strip
 from pairloom.operators import chat, metrics, pairing, prompts, report, telemetry, tokens
 from pairloom.operators.filters import drop_incomplete, drop_marked
@@ -71,7 +72,7 @@ def q_meteor(spark, sf_dir):
 
 
 def q_ngram_overlap(spark, sf_dir):
-    return _featured(spark, sf_dir, "overlap").select("id", "n_pred", "n_ref", "stats.*")
+    return _featured(spark, sf_dir, *OVERLAPS).select("id", "n_pred", "n_ref", "stats.*")
 
 
 def q_soft_alignment(spark, sf_dir):

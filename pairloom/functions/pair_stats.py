@@ -18,12 +18,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 
-MAX_ORDER = 4
-FIELDS = {
-    "overlap": tuple(f"m{n}" for n in range(1, MAX_ORDER + 1)),
-    "lcs": ("lcs",),
-    "aligned": ("matches", "chunks"),
-}
+OVERLAPS = ("m1", "m2", "m3", "m4")
+FIELDS = {**{m: (m,) for m in OVERLAPS}, "lcs": ("lcs",), "aligned": ("matches", "chunks")}
 _KEY_LIMIT = 2**62
 
 
@@ -50,12 +46,19 @@ def _numbered(p: pa.Array, r: pa.Array) -> tuple[_Side, _Side, pa.Array]:
     return _Side(codes[:cut], lengths[0]), _Side(codes[cut:], lengths[1]), encoded.dictionary
 
 
-def _clipped_overlaps(p: _Side, r: _Side, vocabulary: int) -> list[np.ndarray]:
-    """Per row, the size of the n-gram multiset intersection, for n = 1..4."""
+def _places_in(wanted: np.ndarray, known: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where sorted `wanted` and sorted, distinct `known` hold the same value."""
+    at = np.minimum(np.searchsorted(known, wanted), max(0, len(known) - 1))
+    hit = known[at] == wanted if len(known) else np.zeros(len(wanted), dtype=bool)
+    return np.flatnonzero(hit), at[hit]
+
+
+def _clipped_overlaps(p: _Side, r: _Side, vocabulary: int, orders: int) -> list[np.ndarray]:
+    """Per row, the size of the n-gram multiset intersection, for n = 1..orders."""
     rows = len(p.lengths)
     grams, span = [p.codes, r.codes], vocabulary
     found = []
-    for n in range(1, MAX_ORDER + 1):
+    for n in range(1, orders + 1):
         places = [np.flatnonzero(side.left >= n) for side in (p, r)]
         if n > 1:
             # An n-gram is the (n-1)-gram at its start and the token at its end.
@@ -73,9 +76,9 @@ def _clipped_overlaps(p: _Side, r: _Side, vocabulary: int) -> list[np.ndarray]:
             for side, gram, at in zip((p, r), grams, places)
         ]
         (p_keys, p_counts), (r_keys, r_counts) = keys
-        both, in_p, in_r = np.intersect1d(p_keys, r_keys, assume_unique=True, return_indices=True)
+        in_p, in_r = _places_in(p_keys, r_keys)
         shared = np.minimum(p_counts[in_p], r_counts[in_r])
-        found.append(np.bincount(both // span, weights=shared, minlength=rows))
+        found.append(np.bincount(p_keys[in_p] // span, weights=shared, minlength=rows))
     return found
 
 
@@ -98,22 +101,30 @@ def _lcs_lengths(p: _Side, r: _Side) -> list[int]:
     return [lcs_length(a.tolist(), b.tolist()) for a, b in zip(*pieces)]
 
 
-def _counted_from_end(key: np.ndarray) -> np.ndarray:
-    """For each element, how many equal ones follow it."""
-    order = np.argsort(key, kind="stable")
-    ordered = key[order]
-    after = np.searchsorted(ordered, ordered, side="right") - 1 - np.arange(len(key))
-    out = np.empty_like(key)
-    out[order] = after
-    return out
+def _ranked(key: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Places in order of key and place, the keys in that order, and how many equal ones follow each."""
+    n = max(1, len(key))
+    if int(key.max(initial=0)) < _KEY_LIMIT // n:
+        # One sort of plain integers is several times faster than a stable argsort.
+        packed = key * n + np.arange(len(key))
+        packed.sort()
+        ordered = packed // n
+        order = packed - ordered * n
+    else:
+        order = np.argsort(key, kind="stable")
+        ordered = key[order]
+    last = np.flatnonzero(np.append(ordered[1:] != ordered[:-1], True)) if len(key) else order
+    runs = np.diff(last, prepend=-1)
+    return order, ordered, np.repeat(last, runs) - np.arange(len(key))
 
 
 def _meet(p_key: np.ndarray, r_key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Match equal keys, last with last, next-to-last with next-to-last, and so on."""
-    p_nth, r_nth = _counted_from_end(p_key), _counted_from_end(r_key)
-    width = max(p_nth.max(initial=0), r_nth.max(initial=0)) + 1
-    _, in_p, in_r = np.intersect1d(p_key * width + p_nth, r_key * width + r_nth, assume_unique=True, return_indices=True)
-    return in_p, in_r
+    p_order, p_ordered, p_after = _ranked(p_key)
+    r_order, r_ordered, r_after = _ranked(r_key)
+    width = max(p_after.max(initial=0), r_after.max(initial=0)) + 1
+    in_p, in_r = _places_in(p_ordered * width + width - 1 - p_after, r_ordered * width + width - 1 - r_after)
+    return p_order[in_p], r_order[in_r]
 
 
 def _synonym_stage(
@@ -177,17 +188,19 @@ def pair_stats(
 ) -> Callable[..., Column]:
     """A column function `(p_tokens, r_tokens[, p_synonyms]) -> struct` of the features' counts.
 
-    `overlap` gives m1..m4, `lcs` the subsequence length, `aligned` matches and
-    chunks. Whole texts, no length cap.
+    m1..m4 are clipped n-gram overlaps, `lcs` the subsequence length, and `aligned`
+    gives matches and chunks. Whole texts, no length cap.
     """
     wanted = [f for f in FIELDS if f in set(features)]
+    orders = [n for n, m in enumerate(OVERLAPS, 1) if m in wanted]
     shape = StructType([StructField(name, IntegerType()) for f in wanted for name in FIELDS[f]])
 
     def batch(p: pa.Array, r: pa.Array, synonyms: list | None) -> pa.Array:
         left, right, dictionary = _numbered(p, r)
         columns = []
-        if "overlap" in wanted:
-            columns += _clipped_overlaps(left, right, max(1, len(dictionary)))
+        if orders:
+            overlaps = _clipped_overlaps(left, right, max(1, len(dictionary)), max(orders))
+            columns += [overlaps[n - 1] for n in orders]
         if "lcs" in wanted:
             columns.append(_lcs_lengths(left, right))
         if "aligned" in wanted:

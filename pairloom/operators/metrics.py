@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pairloom.constants import TASK_METRICS
-from pairloom.functions.pair_stats import FIELDS, pair_stats
+from pairloom.functions.pair_stats import FIELDS, OVERLAPS, pair_stats
 from pairloom.functions.text import is_blank, strip
 from pairloom.functions.tokens import Tokenizer, whitespace_tokens
 from pairloom.operators.lookup import lookup_join
@@ -68,13 +68,13 @@ class Metric:
 SCORE = "score"
 
 
-def _overlaps() -> list[Column]:
-    return [F.col(f"stats.{m}") for m in FIELDS["overlap"]]
+def _overlaps(n: int) -> list[Column]:
+    return [F.col(f"stats.{m}") for m in OVERLAPS[:n]]
 
 
 def _rouge() -> dict[str, Column]:
     blank = is_blank("prediction") | is_blank("reference")
-    m1, m2, *_ = _overlaps()
+    m1, m2 = _overlaps(2)
     n_ref = F.col("n_ref")
     return {
         "rouge-1": rouge_recall(m1, n_ref, blank),
@@ -93,15 +93,15 @@ _REGISTRY: dict[str, Metric] = {
         Metric("exact_match", lambda: {SCORE: exact_match(F.col("prediction"), F.col("reference"))}),
         Metric(
             "f1_score",
-            lambda: {SCORE: token_f1(_overlaps()[0], F.col("n_pred"), F.col("n_ref"))},
-            frozenset({"overlap"}),
+            lambda: {SCORE: token_f1(*_overlaps(1), F.col("n_pred"), F.col("n_ref"))},
+            frozenset({"m1"}),
         ),
         Metric(
             "bleu",
-            lambda: {SCORE: bleu(_overlaps(), F.col("n_pred"), F.col("n_ref"))},
-            frozenset({"overlap"}),
+            lambda: {SCORE: bleu(_overlaps(4), F.col("n_pred"), F.col("n_ref"))},
+            frozenset(OVERLAPS),
         ),
-        Metric("rouge", _rouge, frozenset({"overlap", "lcs"})),
+        Metric("rouge", _rouge, frozenset({"m1", "m2", "lcs"})),
         Metric(
             "meteor",
             lambda: {

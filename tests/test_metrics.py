@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from pairloom.functions.pair_stats import lcs_length
+from pairloom.functions.pair_stats import OVERLAPS, lcs_length
 from pairloom.operators import metrics, pairing, report
 from pairloom.operators.soft_align import embed_pairs, soft_alignment
 
@@ -151,7 +151,7 @@ def test_counts_match_the_relational_form(spark):
     pairs = metrics.with_token_counts(pairs_of(spark, random_pairs(150)))
     fast = {
         r["id"]: [r[f"m{n}"] for n in range(1, 5)]
-        for r in metrics.with_features(pairs.select("id", "prediction", "reference"), {"overlap"})
+        for r in metrics.with_features(pairs.select("id", "prediction", "reference"), set(OVERLAPS))
         .select("id", "stats.*")
         .collect()
     }
@@ -196,7 +196,7 @@ def test_large_vocabulary_renumbers_exactly(spark, monkeypatch):
 
     monkeypatch.setattr(module, "_KEY_LIMIT", 2**12)
     texts = random_pairs(60, seed=9)
-    found = scores_of(report.score_examples(pairs_of(spark, texts), ("bleu", "rouge")))
+    found = scores_of(report.score_examples(pairs_of(spark, texts), ("bleu", "rouge", "meteor")))
     for i, (p, r) in enumerate(texts):
         want = expected(p.replace("۱", "1"), r.replace("۱", "1"))
         assert found[i] == pytest.approx({k: want[k] for k in found[i]}, abs=1e-12)
