@@ -352,11 +352,7 @@ def q_scores_round_trip(spark, sf_dir):
     """Per-example scores through Parquet, then their averages through JSON."""
     scores, averages = scratch_path(spark, "scores"), scratch_path(spark, "report")
     io.write_scores(report.score_examples(src.eval_pairs(spark, sf_dir), ("exact_match", "f1_score")), scores)
-    means = (
-        spark.read.parquet(scores)
-        .groupBy("metric", "sub_metric")
-        .agg(F.avg("score").alias("score"), F.count("*").alias("n"))
-    )
+    means = report.average(spark.read.parquet(scores))
     io.write_report(means, averages)
     back = spark.read.schema("metric string, sub_metric string, score double, n long").json(averages)
     return back.select("metric", "sub_metric", r6(F.col("score")).alias("score"), "n")

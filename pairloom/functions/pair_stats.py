@@ -138,8 +138,8 @@ def _synonym_stage(
     matched: tuple[list[int], list[int]] = ([], [])
     for i in open_p.tolist()[::-1]:
         row = int(p.row[i])
-        known = (synonyms[row] or [])[i - starts[row]] if synonyms[row] else None
-        places = [free[row, w] for w in (known or ()) if free.get((row, w))]
+        known = synonyms[row][i - starts[row]] or ()
+        places = [free[row, w] for w in known if free.get((row, w))]
         if places:
             matched[0].append(i)
             matched[1].append(max(places, key=lambda at: at[-1]).pop())

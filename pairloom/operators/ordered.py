@@ -5,11 +5,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from pairloom.operators.lookup import BROADCAST_ROWS, lookup_join
 from pairloom.session import checkpointed
 
 
 def _parts(df: DataFrame, parts: int | None) -> int:
-    return parts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    """Range partitions to use; their number also bounds the broadcast of the bases."""
+    return min(parts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), BROADCAST_ROWS)
 
 
 def running_total(
@@ -90,14 +92,14 @@ def file_positions(df: DataFrame) -> DataFrame:
         df.withColumn("__part", F.spark_partition_id()).withColumn("__row", F.monotonically_increasing_id())
     )
     earlier = Window.partitionBy(F.lit(0)).orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
-    # One row per partition, so the broadcast is bounded by the partition count.
+    # One row per input partition.
     bases = (
         held.groupBy("__part")
         .agg(F.count("*").alias("__n"), F.min("__row").alias("__first"))
         .select("__part", "__first", F.coalesce(F.sum("__n").over(earlier), F.lit(0)).alias("__base"))
     )
     return (
-        held.join(F.broadcast(bases), "__part")
+        lookup_join(held, bases, "__part", "inner")
         .withColumn("pos", F.col("__base") + F.col("__row") - F.col("__first"))
         .drop("__part", "__row", "__first", "__base")
     )

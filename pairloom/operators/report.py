@@ -95,6 +95,13 @@ def evaluate(
     )
 
 
+def average(scores: DataFrame, n_predictions: int | None = None) -> DataFrame:
+    """The same report from a table of per-example scores."""
+    sums = scores.groupBy("metric", "sub_metric").agg(F.sum("score").alias("total"), F.count("*").alias("rows"))
+    n = F.lit(n_predictions).cast("long") if n_predictions is not None else F.col("rows")
+    return sums.select("metric", "sub_metric", (F.col("total") / n).alias("score"), n.alias("n"))
+
+
 def format_report(report: DataFrame) -> DataFrame:
     """Add the line the report prints: four decimals."""
     label = F.when(F.col("sub_metric") == "score", F.col("metric")).otherwise(

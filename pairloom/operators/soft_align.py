@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pairloom.operators.lookup import lookup_join
+from pairloom.operators.pairing import normalize_pairs
 from pairloom.session import checkpointed
 
 BLOCK = 512
@@ -97,13 +98,15 @@ def embed_pairs(
     pairs: DataFrame,
     make_encoder: Callable[[], Callable[[list[str]], list[np.ndarray]]],
     batch_size: int = 32,
+    on_null: str = "error",
 ) -> DataFrame:
-    """Token vectors of both texts of each pair, from an encoder the user supplies.
+    """Token vectors of both normalised texts of each pair, from an encoder the user supplies.
 
     `make_encoder` runs once per task and returns a function from a list of texts
-    to one (tokens x dimensions) matrix per text.
+    to one (tokens x dimensions) matrix per text. The vectors are checkpointed, as
+    they are read twice and encoding is the dear part.
     """
-    texts = pairs.select("id", F.col("prediction"), F.col("reference")).unpivot(
+    texts = normalize_pairs(pairs, on_null).select("id", "prediction", "reference").unpivot(
         ["id"], ["prediction", "reference"], "side", "text"
     )
     id_type = pairs.schema["id"].dataType.simpleString()
@@ -124,4 +127,4 @@ def embed_pairs(
                     }
                 )
 
-    return texts.mapInPandas(encode, f"id {id_type}, side string, pos int, vec array<float>")
+    return checkpointed(texts.mapInPandas(encode, f"id {id_type}, side string, pos int, vec array<float>"))

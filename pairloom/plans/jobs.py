@@ -12,7 +12,7 @@ from pairloom.functions.tokens import Tokenizer, whitespace_tokens
 from pairloom.operators.chat import CHATML, ChatFormat, render_chat, render_generation_prompt, split_responses
 from pairloom.operators.generate import Predictor, batch_generate
 from pairloom.operators.pairing import pair, pair_by_position, unmatched
-from pairloom.operators.report import evaluate, score_examples
+from pairloom.operators.report import average, evaluate, score_examples
 from pairloom.operators.split import train_test_split
 from pairloom.operators.tokens import pack_sequences, tokenize
 from pairloom.schemas import PROMPT_PAIR
@@ -96,12 +96,14 @@ def evaluate_files(
     else:
         pairs = checkpointed(pair_by_position(predictions, references, predict_column, target_column))
         n_predictions = predictions.count()
-    report = evaluate(pairs, metrics, n_predictions=n_predictions, **options)
-    if output_path:
-        write_scores(score_examples(pairs, metrics, **options), f"{output_path}/examples")
-        write_report(report, f"{output_path}/averages")
-        if on:
-            write_report(unmatched(predictions, references, on), f"{output_path}/unmatched")
+    if not output_path:
+        return evaluate(pairs, metrics, n_predictions=n_predictions, **options)
+    # Scored once: the averages are taken from the written table.
+    write_scores(score_examples(pairs, metrics, **options), f"{output_path}/examples")
+    report = average(spark.read.parquet(f"{output_path}/examples"), n_predictions)
+    write_report(report, f"{output_path}/averages")
+    if on:
+        write_report(unmatched(predictions, references, on), f"{output_path}/unmatched")
     return report
 
 

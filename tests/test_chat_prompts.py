@@ -1,6 +1,8 @@
 """Chat rendering, response splitting, filters, reshapes and prompts."""
 
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from pairloom.constants import NESTED_MRC_COLUMNS, NO_ANSWER, SUMMARY_TYPES, WIDE_SUMMARY_COLUMNS
@@ -68,6 +70,19 @@ def test_split_response_strict(spark, generated, user, assistant):
     assert chat.split_responses(frame).collect() == [(1, user, assistant)]
 
 
+@settings(max_examples=10, deadline=None)
+@given(st.lists(st.lists(st.sampled_from(["user", "assistant", " ", "\n", "x", "us", "er", "é"]), max_size=9), min_size=1, max_size=30))
+def test_split_response_like_python(spark, samples):
+    """Cut at the first tag, drop every "user" before it, strip both."""
+    texts = ["".join(s) for s in samples]
+    frame = spark.createDataFrame(list(enumerate(texts)), "id long, generated_text string")
+    want = []
+    for i, text in enumerate(texts):
+        head, _, tail = text.partition("assistant")
+        want.append((i, head.replace("user", "").strip(), tail.strip()))
+    assert sorted(tuple(r) for r in chat.split_responses(frame).collect()) == want
+
+
 def test_split_response_tagged(spark):
     """Role words inside the texts survive."""
     frame = spark.createDataFrame([("ask the user's assistant", "the assistant says")], "inputs string, targets string")
