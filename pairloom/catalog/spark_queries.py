@@ -236,8 +236,8 @@ def q_count_tokens_total(spark, sf_dir):
 
 
 def _packed(spark, sf_dir, drop_last):
-    turns = tokens.tokenize(src.table(spark, sf_dir, "conversations"), "text")
-    blocks = tokens.pack_sequences(turns, ["conv_id", "turn"], BLOCK, drop_last)
+    turns = src.table(spark, sf_dir, "conversations")
+    blocks = tokens.pack_sequences(turns, ["conv_id", "turn"], BLOCK, drop_last, text="text")
     return blocks.select(
         "block_id",
         F.array_join("tokens", " ").alias("tokens"),

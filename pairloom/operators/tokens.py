@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pairloom.functions.tokens import Tokenizer, whitespace_tokens
@@ -28,6 +28,8 @@ def pack_sequences(
     max_len: int,
     drop_last: bool = True,
     tokens: str = "tokens",
+    text: str | None = None,
+    tokenizer: Tokenizer = whitespace_tokens,
     parts: int | None = None,
 ) -> DataFrame:
     """Concatenate token lists in `order` and cut blocks of `max_len` tokens.
@@ -36,38 +38,39 @@ def pack_sequences(
     total over the keys and lengths alone. A row is then cut into one slice per
     block it touches, so a block gathers at most `max_len` tokens whatever the
     length of a document. `order` must be unique.
+
+    Name a `text` column instead of `tokens` to have it tokenised after the join
+    with the offsets: a text is several times smaller to shuffle than its list.
     """
     if max_len < 1:
         raise ValueError("max_len must be positive")
     order = [order] if isinstance(order, str) else list(order)
-    listed = df.select(*order, F.col(tokens).alias("__tokens"))
+    listed = df.select(*order, F.col(text or tokens).alias("__held"))
+    token_list = tokenizer(F.col("__held")) if text else F.col("__held")
     # Empty rows are dropped by the offsets' own count: a filter on the token
     # column would tokenise every text once more in the scan.
-    offsets = running_total(listed, order, F.size("__tokens"), parts=parts).where(F.col("amount") > 0)
+    offsets = running_total(listed, order, F.size(token_list), parts=parts).where(F.col("amount") > 0)
     start, stop = F.col("before"), F.col("before") + F.col("amount")
-    block = F.col("block_id")
-    slices = (
+
+    def piece(block: Column) -> Column:
+        begin = F.greatest(start, block * max_len)
+        end = F.least(stop, (block + 1) * max_len)
+        cut = F.slice("__tokens", (begin - start + 1).cast("int"), (end - begin).cast("int"))
+        return F.struct(block.alias("block_id"), begin.alias("begin"), cut.alias("cut"))
+
+    touched = F.sequence(F.floor(start / max_len), F.floor((stop - 1) / max_len))
+    pieces = (
         listed.join(offsets, order)
-        .withColumn("block_id", F.explode(F.sequence(F.floor(start / max_len), F.floor((stop - 1) / max_len))))
-        .withColumn("__from", F.greatest(start, block * max_len))
-        .withColumn("__to", F.least(stop, (block + 1) * max_len))
-        .select(
-            "block_id",
-            "__from",
-            F.slice(
-                "__tokens",
-                (F.col("__from") - start + 1).cast("int"),
-                (F.col("__to") - F.col("__from")).cast("int"),
-            ).alias("__slice"),
-        )
+        .select("before", "amount", token_list.alias("__tokens"))
+        .select(F.explode(F.transform(touched, piece)).alias("piece"))
+        .select("piece.*")
     )
-    pieces = F.array_sort(F.collect_list(F.struct("__from", "__slice")))
     blocks = (
-        slices.groupBy("block_id")
-        .agg(pieces.alias("__pieces"))
+        pieces.groupBy("block_id")
+        .agg(F.array_sort(F.collect_list(F.struct("begin", "cut"))).alias("__pieces"))
         .select(
             "block_id",
-            F.flatten(F.transform("__pieces", lambda p: p["__slice"])).alias("tokens"),
+            F.flatten(F.transform("__pieces", lambda p: p["cut"])).alias("tokens"),
             F.size("__pieces").alias("n_docs"),
         )
         .withColumn("n_tokens", F.size("tokens"))

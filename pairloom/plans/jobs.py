@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from pairloom.constants import SYSTEM_MESSAGE
 from pairloom.functions.tokens import Tokenizer, whitespace_tokens
@@ -14,7 +13,7 @@ from pairloom.operators.generate import Predictor, batch_generate
 from pairloom.operators.pairing import pair, pair_by_position, unmatched
 from pairloom.operators.report import average, evaluate, score_examples
 from pairloom.operators.split import train_test_split
-from pairloom.operators.tokens import pack_sequences, tokenize
+from pairloom.operators.tokens import pack_sequences
 from pairloom.schemas import PROMPT_PAIR
 from pairloom.session import checkpointed
 from pairloom.sources.tables import (
@@ -121,5 +120,5 @@ def pack_training_blocks(
     if schema is None:
         schema = f"id long, {', '.join(f'{f.name} string' for f in PROMPT_PAIR.fields)}"
     for name, part in zip(("train", "test"), load_splits(spark, dataset_path, schema)):
-        tokens = tokenize(part.where(F.col("prompt").isNotNull()), "prompt", tokenizer)
-        write_blocks(pack_sequences(tokens, order, max_len, drop_last), f"{output_path}/{name}")
+        blocks = pack_sequences(part, order, max_len, drop_last, text="prompt", tokenizer=tokenizer)
+        write_blocks(blocks, f"{output_path}/{name}")

@@ -133,6 +133,9 @@ def test_pack_property(spark, parts):
     packed = tokens.pack_sequences(frame, "id", 64, drop_last=False, parts=parts).orderBy("block_id").collect()
     assert [t for r in packed for t in r["tokens"]] == stream
     assert [r["block_id"] for r in packed] == list(range(ceil(len(stream) / 64)))
+    joined = frame.select("id", F.array_join("tokens", " ").alias("t"))
+    texts = tokens.pack_sequences(joined, "id", 64, drop_last=False, parts=parts, text="t")
+    assert texts.orderBy("block_id").collect() == packed
     for r in packed:
         assert r["n_docs"] == len({t.split(".")[0] for t in r["tokens"]})
 
@@ -164,6 +167,13 @@ def test_row_operators_do_not_shuffle(spark):
     assert shuffles(q.registered()["summary_pairs"](spark, sf)) == 1
 
 
+def test_packing_tokenises_once_and_shuffles_text(spark):
+    from pairloom.catalog import spark_queries as q
+
+    plan = q.registered()["pack_sequences"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("split(") == 1 and "CartesianProduct" not in plan and "NestedLoop" not in plan
+
+
 def test_filters_and_columns_reach_the_scan(spark):
     from pairloom.catalog import spark_queries as q
 
