@@ -414,3 +414,26 @@ def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 75) -> Da
     return rows.join(classes, "set_id", "left").select(
         "doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id")
     )
+
+
+def nearest_kept(docs: DataFrame, width: int = 5, percent: int = 75) -> DataFrame:
+    """One row of each component: of those with its id as doc_id, the one with the smallest text hash.
+
+    A component whose doc_ids are all null keeps its rows, and wordless texts are
+    components of their own; rows that repeat a kept doc_id in the same set go.
+    """
+    classes = jaccard_components(docs, width, percent)
+    heads = classes.where("doc_id = component_id").select("doc_id").distinct()
+    leading = docs.join(heads, "doc_id", "left_semi")
+    text = F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))
+    repeated = leading.groupBy("doc_id").agg(F.min(text).alias("__least"), F.count("*").alias("__rows")).where("__rows > 1")
+    single = leading.join(repeated, "doc_id", "left_anti")
+    chosen = (
+        leading.withColumn("__hash", text)
+        .join(repeated.select("doc_id", "__least"), "doc_id")
+        .where("__hash = __least")
+        .drop("__hash", "__least")
+        .dropDuplicates(["doc_id"])
+    )
+    nameless = docs.where("doc_id IS NULL")
+    return single.select(*docs.columns).unionByName(chosen.select(*docs.columns)).unionByName(nameless)

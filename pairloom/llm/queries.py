@@ -4,11 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pairloom.llm.jaccard import jaccard_components
 from pairloom.llm.language import identify_language
+from pairloom.llm.mixing import mix_sources
+from pairloom.llm.packing import pack_documents
 from pairloom.llm.text import fold
 from pairloom.llm.toxicity import fit_toxicity, score_toxicity
 
@@ -24,16 +27,34 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_toxicity(docs, model).select("doc_id", (remainder == 0).alias("held_out"), "score", "predicted")
 
 
+def op4_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mix_sources(_table(spark, sf_dir, "documents"))
+    return mixed.select(
+        "doc_id",
+        F.col("__size").alias("size"),
+        F.col("__source_size").alias("source_size"),
+        F.col("__target").alias("target"),
+        (F.col("__copies") * F.col("__size")).alias("taken"),
+    )
+
+
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     remainder = fold(F.col("doc_id"), 3)
     predicted = identify_language(_table(spark, sf_dir, "documents"), remainder != 1)
     return predicted.select("doc_id", (remainder == 1).alias("held_out"), "lang_pred", "score")
 
 
+def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = pack_documents(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+    return pieces.select(
+        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
+    )
+
+
 def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(_table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op3_toxicity, op6_language_id, op10_jaccard_join)
+    f.__name__: f for f in (op3_toxicity, op4_source_mixing, op6_language_id, op9_packing, op10_jaccard_join)
 }
