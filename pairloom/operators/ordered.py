@@ -2,16 +2,62 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructType
 
-from pairloom.operators.lookup import BROADCAST_ROWS, lookup_join
 from pairloom.session import checkpointed
 
 
 def _parts(df: DataFrame, parts: int | None) -> int:
-    """Range partitions to use; their number also bounds the broadcast of the bases."""
-    return min(parts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), BROADCAST_ROWS)
+    return parts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
+def _unlike(column: pa.Array) -> np.ndarray:
+    """Whether each value but the first differs from the one before; nulls are alike."""
+    a, b = column[1:], column[:-1]
+    differs = pc.fill_null(pc.not_equal(a, b), pc.xor(pc.is_null(a), pc.is_null(b)))
+    # A null operand leaves null also where both are null: alike.
+    return pc.fill_null(differs, False).to_numpy(zero_copy_only=False)
+
+
+def _inside(by: list[str], order_by: list[str], unique: bool):
+    """An in-partition pass over sorted rows: adds `before`, the group's sum so far in this partition."""
+
+    def pass_(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, carried = None, 0
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            keys = [*by, *order_by]
+            rows = batch.select(keys)
+            if last is not None:
+                rows = pa.Table.from_batches([last, rows]).combine_chunks().to_batches()[0]
+            unlike = {c: _unlike(rows.column(c)) for c in keys}
+            new = np.logical_or.reduce([np.zeros(rows.num_rows - 1, dtype=bool), *(unlike[c] for c in by)])
+            if unique and rows.num_rows > 1:
+                alike = ~np.logical_or.reduce([new, *(unlike[c] for c in order_by)])
+                if alike.any():
+                    raise ValueError("the order is not unique")
+            if last is None:
+                new = np.append(True, new)
+            amount = batch.column("amount").to_numpy(zero_copy_only=False).astype(np.int64)
+            before = np.cumsum(amount) - amount + carried
+            starts = np.flatnonzero(new)
+            if len(starts):
+                group = np.cumsum(new)
+                base = np.append(0, before[starts])
+                before = before - base[group]
+            carried = int(before[-1] + amount[-1])
+            last = batch.select(keys).slice(batch.num_rows - 1)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(before)], names=[*batch.schema.names, "before"])
+
+    return pass_
 
 
 def running_total(
@@ -21,21 +67,29 @@ def running_total(
     partition_by: list[str] | None = None,
     parts: int | None = None,
     keep: tuple[str, ...] = (),
+    unique: bool = True,
 ) -> DataFrame:
     """`partition_by + order_by + keep + (amount, before)`; `before` sums `value` over earlier rows.
 
     Range partitions over the whole order split even a group that owns most of
-    the rows. Only the keys, the value and the few columns in `keep` are shuffled;
-    wide columns are better joined back on the keys. Each range partition can
+    the rows. Rows are shuffled once, with the columns in `keep`, and summed up
+    in place by a pass over each sorted partition. Each range partition can
     continue at most one group, so the carried-in bases number at most one per
-    partition and are broadcast. The order must be unique within a group.
+    partition and are broadcast.
+
+    A null in an order column is an error, and so is a repeated order within a
+    group unless `unique` is off; then equal rows follow each other in any order.
     """
     by = list(partition_by or [])
-    n_parts = _parts(df, parts)
+    missing = F.lit(False)
+    for c in order_by:
+        missing = missing | F.col(c).isNull()
+    amount = F.when(missing, F.raise_error(F.lit("null in an order column"))).otherwise(value).cast("long")
     # Range bounds come from a sample: checkpoint, so both passes see the same ones.
     ranged = checkpointed(
-        df.select(*by, *order_by, *keep, value.cast("long").alias("amount"))
-        .repartitionByRange(n_parts, *by, *order_by)
+        df.select(*by, *order_by, *keep, F.coalesce(amount, F.lit(0)).alias("amount"))
+        .repartitionByRange(_parts(df, parts), *by, *order_by)
+        .sortWithinPartitions(*by, *order_by)
         .withColumn("__part", F.spark_partition_id())
     )
     carried = Window.partitionBy(*(by or [F.lit(0)])).orderBy("__part")
@@ -49,24 +103,11 @@ def running_total(
     same_group = F.col("__part") == F.col("__base_part")
     for c in by:
         same_group = same_group & F.col(c).eqNullSafe(F.col(f"__by_{c}"))
-    local = Window.partitionBy(*by, "__part").orderBy(*order_by)
+    schema = StructType([*ranged.schema.fields]).add("before", LongType())
     return (
-        ranged.withColumn(
-            "__inside",
-            F.coalesce(F.sum("amount").over(local.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)),
-        )
-        .withColumn("__tied", F.rank().over(local) != F.row_number().over(local))
+        ranged.mapInArrow(_inside(by, list(order_by), unique), schema)
         .join(F.broadcast(bases), same_group, "left")
-        .select(
-            *by,
-            *order_by,
-            *keep,
-            "amount",
-            F.when(F.col("__tied"), F.raise_error(F.lit("the order is not unique")))
-            .otherwise(F.col("__inside") + F.coalesce("__base", F.lit(0)))
-            .cast("long")
-            .alias("before"),
-        )
+        .select(*by, *order_by, *keep, "amount", (F.col("before") + F.coalesce("__base", F.lit(0))).alias("before"))
     )
 
 
@@ -92,14 +133,14 @@ def file_positions(df: DataFrame) -> DataFrame:
         df.withColumn("__part", F.spark_partition_id()).withColumn("__row", F.monotonically_increasing_id())
     )
     earlier = Window.partitionBy(F.lit(0)).orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
-    # One row per input partition.
+    # One row per input partition, which bounds the broadcast.
     bases = (
         held.groupBy("__part")
         .agg(F.count("*").alias("__n"), F.min("__row").alias("__first"))
         .select("__part", "__first", F.coalesce(F.sum("__n").over(earlier), F.lit(0)).alias("__base"))
     )
     return (
-        lookup_join(held, bases, "__part", "inner")
+        held.join(F.broadcast(bases), "__part")
         .withColumn("pos", F.col("__base") + F.col("__row") - F.col("__first"))
         .drop("__part", "__row", "__first", "__base")
     )
