@@ -2,19 +2,19 @@
 
 Documents are sets of word shingles. Equal sets are one member. Members are put
 in groups of similar ones: minhash buckets name a pivot each, verified members
-of a pivot join it, and what hangs together is a group. The token-group matrix
-holds which groups' token unions have a token. A member's overlap with another
-group's union bounds its overlap with every member of it, and a link needs an
-overlap of three quarters of its own tokens. Groups whose union can't give that
-are never opened; the others are opened and their members compared exactly, so
-no link is lost. The links of the groups and between them make the components.
+of a pivot are linked to it, and members that share a pivot make a group. The
+token-group matrix holds which groups' token unions have a token. A member's
+overlap with a group's union bounds its overlap with every member of it, and a
+link needs an overlap of three quarters of its own tokens. Groups whose union
+can't give that are never opened; the others are opened and their members
+compared exactly, so no link is lost. All links together make the components.
 
 The bound is taken twice. First coarsely, for all documents and before any
 grouping, on the half of the tokens with the smaller hashes (all tokens of short
 documents): tokens travel packed by bucket, a task sends a token of several
 documents once, and a member is credited for each token that another has. Then
-again among the survivors, with groups in place of members, and at last token by
-token with the rarest first. Token ids of 32 bits serve the first two bounds,
+again among the survivors, with linked members counting as one, and at last for
+whole groups, looking up the rarest tokens first. Token ids of 32 bits serve the first two bounds,
 where a collision can only widen a bound; sets are compared on 64 bits.
 
 Null, empty and wordless texts have no shingles, link with nothing and are their
@@ -42,6 +42,8 @@ from pairloom.session import checkpointed
 _ALL_BELOW = 64
 _HALF = np.uint64(1 << 63)
 _BANDS, _ROWS, _AGREE = 16, 2, 4
+#: Members of a group that is opened as a whole.
+_GROUP = 512
 #: Bits of the prefilter for survivors' texts; beyond its capacity it lets more through, never less.
 _FILTER_BITS = 1 << 23
 
@@ -284,8 +286,8 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return pairs.join(own, "a").join(other, "b").where(linked("left", "right")).select("a", "b")
 
 
-def _group_links(sets: DataFrame, percent: int) -> DataFrame:
-    """Verified links between members and the pivots of their minhash buckets.
+def _pivot_pairs(sets: DataFrame) -> DataFrame:
+    """`(a, b, agreeing)`: members, pivots that they meet in a bucket, and in how many.
 
     The pivot of a bucket is its member that meets the most others over all
     buckets, so the text that copies derive from draws them all.
@@ -299,59 +301,168 @@ def _group_links(sets: DataFrame, percent: int) -> DataFrame:
         .groupBy("bucket")
         .agg(F.max_by("set_id", F.struct("met", "set_id")).alias("b"))
     )
-    pairs = (
+    return (
         met.select("bucket", F.col("set_id").alias("a"))
         .join(pivots, "bucket")
         .where("a <> b")
         .groupBy("a", "b")
         .agg(F.count("*").alias("agreeing"))
-        .where(F.col("agreeing") >= _AGREE)
-        .select("a", "b")
     )
-    return _verified(pairs, sets, percent)
 
 
-def _between_groups(grouped: DataFrame, percent: int) -> DataFrame:
-    """Links between members `(set_id, root, tokens)` of different groups, by the token-group matrix."""
+def _homes(pairs: DataFrame) -> DataFrame:
+    """`(set_id, home)`: the pivot each member is most like; pivots are at home with themselves."""
+    best = pairs.groupBy(F.col("a").alias("set_id")).agg(F.max_by("b", F.struct("agreeing", "b")).alias("home"))
+    pivots = pairs.select(F.col("b").alias("set_id")).distinct()
+    return best.join(pivots, "set_id", "left_anti").unionByName(pivots.withColumn("home", F.col("set_id")))
+
+
+def _block_links(percent: int):
+    """Links between members of two groups; of those that hang together already one suffices."""
+
+    def links(table: pa.Table) -> pa.Table:
+        sides = table.column("side").to_numpy()
+        roots = np.array(table.column("root").to_pylist(), dtype=object)
+        ids = table.column("set_id").to_pylist()
+        sets = [np.frombuffer(t, dtype=np.uint64) for t in table.column("tokens").to_pylist()]
+        sizes = np.array([len(s) for s in sets])
+        number = {r: i for i, r in enumerate(dict.fromkeys(roots))}
+        parent = list(range(len(number)))
+        root = np.array([number[r] for r in roots])
+
+        def find(x: int) -> int:
+            while parent[x] != x:
+                parent[x] = parent[parent[x]]
+                x = parent[x]
+            return x
+
+        _, code, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+        common = count > 1
+        column = np.cumsum(common) - 1
+        ends = np.cumsum(sizes)
+        own = [column[c[common[c]]] for c in (code[e - n : e] for e, n in zip(ends, sizes))]
+        width = int(common.sum())
+        left = np.flatnonzero(sides == 0)
+        right = left if (sides == 0).all() else np.flatnonzero(sides == 1)
+        union = np.zeros(width, dtype=np.float32)
+        for i in right:
+            union[own[i]] = 1
+        # The bound: a member's overlap with the union of the other group.
+        need = (sizes * percent + 99) // 100
+        left = np.array([i for i in left if union[own[i]].sum() >= need[i]], dtype=np.int64)
+        step = max(1, min(128, (1 << 25) // max(1, width)))
+
+        def matrix(rows: np.ndarray) -> np.ndarray:
+            out = np.zeros((len(rows), width), dtype=np.float32)
+            for at, i in enumerate(rows):
+                out[at, own[i]] = 1
+            return out
+
+        found: list[tuple[bytes, bytes]] = []
+        for p in range(0, len(left), step):
+            some = left[p : p + step]
+            a = matrix(some)
+            for q in range(0, len(right), step):
+                others = right[q : q + step]
+                if len(set(root[some]) | set(root[others])) == 1:
+                    continue
+                both = a @ matrix(others).T
+                whole = sizes[some][:, None] + sizes[others][None, :] - both
+                for i, j in zip(*np.nonzero(100 * both >= percent * whole)):
+                    x, y = find(root[some[i]]), find(root[others[j]])
+                    if x != y:
+                        parent[x] = y
+                        found.append((ids[some[i]], ids[others[j]]))
+        return pa.table({"a": pa.array([f[0] for f in found], pa.binary()), "b": pa.array([f[1] for f in found], pa.binary())})
+
+    return links
+
+
+def _between_groups(reaching: DataFrame, percent: int) -> DataFrame:
+    """Links between members `(set_id, root, home, tokens)` of different roots, by the token-group matrix.
+
+    Members that share a pivot make a group; a root with many members has groups
+    of its own, and groups hold about `_GROUP` members. Of each member only the
+    tokens of the first bound are looked up, the rarest of them first; groups that
+    have one of them are opened, bounded once more by their whole token union, and
+    compared as matrices. Only links that join different roots come out.
+    """
+    many = reaching.groupBy("root").count().where(F.col("count") >= _GROUP).select("root", F.lit(True).alias("pure"))
+    pooled = reaching.join(many, "root", "left").withColumn("pool", F.when(F.col("pure"), F.col("root")).otherwise(F.col("home")))
+    sizes = pooled.groupBy("pool", "pure").agg(F.ceil(F.count("*") / _GROUP).alias("groups"))
+    grouped = checkpointed(
+        pooled.join(
+            sizes.select(F.col("pool").alias("p"), F.col("pure").alias("u"), "groups"),
+            (F.col("pool") == F.col("p")) & F.col("pure").eqNullSafe(F.col("u")),
+        ).select(
+            "set_id",
+            "root",
+            "tokens",
+            F.xxhash64("pool", F.coalesce("pure", F.lit(False)), F.pmod(F.xxhash64("set_id"), "groups")).alias("g"),
+            F.when(F.col("pure"), F.xxhash64("root")).alias("only"),
+        )
+    )
+    sent_all = int(_ALL_BELOW * 100 / percent)
+
+    def asks(v: np.ndarray) -> int:
+        """How many of a member's tokens, smallest first, are looked up: where half may tell nothing, all."""
+        half = int(np.searchsorted(v, _HALF))
+        return len(v) if len(v) <= _ALL_BELOW or half - len(v) + (len(v) * percent + 99) // 100 < 1 else half
 
-    @F.arrow_udf("array<bigint>")
+    @F.arrow_udf("struct<asks:bigint,tokens:array<bigint>>")
     def listed(packed: pa.Array) -> pa.Array:
-        values = [np.frombuffer(v.as_buffer(), dtype=np.int64) for v in packed]
-        return pa.array(values, pa.list_(pa.int64()))
+        values = [np.frombuffer(v.as_buffer(), dtype=np.uint64) for v in packed]
+        asked = [asks(v) for v in values]
+        values = [v[: len(v) if len(v) <= sent_all else k].view(np.int64) for v, k in zip(values, asked)]
+        return pa.StructArray.from_arrays(
+            [pa.array(asked, pa.int64()), pa.array(values, pa.list_(pa.int64()))], names=["asks", "tokens"]
+        )
 
     n = (F.octet_length("tokens") / 8).cast("bigint")
-    held = grouped.select("set_id", "root", n.alias("n"), F.explode(listed("tokens")).alias("token"))
-    matrix = held.select("token", "root").distinct()
-    frequent = matrix.groupBy("token").agg(F.count("*").alias("groups")).where("groups > 1")
-    need = _least_overlap(F.col("n"), percent)
-    rare = checkpointed(
-        held.join(frequent, "token")
-        .groupBy("set_id", "root", "n")
-        .agg(F.array_sort(F.collect_list(F.struct("groups", "token"))).alias("shared"))
-        .where(F.size("shared") >= need)
-        .select("set_id", "root", need.alias("need"), F.col("shared.token").alias("shared"))
+    held = (
+        grouped.select("set_id", "g", F.xxhash64("root").alias("r"), n.alias("n"), listed("tokens").alias("own"))
+        .select("set_id", "g", "r", "n", "own.asks", F.explode("own.tokens").alias("token"))
+    )
+    frequent = (
+        held.groupBy("token")
+        .agg(F.min("r").alias("low"), F.max("r").alias("high"), F.count("*").alias("holders"))
+        .where("low <> high")
+        .select("token", "holders")
+    )
+    held = checkpointed(held.join(frequent, "token").drop("r"))
+    asked = (F.col("asks") == F.col("n")) | (F.col("token") >= 0)
+    need = F.col("asks") - F.col("n") + _least_overlap(F.col("n"), percent)
+    rare = (
+        held.where(asked)
+        .groupBy("set_id", "g", "n", "asks")
+        .agg(F.array_sort(F.collect_list(F.struct("holders", "token"))).alias("rare"))
     )
-    probes = rare.select(
-        "set_id", "root", F.explode(F.slice("shared", F.lit(1), (F.size("shared") - F.col("need") + 1).cast("int"))).alias("token")
+    able = checkpointed(
+        rare.where(F.size("rare") >= need).select(
+            "set_id", "g", F.slice(F.col("rare.token"), F.lit(1), (F.size("rare") - need + 1).cast("int")).alias("probes")
+        )
     )
-    column = matrix.select("token", F.col("root").alias("other"))
-    candidates = probes.join(column, "token").where("root < other").select("set_id", "other").distinct()
-    overlap = (
-        candidates.join(rare.select("set_id", "need", F.explode("shared").alias("token")), "set_id")
-        .join(column, ["token", "other"])
-        .groupBy("set_id", "other")
-        .agg(F.count("*").alias("overlap"), F.first("need").alias("need"))
-        .where("overlap >= need")
+    column = held.select("token", F.col("g").alias("g2")).distinct()
+    met = (
+        able.select("g", F.explode("probes").alias("token"))
+        .distinct()
+        .join(column, "token")
+        .select(F.least("g", "g2").alias("g"), F.greatest("g", "g2").alias("g2"))
+        .distinct()
     )
-    size = F.octet_length("tokens")
-    opened = (
-        overlap.select(F.col("set_id").alias("a"), "other")
-        .join(grouped.select(F.col("set_id").alias("a"), size.alias("own")), "a")
-        .join(grouped.select(F.col("set_id").alias("b"), F.col("root").alias("other"), size.alias("size")), "other")
-        .where((F.col("own") * 100 >= F.col("size") * percent) & (F.col("size") * 100 >= F.col("own") * percent))
-        .select("a", "b")
+    only = grouped.select("g", "only").distinct()
+    opened = checkpointed(
+        met.join(only, "g")
+        .join(only.select(F.col("g").alias("g2"), F.col("only").alias("only2")), "g2")
+        .where(~F.coalesce(F.col("only") == F.col("only2"), F.lit(False)))
+        .select("g", "g2")
     )
-    return _verified(opened, grouped, percent)
+    members = grouped.join(able.select("set_id"), "set_id", "left_semi").select("set_id", "root", "tokens", "g")
+    first = opened.join(members, "g").withColumn("side", F.lit(0))
+    second = opened.where("g < g2").join(members.withColumnRenamed("g", "g2"), "g2").withColumn("side", F.lit(1))
+    return first.unionByName(second).groupBy("g", "g2").applyInArrow(_block_links(percent), "a binary, b binary")
+
+
 
 
 def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 75) -> DataFrame:
@@ -390,12 +501,14 @@ def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 75) -> Da
         members.join(credits, "member", "left").where(_open(credit, F.col("n"), F.col("probed"), percent)).select("set_id", "doc_id")
     )
     sets = checkpointed(_survivor_sets(docs, survivors, width))
-    links = checkpointed(_group_links(sets, percent))
+    pairs = checkpointed(_pivot_pairs(sets))
+    links = checkpointed(_verified(pairs.where(F.col("agreeing") >= _AGREE).select("a", "b"), sets, percent))
     groups = connected_components(links)
     grouped = checkpointed(
         sets.drop("bands")
         .join(groups.withColumnRenamed("node", "set_id"), "set_id", "left")
-        .withColumn("root", F.coalesce("root", "set_id"))
+        .join(_homes(pairs), "set_id", "left")
+        .select("set_id", "tokens", F.coalesce("root", "set_id").alias("root"), F.coalesce("home", "set_id").alias("home"))
     )
     again = _shared_credits(grouped.mapInArrow(pack_groups, _PACKED))
     sized = rows.where("set_id IS NOT NULL").select("set_id", "member", F.col("n_shingles").alias("n"), "probed").dropDuplicates(["set_id"])

@@ -2,4 +2,70 @@
 
 from __future__ import annotations
 
-ORACLE: dict[str, str] = {}
+WARC = """
+WITH p AS (
+    SELECT page_id, coalesce(html, '') AS html, sha256(coalesce(html, '')) AS digest FROM pages
+), q AS (
+    SELECT page_id, strlen(html) AS payload_bytes, digest, min(page_id) OVER (PARTITION BY digest) AS first FROM p
+)
+SELECT page_id, payload_bytes, digest AS payload_digest,
+    CASE WHEN payload_bytes >= 100 AND first <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+    CASE WHEN payload_bytes >= 100 AND first <> page_id THEN first END AS refers_to
+FROM q
+"""
+
+HOSTS = r"""
+WITH d AS (
+    SELECT doc_id, source, coalesce(text, '') AS body FROM documents
+), w AS (
+    SELECT doc_id, source, body,
+        regexp_extract_all(body, '[^\x20\x09-\x0D]+') AS words,
+        list_filter(string_split(body, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines
+    FROM d
+), windows AS (
+    SELECT doc_id, i, words[i] || ' ' || words[i + 1] || ' ' || words[i + 2] AS phrase
+    FROM (SELECT doc_id, words, unnest(range(1, len(words) - 1)) AS i FROM w)
+), twice AS (
+    SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, phrase) AS n FROM windows) WHERE n > 1
+), covered AS (
+    SELECT doc_id, count(DISTINCT i + k) AS n_repeat_words FROM twice, (VALUES (0), (1), (2)) AS o(k) GROUP BY doc_id
+), m AS (
+    SELECT w.doc_id, source, len(words)::BIGINT AS n_words,
+        length(translate(body, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13), ''))::BIGINT AS word_chars,
+        (length(body) - length(translate(body, '#*$%&|<>', '')))::BIGINT AS n_symbols,
+        (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines,
+        coalesce(n_repeat_words, 0)::BIGINT AS n_repeat_words,
+        len(lines)::BIGINT AS n_lines
+    FROM w LEFT JOIN covered USING (doc_id)
+), f AS (
+    SELECT source, rule, count(*) AS n, sum(failed::INT) AS k
+    FROM (
+        SELECT source, unnest(['few_words', 'repeated_words', 'symbols', 'repeated_lines', 'word_length']) AS rule,
+            unnest([
+                n_words < 50,
+                100 * n_repeat_words > 50 * n_words,
+                10 * n_symbols > n_words,
+                2 * n_dup_lines > n_lines,
+                word_chars < 3 * n_words OR word_chars > 12 * n_words
+            ]) AS failed
+        FROM m
+    ) GROUP BY source, rule
+), pooled AS (
+    SELECT rule, sum(k) / sum(n) AS rate, sum(n) AS docs, count(*) AS hosts, sum(n * n) AS squares FROM f GROUP BY rule
+), spread AS (
+    SELECT rule, any_value(rate) AS rate, any_value(rate) * (1 - any_value(rate)) AS noise,
+        (sum(n * pow(k / n - rate, 2)) - (any_value(hosts) - 1) * any_value(rate) * (1 - any_value(rate)))
+            / nullif(any_value(docs) - any_value(squares) / any_value(docs), 0) AS extra
+    FROM f JOIN pooled USING (rule) GROUP BY rule
+), prior AS (
+    SELECT rule, rate, CASE WHEN extra > 0 THEN least(greatest(noise / extra - 1, 1.0), 1e6) ELSE 1e6 END AS strength FROM spread
+), verdicts AS (
+    SELECT source, max((k + rate * strength) / (n + strength)) <= 0.5 AS host_kept FROM f JOIN prior USING (rule) GROUP BY source
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+    n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+    NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND host_kept AS kept
+FROM m JOIN verdicts ON m.source IS NOT DISTINCT FROM verdicts.source
+"""
+
+ORACLE: dict[str, str] = {"op5_warc": WARC, "op7_host_rules": HOSTS}

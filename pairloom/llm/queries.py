@@ -8,18 +8,31 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pairloom.llm.hosts import host_quality
 from pairloom.llm.jaccard import jaccard_components
 from pairloom.llm.language import identify_language
+from pairloom.llm.lm import score_texts
+from pairloom.llm.merkle import edited_fingerprints
 from pairloom.llm.mixing import mix_sources
 from pairloom.llm.packing import pack_documents
+from pairloom.llm.roles import repair_roles
 from pairloom.llm.text import fold
 from pairloom.llm.toxicity import fit_toxicity, score_toxicity
+from pairloom.llm.warc import round_trip
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_role_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair_roles(_table(spark, sf_dir, "conversations"))
+
+
+def op2_merkle_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return edited_fingerprints(_table(spark, sf_dir, "documents"))
+
+
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
     remainder = fold(F.col("doc_id"), 5)
@@ -38,12 +51,37 @@ def op4_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    read = round_trip(_table(spark, sf_dir, "pages"))
+    return read.select(
+        F.col("record_id").cast("long").alias("page_id"),
+        "payload_bytes",
+        F.col("digest").alias("payload_digest"),
+        F.col("kind").alias("record_type"),
+        F.col("refers_to").cast("long").alias("refers_to"),
+    )
+
+
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     remainder = fold(F.col("doc_id"), 3)
     predicted = identify_language(_table(spark, sf_dir, "documents"), remainder != 1)
     return predicted.select("doc_id", (remainder == 1).alias("held_out"), "lang_pred", "score")
 
 
+def op7_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return host_quality(_table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
+    )
+
+
+def op8_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    remainder = fold(F.col("doc_id"), 5)
+    scored = score_texts(_table(spark, sf_dir, "documents"), remainder != 1)
+    return scored.select(
+        "doc_id", (remainder == 1).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score"
+    )
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = pack_documents(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
     return pieces.select(
@@ -56,5 +94,17 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op3_toxicity, op4_source_mixing, op6_language_id, op9_packing, op10_jaccard_join)
+    f.__name__: f
+    for f in (
+        op1_role_repair,
+        op2_merkle_fingerprint,
+        op3_toxicity,
+        op4_source_mixing,
+        op5_warc,
+        op6_language_id,
+        op7_host_rules,
+        op8_lm_score,
+        op9_packing,
+        op10_jaccard_join,
+    )
 }
