@@ -20,66 +20,97 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pairloom.llm.text import slices, split_words, texts
 from pairloom.session import checkpointed
 
-#: Words whose ids a worker remembers; it then starts afresh.
-_REMEMBERED = 600_000
+#: Parts of words whose ids a worker remembers; it then starts afresh.
+_REMEMBERED = 800_000
+
+
+#: Letters and the ASCII punctuation behind them, without the apostrophe that begins a contraction: two parts whose
+#: ids don't depend on each other, as the vocabulary's rules split words there and fold case letter by letter.
+_PARTS = r"^(?P<head>[A-Za-zÀ-ÖØ-öø-ÿ]+)(?P<tail>[!-&(-/:-@\[-`{-~]*)$"
 
 
 class WordEncoder:
-    """Token ids of texts, looking each distinct word up once."""
+    """Token ids of texts, encoding each distinct part of a word once."""
 
     def __init__(self, path: str) -> None:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        marks = self.tokenizer.get_added_tokens_decoder()
+        self.mark = next(((i, t.content) for i, t in sorted(marks.items()) if t.special), None)
         self.forget()
 
     def forget(self) -> None:
-        self.known: dict[str, int] = {}
+        self.parts: dict[str, int] = {"": 0}
         self.ids = np.zeros(1 << 20, dtype=np.uint32)
-        self.ends = np.zeros(1 << 18, dtype=np.int64)
-
-    def _learn(self, words: list[str]) -> None:
-        if len(self.known) + len(words) > _REMEMBERED:
-            self.forget()
-        for at in range(0, len(words), 4096):
-            some = words[at : at + 4096]
-            encoded = [e.ids for e in self.tokenizer.encode_batch_fast(some, add_special_tokens=False)]
-            lengths = np.array([len(e) for e in encoded], dtype=np.int64)
-            n = len(self.known)
-            begin = int(self.ends[n - 1]) if n else 0
-            end = begin + int(lengths.sum())
-            if end > len(self.ids):
-                self.ids = np.resize(self.ids, max(end, 2 * len(self.ids)))
-            if n + len(some) > len(self.ends):
-                self.ends = np.resize(self.ends, max(n + len(some), 2 * len(self.ends)))
-            self.ids[begin:end] = np.concatenate([np.array(e, dtype=np.uint32) for e in encoded])
-            self.ends[n : n + len(some)] = begin + np.cumsum(lengths)
-            for i, w in enumerate(some):
-                self.known[w] = n + i
+        self.ends = np.zeros(1 << 18, dtype=np.int64)  # of parts; the first is empty
+
+    def _encoded(self, parts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of parts end to end, and how many each has."""
+        encode = lambda some: [e.ids for e in self.tokenizer.encode_batch_fast(some, add_special_tokens=False)]
+        if self.mark is None or any(self.mark[1] in p for p in parts):
+            lists = encode(parts)
+            return np.array([i for own in lists for i in own], dtype=np.uint32), np.array([len(own) for own in lists])
+        # Many parts at once, told apart by a special token.
+        joined = [self.mark[1].join(["", *parts[i : i + 64]]) for i in range(0, len(parts), 64)]
+        flat = np.array([i for own in encode(joined) for i in own], dtype=np.uint32)
+        marks = np.flatnonzero(flat == self.mark[0])
+        return np.delete(flat, marks), np.diff(np.append(marks, len(flat))) - 1
+
+    def _numbers(self, column: pa.Array) -> np.ndarray:
+        """Numbers of parts, those not met before encoded first."""
+        encoded = column.dictionary_encode()
+        distinct = encoded.dictionary.to_pylist()
+        known = self.parts
+        new = [p for p in distinct if p not in known]
+        if new:
+            ids, lengths = self._encoded(new)
+            n = len(known)
+            begin = int(self.ends[n - 1])
+            if begin + len(ids) > len(self.ids):
+                self.ids = np.resize(self.ids, max(begin + len(ids), 2 * len(self.ids)))
+            if n + len(new) > len(self.ends):
+                self.ends = np.resize(self.ends, max(n + len(new), 2 * len(self.ends)))
+            self.ids[begin : begin + len(ids)] = ids
+            self.ends[n : n + len(new)] = begin + np.cumsum(lengths)
+            known.update(zip(new, range(n, n + len(new))))
+        numbers = np.fromiter((known[p] for p in distinct), dtype=np.int64, count=len(distinct))
+        return numbers[encoded.indices.to_numpy(zero_copy_only=False)]
 
     def encode(self, text: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, each closed by `end_id`, and how many each has."""
         words = split_words(text)
-        distinct = words.distinct.to_pylist()
-        new = [w for w in distinct if w not in self.known]
-        if new:
-            self._learn(new)
-            if len(self.known) < len(distinct):  # it has just started afresh
-                self._learn([w for w in distinct if w not in self.known])
-        place = np.fromiter((self.known[w] for w in distinct), dtype=np.int64, count=len(distinct))[words.codes]
-        begin = np.where(place > 0, self.ends[place - 1], 0)
-        lengths = self.ends[place] - begin
+        if len(self.parts) > _REMEMBERED:
+            self.forget()
+        split = pc.extract_regex(words.distinct, _PARTS)
+        whole = pc.is_null(split)
+        head = pc.if_else(whole, words.distinct, pc.utf8_lower(pc.fill_null(pc.struct_field(split, 0), "")))
+        tail = pc.fill_null(pc.struct_field(split, 1), "")
+        part = np.stack([self._numbers(head), self._numbers(tail)], axis=1).ravel()
+        # Ids of the distinct words end to end, then of the text by words.
+        begin = np.where(part > 0, self.ends[part - 1], 0)
+        lengths = self.ends[part] - begin
         reach = np.cumsum(lengths)
-        flat = self.ids[np.arange(reach[-1] if len(reach) else 0) + np.repeat(begin - reach + lengths, lengths)]
-        tokens = np.append(0, reach)[np.append(0, words.ends)]
-        out = np.insert(flat, tokens[1:], np.uint32(end_id))
-        return out, np.diff(tokens) + 1
+        flat = self.ids[_ranges(begin, lengths)]
+        word_length = lengths.reshape(-1, 2).sum(axis=1)
+        word_begin = np.append(0, reach)[np.arange(0, len(part) + 1, 2)][:-1]
+        counts = word_length[words.codes]
+        out = flat[_ranges(word_begin[words.codes], counts)]
+        ends = np.append(0, np.cumsum(counts))[words.ends]
+        return np.insert(out, ends, np.uint32(end_id)), np.diff(ends, prepend=0) + 1
+
+
+def _ranges(begin: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """The numbers from each begin on, `lengths` of them, end to end."""
+    reach = np.cumsum(lengths)
+    return np.arange(reach[-1] if len(reach) else 0) + np.repeat(begin - reach + lengths, lengths)
 
 
 @lru_cache(2)
