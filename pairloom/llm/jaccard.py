@@ -172,13 +172,32 @@ def _unlisted(packed: bytes) -> np.ndarray:
 _PACKED = "bucket int, tokens binary, owners binary, members binary, credits binary"
 
 
-def _credits(table: pa.Table) -> pa.Table:
+def _by_part(member: np.ndarray, credit: np.ndarray, parts: int) -> pa.Table:
+    """Members and credits packed by a part of the members' range, one row each."""
+    part = (member.view(np.uint64) % np.uint64(parts)).astype(np.int32)
+    order = np.argsort(part, kind="stable")
+    part, member, credit = part[order], member[order], credit[order]
+    cuts = np.flatnonzero(np.diff(part)) + 1
+    groups = [(int(p[0]), m.tobytes(), c.tobytes()) for p, m, c in zip(*(np.split(x, cuts) for x in (part, member, credit))) if len(p)]
+    kinds = (pa.int32(), pa.binary(), pa.binary())
+    return pa.table([pa.array([g[i] for g in groups], k) for i, k in enumerate(kinds)], names=["part", "members", "credits"])
+
+
+def _summed(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    member = np.concatenate([np.frombuffer(b, dtype=np.int64) for b in table.column("members").to_pylist()])
+    credit = np.concatenate([np.frombuffer(b, dtype=np.int64) for b in table.column("credits").to_pylist()])
+    distinct, place = np.unique(member, return_inverse=True)
+    return distinct, np.bincount(place, weights=credit, minlength=len(distinct)).astype(np.int64)
+
+
+def _total(table: pa.Table) -> pa.Table:
+    return pa.table(list(_summed(table)), names=["member", "credit"])
+
+
+def _credits(table: pa.Table, parts: int) -> pa.Table:
     """For each member the tokens in this bucket that another owner has as well."""
     if table.column("bucket")[0].as_py() < 0:
-        member = np.concatenate([np.frombuffer(b, dtype=np.int64) for b in table.column("members").to_pylist()])
-        credit = np.concatenate([np.frombuffer(b, dtype=np.int64) for b in table.column("credits").to_pylist()])
-        distinct, place = np.unique(member, return_inverse=True)
-        return pa.table({"member": distinct, "credit": np.bincount(place, weights=credit).astype(np.int64)})
+        return _by_part(*_summed(table), parts)
     owners = [_unlisted(b) for b in table.column("owners").to_pylist()]
     members = [_unlisted(b) if b else o for b, o in zip(table.column("members").to_pylist(), owners)]
     token = np.concatenate([np.frombuffer(b, dtype=np.uint32) for b in table.column("tokens").to_pylist()])
@@ -192,22 +211,23 @@ def _credits(table: pa.Table) -> pa.Table:
     none = np.logical_or.reduceat(owner == 0, start)
     shared = ((low != high) | none)[np.cumsum(new) - 1] & (member != 0)
     distinct, count = np.unique(member[shared], return_counts=True)
-    return pa.table({"member": distinct, "credit": count.astype(np.int64)})
+    return _by_part(distinct, count.astype(np.int64), parts)
 
 
 def _buckets(df: DataFrame) -> int:
-    return 2 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
 def _shared_credits(packed: DataFrame) -> DataFrame:
-    """`(member, credit)` from packed rows; rows of credits given in the tasks are spread over many groups."""
-    spread = F.when(F.col("bucket") < 0, F.pmod(F.xxhash64("members"), F.lit(1 << 20))).otherwise(F.lit(0))
+    """`(member, credit)` from packed rows; credits given in the tasks are spread over the groups' tasks."""
+    parts = _buckets(packed)
+    spread = F.when(F.col("bucket") < 0, F.pmod(F.xxhash64("members"), F.lit(parts))).otherwise(F.lit(0))
     return (
         packed.withColumn("spread", spread)
         .groupBy("bucket", "spread")
-        .applyInArrow(_credits, "member bigint, credit bigint")
-        .groupBy("member")
-        .agg(F.sum("credit").alias("credit"))
+        .applyInArrow(lambda table: _credits(table, parts), "part int, members binary, credits binary")
+        .groupBy("part")
+        .applyInArrow(_total, "member bigint, credit bigint")
     )
 
 
@@ -311,10 +331,19 @@ def _pivot_pairs(sets: DataFrame) -> DataFrame:
 
 
 def _homes(pairs: DataFrame) -> DataFrame:
-    """`(set_id, home)`: the pivot each member is most like; pivots are at home with themselves."""
-    best = pairs.groupBy(F.col("a").alias("set_id")).agg(F.max_by("b", F.struct("agreeing", "b")).alias("home"))
-    pivots = pairs.select(F.col("b").alias("set_id")).distinct()
-    return best.join(pivots, "set_id", "left_anti").unionByName(pivots.withColumn("home", F.col("set_id")))
+    """`(set_id, home)`: what members that meet often have in common.
+
+    That is their component while it has few members; in a larger one it is the
+    pivot that a member is most like, pivots being at home with themselves.
+    """
+    near = pairs.where(F.col("agreeing") >= _AGREE - 1)
+    whole = connected_components(near.select("a", "b")).withColumnRenamed("node", "set_id")
+    few = whole.groupBy("root").count().where(F.col("count") <= _GROUP).select("root", F.lit(True).alias("few"))
+    best = near.groupBy(F.col("a").alias("set_id")).agg(F.max_by("b", F.struct("agreeing", "b")).alias("best"))
+    pivots = near.select(F.col("b").alias("set_id")).distinct().withColumn("pivot", F.lit(True))
+    own = F.when(F.col("few"), F.col("root")).when(F.col("pivot"), F.col("set_id")).otherwise(F.coalesce("best", "set_id"))
+    joined = whole.join(few, "root", "left").join(best, "set_id", "left").join(pivots, "set_id", "left")
+    return joined.select("set_id", own.alias("home"))
 
 
 def _block_links(percent: int):

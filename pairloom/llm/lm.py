@@ -7,7 +7,7 @@ its share among all words if it is one of the up to 65,536 most frequent, plus
 the share of all other words times the chance of its letters under a
 letter-trigram model. So every word has a probability. A text's score is the sum
 of log10 p. For the table of frequent words a task counts the words that a slice
-of its texts (8 MB) has at least four times; all other counts are exact.
+of its texts (8 MB, or one text) has at least four times; all other counts are exact.
 
 The trie is split by context, so each shard holds whole contexts: a first level
 of context ids, exact context counts as a cumulative sequence, pointers into the
@@ -54,6 +54,7 @@ _START_ID, _END_ID = np.uint64(1), np.uint64(2)
 #: Symbols of the letter model: byte classes, the mark before a word, the mark after it.
 _SYMBOLS, _BEFORE, _AFTER = 64, 62, 63
 _DOCS = 30_000
+_SLICE = 8 << 20
 _CLASS = np.array([b - 97 if 97 <= b <= 122 else 26 + b % 36 for b in range(256)], dtype=np.int64)
 
 
@@ -125,7 +126,7 @@ def _learn_words(train: DataFrame) -> tuple[Speller, np.ndarray]:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         letters = np.zeros(size + 258, dtype=np.int64)
-        for piece in slices(batches):
+        for piece in slices(batches, limit=_SLICE):
             letters[-1] += piece.num_rows
             words = split_words(texts(piece), lower=True)
             if not len(words.codes):
@@ -293,7 +294,7 @@ def score_texts(docs: DataFrame, train: Column, shards: int | None = None) -> Da
     def ship(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         speller, heavy = shared.value
         number = TaskContext.get().partitionId() << 32
-        few = (b.slice(i, _DOCS) for b in slices(batches) for i in range(0, b.num_rows, _DOCS))
+        few = (b.slice(i, _DOCS) for b in slices(batches, limit=_SLICE) for i in range(0, b.num_rows, _DOCS))
         for piece in few:
             number += 1
             hashed, which, spelt, context, following, doc = _pairs(piece, speller, heavy)

@@ -13,7 +13,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 #: Bytes of text that a task works on at a time; a longer text is a slice of its own.
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 4 << 20
 
 _PRIME_A, _PRIME_B = np.uint64(0xD6E8FEB86659FD93), np.uint64(0xA0761D6478BD642F)
 
@@ -38,6 +38,7 @@ def slices(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int =
             end = max(at + 1, int(np.searchsorted(sizes, before + limit, side="right")))
             yield batch.slice(at, end - at)
             at = end
+    pa.default_memory_pool().release_unused()
 
 
 @dataclass
