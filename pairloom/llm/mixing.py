@@ -62,15 +62,16 @@ def mix_sources(
     seed: int = 42,
     keep: tuple[str, ...] = ("doc_id",),
     draws: int = 32,
+    columns: tuple[str, str, str] = ("doc_id", "text", "source"),
 ) -> DataFrame:
     """`keep` of every row with `__size, __source_size, __target, __copies`."""
     carried = tuple(f"__keep_{i}" for i in range(len(keep)))
-    text = F.col("text").cast("string")
+    key, text, source = F.col(columns[0]), F.col(columns[1]).cast("string"), F.col(columns[2]).cast("string")
     sized = docs.select(
         *(F.col(c).alias(k) for c, k in zip(keep, carried)),
-        F.col("source").cast("string").alias("source"),
+        source.alias("source"),
         F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
-        F.xxhash64(F.lit(seed), "doc_id", text).alias("tie"),
+        F.xxhash64(F.lit(seed), key, text).alias("tie"),
     )
     targets = checkpointed(source_targets(sized.select("source", "size"), weights, max_repeats))
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
@@ -108,5 +109,10 @@ def mix_sources(
 
 def emit_mix(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), max_repeats: int = 3, seed: int = 42) -> DataFrame:
     """The documents of the mix, each as often as it is taken, with the columns of `docs`."""
-    mixed = mix_sources(docs, weights, max_repeats, seed, keep=tuple(docs.columns))
-    return mixed.where("__copies > 0").withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies")))).select(*docs.columns)
+    plain = [f"c{i}" for i in range(len(docs.columns))]
+    named = dict(zip(docs.columns, plain))
+    mixed = mix_sources(
+        docs.toDF(*plain), weights, max_repeats, seed, tuple(plain), columns=(named["doc_id"], named["text"], named["source"])
+    )
+    copies = F.explode(F.sequence(F.lit(1), F.col("__copies")))
+    return mixed.where("__copies > 0").withColumn("__copy", copies).select(*plain).toDF(*docs.columns)
