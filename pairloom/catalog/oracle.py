@@ -244,9 +244,10 @@ def seconds(begin: str, end: str) -> str:
     return f"(date_diff('microsecond', {begin}, {end}) / 1000000.0::DOUBLE)"
 
 
-def _throughput(done: str) -> str:
+def _throughput(done: str, seen: str = "true") -> str:
     return f"""WITH {STEPS},
-logged AS (SELECT *, lag(ts) OVER (PARTITION BY run ORDER BY step) AS prev FROM runs WHERE step % {EVERY} = 0)
+kept AS (SELECT * REPLACE (min(ts) OVER (PARTITION BY run) AS start) FROM runs WHERE {seen}),
+logged AS (SELECT *, lag(ts) OVER (PARTITION BY run ORDER BY step) AS prev FROM kept WHERE step % {EVERY} = 0)
 SELECT run, step, round({done} / nullif({seconds('start', 'ts')}, 0), 6) AS throughput,
        round({seconds('coalesce(prev, start)', 'ts')}, 6) AS elapsed_time FROM logged"""
 
@@ -313,13 +314,12 @@ tok AS (SELECT id, p, r, {words('p')} AS pt, {words('r')} AS rt FROM ev),
 c AS (SELECT id, w, sum(a) AS a, sum(b) AS b FROM (
   SELECT id, unnest(pt) AS w, 1 AS a, 0 AS b FROM tok UNION ALL SELECT id, unnest(rt), 0, 1 FROM tok) GROUP BY id, w),
 f AS (SELECT id, 2.0::DOUBLE * sum(least(a, b)) / (sum(a) + sum(b)) AS f1, {EM_SCORE} AS em,
-      coalesce(any_value(soft.precision), 0) AS sp, coalesce(any_value(soft.recall), 0) AS sr,
-      coalesce(any_value(soft.f1), 0) AS sf FROM c JOIN ev USING (id) LEFT JOIN soft USING (id) GROUP BY id, p, r)
+      any_value(soft.precision) AS sp, any_value(soft.recall) AS sr, any_value(soft.f1) AS sf FROM c JOIN ev USING (id) LEFT JOIN soft USING (id) GROUP BY id, p, r)
 SELECT 'f1_score' AS metric, 'score' AS sub_metric, round(avg(f1), 6) AS score, count(*) AS n FROM f UNION ALL
 SELECT 'exact_match', 'score', round(avg(em), 6), count(*) FROM f UNION ALL
-SELECT 'bert_score', 'precision', round(avg(sp), 6), count(*) FROM f UNION ALL
-SELECT 'bert_score', 'recall', round(avg(sr), 6), count(*) FROM f UNION ALL
-SELECT 'bert_score', 'f1', round(avg(sf), 6), count(*) FROM f""",
+SELECT 'bert_score', 'precision', round(avg(sp), 6), count(sp) FROM f UNION ALL
+SELECT 'bert_score', 'recall', round(avg(sr), 6), count(sr) FROM f UNION ALL
+SELECT 'bert_score', 'f1', round(avg(sf), 6), count(sf) FROM f""",
     "pair_by_key": """SELECT doc_id AS id, text AS prediction, CASE WHEN quality = 1 THEN 'good' ELSE 'poor' END AS reference
         FROM documents JOIN labels USING (doc_id)""",
     "unmatched": """SELECT 'prediction' AS side, count(*) AS n_unmatched FROM documents
@@ -360,7 +360,10 @@ SELECT 'bert_score', 'f1', round(avg(sf), 6), count(*) FROM f""",
     "mrc_prompts_flat": f"WITH {PAIRS} SELECT {mrc('inputs', 'targets')} AS inputs, id::VARCHAR AS targets FROM pairs",
     "split_exact": f"""SELECT doc_id, CASE WHEN row_number() OVER (ORDER BY {HASH_DOC}, doc_id) <=
         ceil(0.2 * (SELECT count(*) FROM documents)) THEN 'test' ELSE 'train' END AS split FROM documents""",
-    "split_threshold": f"""SELECT conv_id, turn, CASE WHEN md5('7:' || conv_id || ':' || turn) < {_below(0.1)}
+    "split_exact_repeats": """WITH o AS (SELECT source, row_number() OVER (ORDER BY md5('7:' || source), source) AS k,
+          count(*) OVER () AS n FROM documents)
+        SELECT source, CASE WHEN k <= ceil(0.2 * n) THEN 'test' ELSE 'train' END AS split, count(*) AS n_rows FROM o GROUP BY 1, 2""",
+    "split_threshold": f"""SELECT conv_id, turn, CASE WHEN md5('7:' || length(conv_id::VARCHAR) || '=' || conv_id || ':' || length(turn::VARCHAR) || '=' || turn) < {_below(0.1)}
         THEN 'test' ELSE 'train' END AS split FROM conversations""",
     "tokenize": f"""SELECT conv_id, turn, len({words('text')}) AS n_tokens, array_to_string({words('text')}, '|') AS tokens
         FROM conversations""",
@@ -375,8 +378,10 @@ SELECT 'bert_score', 'f1', round(avg(sf), 6), count(*) FROM f""",
         SELECT id, {stripped("replace(substr(t, 1, k - 1), 'user', '')")} AS user, {stripped('substr(t, k + 9)')} AS assistant FROM h""",
     "throughput": _throughput(f"(step * {BATCH * MAX_LEN * ACCUM * WORLD})"),
     "throughput_actual": _throughput("done"),
+    "throughput_gaps": _throughput(f"(step * {BATCH * MAX_LEN * ACCUM * WORLD})", "event_type <> 'error'"),
     "epoch_throughput": f"""WITH {STEPS},
-        e AS (SELECT run, day(ts)::BIGINT AS epoch, min(ts) AS a, max(ts) AS b, max(step) AS step, min(start) AS start FROM runs GROUP BY 1, 2)
+        f AS (SELECT run, day(ts)::BIGINT AS epoch, max(ts) AS b, max(step) AS step, min(start) AS start FROM runs GROUP BY 1, 2),
+        e AS (SELECT *, coalesce(lag(b) OVER (PARTITION BY run ORDER BY epoch), start) AS a FROM f)
         SELECT run, epoch, step,
           round((step // {EVERY}) * {EVERY * BATCH * MAX_LEN * ACCUM * WORLD} / nullif({seconds('start', 'b')}, 0), 6) AS throughput,
           round({seconds('a', 'b')}, 6) AS elapsed_time FROM e""",

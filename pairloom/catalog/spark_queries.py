@@ -215,6 +215,13 @@ def q_split_exact(spark, sf_dir):
     return train_test_split(documents, "doc_id", 0.2, seed=7, mode="exact").select("doc_id", "split")
 
 
+def q_split_exact_repeats(spark, sf_dir):
+    """Rows that share a key are cut where the wanted number is reached."""
+    documents = src.table(spark, sf_dir, "documents").select("doc_id", "source")
+    cut = train_test_split(documents, "source", 0.2, seed=7, mode="exact")
+    return cut.groupBy("source", "split").agg(F.count("*").alias("n_rows"))
+
+
 def q_split_threshold(spark, sf_dir):
     turns = src.table(spark, sf_dir, "conversations")
     return train_test_split(turns, ["conv_id", "turn"], 0.1, seed=7).select("conv_id", "turn", "split")
@@ -277,6 +284,13 @@ def q_throughput(spark, sf_dir):
     return series.select("run", "step", *[r6(F.col(c)).alias(c) for c in ("throughput", "elapsed_time")])
 
 
+def q_throughput_gaps(spark, sf_dir):
+    """Runs whose failed steps were never logged."""
+    steps = src.step_events(spark, sf_dir).where(F.col("event_type") != "error")
+    series = telemetry.throughput(steps, EVERY, BATCH, MAX_LEN, ACCUM, WORLD)
+    return series.select("run", "step", *[r6(F.col(c)).alias(c) for c in ("throughput", "elapsed_time")])
+
+
 def q_throughput_actual(spark, sf_dir):
     """Tokens from a column instead of the nominal count."""
     steps = src.step_events(spark, sf_dir).withColumn("tokens", F.floor(F.col("value") * 100).cast("long"))

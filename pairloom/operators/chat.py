@@ -150,7 +150,13 @@ def split_response(generated: str | Column, mode: str = "strict", fmt: ChatForma
 
 
 def split_responses(df: DataFrame, column: str = "generated_text", mode: str = "strict", fmt: ChatFormat = CHATML) -> DataFrame:
-    """Replace a generated text column by `user` and `assistant`; other columns are carried."""
+    """Replace a generated text column by `user` and `assistant`; other columns are carried.
+
+    A frame that has one of the two columns already is refused.
+    """
+    taken = {"user", "assistant"} & (set(df.columns) - {column})
+    if taken:
+        raise ValueError(f"the frame has a column {sorted(taken)} already: rename it first")
     return (
         df.withColumn("__split", split_response(column, mode, fmt))
         .select("*", "__split.user", "__split.assistant")

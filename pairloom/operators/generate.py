@@ -25,6 +25,8 @@ def batch_generate(
     `make_predictor` runs once per task, on the executor, so a model is loaded
     there and reused for all its batches. Only the prompt column crosses to
     Python. `partitions` spreads rows evenly when the input has few partitions.
+    Sampling doesn't repeat itself, so the column is declared non-deterministic:
+    filters stay above it. Write the result before using it twice.
     """
 
     @F.pandas_udf("string")
@@ -41,4 +43,4 @@ def batch_generate(
             yield pd.Series(texts, dtype=object)
 
     spread = df.repartition(partitions) if partitions else df
-    return spread.withColumn(out, generate(F.col(prompt)))
+    return spread.withColumn(out, generate.asNondeterministic()(F.col(prompt)))

@@ -12,7 +12,6 @@ from pairloom.constants import TASK_METRICS
 from pairloom.functions.pair_stats import FIELDS, OVERLAPS, pair_stats
 from pairloom.functions.text import is_blank, strip
 from pairloom.functions.tokens import Tokenizer, whitespace_tokens
-from pairloom.operators.lookup import lookup_join
 
 def _zero() -> Column:
     return F.lit(0.0)
@@ -83,10 +82,6 @@ def _rouge() -> dict[str, Column]:
     }
 
 
-def _vector_score(name: str) -> Column:
-    return F.coalesce(F.col(name), _zero())
-
-
 _REGISTRY: dict[str, Metric] = {
     m.name: m
     for m in (
@@ -111,15 +106,23 @@ _REGISTRY: dict[str, Metric] = {
         ),
         Metric(
             "bert_score",
-            lambda: {part: _vector_score(part) for part in ("precision", "recall", "f1")},
+            lambda: {part: F.col(part) for part in ("precision", "recall", "f1")},
             frozenset({"vectors"}),
         ),
     )
 }
 
 
+BUILT_IN = frozenset(_REGISTRY)
+
+
 def register_metric(name: str, fn: Callable[[Column, Column], Column | dict[str, Column]]) -> None:
-    """Add a metric: a function of the normalised texts to one column, or to named sub-scores."""
+    """Add a metric: a function of the normalised texts to one column, or to named sub-scores.
+
+    The built-in names are taken; a name of one's own may be registered anew.
+    """
+    if name in BUILT_IN:
+        raise ValueError(f"{name!r} is a built-in metric")
 
     def scores() -> dict[str, Column]:
         made = fn(F.col("prediction"), F.col("reference"))
@@ -153,7 +156,7 @@ def with_synonyms(pairs: DataFrame, synonyms: DataFrame) -> DataFrame:
     """Add `p_synonyms`, one list per prediction token, from a `(word, syn)` table. Needs a unique `id`."""
     thesaurus = synonyms.groupBy("word").agg(F.collect_set("syn").alias("syns"))
     words = pairs.select("id", F.explode(F.array_distinct(F.transform("p_tokens", F.lower))).alias("word"))
-    known = lookup_join(words, thesaurus, "word", "inner")
+    known = words.join(thesaurus, "word")
     per_pair = known.groupBy("id").agg(F.map_from_entries(F.collect_list(F.struct("word", "syns"))).alias("__known"))
     nothing = F.array().cast("array<string>")
     return (

@@ -16,21 +16,35 @@ def pair(
     on: str = "id",
     prediction: str = "prediction",
     reference: str = "reference",
+    allow_repeats: bool = False,
 ) -> DataFrame:
-    """`(id, prediction, reference)` for the keys both sides have."""
-    p = predictions.select(F.col(on).alias("id"), F.col(prediction).alias("prediction"))
-    r = references.select(F.col(on).alias("id"), F.col(reference).alias("reference"))
-    return p.join(r, "id", "inner")
+    """`(id, prediction, reference)` for the keys both sides have; null keys have no partner.
+
+    A key that repeats on a side is an error, found while the sides are grouped by
+    the key that they are joined on; `allow_repeats` pairs every such row with every other.
+    """
+
+    def side(df: DataFrame, column: str, name: str) -> DataFrame:
+        named = df.select(F.col(on).alias("id"), F.col(column).alias(name)).where(F.col("id").isNotNull())
+        if allow_repeats:
+            return named
+        repeated = F.raise_error(F.concat(F.lit("repeated key "), F.first("id").cast("string")))
+        held = F.when(F.count("*") > 1, repeated).otherwise(F.first(F.struct(name)))
+        return named.groupBy("id").agg(held.alias("held")).select("id", f"held.{name}")
+
+    return side(predictions, prediction, "prediction").join(side(references, reference, "reference"), "id", "inner")
 
 
 def unmatched(predictions: DataFrame, references: DataFrame, on: str = "id") -> DataFrame:
     """Rows of each side without a partner: `(side, n_unmatched)`, one row per side.
 
     Both sides are counted by key in one aggregation, combined before the shuffle.
+    Rows with a null key have no partner.
     """
     rows = lambda df, p, r: df.select(F.col(on).alias("id"), F.lit(p).alias("p"), F.lit(r).alias("r"))
     by_key = rows(predictions, 1, 0).unionByName(rows(references, 0, 1)).groupBy("id").agg(F.sum("p").alias("p"), F.sum("r").alias("r"))
-    lone = lambda n, other: F.coalesce(F.sum(F.when(F.col(other) == 0, F.col(n))), F.lit(0)).cast("long")
+    alone = lambda other: (F.col(other) == 0) | F.col("id").isNull()
+    lone = lambda n, other: F.coalesce(F.sum(F.when(alone(other), F.col(n))), F.lit(0)).cast("long")
     return by_key.agg(lone("p", "r").alias("prediction"), lone("r", "p").alias("reference")).unpivot(
         [], ["prediction", "reference"], "side", "n_unmatched"
     )
@@ -45,10 +59,15 @@ def pair_by_position(
 ) -> DataFrame:
     """The n-th prediction with the n-th reference, `id` being n from 0; stops at the shorter side.
 
-    `order_by` names the columns both frames are ordered by; without it rows
-    count in the order of their input file.
+    `order_by` names the columns both frames are ordered by; a null in them is an
+    error. Without it rows count in the order of their input file, and a side that
+    was read from several files is an error: Spark doesn't read files in order.
     """
     order = [order_by] if isinstance(order_by, str) else list(order_by or [])
+    if not order:
+        for side, df in (("predictions", predictions), ("references", references)):
+            if df.select(F.input_file_name().alias("file")).distinct().limit(2).count() > 1:
+                raise ValueError(f"{side} come from several files: pairing them by position needs order_by")
 
     def placed(df: DataFrame, column: str, name: str) -> DataFrame:
         if not order:

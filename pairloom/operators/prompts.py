@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from pairloom.constants import CHOICE_INTRO, MRC_INTRO, SUMMARY_TEMPLATES
 from pairloom.functions.text import strip
-from pairloom.operators.lookup import lookup_join
 from pairloom.schemas import TEMPLATE
 
 CHOICES = 5
@@ -19,7 +18,7 @@ def default_templates(spark: SparkSession) -> DataFrame:
 
 def render_templates(
     df: DataFrame,
-    templates: DataFrame,
+    templates: DataFrame | dict[str, str],
     key: str = "type",
     slot: str = "context",
     out: str = "prompt",
@@ -27,9 +26,14 @@ def render_templates(
     """Fill `{slot}` of the template chosen by `key`; an unknown key is an error.
 
     The filled-in text is not scanned again, so braces in it are safe. A null
-    slot value gives a null prompt.
+    slot value gives a null prompt. A dictionary is looked up in place; a table is
+    joined, broadcast or not as its size has it.
     """
-    chosen = lookup_join(df, templates.select(key, F.col("template").alias("__template")), key)
+    if isinstance(templates, dict):
+        held = F.create_map(*(F.lit(x) for line in templates.items() for x in line))
+        chosen = df.withColumn("__template", F.try_element_at(held, F.col(key)))
+    else:
+        chosen = df.join(templates.select(key, F.col("template").alias("__template")), key, "left")
     unknown = F.raise_error(F.concat(F.lit("no template for "), F.coalesce(F.col(key), F.lit("null"))))
     template = F.when(F.col("__template").isNull(), unknown.cast("string")).otherwise(F.col("__template"))
     return chosen.withColumn(out, F.replace(template, F.lit("{" + slot + "}"), F.col(slot))).drop("__template")

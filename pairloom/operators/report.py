@@ -44,12 +44,17 @@ def _scored(
     return wide, layout
 
 
-def _lines(layout: list[tuple[str, str, str]], extra: Sequence[Column] = ()) -> Column:
+def _lines(
+    layout: list[tuple[str, str, str]],
+    extra: Sequence[Column] = (),
+    counted: Callable[[str], Column] | None = None,
+) -> Column:
+    own = lambda c: [counted(c).alias("n")] if counted else list(extra)
     return F.explode(
         F.array(
             *[
                 F.struct(
-                    F.lit(name).alias("metric"), F.lit(part).alias("sub_metric"), F.col(c).alias("score"), *extra
+                    F.lit(name).alias("metric"), F.lit(part).alias("sub_metric"), F.col(c).alias("score"), *own(c)
                 )
                 for name, part, c in layout
             ]
@@ -85,21 +90,24 @@ def evaluate(
 
     Averages are taken over the wide frame, so only one partial row per task is
     shuffled. `n_predictions` divides by the number of predictions instead of
-    pairs, as a positional pairing of unequal sides does.
+    pairs, as a positional pairing of unequal sides does. Otherwise `n` counts the
+    pairs that have the score: a pair without vectors has no soft-alignment score.
     """
     wide, layout = _scored(pairs, metrics, vectors, tokenizer, stem, synonyms, on_null)
     n = F.lit(n_predictions).cast("long") if n_predictions is not None else F.col("n")
-    sums = wide.agg(F.count("*").alias("n"), *[F.sum(c).alias(c) for _, _, c in layout]).where(F.col("n") > 0)
-    return sums.select(_lines(layout, [n.alias("n")]).alias("line")).select(
-        "line.metric", "line.sub_metric", (F.col("line.score") / F.col("line.n")).alias("score"), "line.n"
+    counts = [F.count(c).alias(f"n_{c}") for _, _, c in layout]
+    sums = wide.agg(F.count("*").alias("n"), *[F.sum(c).alias(c) for _, _, c in layout], *counts).where(F.col("n") > 0)
+    per_score = None if n_predictions is not None else lambda c: F.col(f"n_{c}")
+    return sums.select(_lines(layout, [n.alias("n")], per_score).alias("line")).select(
+        "line.metric", "line.sub_metric", F.try_divide("line.score", "line.n").alias("score"), "line.n"
     )
 
 
 def average(scores: DataFrame, n_predictions: int | None = None) -> DataFrame:
     """The same report from a table of per-example scores."""
-    sums = scores.groupBy("metric", "sub_metric").agg(F.sum("score").alias("total"), F.count("*").alias("rows"))
+    sums = scores.groupBy("metric", "sub_metric").agg(F.sum("score").alias("total"), F.count("score").alias("rows"))
     n = F.lit(n_predictions).cast("long") if n_predictions is not None else F.col("rows")
-    return sums.select("metric", "sub_metric", (F.col("total") / n).alias("score"), n.alias("n"))
+    return sums.select("metric", "sub_metric", F.try_divide(F.col("total"), n).alias("score"), n.alias("n"))
 
 
 def format_report(report: DataFrame) -> DataFrame:

@@ -10,7 +10,6 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pairloom.operators.lookup import lookup_join
 from pairloom.operators.pairing import normalize_pairs
 from pairloom.session import checkpointed
 
@@ -60,7 +59,7 @@ def soft_alignment(vectors: DataFrame, block: int = BLOCK) -> DataFrame:
     own = F.floor(F.col("pos") / block).cast("int")
     other_last = F.when(F.col("side") == "prediction", F.col("__r_last")).otherwise(F.col("__p_last"))
     placed = (
-        lookup_join(vectors.select("id", "side", "pos", "vec"), long_ids, "id")
+        vectors.select("id", "side", "pos", "vec").join(long_ids, "id", "left")
         .withColumn("__other", F.explode(F.sequence(F.lit(0), F.coalesce(other_last, F.lit(0)))))
         .select(
             "id",

@@ -7,36 +7,41 @@ from math import ceil
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from pairloom.operators.ordered import file_positions
+from pairloom.session import checkpointed
+
 HASH_DIGITS = 32
 RADIX_DIGITS = 4
-SMALL_BUCKET = 10_000
 
 
 def split_hash(key: str | list[str], seed: int) -> Column:
-    keys = [key] if isinstance(key, str) else list(key)
-    return F.md5(F.concat_ws(":", F.lit(str(seed)), *[F.col(k).cast("string") for k in keys]))
+    """md5 of seed and key. Several columns are told apart by their lengths, and null from any text."""
+    keys = [F.col(k).cast("string") for k in ([key] if isinstance(key, str) else key)]
+    if len(keys) == 1:
+        return F.md5(F.concat(F.lit(str(seed)), F.coalesce(F.concat(F.lit(":"), keys[0]), F.lit(""))))
+    parts = [F.coalesce(F.concat(F.length(k).cast("string"), F.lit("="), k), F.lit("null")) for k in keys]
+    return F.md5(F.concat_ws(":", F.lit(str(seed)), *parts))
 
 
-def _cutoff_hash(hashes: DataFrame, wanted: int) -> str:
-    """The `wanted`-th smallest hash, by counting prefixes instead of sorting.
+def _cutoff_hash(hashes: DataFrame, wanted: int) -> tuple[str, int, int]:
+    """The `wanted`-th smallest hash, how many rows with it are wanted, and how many there are.
 
-    Each pass counts at most 16**4 prefixes inside the bucket that holds the
-    answer; rows are only ordered once that bucket is small.
+    Counts prefixes instead of sorting: each pass counts at most 16**4 of them,
+    inside the bucket that holds the answer.
     """
     prefix = ""
     while True:
         inside = hashes.where(F.col("h").startswith(prefix)) if prefix else hashes
         digits = len(prefix) + RADIX_DIGITS
-        counts = inside.groupBy(F.substring("h", 1, digits).alias("p")).agg(F.count("*").alias("n"))
+        counts = inside.groupBy(F.substring("h", 1, digits).alias("p")).agg(
+            F.count("*").alias("n"), F.min("h").alias("least"), F.max("h").alias("most")
+        )
         seen = F.sum("n").over(Window.partitionBy(F.lit(0)).orderBy("p"))
         bucket = counts.withColumn("seen", seen).where(F.col("seen") >= wanted).orderBy("p").head()
         wanted -= bucket["seen"] - bucket["n"]
         prefix = bucket["p"]
-        if digits >= HASH_DIGITS:
-            return prefix
-        if bucket["n"] <= SMALL_BUCKET:
-            first = hashes.where(F.col("h").startswith(prefix)).orderBy("h").limit(wanted)
-            return first.agg(F.max("h")).head()[0]
+        if digits >= HASH_DIGITS or bucket["least"] == bucket["most"]:
+            return bucket["least"], wanted, bucket["n"]
 
 
 def train_test_split(
@@ -49,9 +54,11 @@ def train_test_split(
     """Add a `split` column, `train` or `test`, that depends only on `key` and `seed`.
 
     `threshold` compares the key's hash with `test_size`: one pass, size
-    approximate. `exact` puts the `ceil(n * test_size)` smallest hashes in test;
-    rows that share a key stay together, so keys should be unique. An integer
-    `test_size` is a row count and needs `exact`.
+    approximate, and rows that share a key stay together. `exact` puts the
+    `ceil(n * test_size)` smallest hashes in test. Of the rows that share the last
+    key to go in, as many as are wanted go, in the order of the frame's partitions.
+    An integer `test_size` is a row count and needs `exact`. A share or count that
+    leaves no row for training is an error.
     """
     if mode not in ("threshold", "exact"):
         raise ValueError(f"mode must be 'threshold' or 'exact', not {mode!r}")
@@ -66,12 +73,19 @@ def train_test_split(
             raise ValueError("a row count needs mode='exact'")
         is_test = hashed < F.lit(f"{int(test_size * 16**13):013x}")
     else:
-        hashes = df.select(hashed.alias("h"))
+        # 16 bytes a row, written once for all passes.
+        hashes = checkpointed(df.select(hashed.alias("h")))
         total = hashes.count()
-        wanted = test_size if is_count else ceil(total * test_size)
-        if is_count and not 0 < wanted < total:
-            raise ValueError(f"test_size {wanted} does not fit {total} rows")
         if total == 0:
             return df.withColumn("split", F.lit("train"))
-        is_test = hashed <= F.lit(_cutoff_hash(hashes, wanted))
+        wanted = test_size if is_count else ceil(total * test_size)
+        if not 0 < wanted < total:
+            raise ValueError(f"test_size {test_size} leaves no row of {total} on one side")
+        cutoff, left, ties = _cutoff_hash(hashes, wanted)
+        if left < ties:
+            label = lambda test: F.when(test, "test").otherwise("train")
+            last = file_positions(df.where(hashed == F.lit(cutoff)))
+            others = df.where(hashed != F.lit(cutoff)).withColumn("split", label(hashed < F.lit(cutoff)))
+            return others.unionByName(last.withColumn("split", label(F.col("pos") < left)).drop("pos"))
+        is_test = hashed <= F.lit(cutoff)
     return df.withColumn("split", F.when(is_test, "test").otherwise("train"))

@@ -2,12 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pairloom.operators.lookup import lookup_join
-from pairloom.operators.ordered import running_total
-from pairloom.session import checkpointed
+from pairloom.operators.ordered import ordered_positions, running_total
 
 GIB = 1024**3
 
@@ -34,22 +32,27 @@ def throughput(
     """`(run, step, throughput, elapsed_time)` at every N-th step of `(run, step, ts)`, steps from 1.
 
     Throughput is cumulative since the run's first event, from the nominal token
-    count, or from the `tokens` column. Elapsed time covers the last N steps. Each
-    logged step is one window's end and the next one's begin, so one aggregation
-    by (run, step) finds both: no self-join, and a run of any length spreads over tasks.
+    count, or from the `tokens` column. Elapsed time goes back to the run's logged
+    step before, whether or not it is N steps earlier, and from the first one to
+    the run's start. Logged steps are numbered, and each is one window's end and
+    the next one's begin, so one aggregation by (run, number) finds both: no
+    self-join, and a run of any length spreads over tasks.
     """
-    logged = steps.where(F.col("step") % every == 0)
-    ends = F.struct(F.col("step").alias("step"), F.col("ts").alias("end"), F.lit(None).cast("timestamp").alias("begin"))
+    logged = ordered_positions(steps.where(F.col("step") % every == 0), ["step"], [run], keep=("ts",))
+    no_time = F.lit(None).cast("timestamp")
+    ends = F.struct(F.col("pos").alias("pos"), F.col("step").alias("step"), F.col("ts").alias("end"), no_time.alias("begin"))
     begins = F.struct(
-        (F.col("step") + every).alias("step"), F.lit(None).cast("timestamp").alias("end"), F.col("ts").alias("begin")
+        (F.col("pos") + 1).alias("pos"), F.lit(None).cast("long").alias("step"), no_time.alias("end"), F.col("ts").alias("begin")
     )
     windows = (
-        logged.select(run, F.explode(F.array(ends, begins)).alias("w"))
-        .groupBy(run, F.col("w.step").alias("step"))
-        .agg(F.max("w.end").alias("__end"), F.max("w.begin").alias("__begin"))
+        logged.withColumn("step", F.col("step").cast("long"))
+        .select(run, F.explode(F.array(ends, begins)).alias("w"))
+        .groupBy(run, F.col("w.pos").alias("pos"))
+        .agg(F.max("w.step").alias("step"), F.max("w.end").alias("__end"), F.max("w.begin").alias("__begin"))
         .where(F.col("__end").isNotNull())
+        .drop("pos")
     )
-    joined = lookup_join(windows, run_starts(steps, run), run, "inner")
+    joined = windows.join(run_starts(steps, run), run)
     if tokens is None:
         done = F.col("step") * F.lit(batch * max_len * accum * world)
     else:
@@ -65,8 +68,8 @@ def throughput(
 
 
 def run_starts(steps: DataFrame, run: str = "run") -> DataFrame:
-    """First timestamp of each run, kept, as it is both measured and joined."""
-    return checkpointed(steps.groupBy(run).agg(F.min("ts").alias("__start")))
+    """First timestamp of each run; adaptive execution chooses how it is joined."""
+    return steps.groupBy(run).agg(F.min("ts").alias("__start"))
 
 
 def epoch_throughput(
@@ -82,17 +85,22 @@ def epoch_throughput(
     """One row per epoch end: `(run, epoch, step, throughput, elapsed_time)`.
 
     The token count is the cumulative one of the N-step windows finished by then.
+    An epoch lasts from the end of the one before, the first from the run's start.
     """
-    ends = steps.groupBy(run, epoch).agg(
-        F.min("ts").alias("__begin"), F.max("ts").alias("__end"), F.max("step").alias("step")
+    # One row per epoch; a run has few.
+    before = Window.partitionBy(run).orderBy(epoch)
+    ends = (
+        steps.groupBy(run, epoch)
+        .agg(F.max("ts").alias("__end"), F.max("step").alias("step"))
+        .withColumn("__begin", F.lag("__end").over(before))
     )
     done = F.floor(F.col("step") / every) * F.lit(every * batch * max_len * accum * world)
-    return lookup_join(ends, run_starts(steps, run), run, "inner").select(
+    return ends.join(run_starts(steps, run), run).select(
         run,
         epoch,
         "step",
         _rate(done, seconds_between(F.col("__start"), F.col("__end"))).alias("throughput"),
-        seconds_between(F.col("__begin"), F.col("__end")).alias("elapsed_time"),
+        seconds_between(F.coalesce("__begin", "__start"), F.col("__end")).alias("elapsed_time"),
     )
 
 

@@ -5,15 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pairloom.constants import NESTED_MRC_COLUMNS, PAGE_MARKERS, SUMMARY_TYPES, WIDE_SUMMARY_COLUMNS
+from pairloom.constants import NESTED_MRC_COLUMNS, PAGE_MARKERS, SUMMARY_TEMPLATES, SUMMARY_TYPES, WIDE_SUMMARY_COLUMNS
 from pairloom.operators.filters import drop_incomplete, drop_marked, to_pairs
-from pairloom.operators.prompts import choice_prompt, default_templates, mrc_prompt, render_templates
+from pairloom.operators.prompts import choice_prompt, mrc_prompt, render_templates
 from pairloom.operators.reshape import flatten_qa, is_unflattened, unpivot_targets
 
 
 def summary_pairs(
     df: DataFrame,
-    templates: DataFrame | None = None,
+    templates: DataFrame | dict[str, str] = SUMMARY_TEMPLATES,
     layout: str = "auto",
     markers=PAGE_MARKERS,
     drop_nulls: bool = False,
@@ -24,7 +24,6 @@ def summary_pairs(
         df = unpivot_targets(drop_marked(df, "context", markers), [*keep, "context"], SUMMARY_TYPES)
     if drop_nulls:
         df = drop_incomplete(df, ["context", "summary"])
-    templates = default_templates(df.sparkSession) if templates is None else templates
     return to_pairs(render_templates(df, templates), "prompt", "summary", keep)
 
 

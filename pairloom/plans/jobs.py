@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from pairloom.constants import SYSTEM_MESSAGE
 from pairloom.functions.tokens import Tokenizer, whitespace_tokens
@@ -14,7 +15,6 @@ from pairloom.operators.pairing import pair, pair_by_position, unmatched
 from pairloom.operators.report import average, evaluate, score_examples
 from pairloom.operators.split import train_test_split
 from pairloom.operators.tokens import pack_sequences
-from pairloom.schemas import PROMPT_PAIR
 from pairloom.session import checkpointed
 from pairloom.sources.tables import (
     load_splits,
@@ -37,9 +37,16 @@ def preprocess(
     key: str | list[str] = ("inputs", "targets"),
     seed: int = 42,
     mode: str = "threshold",
+    id_column: str = "id",
 ) -> None:
-    """CSV pairs to rendered chats, as train and test JSON Lines."""
-    chats = render_chat(read_pairs_csv(spark, input_path), fmt, system)
+    """CSV pairs to rendered chats, as train and test JSON Lines.
+
+    Rows keep their `id_column`, a whole number, or are numbered as they are read,
+    so that packing has an order.
+    """
+    pairs = read_pairs_csv(spark, input_path)
+    numbered = F.col(id_column).cast("long") if id_column in pairs.columns else F.monotonically_increasing_id()
+    chats = render_chat(pairs.withColumn(id_column, numbered), fmt, system)
     keys = [key] if isinstance(key, str) else list(key)
     write_splits_jsonl(train_test_split(chats, keys, test_size, seed, mode), save_path)
 
@@ -62,12 +69,19 @@ def generate_responses(
 
 
 def infer(
-    spark: SparkSession, data_path: str, output_path: str, prompt_column: str, make_predictor, **options
+    spark: SparkSession,
+    data_path: str,
+    output_path: str,
+    prompt_column: str,
+    make_predictor,
+    key: str | list[str] | None = None,
+    **options,
 ) -> None:
-    """CSV prompts to CSV responses."""
-    texts = read_pairs_csv(spark, data_path, [prompt_column])
+    """CSV prompts to CSV responses, with the `key` columns that evaluation joins or orders by."""
+    keys = [key] if isinstance(key, str) else list(key or [])
+    texts = read_pairs_csv(spark, data_path, [*keys, prompt_column])
     replies = generate_responses(texts, make_predictor, prompt_column, **options)
-    write_responses_csv(replies.select("user", "assistant"), output_path)
+    write_responses_csv(replies.select(*keys, "user", "assistant"), output_path)
 
 
 def evaluate_files(
@@ -79,23 +93,29 @@ def evaluate_files(
     metrics: Sequence[str],
     output_path: str | None = None,
     on: str | None = None,
+    order_by: str | list[str] | None = None,
     **options,
 ) -> DataFrame:
     """Two CSV files to average scores.
 
-    With `on`, rows meet by key. Without it they meet by position, and the
-    average divides by the number of predictions.
+    With `on`, rows meet by key. Without it they meet by position, in the order of
+    `order_by` (as text) or of a single file, and the average divides by the number
+    of predictions. With a key and an output path the unmatched rows are written;
+    without a path they are an error.
     """
-    keep = [on] if on else []
+    keep = [on] if on else [order_by] if isinstance(order_by, str) else list(order_by or [])
     predictions = read_pairs_csv(spark, pred_path, [*keep, predict_column])
     references = read_pairs_csv(spark, data_path, [*keep, target_column])
     if on:
         pairs = pair(predictions, references, on, predict_column, target_column)
         n_predictions = None
     else:
-        pairs = checkpointed(pair_by_position(predictions, references, predict_column, target_column))
+        pairs = checkpointed(pair_by_position(predictions, references, predict_column, target_column, order_by))
         n_predictions = predictions.count()
     if not output_path:
+        lone = {r["side"]: r["n_unmatched"] for r in unmatched(predictions, references, on).collect()} if on else {}
+        if any(lone.values()):
+            raise ValueError(f"rows without a partner: {lone}; give an output path to have them counted there")
         return evaluate(pairs, metrics, n_predictions=n_predictions, **options)
     # Scored once: the averages are taken from the written table.
     write_scores(score_examples(pairs, metrics, **options), f"{output_path}/examples")
@@ -117,8 +137,6 @@ def pack_training_blocks(
     drop_last: bool = True,
 ) -> None:
     """Train and test JSON Lines to packed token blocks."""
-    if schema is None:
-        schema = f"id long, {', '.join(f'{f.name} string' for f in PROMPT_PAIR.fields)}"
     for name, part in zip(("train", "test"), load_splits(spark, dataset_path, schema)):
         blocks = pack_sequences(part, order, max_len, drop_last, text="prompt", tokenizer=tokenizer)
         write_blocks(blocks, f"{output_path}/{name}")

@@ -66,10 +66,13 @@ def write_splits_jsonl(df: DataFrame, path: str) -> None:
 
 
 def load_splits(
-    spark: SparkSession, path: str, schema: StructType | str = PROMPT_PAIR
+    spark: SparkSession, path: str, schema: StructType | str | None = None
 ) -> tuple[DataFrame, DataFrame]:
-    """`(train, test)` as `write_splits_jsonl` laid them out; the test frame may be empty."""
-    both = spark.read.schema(schema).json(path)
+    """`(train, test)` as `write_splits_jsonl` laid them out; the test frame may be empty.
+
+    Without a schema all columns keep the types of the files, which costs one more reading.
+    """
+    both = (spark.read.schema(schema) if schema is not None else spark.read).json(path)
     if "split" not in both.columns:
         raise FileNotFoundError(f"no split=... folder in {path}")
     part = lambda name: both.where(F.col("split") == name).drop("split")
