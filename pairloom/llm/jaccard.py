@@ -410,27 +410,13 @@ def _block_links(percent: int):
 def _between_groups(reaching: DataFrame, percent: int) -> DataFrame:
     """Links between members `(set_id, root, home, tokens)` of different roots, by the token-group matrix.
 
-    Members that share a pivot make a group; a root with many members has groups
-    of its own, and groups hold about `_GROUP` members. Of each member only the
+    Members that share a pivot make a group, or else the smallest token that they
+    share with anyone; a root with many members has groups of its own, and groups
+    hold about `_GROUP` members. Of each member only the
     tokens of the first bound are looked up, the rarest of them first; groups that
     have one of them are opened, bounded once more by their whole token union, and
     compared as matrices. Only links that join different roots come out.
     """
-    many = reaching.groupBy("root").count().where(F.col("count") >= _GROUP).select("root", F.lit(True).alias("pure"))
-    pooled = reaching.join(many, "root", "left").withColumn("pool", F.when(F.col("pure"), F.col("root")).otherwise(F.col("home")))
-    sizes = pooled.groupBy("pool", "pure").agg(F.ceil(F.count("*") / _GROUP).alias("groups"))
-    grouped = checkpointed(
-        pooled.join(
-            sizes.select(F.col("pool").alias("p"), F.col("pure").alias("u"), "groups"),
-            (F.col("pool") == F.col("p")) & F.col("pure").eqNullSafe(F.col("u")),
-        ).select(
-            "set_id",
-            "root",
-            "tokens",
-            F.xxhash64("pool", F.coalesce("pure", F.lit(False)), F.pmod(F.xxhash64("set_id"), "groups")).alias("g"),
-            F.when(F.col("pure"), F.xxhash64("root")).alias("only"),
-        )
-    )
     sent_all = int(_ALL_BELOW * 100 / percent)
 
     def asks(v: np.ndarray) -> int:
@@ -448,17 +434,34 @@ def _between_groups(reaching: DataFrame, percent: int) -> DataFrame:
         )
 
     n = (F.octet_length("tokens") / 8).cast("bigint")
-    held = (
-        grouped.select("set_id", "g", F.xxhash64("root").alias("r"), n.alias("n"), listed("tokens").alias("own"))
-        .select("set_id", "g", "r", "n", "own.asks", F.explode("own.tokens").alias("token"))
+    sent = reaching.select("set_id", F.xxhash64("root").alias("r"), n.alias("n"), listed("tokens").alias("own")).select(
+        "set_id", "r", "n", "own.asks", F.explode("own.tokens").alias("token")
     )
     frequent = (
-        held.groupBy("token")
+        sent.groupBy("token")
         .agg(F.min("r").alias("low"), F.max("r").alias("high"), F.count("*").alias("holders"))
         .where("low <> high")
         .select("token", "holders")
     )
-    held = checkpointed(held.join(frequent, "token").drop("r"))
+    shared = checkpointed(sent.join(frequent, "token").drop("r"))
+    # Members without a pivot, but mostly of the same passages, meet in the smallest token they share with anyone.
+    leads = shared.groupBy("set_id").agg(F.min("token").alias("lead"))
+    many = reaching.groupBy("root").count().where(F.col("count") >= _GROUP).select("root", F.lit(True).alias("pure"))
+    pool = (
+        F.when(F.col("pure"), F.xxhash64("root", F.lit(1)))
+        .when(F.col("home") != F.col("set_id"), F.xxhash64("home", F.lit(2)))
+        .otherwise(F.col("lead"))
+    )
+    pooled = reaching.join(leads, "set_id").join(many, "root", "left").select("set_id", "root", "pure", pool.alias("pool"))
+    sizes = pooled.groupBy("pool").agg(F.ceil(F.count("*") / _GROUP).alias("groups"))
+    grouped = checkpointed(
+        pooled.join(sizes, "pool").select(
+            "set_id",
+            F.xxhash64("pool", F.pmod(F.xxhash64("set_id"), "groups")).alias("g"),
+            F.when(F.col("pure"), F.xxhash64("root")).alias("only"),
+        )
+    )
+    held = shared.join(grouped.select("set_id", "g"), "set_id")
     asked = (F.col("asks") == F.col("n")) | (F.col("token") >= 0)
     need = F.col("asks") - F.col("n") + _least_overlap(F.col("n"), percent)
     rare = (
@@ -486,7 +489,7 @@ def _between_groups(reaching: DataFrame, percent: int) -> DataFrame:
         .where(~F.coalesce(F.col("only") == F.col("only2"), F.lit(False)))
         .select("g", "g2")
     )
-    members = grouped.join(able.select("set_id"), "set_id", "left_semi").select("set_id", "root", "tokens", "g")
+    members = checkpointed(reaching.join(able.select("set_id", "g"), "set_id").select("set_id", "root", "tokens", "g"))
     first = opened.join(members, "g").withColumn("side", F.lit(0))
     second = opened.where("g < g2").join(members.withColumnRenamed("g", "g2"), "g2").withColumn("side", F.lit(1))
     return first.unionByName(second).groupBy("g", "g2").applyInArrow(_block_links(percent), "a binary, b binary")
