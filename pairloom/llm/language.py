@@ -29,6 +29,8 @@ UNDETERMINED = "und"
 _CODES = 0x110000
 _UNIT = 1 << 20
 _BLOCK = 256
+#: Bytes of text at a time: a few dozen times as much memory is at work.
+_SLICE = 2 << 20
 #: Distinct languages that may be learned; prototypes are sent to every task, so more is an error.
 MAX_LANGUAGES = 2048
 
@@ -57,7 +59,7 @@ def _trigrams(rows: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.n
     seen[codes] = True
     seen[0] = True
     letters = np.flatnonzero(seen)
-    number = np.zeros(_CODES, dtype=np.int64)
+    number = np.zeros(_CODES, dtype=np.int32)
     number[letters] = np.arange(len(letters))
     codes = number[codes]
     middle = np.flatnonzero(alpha[1:-1]) + 1 if len(codes) > 2 else np.zeros(0, dtype=np.int64)
@@ -73,13 +75,13 @@ def text_vectors(rows: list[str], dims: int, seed: int) -> np.ndarray:
     memory = np.stack([_letter(int(code), dims, seed) for code in letters])
     first, second = np.roll(memory, 2, axis=1), np.roll(memory, 1, axis=1)
     n = len(letters)
-    grams = (a * n + b) * n + c
+    grams = (a.astype(np.int64) * n + b) * n + c
     cuts = np.searchsorted(row, np.arange(0, len(rows) + _BLOCK, _BLOCK))
     for block, (begin, end) in enumerate(zip(cuts[:-1], cuts[1:])):
         if begin == end:
             continue
         own = grams[begin:end]
-        if n**3 <= 1 << 22:
+        if n**3 <= 1 << 20:
             used = np.flatnonzero(np.bincount(own, minlength=n**3))
             place = np.zeros(n**3, dtype=np.int64)
             place[used] = np.arange(len(used))
@@ -118,7 +120,7 @@ def learn_prototypes(
                 names=["lang", "sums"],
             )
 
-        for piece in slices(batches):
+        for piece in slices(batches, limit=_SLICE):
             units = np.rint(_units(text_vectors(texts(piece).to_pylist(), dims, seed)) * _UNIT).astype(np.int64)
             names = np.array(piece.column("lang").to_pylist(), dtype=object)
             for name in sorted(set(names)):
@@ -167,7 +169,7 @@ def predict_language(
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, bank = shared.value
-        for piece in slices(batches, body):
+        for piece in slices(batches, body, _SLICE):
             units = _units(text_vectors(texts(piece, body).to_pylist(), dims, seed))
             blank = ~units.any(axis=1)
             if known:

@@ -24,7 +24,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pairloom.llm.text import slices, split_words, texts
+from pairloom.llm.text import release, slices, split_words, texts
 from pairloom.session import checkpointed
 
 #: Parts of words whose ids a worker remembers; it then starts afresh.
@@ -134,6 +134,8 @@ def tokenised(docs: DataFrame, path: str, end_id: int, key: str = "doc_id") -> D
             yield pa.record_batch(
                 [piece.column(key), packed.cast(pa.binary()), pa.array(counts, pa.int64())], names=[key, "ids", "n"]
             )
+        encoder.forget()
+        release()
 
     source = docs.select(key, F.col("text").cast("string").alias("text"))
     return source.mapInArrow(encode, f"`{key}` {kind}, ids binary, n bigint")
