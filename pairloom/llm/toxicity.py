@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from pairloom.llm.text import slices, texts
 
 _WORD = re.compile(r"[^\W\d_]+")
-PREFIXES = (4, 5, 6)
+PREFIXES = (4, 5, 6, 7, 8)
 MAX_TOXIC, MAX_CLEAN = 10_000, 20_000
 #: Voters at most, and candidates among which they are chosen.
 MAX_VOTERS, CANDIDATES = 256, 4096
