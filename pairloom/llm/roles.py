@@ -15,7 +15,10 @@ named first. Unknown and null roles have no keeping cost of 0: they are always
 relabelled. A null text is empty. A null conversation id is a conversation of
 its own. Turns with equal numbers are ordered by role and text; repeated rows
 are turns of their own. A null turn number comes first. An empty table gives no
-rows. Texts of any length stay whole; rendering is turn by turn.
+rows. Texts of any length stay whole; rendering is turn by turn, and the rows of
+a turn are rendered as one message: its mark of the end is on its last row, and
+where the format trims, white space goes at the message's ends only. What a
+partition must know for that of its neighbours' rows is found with the borders.
 """
 
 from __future__ import annotations
@@ -28,7 +31,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pairloom.operators.chat import CHATML, ChatFormat, render_turn
+from pairloom.constants import WHITESPACE
+from pairloom.functions.text import is_blank
+from pairloom.operators.chat import CHATML, ChatFormat
 from pairloom.session import checkpointed
 
 #: The last turn that was laid down: none yet, or by this role.
@@ -107,8 +112,63 @@ class _Tables:
         return self.of[role]
 
 
-def _combine(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    return (a[:, :, None] + b[None, :, :]).min(axis=1)
+@dataclass(frozen=True)
+class Stretch:
+    """Of a stretch of turns, from each state to each: cost, and what the rows next to it must know of its rows.
+
+    `more`: its first row is merged into the turn before. `opens`: any row begins a turn. `head` and `tail`: any
+    text before its first beginning, or after its last one, is not blank.
+    """
+
+    cost: np.ndarray
+    more: np.ndarray
+    opens: np.ndarray
+    head: np.ndarray
+    tail: np.ndarray
+
+
+def stretch(roles: list[str | None], blanks: list[bool], costs: Costs) -> Stretch:
+    """The sums of the ways that `trace` takes, ties included."""
+    tables, n = _Tables(costs), len(STATES)
+    merges: dict[str | None, np.ndarray] = {}
+    at, so_far = np.arange(n), None
+    for role, blank in zip(roles, blanks):
+        matrix, own = tables[role]
+        if role not in merges:
+            merges[role] = np.array([[(b, e) in own and own[b, e].action == "merge" for e in range(n)] for b in range(n)])
+        merge = merges[role]
+        if so_far is None:
+            so_far = Stretch(matrix, merge, ~merge, merge & (not blank), np.full((n, n), not blank))
+            continue
+        total = so_far.cost[:, :, None] + matrix[None, :, :]
+        came = total.argmin(axis=1)
+        merged = merge[came, at]
+        more, opens, head, tail = (np.take_along_axis(x, came, axis=1) for x in (so_far.more, so_far.opens, so_far.head, so_far.tail))
+        so_far = Stretch(
+            total.min(axis=1),
+            more,
+            opens | ~merged,
+            head | (merged & ~opens & (not blank)),
+            (tail & merged) | (not blank),
+        )
+    return so_far
+
+
+@dataclass(frozen=True)
+class Share:
+    """A partition's part of a conversation: its states, whether it is the first and the last, and the rows around it.
+
+    `continued`: the next row is merged into this part's last turn. `before` and `after`: the turn that crosses the
+    border has text that is not blank there.
+    """
+
+    begin: int
+    end: int
+    first: bool = True
+    last: bool = True
+    continued: bool = False
+    before: bool = False
+    after: bool = False
 
 
 def trace(roles: list[str | None], begin: int, end: int, costs: Costs) -> list[Step]:
@@ -134,7 +194,8 @@ def repair_roles(turns: DataFrame, costs: Costs = Costs(), fmt: ChatFormat = CHA
     `turn` is the input turn a row comes from or, for inserted turns, precedes;
     `step` numbers the rows of one input turn. `place` is `open` for a row that
     begins a turn and `more` for one merged into the turn before. Rows in the
-    order of turn and step, `rendered` joined, are the conversation's text.
+    order of turn and step, `rendered` joined, are the conversation as
+    `render_messages` renders it, the texts of a turn joined by line breaks.
     """
     parts = parts or int(turns.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     number, name = turns.schema["turn"].dataType.simpleString(), turns.schema["conv_id"].dataType.simpleString()
@@ -146,87 +207,109 @@ def repair_roles(turns: DataFrame, costs: Costs = Costs(), fmt: ChatFormat = CHA
         .withColumn("part", F.spark_partition_id())
     )
 
-    def stretches(batch_ids: list) -> list[tuple[int, int]]:
-        """Runs of equal ids."""
-        cuts = [0, *(i for i in range(1, len(batch_ids)) if batch_ids[i] != batch_ids[i - 1]), len(batch_ids)]
-        return list(zip(cuts[:-1], cuts[1:]))
-
     def borders(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Matrices of a partition's first and last conversation, the only ones that others may continue."""
-        tables, own, part, seen = _Tables(costs), None, 0, []
+        """Sums of a partition's first and last conversation, the only ones that others may continue."""
+        key, part, roles, blanks, out, kind = None, 0, [], [], [], None
+
+        def summed() -> tuple:
+            s = stretch(roles, blanks, costs)
+            flags = [x.ravel().tolist() for x in (s.more, s.opens, s.head, s.tail)]
+            return part, key, s.cost.ravel().tolist(), sum(flags, [])
+
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            part = batch.column("part")[0].as_py()
-            ids, roles = batch.column("conv_id").to_pylist(), batch.column("role").to_pylist()
-            for b, e in stretches(ids):
-                if own is None or own[0] != ids[b]:
-                    if own is not None and len(seen) < 1:
-                        seen.append(own)
-                    own = (ids[b], None)
-                matrix = own[1]
-                for role in roles[b:e]:
-                    one = tables[role][0]
-                    matrix = one if matrix is None else _combine(matrix, one)
-                own = (ids[b], matrix)
-        if own is not None:
-            rows = [*seen, own] if seen else [own]
-            yield pa.record_batch(
-                [
-                    pa.array([part] * len(rows), pa.int32()),
-                    pa.array([r[0] for r in rows], batch.schema.field("conv_id").type),
-                    pa.array([r[1].ravel().tolist() for r in rows], pa.list_(pa.float64())),
-                ],
-                names=["part", "conv_id", "matrix"],
-            )
-
-    # Two rows of 16 numbers per partition at most.
-    sums = ranged.select("conv_id", "role", "part").mapInArrow(borders, f"part int, conv_id {name}, matrix array<double>").collect()
-    chains: dict[object, list[tuple[int, np.ndarray]]] = {}
+            kind = batch.schema.field("conv_id").type
+            for conv, role, blank, part_ in zip(*(batch.column(c).to_pylist() for c in ("conv_id", "role", "blank", "part"))):
+                if roles and conv != key:
+                    if not out:
+                        out.append(summed())
+                    roles, blanks = [], []
+                key, part = conv, part_
+                roles.append(role)
+                blanks.append(blank)
+        if roles:
+            out.append(summed())
+            kinds = (pa.int32(), kind, pa.list_(pa.float64()), pa.list_(pa.bool_()))
+            yield pa.record_batch([pa.array(c, k) for c, k in zip(zip(*out), kinds)], names=["part", "conv_id", "matrix", "flags"])
+
+    # Two rows of 80 numbers per partition at most.
+    blank = is_blank("text") if fmt.trim else F.lit(False)
+    sums = (
+        ranged.select("conv_id", "role", "part", blank.alias("blank"))
+        .mapInArrow(borders, f"part int, conv_id {name}, matrix array<double>, flags array<boolean>")
+        .collect()
+    )
+    chains: dict[object, list[tuple[int, Stretch]]] = {}
     for r in sorted(sums, key=lambda r: r["part"]):
-        chains.setdefault(r["conv_id"], []).append((r["part"], np.array(r["matrix"]).reshape(len(STATES), -1)))
+        flags = np.array(r["flags"], dtype=bool).reshape(4, len(STATES), -1)
+        own = Stretch(np.array(r["matrix"]).reshape(len(STATES), -1), *flags)
+        chains.setdefault(r["conv_id"], []).append((r["part"], own))
     closing = np.array([c for *_, c in _close(costs)])
-    fixed: dict[tuple[int, object], tuple[int, int, bool]] = {}
+    fixed: dict[tuple[int, object], Share] = {}
     for conv, chain in chains.items():
         reach, back = np.array([0.0, np.inf, np.inf, np.inf]), []
-        for _, matrix in chain:
-            total = reach[:, None] + matrix
+        for _, own in chain:
+            total = reach[:, None] + own.cost
             back.append(total.argmin(axis=0))
             reach = total.min(axis=0)
         state = int((reach + closing).argmin())
+        ways = []
         for i in range(len(chain) - 1, -1, -1):
-            fixed[chain[i][0], conv] = (int(back[i][state]), state, i == len(chain) - 1)
+            ways.append((int(back[i][state]), state))
             state = int(back[i][state])
+        ways.reverse()
+        before, befores = False, []
+        for (_, own), way in zip(chain, ways):
+            befores.append(before)
+            before = bool(own.tail[way] or (before and not own.opens[way]))
+        continued = after = False
+        for i in range(len(chain) - 1, -1, -1):
+            (part, own), way = chain[i], ways[i]
+            fixed[part, conv] = Share(*way, i == 0, i == len(chain) - 1, continued, befores[i], after)
+            continued = bool(own.more[way])
+            after = bool(own.head[way] or (after and not own.opens[way]))
     shared = turns.sparkSession.sparkContext.broadcast(fixed)
 
+    names = ["conv_id", "turn", "step", "place", "role", "action", "text", "begins", "ends", "lead", "trail"]
+
     def lay(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def conversation(key: object, part: int, held: list[tuple]) -> list[tuple]:
             roles = [h[1] for h in held]
-            known = shared.value.get((part, key))
-            if known is None:
+            own = shared.value.get((part, key))
+            if own is None:
                 tables = _Tables(costs)
                 reach = np.array([0.0, np.inf, np.inf, np.inf])
                 for role in roles:
                     reach = (reach[:, None] + tables[role][0]).min(axis=0)
-                known = (0, int((reach + closing).argmin()), True)
-            begin, end, last = known
+                own = Share(0, int((reach + closing).argmin()))
             rows = []
-            for (turn, _, text), step in zip(held, trace(roles, begin, end, costs)):
+            for (turn, _, text), step in zip(held, trace(roles, own.begin, own.end, costs)):
                 made = [(key, turn, i, "open", r, "insert", "") for i, r in enumerate(step.inserts)]
                 role = STATES[step.end]
                 place = "more" if step.action == "merge" else "open"
                 rows += [*made, (key, turn, len(made), place, role, step.action, text)]
-            if last:
+            if own.last:
                 turn, at = rows[-1][1], rows[-1][2] + 1
-                rows += [(key, turn, at + i, "open", r, "insert", "") for i, r in enumerate(_close(costs)[end][1])]
-            return rows
+                rows += [(key, turn, at + i, "open", r, "insert", "") for i, r in enumerate(_close(costs)[own.end][1])]
+            return [(*row, *marks) for row, marks in zip(rows, around(rows, own))]
+
+        def around(rows: list[tuple], own: Share) -> list[tuple[bool, bool, bool, bool]]:
+            """Of each row whether it begins the conversation, ends a turn, and has its turn's first and last text."""
+            opens = [r[3] == "open" for r in rows]
+            said = [bool(r[6].strip(WHITESPACE)) for r in rows] if fmt.trim else [False] * len(rows)
+            lead, trail, earlier, later = [], [], own.before, own.after
+            for begins, any_ in zip(opens, said):
+                earlier = earlier and not begins
+                lead.append(not earlier)
+                earlier = earlier or any_
+            for begins, any_ in zip(reversed(opens), reversed(said)):
+                trail.append(not later)
+                later = (later or any_) and not begins
+            ends = [*opens[1:], not own.continued]
+            return [(own.first and i == 0, *m) for i, m in enumerate(zip(ends, lead, reversed(trail)))]
 
         def batch_of(rows: list[tuple]) -> pa.RecordBatch:
-            kinds = [kind["conv_id"], kind["turn"], pa.int32(), *[pa.string()] * 4]
-            return pa.record_batch(
-                [pa.array(c, k) for c, k in zip(zip(*rows), kinds)],
-                names=["conv_id", "turn", "step", "place", "role", "action", "text"],
-            )
+            kinds = [kind["conv_id"], kind["turn"], pa.int32(), *[pa.string()] * 4, *[pa.bool_()] * 4]
+            return pa.record_batch([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=names)
 
         key, part, held, out = None, 0, [], []
         for batch in batches:
@@ -248,7 +331,18 @@ def repair_roles(turns: DataFrame, costs: Costs = Costs(), fmt: ChatFormat = CHA
 
     laid = ranged.mapInArrow(
         lay,
-        f"conv_id {name}, turn {number}, step int, place string, role string, action string, text string",
+        f"conv_id {name}, turn {number}, step int, place string, role string, action string, text string, "
+        "begins boolean, ends boolean, lead boolean, trail boolean",
+    )
+    opened = F.col("place") == "open"
+    body = F.concat(F.when(opened, "").otherwise("\n"), F.col("text"))
+    if fmt.trim:
+        body = F.when(F.col("lead"), F.ltrim(body, F.lit(WHITESPACE))).otherwise(body)
+        body = F.when(F.col("trail"), F.rtrim(body, F.lit(WHITESPACE))).otherwise(body)
+    rendered = F.concat(
+        F.when(F.col("begins"), fmt.bos).otherwise(""),
+        F.when(opened, F.concat(F.lit(fmt.role_prefix), "role", F.lit(fmt.role_suffix))).otherwise(""),
+        body,
+        F.when(F.col("ends"), fmt.eot).otherwise(""),
     )
-    opened = F.concat(F.when(F.col("place") == "open", F.concat(F.lit(fmt.role_prefix), "role", F.lit(fmt.role_suffix))).otherwise(F.lit("\n")), F.col("text"))
-    return laid.withColumn("rendered", opened)
+    return laid.select(*names[:7], rendered.alias("rendered"))

@@ -23,6 +23,7 @@ from pairloom.llm.packing import assemble, pack_documents
 from pairloom.llm.queries import QUERIES
 from pairloom.llm.roles import STATES, Costs, _close, repair_roles, steps
 from pairloom.llm.warc import coalesced
+from pairloom.operators.chat import CHATML, HEADERS, render_messages
 
 SF = "/root/testdata/sf0.01"
 WORDS = re.compile(r"[^\x20\x09-\x0D]+")
@@ -232,6 +233,37 @@ def test_roles_are_repaired_at_least_cost(spark):
         assert cost_of(own) + extra == pytest.approx(brute_repair(turns[c]))
 
 
+@pytest.mark.parametrize("fmt", [CHATML, HEADERS])
+def test_joined_rows_are_the_rendered_conversation(spark, fmt):
+    rng = random.Random(2)
+    kinds, said = ("system", "user", "assistant", "tool", None), ("", " \n", "\u3000", " a b ", "\tc", "d \u00a0", "e")
+    turns = {c: [(rng.choice(kinds), rng.choice(said)) for _ in range(rng.choice((1, 2, 5, 40)))] for c in range(60)}
+    turns[1000] = [(rng.choice(kinds), rng.choice(said)) for _ in range(900)]  # one conversation over many partitions
+    turns[1001] = [("user", rng.choice(said[:3] if 20 < t < 280 else said)) for t in range(300)]  # turns of one role to merge
+    frame = spark.createDataFrame(
+        [(c, t, *own) for c, listed in turns.items() for t, own in enumerate(listed)],
+        "conv_id long, turn long, role string, text string",
+    )
+    rows = defaultdict(list)
+    for r in repair_roles(frame, fmt=fmt, parts=32).collect():
+        rows[r["conv_id"]].append(r)
+    messages = []
+    for c, own in rows.items():
+        own.sort(key=lambda r: (r["turn"], r["step"]))
+        repaired = []
+        for r in own:
+            if r["place"] == "open":
+                repaired.append([r["role"], r["text"]])
+            else:
+                repaired[-1][1] += "\n" + r["text"]
+        messages.append((c, [tuple(m) for m in repaired]))
+        assert legal(own)
+    frame = spark.createDataFrame(messages, "conv_id long, messages array<struct<role:string,content:string>>")
+    expected = {r["conv_id"]: r["text"] for r in frame.select("conv_id", render_messages("messages", fmt).alias("text")).collect()}
+    assert any(r["place"] == "more" for r in rows[1001])
+    assert {c: "".join(r["rendered"] for r in own) for c, own in rows.items()} == expected
+
+
 def test_merkle_locates_edits():
     rng = random.Random(5)
     lines = [" ".join(f"w{rng.randrange(999)}" for _ in range(30)) + "." for _ in range(60)]
