@@ -1,27 +1,34 @@
 """Language-model scores from an n-gram trie in Elias-Fano form.
 
-The model predicts each word, and at last the end of the text, from the word
-before it (after Witten and Bell): p = (c12 + 8 t * alone) / (c1 + 8 t), where t
-is how many different words follow the context and `alone` is the word's chance by itself:
-its share among all words if it is one of the up to 65,536 most frequent, plus
-the share of all other words times the chance of its letters under a
-letter-trigram model. So every word has a probability. A text's score is the sum
-of log10 p. For the table of frequent words a task counts the words that a slice
-of its texts (8 MB, or one text) has at least four times; all other counts are exact.
-
-The trie is split by context, so each shard holds whole contexts: a first level
-of context ids, exact context counts as a cumulative sequence, pointers into the
-second level, and there the successors' ids, all monotone and in Elias-Fano form
-on memory-mapped files, with quantised probabilities beside them. Contexts and
-successors are found by successor search, the latter within their context's
-range. Shards are built and asked in one pass: tasks send each slice's word
-pairs, packed by shard, those of training texts marked; a shard counts the
-marked ones, builds its trie, asks it for all pairs, and returns sums by text.
-
-Words with more than 1/512 of all training words would make hot shards. As
-contexts they are split into 64 by a hash of the successor: p is then the chance
-of the part, (c1b + 1) / (c1 + 64), times the chance within it. The 512 words
-such a share leaves room for bound what is broadcast.
+The model predicts each word, and at last the end of the text, from the `order`
+- 1 words before it, level by level (after Witten and Bell): p = (c + 8 t * lower)
+/ (n + 8 t), where c is how often the word follows the level's context, n how
+often the context is followed at all, t by how many different words, and `lower`
+is p of the next shorter context. Below the pairs are single words, p = (c + t *
+spelt) / (n + t) over all words, and below these the chance of the word's letters
+under a letter-trigram model. So every word has a probability. A text's score is
+the sum of log10 p. All counts are exact; nothing depends on the partitions.
+
+Single words are a level of their own, split by word: tasks send each slice's
+distinct words and their uses in training texts, packed by shard; a shard adds
+them up and sends the slice the sums. The levels above are split by the word
+before, so each shard holds all longer contexts that end in it. A level is a
+sequence of context ids, pointers into its followers, exact context counts as a
+cumulative sequence, and there the followers' ids, all monotone and in Elias-Fano
+form on memory-mapped files, with quantised probabilities beside them. Contexts
+and followers are found by successor search, the latter within their context's
+range. Shards are built and asked in one pass: tasks send each slice's words with
+what is before them, packed by shard, those of training texts marked; a shard
+counts the marked ones, builds its levels, asks them for all, and returns sums by
+text.
+
+Words with more than 1/512 of all training words would make hot shards. As the
+word before they are split into 64 by a hash of the word before that, so that
+their pairs are counted by its class, and longer contexts as ever. Where both are
+such words (or the text's start), the two make one context and are split into 64
+by a hash of the follower: p is then the chance of the part, (cb + 1) / (c + 64),
+times the chance within it. The 512 words such a share leaves room for bound what
+is broadcast.
 
 Null and empty texts are the end alone. Repeated rows are texts of their own.
 Words of any length and texts of any length are scored whole. Without training
@@ -32,7 +39,7 @@ table gives an empty result; other columns are ignored.
 from __future__ import annotations
 
 import tempfile
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from pathlib import Path
 
 import numpy as np
@@ -46,10 +53,8 @@ from pairloom.llm.text import Words, mix, slices, split_words, texts
 from pairloom.session import checkpointed
 
 _HEAVY, _PARTS = 512, 64
-#: Weight of a word's chance by itself, for each different follower of the context.
+#: Weight of a word's chance in the next shorter context, for each different follower of the context.
 _TRUST = 8.0
-#: Words with a share of their own in the model of single words; 16 bytes each are broadcast.
-_FREQUENT = 1 << 16
 _START_ID, _END_ID = np.uint64(1), np.uint64(2)
 #: Symbols of the letter model: byte classes, the mark before a word, the mark after it.
 _SYMBOLS, _BEFORE, _AFTER = 64, 62, 63
@@ -83,13 +88,10 @@ def _trigrams(raw: np.ndarray, begin: np.ndarray, size: np.ndarray) -> tuple[np.
 
 
 class Speller:
-    """log10 of a word's chance by itself: among the frequent ones, or letter by letter."""
+    """log10 of a word's chance letter by letter, and by itself once its uses are known."""
 
-    def __init__(
-        self, trigrams: np.ndarray, letters: np.ndarray, words: int, ends: int, frequent: np.ndarray, uses: np.ndarray
-    ) -> None:
-        self.frequent, self.share = frequent, np.append(uses / max(1, words), 0.0)
-        self.rest = np.log10(max(1.0 - self.share.sum(), 1e-3))
+    def __init__(self, trigrams: np.ndarray, letters: np.ndarray, words: int, ends: int) -> None:
+        self.words, self.ends = words, ends
         self.end = np.log10((ends + 1) / (words + ends + 100))
         counts = trigrams.reshape(-1, _SYMBOLS) + 0.1
         counts[:, _BEFORE] = 0
@@ -98,16 +100,20 @@ class Speller:
         letters = letters + 0.1
         self.letter = np.append(np.log10(letters / np.bincount(_CLASS, weights=letters, minlength=_SYMBOLS)[_CLASS]), 0.0)
 
-    def of(self, words: Words) -> np.ndarray:
+    def spelt(self, words: Words) -> np.ndarray:
         if not len(words.distinct):
             return np.zeros(0)
         number, byte, first = _trigrams(*_letters(words))
-        spelt = self.rest + np.add.reduceat(self.next[number] + self.letter[byte], first)
-        hashed = words.hashes()
-        at = np.searchsorted(self.frequent, hashed)
-        common = (at < len(self.frequent)) & (np.append(self.frequent, 0)[at] == hashed)
-        share = self.share[np.where(common, at, len(self.frequent))]
-        return np.where(common, np.log10(share + 10.0 ** np.maximum(spelt, -300)), spelt)
+        return np.add.reduceat(self.next[number] + self.letter[byte], first)
+
+    def alone(self, spelt: np.ndarray, uses: np.ndarray, kinds: int) -> np.ndarray:
+        """log10 of (c + t * spelt) / (n + t); of words too unlikely for a double, in logarithms."""
+        if not self.words:
+            return spelt
+        whole = np.log10(self.words + kinds)
+        rare = np.log10(kinds) + spelt - whole
+        used = np.log10(np.maximum(uses, 1) + kinds * 10.0 ** np.maximum(spelt, -300)) - whole
+        return np.where(uses > 0, used, rare)
 
 
 # A word's -log10 in 16 bits: steps of 1/256 below 128, then of 1/2048 of a doubling.
@@ -120,8 +126,8 @@ def _encoded(log10: np.ndarray) -> np.ndarray:
     return np.where(x < 127.9, np.rint(256 * x), np.minimum(high, 65535)).astype(np.uint16)
 
 
-def _learn_words(train: DataFrame) -> tuple[Speller, np.ndarray]:
-    """The model of single words, and the hashes of the words that own more than 1/512 of all words."""
+def _learn_letters(train: DataFrame) -> Speller:
+    """The letter model, and the numbers of words and of texts."""
     size = _SYMBOLS**3
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -136,49 +142,20 @@ def _learn_words(train: DataFrame) -> tuple[Speller, np.ndarray]:
             number, byte, _ = _trigrams(raw, begin, length)
             letters[:size] += np.bincount(number, weights=np.repeat(uses, length + 1), minlength=size).astype(np.int64)
             letters[size:-1] += np.append(np.bincount(raw, weights=np.repeat(uses, length), minlength=256), len(words.codes)).astype(np.int64)
-            common = np.flatnonzero(uses >= 4)
-            hashed = words.hashes()[common].view(np.int64)
-            yield pa.record_batch(
-                [pa.array(np.ones(len(common), dtype=bool)), pa.array(hashed), pa.array(uses[common].astype(np.int64))],
-                names=["word", "item", "n"],
-            )
         used = np.flatnonzero(letters)
-        yield pa.record_batch(
-            [pa.array(np.zeros(len(used), dtype=bool)), pa.array(used.astype(np.int64)), pa.array(letters[used])],
-            names=["word", "item", "n"],
-        )
+        yield pa.record_batch([pa.array(used.astype(np.int64)), pa.array(letters[used])], names=["item", "n"])
 
-    summed = checkpointed(
-        train.mapInArrow(count, "word boolean, item bigint, n bigint").groupBy("word", "item").agg(F.sum("n").alias("n"))
-    )
     # At most 64 ** 3 + 258 numbers, whatever the corpus.
     letters = np.zeros(size + 258)
-    for r in summed.where("NOT word").select("item", "n").collect():
+    for r in train.mapInArrow(count, "item bigint, n bigint").groupBy("item").agg(F.sum("n").alias("n")).collect():
         letters[r["item"]] = r["n"]
-    total = int(letters[-2])
-    rows = summed.where("word").orderBy(F.desc("n"), "item").limit(_FREQUENT).select("item", "n").collect()
-    items = np.array([r["item"] for r in rows], dtype=np.int64).view(np.uint64)
-    uses = np.array([r["n"] for r in rows], dtype=np.float64)
-    order = np.argsort(items)
-    heavy = np.sort(items[uses * _HEAVY > total])
-    speller = Speller(letters[:size], letters[size:-2], total, int(letters[-1]), items[order], uses[order])
-    return speller, heavy
-
-
-def _pairs(piece: pa.RecordBatch, speller: Speller, heavy: np.ndarray) -> tuple[np.ndarray, ...]:
-    """Context, whether and which heavy one, successor, spelt chance and document of every word and end."""
-    words = split_words(texts(piece), lower=True)
-    hashed = np.append(words.hashes(), [_START_ID, _END_ID])
-    n_words, docs = len(words.distinct), len(words.counts)
-    spelt = _encoded(np.append(speller.of(words), [0.0, speller.end]))
-    # Each document: its words behind a start mark, then the end.
-    context = np.insert(words.codes.astype(np.int64), words.ends - words.counts, n_words)
-    following = np.insert(words.codes.astype(np.int64), words.ends, n_words + 1)
-    doc = np.repeat(np.arange(docs), words.counts + 1)
-    number = np.searchsorted(heavy, hashed)
-    which = np.where((number < len(heavy)) & (np.append(heavy, 0)[np.minimum(number, len(heavy))] == hashed), number + 1, 0)
-    which[n_words] = len(heavy) + 1
-    return hashed, which, spelt, context, following, doc
+    return Speller(letters[:size], letters[size:-2], int(letters[-2]), int(letters[-1]))
+
+
+def _number(heavy: np.ndarray, hashed: np.ndarray) -> np.ndarray:
+    """1 and up for the heavy words, 0 for others."""
+    at = np.searchsorted(heavy, hashed)
+    return np.where((at < len(heavy)) & (np.append(heavy, 0)[np.minimum(at, len(heavy))] == hashed), at + 1, 0)
 
 
 _SHIPPED = "slice bigint, shard int, body binary, docs array<struct<doc_id:{kind},train:boolean,tokens:bigint>>"
@@ -199,7 +176,7 @@ def _arrays(raw: bytes, *kinds: str) -> list[np.ndarray]:
 
 
 class Shard:
-    """The trie of a shard's contexts, from its training pairs sorted by context and successor."""
+    """One level of a shard's trie, from its training pairs sorted by context and successor."""
 
     def __init__(self, contexts: np.ndarray, pair_context: np.ndarray, follower: np.ndarray, count: np.ndarray, folder: Path) -> None:
         kinds = np.bincount(pair_context, minlength=len(contexts))
@@ -214,7 +191,7 @@ class Shard:
         self.chances = np.load(folder / "chances.npy", mmap_mode="r") if len(codes) else codes
 
     def ask(self, context: np.ndarray, place: np.ndarray, follower: np.ndarray) -> tuple[np.ndarray, ...]:
-        """For distinct contexts, counts and followers' numbers; for pairs (place in them, follower) c12 / (c1 + t)."""
+        """For distinct contexts, counts and followers' numbers; for pairs (place in them, follower) c / (n + 8 t)."""
         rank, known = self.level1.successor(context)
         rank = np.where(known, rank, 0)
         if not self.level1.n:
@@ -229,152 +206,258 @@ class Shard:
         return total, kinds, share
 
 
-def _score_shard(table: pa.Table) -> pa.Table:
-    """Build the shard's trie and ask it for every pair: sums by document, and the shard's own counts."""
-    rows = [(s, b) for s, b in zip(table.column("slice").to_pylist(), table.column("body").to_pylist())]
-    if table.column("shard")[0].as_py() < 0:
-        return table.select(["slice", "shard", "body", "docs"])
-    kinds = ("<u8", "<u2", "<u4", "<u4", "<u2", "<u2")
-    held = [_arrays(b, *kinds) for _, b in rows]
-    lists = [np.concatenate(c) for c in zip(*held)]
-    contexts, place = np.unique(lists[0], return_inverse=True)
-    which = np.zeros(len(contexts), dtype=np.int64)
-    which[place] = lists[1]
-    context = np.repeat(place, lists[2])
-    follower, spelt, marked = lists[3], lists[4], lists[5]
-    train, doc = marked >= 32768, (marked & 32767).astype(np.int64)
+def _table(rows: list[tuple], table: pa.Table) -> pa.Table:
+    kinds = (pa.int64(), pa.int32(), pa.binary(), table.schema.field("docs").type)
+    columns = list(zip(*rows)) or [()] * 4
+    return pa.table([pa.array(c, k) for c, k in zip(columns, kinds)], names=["slice", "shard", "body", "docs"])
+
+
+def _count_shard(least: float) -> Callable[[pa.Table], pa.Table]:
+    """Uses of the shard's words in all slices, for each slice that has them; and how many words, and those above `least`."""
+
+    def count(table: pa.Table) -> pa.Table:
+        if table.column("shard")[0].as_py() < 0:
+            return table.select(["slice", "shard", "body", "docs"])
+        held = [_arrays(b, "<u8", "<u4") for b in table.column("body").to_pylist()]
+        own, place = np.unique(np.concatenate([h[0] for h in held]), return_inverse=True)
+        uses = np.bincount(place, weights=np.concatenate([h[1] for h in held]), minlength=len(own))
+        rows, at = [], 0
+        for slice_id, shard, h in zip(table.column("slice").to_pylist(), table.column("shard").to_pylist(), held):
+            rows.append((slice_id, shard, _bytes(uses[place[at : at + len(h[0])]].astype("<f8")), None))
+            at += len(h[0])
+        rows.append((-1, 0, _bytes(np.array([(uses > 0).sum()], dtype="<u8"), own[uses > least]), None))
+        return _table(rows, table)
+
+    return count
+
+
+def _level(
+    contexts: np.ndarray, context: np.ndarray, follower: np.ndarray, train: np.ndarray
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """One level, built of the training pairs and asked for all: count and kinds by context, c / (n + 8 t) by pair."""
     keys, inverse = np.unique((context.astype(np.uint64) << np.uint64(32)) | follower, return_inverse=True)
     counted = np.bincount(inverse, weights=train, minlength=len(keys))
     learnt = counted > 0
-    pair_place, pair_follower = (keys >> np.uint64(32)).astype(np.int64), (keys & np.uint64(0xFFFFFFFF)).astype(np.uint32)
-    own, rank = np.unique(pair_place[learnt], return_inverse=True)
+    place, own_follower = (keys >> np.uint64(32)).astype(np.int64), (keys & np.uint64(0xFFFFFFFF)).astype(np.uint32)
+    own, rank = np.unique(place[learnt], return_inverse=True)
     with tempfile.TemporaryDirectory() as folder:
-        shard = Shard(contexts[own], rank, pair_follower[learnt], counted[learnt], Path(folder))
-        total, kinds_, share = shard.ask(contexts, pair_place, pair_follower)
-    chance = 10.0 ** -_DECODED[spelt]
-    split = which[context] > 0
-    t = _TRUST * kinds_[context]
-    chance = np.where(split, np.minimum(1.0, chance * _PARTS), chance)
-    p = np.where(total[context] > 0, share[inverse] + t / np.maximum(total[context] + t, 1) * chance, chance)
-    logs = np.log10(np.maximum(p, 1e-300))
-    # A word too unlikely for a double keeps its spelt logarithm.
-    tiny = p < 1e-290
-    logs = np.where(tiny, -_DECODED[spelt] + np.log10(np.where(total[context] > 0, t / np.maximum(total[context] + t, 1), 1.0)), logs)
-    logs += np.where(split, np.log10(total[context] + 1), 0.0)
-    plain = ~split
-    base = np.where(plain, np.log10(total[context] + 0.5), 0.0)
-    known = plain & (total[context] > 0)
-    out = []
-    at = 0
-    for (slice_id, _), lengths, n in zip(rows, (h[2] for h in held), (len(h[3]) for h in held)):
-        some = slice(at, at + n)
-        docs, where = np.unique(doc[some], return_inverse=True)
-        sums = [np.bincount(where, weights=x[some]) for x in (base, logs, known)]
-        out.append((slice_id, 0, _bytes(docs.astype("<u2"), sums[0], sums[1].astype("<f4"), sums[2].astype("<u4")), None))
-        at += n
-    heavies = np.flatnonzero((which > 0) & (total > 0))
-    words = (which == 0) & (total > 0)
-    stats = _bytes(np.array([total[words].sum(), words.sum()]), which[heavies].astype("<u2"), total[heavies])
-    out.append((-1, 1, stats, None))
-    return pa.table(
-        [pa.array(c, k) for c, k in zip(zip(*out), (pa.int64(), pa.int32(), pa.binary(), table.schema.field("docs").type))],
-        names=["slice", "shard", "body", "docs"],
-    )
-
-
-def score_texts(docs: DataFrame, train: Column, shards: int | None = None) -> DataFrame:
-    """`doc_id, n_tokens, n_known, train_tokens, base_score, score` of every row, learning from those where `train` holds."""
+        shard = Shard(contexts[own], rank, own_follower[learnt], counted[learnt], Path(folder))
+        total, kinds, share = shard.ask(contexts, place, own_follower)
+    return total, kinds, share[inverse]
+
+
+def _score_shard(order: int) -> Callable[[pa.Table], pa.Table]:
+    """Build the shard's levels and ask them for every word: sums by document, and the counts of split contexts."""
+
+    def score(table: pa.Table) -> pa.Table:
+        rows = [(s, b) for s, b in zip(table.column("slice").to_pylist(), table.column("body").to_pylist())]
+        if table.column("shard")[0].as_py() < 0:
+            return table.select(["slice", "shard", "body", "docs"])
+        kinds = ("<u8", "<u4", "<u4", "<u4", "<u2", "<u2", *["<u4"] * max(0, order - 2))
+        held = [_arrays(b, *kinds) for _, b in rows]
+        sizes = [len(h[3]) for h in held]
+        lists = [np.concatenate(c) for c in zip(*held)]
+        lengths = [h[2] for h in held]
+        del held
+        contexts, place = np.unique(lists[0], return_inverse=True)
+        which = np.zeros(len(contexts), dtype=np.int64)
+        which[place] = lists[1]
+        context = np.repeat(place, lists[2])
+        follower, spelt, marked = lists[3:6]
+        train, doc = marked >= 32768, (marked & 32767).astype(np.int64)
+        split = which[context] > 0
+        p = 10.0 ** -_DECODED[spelt]
+        p = np.where(split, np.minimum(1.0, p * _PARTS), p)
+        # A word too unlikely for a double keeps the logarithm of its chance alone and of the weights.
+        small = -_DECODED[spelt]
+        first, at = None, context
+        for depth in range(order - 1):
+            if depth:
+                keys = (at.astype(np.uint64) << np.uint64(32)) | lists[5 + depth]
+                ids, at = np.unique(keys, return_inverse=True)
+            else:
+                ids = contexts
+            total, t, share = _level(ids, at, follower, train)
+            first = total if first is None else first
+            total, t = total[at], _TRUST * t[at]
+            # A split context has the word before it already.
+            known = (total > 0) & ~(split & (depth == 1))
+            weight = np.where(known, t / np.maximum(total + t, 1), 1.0)
+            p = np.where(known, share, 0.0) + weight * p
+            small = small + np.log10(weight)
+        logs = np.where(p < 1e-290, small, np.log10(np.maximum(p, 1e-300)))
+        logs += np.where(split, np.log10(first[context] + 1), 0.0)
+        out, begin = [], 0
+        for (slice_id, _), n in zip(rows, sizes):
+            some = slice(begin, begin + n)
+            docs, where = np.unique(doc[some], return_inverse=True)
+            sums = np.bincount(where, weights=logs[some], minlength=len(docs))
+            out.append((slice_id, 0, _bytes(docs.astype("<u2"), sums), None))
+            begin += n
+        heavies = np.flatnonzero((which > 0) & (first > 0))
+        out.append((-1, 1, _bytes(which[heavies].astype("<u4"), first[heavies]), None))
+        return _table(out, table)
+
+    return score
+
+
+def score_texts(docs: DataFrame, train: Column, shards: int | None = None, order: int = 2) -> DataFrame:
+    """`doc_id, n_tokens, n_known, train_tokens, base_score, score` of every row, learning from those where `train` holds.
+
+    A word is predicted from up to `order` - 1 words before it.
+    """
+    if order < 2:
+        raise ValueError("order must be 2 or more")
     shards = shards or 2 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    sc = docs.sparkSession.sparkContext
     source = docs.select("doc_id", F.col("text").cast("string").alias("text"), F.coalesce(train, F.lit(False)).alias("train"))
     kind = source.schema["doc_id"].dataType.simpleString()
-    speller, heavy = _learn_words(source.where("train").select("text"))
-    shared = docs.sparkSession.sparkContext.broadcast((speller, heavy))
+    speller = _learn_letters(source.where("train").select("text"))
+    letters = sc.broadcast(speller)
+    ends = speller.ends
     schema = _SHIPPED.format(kind=kind)
+    names = ["slice", "shard", "body", "docs"]
 
-    def ship(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        speller, heavy = shared.value
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """A slice as word numbers, and its distinct words by shard."""
+        speller = letters.value
         number = TaskContext.get().partitionId() << 32
         few = (b.slice(i, _DOCS) for b in slices(batches, limit=_SLICE) for i in range(0, b.num_rows, _DOCS))
         for piece in few:
             number += 1
-            hashed, which, spelt, context, following, doc = _pairs(piece, speller, heavy)
-            trained = piece.column("train").to_numpy(zero_copy_only=False)
-            own = which[context]
-            part = np.where(own > 0, hashed[following] % np.uint64(_PARTS), np.uint64(0))
-            ids = np.where(own > 0, mix(hashed[context] + part + np.uint64(1)), hashed[context])
-            shard = (mix(ids) % np.uint64(shards)).astype(np.int32)
-            order = np.lexsort((ids, shard))
-            ids, shard, own_ = ids[order], shard[order], own[order]
-            follower = (hashed[following] >> np.uint64(20)).astype(np.uint32)[order]
-            marked = (doc + np.where(trained[doc], 32768, 0)).astype(np.uint16)[order]
-            word = spelt[following][order]
-            cuts = np.append(np.flatnonzero(np.append(True, shard[1:] != shard[:-1])), len(shard))
-            new = np.append(True, (ids[1:] != ids[:-1]) | (shard[1:] != shard[:-1]))
-            starts = np.flatnonzero(new)
-            runs = np.diff(np.append(starts, len(ids)))
-            firsts = np.searchsorted(starts, cuts)
+            words = split_words(texts(piece), lower=True)
+            hashed, spelt = words.hashes(), speller.spelt(words)
+            trained = piece.column("train").to_numpy(zero_copy_only=False).astype(bool)
+            uses = np.bincount(words.codes[trained[words.row]], minlength=len(hashed))
+            shard = mix(hashed) % np.uint64(shards)
             rows = []
-            for b, e, f, g in zip(cuts[:-1], cuts[1:], firsts[:-1], firsts[1:]):
-                at = starts[f:g]
-                body = _bytes(ids[at], own_[at].astype("<u2"), runs[f:g].astype("<u4"), follower[b:e], word[b:e], marked[b:e])
-                rows.append((number, int(shard[b]), body, None))
-            pairs, times = np.unique(doc[own > 0] * (_HEAVY + 2) + own[own > 0], return_counts=True)
-            heavies = _bytes((pairs // (_HEAVY + 2)).astype("<u2"), (pairs % (_HEAVY + 2)).astype("<u2"), times.astype("<u4"))
-            tokens = np.bincount(doc, minlength=piece.num_rows)
+            for k in np.unique(shard):
+                own = shard == k
+                rows.append((number, int(k), _bytes(hashed[own], uses[own].astype("<u4")), None))
             header = [
-                {"doc_id": i, "train": bool(t), "tokens": int(n)}
-                for i, t, n in zip(piece.column("doc_id").to_pylist(), trained, tokens)
+                {"doc_id": i, "train": bool(t), "tokens": int(n) + 1}
+                for i, t, n in zip(piece.column("doc_id").to_pylist(), trained, words.counts)
             ]
-            rows.append((number, -1, heavies, header))
+            body = _bytes(hashed, spelt, words.codes.astype("<u4"), words.counts.astype("<u4"))
+            rows.append((number, -1, body, header))
             shape = pa.list_(pa.struct([("doc_id", piece.schema.field("doc_id").type), ("train", pa.bool_()), ("tokens", pa.int64())]))
             yield pa.record_batch(
-                [pa.array(c, k) for c, k in zip(zip(*rows), (pa.int64(), pa.int32(), pa.binary(), shape))],
-                names=["slice", "shard", "body", "docs"],
+                [pa.array(c, k) for c, k in zip(zip(*rows), (pa.int64(), pa.int32(), pa.binary(), shape))], names=names
             )
 
     spread = F.when(F.col("shard") < 0, F.col("slice")).otherwise(F.lit(-1))
-    answered = checkpointed(
-        source.mapInArrow(ship, schema).withColumn("spread", spread).groupBy("shard", "spread").applyInArrow(_score_shard, schema)
+    counted = checkpointed(
+        source.mapInArrow(read, schema)
+        .withColumn("spread", spread)
+        .groupBy("shard", "spread")
+        .applyInArrow(_count_shard(speller.words / _HEAVY), schema)
     )
-    # The shards' counts: two numbers each, and the counts of at most _HEAVY split words.
-    header = answered.where("shard = -1").select(F.explode("docs").alias("d"))
-    ends = header.where("d.train").count()
-    words, distinct, split = 0, 0, np.zeros(_HEAVY + 2)
-    for r in answered.where("slice = -1").select("body").collect():
-        numbers, which, total = _arrays(r["body"], "<f8", "<u2", "<f8")
-        words, distinct = words + int(numbers[0]), distinct + int(numbers[1])
-        split += np.bincount(which, weights=total, minlength=_HEAVY + 2)
-    n_heavy = len(heavy)
-    split[n_heavy + 1 :] = 0  # the start mark is no token
-    train_tokens = words + int(split.sum()) + ends
-    v = distinct + int((split > 0).sum()) + int(ends > 0)
-    split[n_heavy + 1] = ends
+    # One row per shard, and at most _HEAVY words in all.
+    distinct, heavy = 0, [np.zeros(0, dtype=np.uint64)]
+    for r in counted.where("slice = -1").select("body").collect():
+        n, most = _arrays(r["body"], "<u8", "<u8")
+        distinct += int(n[0])
+        heavy.append(most)
+    heavy = np.sort(np.concatenate(heavy))
+    side = len(heavy) + 2
+    common = sc.broadcast(heavy)
+    train_tokens = speller.words + ends
+    v = distinct + int(ends > 0)
     floor = np.log10(train_tokens + 0.5 * (v + 1))
 
+    def ship(table: pa.Table) -> pa.Table:
+        """A slice's words, each with those before it, by the shard of the word before; and its documents' base scores."""
+        speller, heavy = letters.value, common.value
+        places, bodies = table.column("shard").to_pylist(), table.column("body").to_pylist()
+        number, head = table.column("slice")[0].as_py(), places.index(-1)
+        header = table.column("docs")[head].as_py()
+        hashed, spelt, codes, counts = _arrays(bodies[head], "<u8", "<f8", "<u4", "<u4")
+        codes, counts = codes.astype(np.int64), counts.astype(np.int64)
+        shard, uses = mix(hashed) % np.uint64(shards), np.zeros(len(hashed))
+        for k, body in zip(places, bodies):
+            if k >= 0:
+                uses[shard == np.uint64(k)] = _arrays(body, "<f8")[0]
+        n_words, n_docs, stops = len(hashed), len(counts), np.cumsum(counts)
+        alone = _encoded(np.append(speller.alone(spelt, uses, distinct), [0.0, speller.end]))
+        hashed, uses = np.append(hashed, [_START_ID, _END_ID]), np.append(uses, [0, ends])
+        # Each document: its words, then the end; before them as many start marks as are looked at.
+        following = np.insert(codes, stops, n_words + 1)
+        doc = np.repeat(np.arange(n_docs), counts + 1)
+        since = np.arange(len(following)) - np.repeat(stops - counts + np.arange(n_docs), counts + 1)
+
+        def before(k: int) -> np.ndarray:
+            moved = np.append(np.full(min(k, len(following)), n_words), following[: len(following) - min(k, len(following))])
+            return np.where(since >= k, moved, n_words)
+
+        base = np.bincount(doc, weights=np.log10(uses + 0.5)[following], minlength=n_docs) - (counts + 1) * floor
+        known = np.bincount(doc, weights=(uses > 0)[following], minlength=n_docs)
+        numbers = _number(heavy, hashed)
+        numbers[n_words], numbers[n_words + 1] = side - 1, 0
+        context, second = before(1), before(2)
+        own, other = numbers[context], numbers[second]
+        pair = np.where((own > 0) & (other > 0), own * side + other, 0)
+        part = np.where(pair > 0, hashed[following] % np.uint64(_PARTS), mix(hashed[second]) % np.uint64(_PARTS))
+        class_ = np.where(pair > 0, mix(hashed[second] + np.uint64(3)) + part, part)
+        ids = np.where(own > 0, mix(hashed[context] + class_ + np.uint64(1)), hashed[context])
+        longer, chain = [], np.zeros(len(ids), dtype=np.uint64)
+        for k in range(2, order):
+            chain = mix(chain + hashed[before(k)] + np.uint64(k))
+            longer.append((chain >> np.uint64(20)).astype(np.uint32))
+        goal = (mix(ids) % np.uint64(shards)).astype(np.int32)
+        trained = np.array([d["train"] for d in header], dtype=bool)
+        line = np.lexsort((ids, goal))
+        ids, goal, pair_ = ids[line], goal[line], pair[line]
+        follower = (hashed[following] >> np.uint64(20)).astype(np.uint32)[line]
+        marked = (doc + np.where(trained[doc], 32768, 0)).astype(np.uint16)[line]
+        word, longer = alone[following][line], [x[line] for x in longer]
+        cuts = np.append(np.flatnonzero(np.append(True, goal[1:] != goal[:-1])), len(goal))
+        starts = np.flatnonzero(np.append(True, (ids[1:] != ids[:-1]) | (goal[1:] != goal[:-1])))
+        runs = np.diff(np.append(starts, len(ids)))
+        firsts = np.searchsorted(starts, cuts)
+        rows = []
+        for b, e, f, g in zip(cuts[:-1], cuts[1:], firsts[:-1], firsts[1:]):
+            at = starts[f:g]
+            body = _bytes(
+                ids[at],
+                pair_[at].astype("<u4"),
+                runs[f:g].astype("<u4"),
+                follower[b:e],
+                word[b:e],
+                marked[b:e],
+                *(x[b:e] for x in longer),
+            )
+            rows.append((number, int(goal[b]), body, None))
+        pairs, times = np.unique(doc[pair > 0] * side**2 + pair[pair > 0], return_counts=True)
+        summed = _bytes(
+            (pairs // side**2).astype("<u2"), (pairs % side**2).astype("<u4"), times.astype("<u4"), base, known.astype("<u4")
+        )
+        rows.append((number, -1, summed, header))
+        return _table(rows, table)
+
+    shipped = counted.where("slice <> -1").groupBy("slice").applyInArrow(ship, schema).withColumn("spread", spread)
+    answered = checkpointed(shipped.groupBy("shard", "spread").applyInArrow(_score_shard(order), schema))
+    # The counts of split contexts: at most (_HEAVY + 2) ** 2 numbers.
+    split = np.zeros(side**2)
+    for r in answered.where("slice = -1").select("body").collect():
+        which, total = _arrays(r["body"], "<u4", "<f8")
+        split += np.bincount(which, weights=total, minlength=side**2)
+
     def finish(table: pa.Table) -> pa.Table:
         kinds = table.column("shard").to_pylist()
         bodies = table.column("body").to_pylist()
         head = kinds.index(-1)
         docs = table.column("docs")[head].as_py()
         n = len(docs)
-        base, score, known = np.zeros(n), np.zeros(n), np.zeros(n)
+        doc, which, times, base, known = _arrays(bodies[head], "<u2", "<u4", "<u4", "<f8", "<u4")
+        score = np.zeros(n)
         for sort, body in zip(kinds, bodies):
             if sort == 0:
-                doc, b, s, k = _arrays(body, "<u2", "<f8", "<f4", "<u4")
-                base[doc] += b
-                score[doc] += s
-                known[doc] += k
-        doc, which, times = (a.astype(np.int64) for a in _arrays(bodies[head], "<u2", "<u2", "<u4"))
-        word = which <= n_heavy
-        np.add.at(base, doc[word], times[word] * np.log10(split[which[word]] + 0.5))
-        np.add.at(known, doc[word], times[word] * (split[which[word]] > 0))
-        np.add.at(score, doc, -times * np.log10(split[which] + _PARTS))
-        tokens = np.array([d["tokens"] for d in docs], dtype=np.int64)
-        base += np.log10(ends + 0.5) - tokens * floor
-        known += ends > 0
+                at, s = _arrays(body, "<u2", "<f8")
+                score[at] += s
+        np.add.at(score, doc, -times.astype(np.float64) * np.log10(splits.value[which] + _PARTS))
         columns = [
             pa.array([d["doc_id"] for d in docs], docs_type),
-            pa.array(tokens),
+            pa.array([d["tokens"] for d in docs], pa.int64()),
             pa.array(known.astype(np.int64)),
             pa.array(np.full(n, train_tokens, dtype=np.int64)),
             pa.array(base),
@@ -382,6 +465,7 @@ def score_texts(docs: DataFrame, train: Column, shards: int | None = None) -> Da
         ]
         return pa.table(columns, names=["doc_id", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
 
+    splits = sc.broadcast(split)
     docs_type = pa.int64() if kind == "bigint" else None
     return (
         answered.where("slice <> -1")

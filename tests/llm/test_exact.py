@@ -170,6 +170,23 @@ def test_lm_is_the_same_for_any_sharding(docs):
     assert a.keys() == b.keys() and all(a[i] == pytest.approx(b[i], rel=1e-5) for i in a)
 
 
+def test_lm_is_the_same_for_any_partitioning(docs):
+    few = docs.where("doc_id % 5 = 0")
+    a, b = (
+        {r["doc_id"]: r["score"] for r in score_texts(few.repartition(n), F.col("doc_id") % 2 == 0, shards=4).collect()}
+        for n in (1, 17)
+    )
+    assert a.keys() == b.keys() and all(a[i] == pytest.approx(b[i], rel=1e-9) for i in a)
+
+
+def test_lm_knows_words_that_are_rare_everywhere(spark):
+    # "zyxw" is once in each of many slices, "zyxv" nowhere: their letters are about as likely.
+    rows = [(i, f"a{i} b{i} zyxw c{i}") for i in range(64)] + [(100, "zyxw"), (101, "zyxv")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(32)
+    got = {r["doc_id"]: r["score"] for r in score_texts(frame, F.col("doc_id") < 100, shards=3).collect()}
+    assert got[100] > got[101] + 1.5
+
+
 @pytest.mark.parametrize("top", [3, 1000, 2**40, 2**63])
 def test_elias_fano_successor(tmp_path, top):
     rng = np.random.default_rng(top % 97)
