@@ -301,7 +301,7 @@ def _score_shard(order: int) -> Callable[[pa.Table], pa.Table]:
     return score
 
 
-def score_texts(docs: DataFrame, train: Column, shards: int | None = None, order: int = 2) -> DataFrame:
+def score_texts(docs: DataFrame, train: Column, shards: int | None = None, order: int = 3) -> DataFrame:
     """`doc_id, n_tokens, n_known, train_tokens, base_score, score` of every row, learning from those where `train` holds.
 
     A word is predicted from up to `order` - 1 words before it.

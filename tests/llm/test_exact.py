@@ -187,6 +187,18 @@ def test_lm_knows_words_that_are_rare_everywhere(spark):
     assert got[100] > got[101] + 1.5
 
 
+def test_lm_learns_from_longer_contexts(spark):
+    # "c" and "d" follow "b" alike; the word before it tells which.
+    rows = [(i, "p a b c q" if i % 2 else "p e b d q") for i in range(20)] + [(1000, "p a b c q"), (1001, "p a b d q")]
+    rows.append((500, " ".join(f"w{i}" for i in range(16_000))))  # so that none of them is among the most frequent
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    gap = {}
+    for order in (2, 3, 4):
+        got = {r["doc_id"]: r["score"] for r in score_texts(frame, F.col("doc_id") < 1000, shards=3, order=order).collect()}
+        gap[order] = got[1000] - got[1001]
+    assert abs(gap[2]) < 0.1 and gap[3] > 0.5 and gap[4] > 0.5
+
+
 @pytest.mark.parametrize("top", [3, 1000, 2**40, 2**63])
 def test_elias_fano_successor(tmp_path, top):
     rng = np.random.default_rng(top % 97)
