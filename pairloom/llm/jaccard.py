@@ -79,12 +79,13 @@ def _short(ids: list[bytes]) -> np.ndarray:
     return np.frombuffer(b"".join(ids), dtype="<i8")[::2] if ids else np.zeros(0, dtype=np.int64)
 
 
-def set_table(docs: DataFrame, width: int) -> DataFrame:
-    """`(doc_id, n_shingles, set_id, member, probed)`; null set_id without shingles.
+def set_table(docs: DataFrame, width: int, keep: tuple[str, ...] = ()) -> DataFrame:
+    """`(doc_id, n_shingles, set_id, member, probed)` and the columns in `keep`; null set_id without shingles.
 
     `member` is a short form of set_id, `probed` the number of tokens the first bound looks at.
     """
     kind = docs.schema["doc_id"].dataType.simpleString()
+    kept = "".join(f", `{c}` {docs.schema[c].dataType.simpleString()}" for c in keep)
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in slices(batches):
@@ -98,12 +99,13 @@ def set_table(docs: DataFrame, width: int) -> DataFrame:
                     pa.array([i if len(s) else None for i, s in zip(ids, sets)], pa.binary()),
                     pa.array(_short(ids)),
                     pa.array(probed, pa.int64()),
+                    *(piece.column(c) for c in keep),
                 ],
-                names=["doc_id", "n_shingles", "set_id", "member", "probed"],
+                names=["doc_id", "n_shingles", "set_id", "member", "probed", *keep],
             )
 
-    return docs.select("doc_id", "text").mapInArrow(
-        sketch, f"doc_id {kind}, n_shingles bigint, set_id binary, member bigint, probed bigint"
+    return docs.select("doc_id", "text", *keep).mapInArrow(
+        sketch, f"doc_id {kind}, n_shingles bigint, set_id binary, member bigint, probed bigint{kept}"
     )
 
 
@@ -496,13 +498,8 @@ def _between_groups(reaching: DataFrame, percent: int) -> DataFrame:
 
 
 
-
-def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 75) -> DataFrame:
-    """`(doc_id, n_shingles, component_id)` of every row.
-
-    Two documents link when 100 * intersection >= percent * union of their shingle sets.
-    """
-    docs = docs.select("doc_id", F.col("text").cast("string").alias("text"))
+def _rooted(docs: DataFrame, width: int, percent: int, keep: tuple[str, ...] = ()) -> tuple[DataFrame, DataFrame]:
+    """The set table of the rows, and `(set_id, doc_id, root)`: each set's smallest id and component."""
     threshold, buckets = percent / 100, _buckets(docs)
 
     def pack_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -518,7 +515,7 @@ def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 75) -> Da
             owners = _short(piece.column("root").to_pylist()).tolist()
             yield from _packed(list(zip(owners, members, sets)), threshold, buckets)
 
-    rows = checkpointed(set_table(docs, width))
+    rows = checkpointed(set_table(docs, width, keep))
     members = rows.where("set_id IS NOT NULL").groupBy("set_id").agg(
         F.min("doc_id").alias("doc_id"),
         F.count("*").alias("copies"),
@@ -553,7 +550,15 @@ def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 75) -> Da
     rooted = members.select("set_id", "doc_id").join(
         connected_components(links).withColumnRenamed("node", "set_id"), "set_id", "left"
     )
-    rooted = checkpointed(rooted.select("set_id", "doc_id", F.coalesce("root", "set_id").alias("root")))
+    return rows, checkpointed(rooted.select("set_id", "doc_id", F.coalesce("root", "set_id").alias("root")))
+
+
+def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 75) -> DataFrame:
+    """`(doc_id, n_shingles, component_id)` of every row.
+
+    Two documents link when 100 * intersection >= percent * union of their shingle sets.
+    """
+    rows, rooted = _rooted(docs.select("doc_id", F.col("text").cast("string").alias("text")), width, percent)
     smallest = rooted.groupBy("root").agg(F.min("doc_id").alias("component_id"))
     classes = rooted.join(smallest, "root").select("set_id", "component_id")
     return rows.join(classes, "set_id", "left").select(
@@ -562,23 +567,26 @@ def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 75) -> Da
 
 
 def nearest_kept(docs: DataFrame, width: int = 5, percent: int = 75) -> DataFrame:
-    """One row of each component: of those with its id as doc_id, the one with the smallest text hash.
+    """One row of each component: the one with the smallest doc_id, null last, then the smallest text hash.
 
-    A component whose doc_ids are all null keeps its rows, and wordless texts are
-    components of their own; rows that repeat a kept doc_id in the same set go.
+    Rows are told apart by two hashes of id and text, so one id may stand for several
+    texts; of rows equal in both one stays. Wordless texts are components of their
+    own and all stay.
     """
-    classes = jaccard_components(docs, width, percent)
-    heads = classes.where("doc_id = component_id").select("doc_id").distinct()
-    leading = docs.join(heads, "doc_id", "left_semi")
-    text = F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))
-    repeated = leading.groupBy("doc_id").agg(F.min(text).alias("__least"), F.count("*").alias("__rows")).where("__rows > 1")
-    single = leading.join(repeated, "doc_id", "left_anti")
-    chosen = (
-        leading.withColumn("__hash", text)
-        .join(repeated.select("doc_id", "__least"), "doc_id")
-        .where("__hash = __least")
-        .drop("__hash", "__least")
-        .dropDuplicates(["doc_id"])
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    row = ("__row_a", "__row_b")
+    named = docs.withColumns({row[0]: F.xxhash64(text), row[1]: F.xxhash64(F.lit(1), text, F.col("doc_id"))})
+    rows, rooted = _rooted(named.select("doc_id", F.col("text").cast("string").alias("text"), *row), width, percent, row)
+    # Counts first, so that copies of a row meet in their task already.
+    placed = (
+        rows.where("set_id IS NOT NULL")
+        .groupBy("set_id", "doc_id", *row)
+        .agg(F.count("*").alias("n"))
+        .join(rooted.select("set_id", "root"), "set_id")
     )
-    nameless = docs.where("doc_id IS NULL")
-    return single.select(*docs.columns).unionByName(chosen.select(*docs.columns)).unionByName(nameless)
+    least = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", *row, "n")).alias("least")
+    chosen = placed.groupBy("root").agg(least).select(*(f"least.{c}" for c in row), (F.col("least.n") > 1).alias("__many"))
+    wordless = rows.where("set_id IS NULL").select(*row, F.lit(False).alias("__many")).distinct()
+    kept = named.join(checkpointed(chosen.unionByName(wordless)), list(row))
+    single, repeated = kept.where("NOT __many"), kept.where("__many").dropDuplicates(list(row))
+    return single.select(*docs.columns).unionByName(repeated.select(*docs.columns))

@@ -88,6 +88,23 @@ def test_jaccard(nasty, empty):
     assert ids(kept) == sorted({i for i in ALL if i is not None}) + [None]
 
 
+def test_kept_rows_are_chosen_by_component(spark):
+    a, b, c, d = (" ".join(f"{k}{i}" for i in range(60)) for k in "abcd")
+    near = a.replace("a59", "x")
+    rows = [
+        (1, near), (2, a), (2, b),  # one id, two texts: one is near to 1, the other near to nothing
+        (7, c), (None, c), (None, c), (None, c + " y"),  # null ids beside a named row
+        (None, d), (None, d), (None, d + " z"),  # null ids alone
+        (9, "p q"), (9, "r s"), (9, "r s"),
+        (None, ""), (5, " "),
+    ]
+    kept = nearest_kept(spark.createDataFrame(rows, "doc_id long, text string").repartition(5)).collect()
+    got = sorted(((r["doc_id"], r["text"]) for r in kept), key=str)
+    of_d = [r for r in got if r[0] is None and r[1].startswith("d0")]
+    assert len(of_d) == 1
+    assert [r for r in got if r not in of_d] == sorted([(1, near), (2, b), (7, c), (9, "p q"), (9, "r s"), (None, ""), (5, " ")], key=str)
+
+
 def test_mixing(nasty, empty):
     rows = mix_sources(nasty, keep=("doc_id", "source", "size")).collect()
     assert len(rows) == len(ROWS) and {r["size"] for r in rows} == {"clash"}
