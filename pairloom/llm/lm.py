@@ -162,16 +162,20 @@ _SHIPPED = "slice bigint, shard int, body binary, docs array<struct<doc_id:{kind
 
 
 def _bytes(*arrays: np.ndarray) -> bytes:
-    """Arrays behind their lengths."""
-    return b"".join(len(a).to_bytes(4, "little") + np.ascontiguousarray(a).tobytes() for a in arrays)
+    """Arrays behind their lengths, byte by byte of all numbers, compressed: checkpoints are not."""
+    planes = (np.ascontiguousarray(a).view(np.uint8).reshape(len(a), a.dtype.itemsize).T.tobytes() for a in arrays)
+    raw = b"".join(len(a).to_bytes(4, "little") + p for a, p in zip(arrays, planes))
+    return len(raw).to_bytes(8, "little") + pa.compress(raw, codec="zstd", asbytes=True)
 
 
 def _arrays(raw: bytes, *kinds: str) -> list[np.ndarray]:
+    raw = pa.decompress(raw[8:], int.from_bytes(raw[:8], "little"), codec="zstd", asbytes=True)
     out, at = [], 0
     for kind in kinds:
-        n = int.from_bytes(raw[at : at + 4], "little")
-        out.append(np.frombuffer(raw, dtype=kind, count=n, offset=at + 4))
-        at += 4 + n * np.dtype(kind).itemsize
+        n, width = int.from_bytes(raw[at : at + 4], "little"), np.dtype(kind).itemsize
+        planes = np.frombuffer(raw, dtype=np.uint8, count=n * width, offset=at + 4).reshape(width, n)
+        out.append(np.ascontiguousarray(planes.T).reshape(-1).view(kind))
+        at += 4 + n * width
     return out
 
 
@@ -338,7 +342,7 @@ def score_texts(docs: DataFrame, train: Column, shards: int | None = None, order
                 {"doc_id": i, "train": bool(t), "tokens": int(n) + 1}
                 for i, t, n in zip(piece.column("doc_id").to_pylist(), trained, words.counts)
             ]
-            body = _bytes(hashed, spelt, words.codes.astype("<u4"), words.counts.astype("<u4"))
+            body = _bytes(hashed, _encoded(spelt), words.codes.astype("<u4"), words.counts.astype("<u4"))
             rows.append((number, -1, body, header))
             shape = pa.list_(pa.struct([("doc_id", piece.schema.field("doc_id").type), ("train", pa.bool_()), ("tokens", pa.int64())]))
             yield pa.record_batch(
@@ -371,7 +375,8 @@ def score_texts(docs: DataFrame, train: Column, shards: int | None = None, order
         places, bodies = table.column("shard").to_pylist(), table.column("body").to_pylist()
         number, head = table.column("slice")[0].as_py(), places.index(-1)
         header = table.column("docs")[head].as_py()
-        hashed, spelt, codes, counts = _arrays(bodies[head], "<u8", "<f8", "<u4", "<u4")
+        hashed, spelt, codes, counts = _arrays(bodies[head], "<u8", "<u2", "<u4", "<u4")
+        spelt = -_DECODED[spelt]
         codes, counts = codes.astype(np.int64), counts.astype(np.int64)
         shard, uses = mix(hashed) % np.uint64(shards), np.zeros(len(hashed))
         for k, body in zip(places, bodies):
