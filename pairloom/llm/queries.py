@@ -8,10 +8,12 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pairloom.llm.decontaminate import decontaminate
 from pairloom.llm.hosts import host_quality
 from pairloom.llm.jaccard import jaccard_components
 from pairloom.llm.language import identify_language
 from pairloom.llm.lm import score_texts
+from pairloom.llm.manifest import manifest
 from pairloom.llm.merkle import edited_fingerprints
 from pairloom.llm.mixing import mix_sources
 from pairloom.llm.packing import pack_documents
@@ -19,6 +21,7 @@ from pairloom.llm.roles import repair_roles
 from pairloom.llm.text import fold
 from pairloom.llm.toxicity import fit_toxicity, score_toxicity
 from pairloom.llm.warc import round_trip
+from pairloom.llm.whitening import whiten
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -93,6 +96,29 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(_table(spark, sf_dir, "documents"))
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The manifest of all documents, checked after the newlines of every second id were lost."""
+    lost = F.when(fold(F.col("doc_id"), 2) == 0, F.translate("text", "\n", "")).otherwise(F.col("text"))
+    return manifest(_table(spark, sf_dir, "documents"), now={"text": lost})
+
+
+def op12_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
+def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    white = whiten(_table(spark, sf_dir, "embeddings"))
+    return white.withColumn("deviation", F.col("deviation").cast("long"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -106,5 +132,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_lm_score,
         op9_packing,
         op10_jaccard_join,
+        op11_merkle_manifest,
+        op12_benchmark_decontamination,
+        op13_embedding_whitening,
     )
 }
