@@ -79,17 +79,17 @@ WITH i AS (
     SELECT item_id, {_words('text')} AS w FROM benchmark
 ), windows AS (
     SELECT DISTINCT item_id::VARCHAR AS item, w[k : k + 9] AS words
-    FROM i, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS at(k) WHERE len(w) > 0
+    FROM i, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS s(k) WHERE len(w) > 0
 ), d AS (
     SELECT row_number() OVER () AS r, doc_id, {_words('text')} AS w FROM documents
 ), lengths AS (
     SELECT DISTINCT len(words) AS n FROM windows
 ), places AS (
-    SELECT r, k, n, w[k : k + n - 1] AS words FROM d, lengths, unnest(range(1, len(w) - n + 2)) AS at(k)
+    SELECT r, k, n, w[k : k + n - 1] AS words FROM d, lengths, unnest(range(1, len(w) - n + 2)) AS s(k)
 ), hits AS (
     SELECT r, k, n, item FROM places JOIN windows USING (words)
 ), covered AS (
-    SELECT r, count(DISTINCT p) AS n_hit FROM hits, unnest(range(k, k + n)) AS at(p) GROUP BY r
+    SELECT r, count(DISTINCT p) AS n_hit FROM hits, unnest(range(k, k + n)) AS s(p) GROUP BY r
 ), named AS (
     SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT r, item FROM hits) GROUP BY r
 )
