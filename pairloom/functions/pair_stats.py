@@ -2,8 +2,9 @@
 
 Spark has no multiset intersection, longest common subsequence or word
 alignment over arrays, and the relational forms shuffle every n-gram. This pass
-is map-only. Tokens of a batch are numbered once; all but the bit-parallel
-subsequence loop and the synonym stage is array arithmetic over the batch.
+is map-only. A batch is worked on in slices of bounded token mass, a long pair
+alone in its own. Tokens of a slice are numbered once; all but the bit-parallel
+subsequence loop and the synonym stage is array arithmetic over the slice.
 """
 
 from __future__ import annotations
@@ -14,6 +15,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import Broadcast
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
@@ -21,6 +23,8 @@ from pyspark.sql.types import IntegerType, StructField, StructType
 OVERLAPS = ("m1", "m2", "m3", "m4")
 FIELDS = {**{m: (m,) for m in OVERLAPS}, "lcs": ("lcs",), "aligned": ("matches", "chunks")}
 _KEY_LIMIT = 2**62
+#: Tokens of both sides that are worked on at a time.
+SLICE_TOKENS = 1 << 18
 
 
 @dataclass
@@ -127,19 +131,55 @@ def _meet(p_key: np.ndarray, r_key: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return p_order[in_p], r_order[in_r]
 
 
+@dataclass(frozen=True)
+class Thesaurus:
+    """Words and their synonyms as a sparse matrix: those of word i are `others[ends[i - 1] : ends[i]]`."""
+
+    words: pa.Array
+    ends: np.ndarray
+    others: pa.Array
+
+    @classmethod
+    def of(cls, table: pa.Table) -> Thesaurus:
+        """From `(word, syn)` rows; repeated rows and nulls add nothing."""
+        rows = table.select(["word", "syn"]).drop_null().group_by(["word", "syn"]).aggregate([]).sort_by("word").combine_chunks()
+        runs = pc.run_end_encode(rows["word"].combine_chunks() if rows.num_rows else pa.array([], pa.string()))
+        return cls(runs.values.cast(pa.string()), runs.run_ends.to_numpy(zero_copy_only=False).astype(np.int64), pa.array(rows["syn"].to_pylist(), pa.string()))
+
+    def codes(self, words: list[str]) -> dict[int, list[int]]:
+        """For the numbers of `words` that have synonyms among them, the numbers of those synonyms."""
+        own = pa.array(words, pa.string())
+        row = pc.index_in(own, value_set=self.words).to_numpy(zero_copy_only=False)
+        known = np.flatnonzero(~np.isnan(row.astype(np.float64)))
+        rows = row[known].astype(np.int64)
+        begins = np.where(rows > 0, self.ends[rows - 1], 0) if len(rows) else rows
+        sizes = self.ends[rows] - begins if len(rows) else rows
+        places = np.repeat(begins - np.cumsum(sizes) + sizes, sizes) + np.arange(int(sizes.sum()))
+        # Words that differ in case have one form, so a form may have several numbers.
+        numbers: dict[str, list[int]] = {}
+        for number, word in enumerate(words):
+            numbers.setdefault(word, []).append(number)
+        found: dict[int, list[int]] = {}
+        for number, other in zip(np.repeat(known, sizes).tolist(), self.others.take(pa.array(places)).to_pylist()):
+            if other in numbers:
+                found.setdefault(number, []).extend(numbers[other])
+        return found
+
+
 def _synonym_stage(
-    p: _Side, r: _Side, open_p: np.ndarray, open_r: np.ndarray, words: list[str], synonyms: list
+    p: _Side, r: _Side, open_p: np.ndarray, open_r: np.ndarray, known: Callable[[int], Iterable[int]]
 ) -> tuple[list[int], list[int]]:
-    """Among unmatched words, from the end: the last free reference word that is a synonym."""
-    free: dict[tuple[int, str], list[int]] = {}
+    """Among unmatched words, from the end: the last free reference word that is a synonym.
+
+    `known` gives the numbers of the synonyms of the prediction word at a place.
+    """
+    free: dict[tuple[int, int], list[int]] = {}
     for j in open_r.tolist():
-        free.setdefault((int(r.row[j]), words[r.codes[j]]), []).append(j)
-    starts = p.ends - p.lengths
+        free.setdefault((int(r.row[j]), int(r.codes[j])), []).append(j)
     matched: tuple[list[int], list[int]] = ([], [])
     for i in open_p.tolist()[::-1]:
         row = int(p.row[i])
-        known = synonyms[row][i - starts[row]] or ()
-        places = [free[row, w] for w in known if free.get((row, w))]
+        places = [free[row, w] for w in known(i) if free.get((row, w))]
         if places:
             matched[0].append(i)
             matched[1].append(max(places, key=lambda at: at[-1]).pop())
@@ -147,7 +187,12 @@ def _synonym_stage(
 
 
 def _alignments(
-    p: _Side, r: _Side, dictionary: pa.Array, stem: Callable[[str], str] | None, synonyms: list | None
+    p: _Side,
+    r: _Side,
+    dictionary: pa.Array,
+    stem: Callable[[str], str] | None,
+    synonyms: list | None,
+    thesaurus: Thesaurus | None,
 ) -> tuple[np.ndarray, np.ndarray]:
     """Matched words and chunks per row (Banerjee & Lavie 2005): exact, stem, then synonym stage."""
     rows = len(p.lengths)
@@ -168,8 +213,25 @@ def _alignments(
         span = len(number) + 1
         key = lambda side, at: side.row[at] * span + form[side.codes[at]]  # noqa: E731, B023
         take(*_meet(key(p, open_p), key(r, open_r)))
-    if synonyms is not None:
-        found_p, found_r = _synonym_stage(p, r, open_p, open_r, words, synonyms)
+    if synonyms is not None or thesaurus is not None:
+        if thesaurus is not None:
+            matrix = thesaurus.codes(words)
+            # Only words with synonyms among the others are walked through.
+            can = np.zeros(len(words) + 1, dtype=bool)
+            can[list(matrix)] = True
+            open_p = open_p[can[p.codes[open_p]]]
+            known = lambda i: matrix[int(p.codes[i])]
+        else:
+            numbers: dict[str, list[int]] = {}
+            for number, word in enumerate(words):
+                numbers.setdefault(word, []).append(number)
+            starts = p.ends - p.lengths
+
+            def known(i: int) -> list[int]:
+                row = int(p.row[i])
+                return [n for w in synonyms[row][i - starts[row]] or () for n in numbers.get(w, ())]
+
+        found_p, found_r = _synonym_stage(p, r, open_p, open_r, known)
         met_p.append(np.array(found_p, dtype=np.int64))
         met_r.append(np.array(found_r, dtype=np.int64))
     i, j = np.concatenate(met_p), np.concatenate(met_r)
@@ -181,21 +243,35 @@ def _alignments(
     return np.bincount(row, minlength=rows), np.bincount(row[opens], minlength=rows)
 
 
+def token_slices(p: pa.Array, r: pa.Array, limit: int = SLICE_TOKENS) -> Iterable[tuple[int, int]]:
+    """Row ranges with at most `limit` tokens on both sides together, or one pair."""
+    sizes = [pc.fill_null(pc.list_value_length(a), 0).to_numpy(zero_copy_only=False).astype(np.int64) for a in (p, r)]
+    ends = np.cumsum(sizes[0] + sizes[1])
+    at = 0
+    while at < len(ends):
+        before = int(ends[at - 1]) if at else 0
+        end = max(at + 1, int(np.searchsorted(ends, before + limit, side="right")))
+        yield at, end
+        at = end
+
+
 def pair_stats(
     features: Iterable[str],
     stem: Callable[[str], str] | None = None,
     with_synonyms: bool = False,
+    thesaurus: Broadcast | None = None,
 ) -> Callable[..., Column]:
     """A column function `(p_tokens, r_tokens[, p_synonyms]) -> struct` of the features' counts.
 
     m1..m4 are clipped n-gram overlaps, `lcs` the subsequence length, and `aligned`
-    gives matches and chunks. Whole texts, no length cap.
+    gives matches and chunks. Whole texts, no length cap. Synonyms come as a column,
+    one list per prediction token, or from a broadcast `Thesaurus`.
     """
     wanted = [f for f in FIELDS if f in set(features)]
     orders = [n for n, m in enumerate(OVERLAPS, 1) if m in wanted]
     shape = StructType([StructField(name, IntegerType()) for f in wanted for name in FIELDS[f]])
 
-    def batch(p: pa.Array, r: pa.Array, synonyms: list | None) -> pa.Array:
+    def counts(p: pa.Array, r: pa.Array, synonyms: list | None) -> pa.Array:
         left, right, dictionary = _numbered(p, r)
         columns = []
         if orders:
@@ -204,20 +280,28 @@ def pair_stats(
         if "lcs" in wanted:
             columns.append(_lcs_lengths(left, right))
         if "aligned" in wanted:
-            columns += _alignments(left, right, dictionary, stem, synonyms)
+            columns += _alignments(left, right, dictionary, stem, synonyms, thesaurus.value if thesaurus else None)
         return pa.StructArray.from_arrays(
             [pa.array(np.asarray(c).astype(np.int32), pa.int32()) for c in columns], names=shape.names
         )
 
+    def batch(p: pa.Array, r: pa.Array, synonyms: pa.Array | None = None) -> pa.Array:
+        cut = lambda a, at, end: a.slice(at, end - at)
+        done = [
+            counts(cut(p, at, end), cut(r, at, end), None if synonyms is None else cut(synonyms, at, end).to_pylist())
+            for at, end in token_slices(p, r)
+        ]
+        return pa.concat_arrays(done) if done else pa.array([], pa.struct([(n, pa.int32()) for n in shape.names]))
+
     if with_synonyms:
 
         @F.arrow_udf(shape)
         def stats(p: pa.Array, r: pa.Array, s: pa.Array) -> pa.Array:
-            return batch(p, r, s.to_pylist())
+            return batch(p, r, s)
     else:
 
         @F.arrow_udf(shape)
         def stats(p: pa.Array, r: pa.Array) -> pa.Array:
-            return batch(p, r, None)
+            return batch(p, r)
 
     return stats

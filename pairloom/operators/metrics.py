@@ -9,10 +9,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pairloom.constants import TASK_METRICS
-from pairloom.functions.pair_stats import FIELDS, OVERLAPS, pair_stats
+from pairloom.functions.pair_stats import FIELDS, OVERLAPS, Thesaurus, pair_stats
 from pairloom.functions.text import is_blank, strip
 from pairloom.functions.tokens import Tokenizer, whitespace_tokens
 
+#: Rows and characters of a thesaurus up to which every worker gets it whole.
+THESAURUS_ROWS, THESAURUS_CHARS = 1_000_000, 32 << 20
+
+
 def _zero() -> Column:
     return F.lit(0.0)
 
@@ -171,6 +175,14 @@ def with_synonyms(pairs: DataFrame, synonyms: DataFrame) -> DataFrame:
     )
 
 
+def small_thesaurus(synonyms: DataFrame) -> Thesaurus | None:
+    """A `(word, syn)` table as a sparse matrix, or None where it is above the measured bound."""
+    table = synonyms.select(F.lower(F.col("word")).alias("word"), "syn").distinct()
+    chars = F.sum(F.coalesce(F.octet_length("word"), F.lit(0)) + F.coalesce(F.octet_length("syn"), F.lit(0)))
+    rows, size = table.agg(F.count("*"), chars).head()
+    return None if rows > THESAURUS_ROWS or (size or 0) > THESAURUS_CHARS else Thesaurus.of(table.toArrow())
+
+
 def with_features(
     pairs: DataFrame,
     features: set[str] | frozenset[str],
@@ -178,14 +190,21 @@ def with_features(
     stem: Callable[[str], str] | None = None,
     synonyms: DataFrame | None = None,
 ) -> DataFrame:
-    """Add `stats`, holding only the counts the metrics need, from one Python pass."""
+    """Add `stats`, holding only the counts the metrics need, from one Python pass.
+
+    A thesaurus of measured size is looked up by the distinct words of a batch;
+    a larger one is joined to the words of the pairs.
+    """
     counted = features & set(FIELDS)
     if not counted:
         return pairs
     out = with_token_counts(pairs, tokenizer)
-    use_synonyms = "aligned" in counted and synonyms is not None
-    arguments = ["p_tokens", "r_tokens"]
-    if use_synonyms:
-        out = with_synonyms(out, synonyms)
-        arguments.append("p_synonyms")
-    return out.withColumn("stats", pair_stats(counted, stem, use_synonyms)(*map(F.col, arguments)))
+    arguments, shared, joined = ["p_tokens", "r_tokens"], None, False
+    if "aligned" in counted and synonyms is not None:
+        matrix = small_thesaurus(synonyms)
+        if matrix is not None:
+            shared = pairs.sparkSession.sparkContext.broadcast(matrix)
+        else:
+            out, joined = with_synonyms(out, synonyms), True
+            arguments.append("p_synonyms")
+    return out.withColumn("stats", pair_stats(counted, stem, joined, shared)(*map(F.col, arguments)))

@@ -2,18 +2,25 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from pairloom.operators.pairing import normalize_pairs
 from pairloom.session import checkpointed
 
 BLOCK = 512
+#: Characters that an encoder gets at once; a longer text is given to it alone.
+BATCH_CHARS = 1 << 18
+PARTS = ("precision", "recall", "f1")
+
+#: From texts to one (tokens x dimensions) matrix each.
+Encoder = Callable[[list[str]], Sequence[np.ndarray]]
 
 
 def _unit_rows(table: pa.Table) -> np.ndarray:
@@ -86,6 +93,85 @@ def soft_alignment(vectors: DataFrame, block: int = BLOCK) -> DataFrame:
     )
 
 
+def _unit(matrix: np.ndarray) -> np.ndarray:
+    matrix = np.asarray(matrix, dtype=np.float64)
+    norms = np.linalg.norm(matrix, axis=1, keepdims=True) if matrix.size else np.ones((len(matrix), 1))
+    return np.divide(matrix, norms, out=np.zeros_like(matrix), where=norms > 0)
+
+
+def greedy_scores(prediction: np.ndarray, reference: np.ndarray, tile: int = BLOCK) -> tuple[float, float, float]:
+    """Precision, recall and F1 of two matrices of token vectors, holding at most `tile` x `tile` cosines at a time."""
+    if not len(prediction) or not len(reference):
+        return 0.0, 0.0, 0.0
+    pred, ref = _unit(prediction), _unit(reference)
+    best = [np.full(len(pred), -np.inf), np.full(len(ref), -np.inf)]
+    for i in range(0, len(pred), tile):
+        for j in range(0, len(ref), tile):
+            cosine = pred[i : i + tile] @ ref[j : j + tile].T
+            for side, at, axis in ((0, i, 1), (1, j, 0)):
+                own = best[side][at : at + tile]
+                np.maximum(own, cosine.max(axis=axis), out=own)
+    precision, recall = (float(b.mean()) for b in best)
+    total = precision + recall
+    return precision, recall, 2 * precision * recall / total if total else 0.0
+
+
+def _chunks(sides: tuple[list[str], list[str]], batch_size: int, batch_chars: int) -> Iterator[tuple[int, int]]:
+    """Row ranges of at most `batch_size` texts and `batch_chars` characters, or one pair."""
+    first, held = 0, 0
+    for at, (p, r) in enumerate(zip(*sides)):
+        own = len(p) + len(r)
+        if at > first and (2 * (at + 1 - first) > batch_size or held + own > batch_chars):
+            yield first, at
+            first, held = at, 0
+        held += own
+    if first < len(sides[0]):
+        yield first, len(sides[0])
+
+
+def soft_scores(
+    make_encoder: Callable[[], Encoder], batch_size: int = 32, tile: int = BLOCK, batch_chars: int = BATCH_CHARS
+) -> Callable[[Column, Column], Column]:
+    """A column function of two texts to `struct<precision, recall, f1>`, encoded and compared in one map pass.
+
+    `make_encoder` runs once per task. Each distinct text of a batch is encoded
+    once, and its vectors are given up as soon as its pairs are scored: none
+    leaves the worker. A null text is encoded as the empty one.
+    """
+    shape = StructType([StructField(part, DoubleType()) for part in PARTS])
+
+    @F.arrow_udf(shape)
+    def scores(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        encode = make_encoder()
+        for batch in batches:
+            sides = tuple([t or "" for t in side.to_pylist()] for side in batch)
+            rows: list[tuple[float, float, float]] = []
+            for first, end in _chunks(sides, batch_size, batch_chars):
+                pairs = list(zip(sides[0][first:end], sides[1][first:end]))
+                texts = list(dict.fromkeys(t for both in pairs for t in both))
+                vectors = {}
+                for at in range(0, len(texts), batch_size):
+                    given = texts[at : at + batch_size]
+                    matrices = encode(given)
+                    if len(matrices) != len(given):
+                        raise ValueError(f"the encoder returned {len(matrices)} matrices for {len(given)} texts")
+                    vectors.update(zip(given, matrices))
+                rows += [greedy_scores(vectors[p], vectors[r], tile) for p, r in pairs]
+            columns = zip(*rows) if rows else [()] * len(PARTS)
+            yield pa.StructArray.from_arrays([pa.array(c, pa.float64()) for c in columns], names=list(PARTS))
+
+    return lambda prediction, reference: scores(prediction, reference)
+
+
+def bert_score_pairs(
+    pairs: DataFrame, make_encoder: Callable[[], Encoder], batch_size: int = 32, tile: int = BLOCK, on_null: str = "error"
+) -> DataFrame:
+    """`(id, precision, recall, f1)` of the normalised texts of `(id, prediction, reference)`; nothing is shuffled."""
+    score = soft_scores(make_encoder, batch_size, tile)
+    texts = normalize_pairs(pairs, on_null)
+    return texts.select("id", score(F.col("prediction"), F.col("reference")).alias("soft")).select("id", "soft.*")
+
+
 def harmonic(precision, recall):
     total = precision + recall
     return F.when(total == 0, F.lit(0.0)).otherwise(
@@ -95,7 +181,7 @@ def harmonic(precision, recall):
 
 def embed_pairs(
     pairs: DataFrame,
-    make_encoder: Callable[[], Callable[[list[str]], list[np.ndarray]]],
+    make_encoder: Callable[[], Encoder],
     batch_size: int = 32,
     on_null: str = "error",
 ) -> DataFrame:

@@ -12,7 +12,7 @@ from pairloom.functions.tokens import Tokenizer, whitespace_tokens
 from pairloom.operators.chat import CHATML, ChatFormat, render_chat, render_generation_prompt, split_responses
 from pairloom.operators.generate import Predictor, batch_generate
 from pairloom.operators.pairing import pair, pair_by_position, unmatched
-from pairloom.operators.report import average, evaluate, score_examples
+from pairloom.operators.report import average, evaluate, listed_scores, score_texts
 from pairloom.operators.split import train_test_split
 from pairloom.operators.tokens import pack_sequences
 from pairloom.session import checkpointed
@@ -101,7 +101,9 @@ def evaluate_files(
     With `on`, rows meet by key. Without it they meet by position, in the order of
     `order_by` (as text) or of a single file, and the average divides by the number
     of predictions. With a key and an output path the unmatched rows are written;
-    without a path they are an error.
+    without a path they are an error. `encoder` is a factory that scores soft
+    alignment from the texts. The output has `texts` (both texts and all scores of
+    an example), `examples` (a row per score) and `averages`.
     """
     keep = [on] if on else [order_by] if isinstance(order_by, str) else list(order_by or [])
     predictions = read_pairs_csv(spark, pred_path, [*keep, predict_column])
@@ -117,8 +119,9 @@ def evaluate_files(
         if any(lone.values()):
             raise ValueError(f"rows without a partner: {lone}; give an output path to have them counted there")
         return evaluate(pairs, metrics, n_predictions=n_predictions, **options)
-    # Scored once: the averages are taken from the written table.
-    write_scores(score_examples(pairs, metrics, **options), f"{output_path}/examples")
+    # Scored once: the other tables are taken from the first, which has the texts beside their scores.
+    write_scores(score_texts(pairs, metrics, **options), f"{output_path}/texts")
+    write_scores(listed_scores(spark.read.parquet(f"{output_path}/texts")), f"{output_path}/examples")
     report = average(spark.read.parquet(f"{output_path}/examples"), n_predictions)
     write_report(report, f"{output_path}/averages")
     if on:
