@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import numpy as np
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from pairloom.constants import NO_ANSWER
+from pairloom.functions.text import normalize_text
 from pairloom.functions.tokens import whitespace_tokens
 from pairloom.operators.ordered import ordered_positions
 
@@ -128,6 +130,33 @@ def choices(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def thesaurus(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """`(word, syn)` from the words of all documents: each with its neighbours among those of the same first three letters."""
+    said = F.explode(whitespace_tokens(F.lower(normalize_text("text"))))
+    words = table(spark, sf_dir, "documents").select(said.alias("word")).distinct().where(F.length("word") > 3)
+    alike = Window.partitionBy(F.left("word", F.lit(3))).orderBy("word")
+    near = words.select("word", F.array(F.lag("word").over(alike), F.lead("word").over(alike)).alias("syns"))
+    return near.select("word", F.explode("syns").alias("syn")).where(F.col("syn").isNotNull())
+
+
+#: Letters whose counts, with the length, are the vector of a token.
+LETTERS = "aeiounst"
+
+
+def make_letter_encoder():
+    """An encoder that SQL can repeat: a token's length and how often it has certain letters."""
+
+    def encode(texts: list[str]) -> list[np.ndarray]:
+        known: dict[str, list[int]] = {}
+        matrices = []
+        for text in texts:
+            rows = [known.setdefault(t, [len(t), *map(t.count, LETTERS)]) for t in text.split()]
+            matrices.append(np.array(rows, dtype=np.float64).reshape(len(rows), len(LETTERS) + 1))
+        return matrices
+
+    return encode
+
+
 VECTORS_PER_SIDE = 10
 
 

@@ -16,7 +16,7 @@ from pairloom.catalog.spark_queries import (
     TOKENS_PER_STEP,
     WORLD,
 )
-from pairloom.catalog.inputs import TURN_SPAN, VECTORS_PER_SIDE
+from pairloom.catalog.inputs import LETTERS, TURN_SPAN, VECTORS_PER_SIDE
 from pairloom.constants import (
     ASCII_DIGITS,
     CHOICE_INTRO,
@@ -289,6 +289,56 @@ soft AS (SELECT id, precision, recall, CASE WHEN precision + recall = 0 THEN 0
 
 SOFT = _soft()
 
+
+def letters(tok: str) -> str:
+    """Soft alignment of the token lists of `tok`, a vector being a token's length and counts of letters."""
+    counts = ", ".join(f"length(t) - length(replace(t, '{c}', ''))" for c in LETTERS)
+    return f"""
+said AS (SELECT id, side, t, count(*) AS c, [length(t), {counts}]::DOUBLE[] AS v
+  FROM (SELECT id, 0 AS side, unnest(pt) AS t FROM {tok} UNION ALL SELECT id, 1, unnest(rt) FROM {tok}) GROUP BY id, side, t),
+nearest AS (SELECT a.id, a.side, a.t, any_value(a.c) AS c, max(list_cosine_similarity(a.v, b.v)) AS best
+  FROM said a JOIN said b ON a.id = b.id AND a.side <> b.side GROUP BY a.id, a.side, a.t),
+sides AS (SELECT {tok}.id, coalesce(sum(c * best) FILTER (side = 0) / sum(c) FILTER (side = 0), 0) AS precision,
+    coalesce(sum(c * best) FILTER (side = 1) / sum(c) FILTER (side = 1), 0) AS recall
+  FROM {tok} LEFT JOIN nearest USING (id) GROUP BY {tok}.id),
+soft AS (SELECT id, precision, recall, coalesce(2 * precision * recall / nullif(precision + recall, 0), 0) AS f1 FROM sides)"""
+
+
+def _stage(name: str, before: list[str], form: str) -> str:
+    """One stage of METEOR: among words no earlier stage has met, the k-th from the end meets the k-th of its form."""
+    met = " UNION ALL ".join(f"SELECT * FROM {b}" for b in before)
+    free = lambda side, at: f"AND NOT EXISTS (SELECT 1 FROM ({met}) m WHERE m.id = s.id AND m.{at} = s.pos)" if before else ""
+    ranked = lambda side, at: f"""
+    SELECT id, pos, {form} AS w, row_number() OVER (PARTITION BY id, {form} ORDER BY pos DESC) AS k
+    FROM mwords s WHERE side = '{side}' {free(side, at)}"""
+    return f"""
+{name} AS (SELECT a.id, a.pos AS i, b.pos AS j FROM ({ranked('p', 'i')}) a JOIN ({ranked('r', 'j')}) b USING (id, w, k))"""
+
+
+# Synonyms: from the end, each free word takes the last free reference word that is one.
+STEM_SYNONYMS = f"""WITH {PAIRS},
+mtok AS (SELECT id, {words(normalized('inputs'))} AS pt, {words(normalized('targets'))} AS rt FROM pairs),
+mwords AS (SELECT id, 'p' AS side, lower(unnest(pt)) AS w, generate_subscripts(pt, 1) AS pos FROM mtok
+  UNION ALL SELECT id, 'r', lower(unnest(rt)), generate_subscripts(rt, 1) FROM mtok),
+vocabulary AS (SELECT DISTINCT w FROM (SELECT unnest({words(f"lower({normalized('text')})")}) AS w FROM documents) WHERE length(w) > 3),
+alike AS (SELECT w, lag(w) OVER o AS a, lead(w) OVER o AS b FROM vocabulary WINDOW o AS (PARTITION BY left(w, 3) ORDER BY w)),
+synonyms AS (SELECT w, a AS syn FROM alike WHERE a IS NOT NULL UNION ALL SELECT w, b FROM alike WHERE b IS NOT NULL),
+{_stage('exact', [], 'w')},
+{_stage('stems', ['exact'], "CASE WHEN length(w) > 3 AND w LIKE '%s' THEN left(w, length(w) - 1) ELSE w END")},
+earlier AS (SELECT * FROM exact UNION ALL SELECT * FROM stems),
+open_p AS (SELECT * FROM mwords s WHERE side = 'p' AND NOT EXISTS (SELECT 1 FROM earlier m WHERE m.id = s.id AND m.i = s.pos)),
+open_r AS (SELECT * FROM mwords s WHERE side = 'r' AND NOT EXISTS (SELECT 1 FROM earlier m WHERE m.id = s.id AND m.j = s.pos)),
+choices AS (SELECT p.id, p.pos AS i, list(r.pos ORDER BY r.pos DESC) AS js
+  FROM open_p p JOIN synonyms USING (w) JOIN open_r r ON r.id = p.id AND r.w = syn GROUP BY p.id, p.pos),
+taken AS (SELECT id, list(i ORDER BY i DESC) AS places, list_reduce([[]::BIGINT[]] || list(js ORDER BY i DESC),
+    lambda used, js: list_append(used, coalesce(list_filter(js, lambda j: NOT list_contains(used, j))[1], -1))) AS used
+  FROM choices GROUP BY id),
+matched AS (SELECT * FROM earlier UNION ALL
+  SELECT id, i, j FROM (SELECT id, unnest(places) AS i, unnest(used) AS j FROM taken) WHERE j > 0),
+steps_of AS (SELECT id, CASE WHEN i = lag(i) OVER o + 1 AND j = lag(j) OVER o + 1 THEN 0 ELSE 1 END AS opens
+  FROM matched WINDOW o AS (PARTITION BY id ORDER BY i)),
+counted AS (SELECT id, count(*) AS m, sum(opens) AS ch FROM steps_of GROUP BY id)"""
+
 ORACLE: dict[str, str] = {
     "normalize_text": f"SELECT doc_id, {normalized('text')} AS normalized, {stripped('text')} AS stripped FROM documents",
     "exact_match": f"WITH {EVAL} SELECT id, {EM_SCORE} AS exact_match FROM tok",
@@ -309,17 +359,22 @@ ORACLE: dict[str, str] = {
     + " UNION ALL ".join(
         f"SELECT id, '{m}' AS metric, '{s}' AS sub_metric, round({c}, 6) AS score FROM scored" for m, s, c in SCORE_NAMES
     ),
-    "mrc_report": f"""{SOFT}, ev AS (SELECT item_id AS id, {normalized(thinned('text', 'item_id'))} AS p, {normalized('text')} AS r FROM benchmark),
-tok AS (SELECT id, p, r, {words('p')} AS pt, {words('r')} AS rt FROM ev),
+    "bert_score_texts": f"""WITH {EVAL}, {letters('tok')}
+        SELECT id, round(precision, 6) AS precision, round(recall, 6) AS recall, round(f1, 6) AS f1 FROM soft""",
+    "mrc_report": f"""WITH ev AS (SELECT item_id AS id, {normalized(thinned('text', 'item_id'))} AS p, {normalized('text')} AS r FROM benchmark),
+tok AS (SELECT id, p, r, {words('p')} AS pt, {words('r')} AS rt FROM ev), {letters('tok')},
 c AS (SELECT id, w, sum(a) AS a, sum(b) AS b FROM (
   SELECT id, unnest(pt) AS w, 1 AS a, 0 AS b FROM tok UNION ALL SELECT id, unnest(rt), 0, 1 FROM tok) GROUP BY id, w),
 f AS (SELECT id, 2.0::DOUBLE * sum(least(a, b)) / (sum(a) + sum(b)) AS f1, {EM_SCORE} AS em,
-      any_value(soft.precision) AS sp, any_value(soft.recall) AS sr, any_value(soft.f1) AS sf FROM c JOIN ev USING (id) LEFT JOIN soft USING (id) GROUP BY id, p, r)
+      any_value(soft.precision) AS sp, any_value(soft.recall) AS sr, any_value(soft.f1) AS sf FROM c JOIN ev USING (id) JOIN soft USING (id) GROUP BY id, p, r)
 SELECT 'f1_score' AS metric, 'score' AS sub_metric, round(avg(f1), 6) AS score, count(*) AS n FROM f UNION ALL
 SELECT 'exact_match', 'score', round(avg(em), 6), count(*) FROM f UNION ALL
 SELECT 'bert_score', 'precision', round(avg(sp), 6), count(sp) FROM f UNION ALL
 SELECT 'bert_score', 'recall', round(avg(sr), 6), count(sr) FROM f UNION ALL
 SELECT 'bert_score', 'f1', round(avg(sf), 6), count(sf) FROM f""",
+    "meteor_stem_synonyms": f"""{STEM_SYNONYMS}
+        SELECT t.id, coalesce(m, 0) AS matches, coalesce(ch, 0)::BIGINT AS chunks, round({METEOR_SCORE}, 6) AS meteor
+        FROM (SELECT id, len(pt) AS np, len(rt) AS nr FROM mtok) t LEFT JOIN counted ON t.id = counted.id""",
     "pair_by_key": """SELECT doc_id AS id, text AS prediction, CASE WHEN quality = 1 THEN 'good' ELSE 'poor' END AS reference
         FROM documents JOIN labels USING (doc_id)""",
     "unmatched": """SELECT 'prediction' AS side, count(*) AS n_unmatched FROM documents

@@ -14,7 +14,7 @@ from pairloom.operators import chat, metrics, pairing, prompts, report, telemetr
 from pairloom.operators.filters import drop_incomplete, drop_marked
 from pairloom.operators.generate import batch_generate
 from pairloom.operators.reshape import flatten_qa, unpivot_targets
-from pairloom.operators.soft_align import soft_alignment
+from pairloom.operators.soft_align import bert_score_pairs, soft_alignment
 from pairloom.operators.split import train_test_split
 from pairloom.plans import datasets, jobs
 from pairloom.session import scratch_path
@@ -90,15 +90,47 @@ def q_score_examples(spark, sf_dir):
     return found.select("id", "metric", "sub_metric", r6(F.col("score")).alias("score"))
 
 
+def q_bert_score_texts(spark, sf_dir):
+    """Soft alignment from texts: encoded and compared where the pairs are."""
+    soft = bert_score_pairs(src.eval_pairs(spark, sf_dir), src.make_letter_encoder)
+    return soft.select("id", *[r6(F.col(c)).alias(c) for c in ("precision", "recall", "f1")])
+
+
 def q_mrc_report(spark, sf_dir):
-    """The preset of a task, with soft alignment over the token vectors."""
-    vectors = src.token_vectors(spark, sf_dir)
+    """The preset of a task, with soft alignment from the texts."""
     items = src.table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("id"), F.col("text").alias("targets"))
     pairs = src.with_prediction(items)
-    found = report.evaluate(pairs, metrics.metrics_for("mrc"), vectors=vectors)
+    found = report.evaluate(pairs, metrics.metrics_for("mrc"), encoder=src.make_letter_encoder)
     return found.select("metric", "sub_metric", r6(F.col("score")).alias("score"), "n")
 
 
+def plural_stem(word: str) -> str:
+    """A stand-in stemmer: a last `s` goes."""
+    return word[:-1] if len(word) > 3 and word.endswith("s") else word
+
+
+def q_meteor_stem_synonyms(spark, sf_dir):
+    """Questions against answers, by exact words, stems and a thesaurus of the documents' words."""
+    pairs = src.training_pairs(spark, sf_dir).select(
+        "id", F.col("inputs").alias("prediction"), F.col("targets").alias("reference")
+    )
+    featured = metrics.with_features(
+        pairing.normalize_pairs(pairs), frozenset({"aligned"}), stem=plural_stem, synonyms=src.thesaurus(spark, sf_dir)
+    )
+    score = metrics.metric("meteor").scores()[metrics.SCORE]
+    counts = [F.col(f"stats.{c}").cast("long").alias(c) for c in ("matches", "chunks")]
+    return featured.select("id", *counts, r6(score).alias("meteor"))
+
+
+def q_rouge_documents(spark, sf_dir):
+    """Whole documents against their lines in reverse: pairs of any length."""
+    wide = src.wide_summaries(spark, sf_dir)
+    pairs = wide.select("doc_id", F.col("context").alias("prediction"), F.col("detailed_summary").alias("reference"))
+    featured = metrics.with_features(pairs, metrics.metric("rouge").features)
+    scores = {part.replace("-", "_"): score for part, score in metrics.metric("rouge").scores().items()}
+    return featured.select("doc_id", "n_pred", "n_ref", *[r6(c).alias(n) for n, c in scores.items()])
+
+
 def q_pair_by_key(spark, sf_dir):
     """All documents against all labels: only labelled documents pair up."""
     predictions = src.table(spark, sf_dir, "documents")

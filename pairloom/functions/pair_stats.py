@@ -255,6 +255,39 @@ def token_slices(p: pa.Array, r: pa.Array, limit: int = SLICE_TOKENS) -> Iterabl
         at = end
 
 
+def pair_counts(
+    p: pa.Array,
+    r: pa.Array,
+    wanted: list[str],
+    stem: Callable[[str], str] | None = None,
+    synonyms: pa.Array | None = None,
+    thesaurus: Thesaurus | None = None,
+    limit: int = SLICE_TOKENS,
+) -> pa.Array:
+    """The counts of the `wanted` features of two columns of token lists, slice by slice."""
+    orders = [n for n, m in enumerate(OVERLAPS, 1) if m in wanted]
+    names = [name for f in wanted for name in FIELDS[f]]
+
+    def counts(p: pa.Array, r: pa.Array, synonyms: list | None) -> pa.Array:
+        left, right, dictionary = _numbered(p, r)
+        columns = []
+        if orders:
+            overlaps = _clipped_overlaps(left, right, max(1, len(dictionary)), max(orders))
+            columns += [overlaps[n - 1] for n in orders]
+        if "lcs" in wanted:
+            columns.append(_lcs_lengths(left, right))
+        if "aligned" in wanted:
+            columns += _alignments(left, right, dictionary, stem, synonyms, thesaurus)
+        return pa.StructArray.from_arrays([pa.array(np.asarray(c).astype(np.int32), pa.int32()) for c in columns], names=names)
+
+    cut = lambda a, at, end: a.slice(at, end - at)
+    done = [
+        counts(cut(p, at, end), cut(r, at, end), None if synonyms is None else cut(synonyms, at, end).to_pylist())
+        for at, end in token_slices(p, r, limit)
+    ]
+    return pa.concat_arrays(done) if done else pa.array([], pa.struct([(n, pa.int32()) for n in names]))
+
+
 def pair_stats(
     features: Iterable[str],
     stem: Callable[[str], str] | None = None,
@@ -268,40 +301,17 @@ def pair_stats(
     one list per prediction token, or from a broadcast `Thesaurus`.
     """
     wanted = [f for f in FIELDS if f in set(features)]
-    orders = [n for n, m in enumerate(OVERLAPS, 1) if m in wanted]
     shape = StructType([StructField(name, IntegerType()) for f in wanted for name in FIELDS[f]])
 
-    def counts(p: pa.Array, r: pa.Array, synonyms: list | None) -> pa.Array:
-        left, right, dictionary = _numbered(p, r)
-        columns = []
-        if orders:
-            overlaps = _clipped_overlaps(left, right, max(1, len(dictionary)), max(orders))
-            columns += [overlaps[n - 1] for n in orders]
-        if "lcs" in wanted:
-            columns.append(_lcs_lengths(left, right))
-        if "aligned" in wanted:
-            columns += _alignments(left, right, dictionary, stem, synonyms, thesaurus.value if thesaurus else None)
-        return pa.StructArray.from_arrays(
-            [pa.array(np.asarray(c).astype(np.int32), pa.int32()) for c in columns], names=shape.names
-        )
-
-    def batch(p: pa.Array, r: pa.Array, synonyms: pa.Array | None = None) -> pa.Array:
-        cut = lambda a, at, end: a.slice(at, end - at)
-        done = [
-            counts(cut(p, at, end), cut(r, at, end), None if synonyms is None else cut(synonyms, at, end).to_pylist())
-            for at, end in token_slices(p, r)
-        ]
-        return pa.concat_arrays(done) if done else pa.array([], pa.struct([(n, pa.int32()) for n in shape.names]))
-
     if with_synonyms:
 
         @F.arrow_udf(shape)
         def stats(p: pa.Array, r: pa.Array, s: pa.Array) -> pa.Array:
-            return batch(p, r, s)
+            return pair_counts(p, r, wanted, stem, s)
     else:
 
         @F.arrow_udf(shape)
         def stats(p: pa.Array, r: pa.Array) -> pa.Array:
-            return batch(p, r)
+            return pair_counts(p, r, wanted, stem, thesaurus=thesaurus.value if thesaurus else None)
 
     return stats

@@ -158,7 +158,8 @@ def with_token_counts(pairs: DataFrame, tokenizer: Tokenizer = whitespace_tokens
 
 def with_synonyms(pairs: DataFrame, synonyms: DataFrame) -> DataFrame:
     """Add `p_synonyms`, one list per prediction token, from a `(word, syn)` table. Needs a unique `id`."""
-    thesaurus = synonyms.groupBy("word").agg(F.collect_set("syn").alias("syns"))
+    folded = synonyms.select(F.lower("word").alias("word"), F.lower("syn").alias("syn"))
+    thesaurus = folded.groupBy("word").agg(F.collect_set("syn").alias("syns"))
     words = pairs.select("id", F.explode(F.array_distinct(F.transform("p_tokens", F.lower))).alias("word"))
     known = words.join(thesaurus, "word")
     per_pair = known.groupBy("id").agg(F.map_from_entries(F.collect_list(F.struct("word", "syns"))).alias("__known"))
@@ -177,7 +178,7 @@ def with_synonyms(pairs: DataFrame, synonyms: DataFrame) -> DataFrame:
 
 def small_thesaurus(synonyms: DataFrame) -> Thesaurus | None:
     """A `(word, syn)` table as a sparse matrix, or None where it is above the measured bound."""
-    table = synonyms.select(F.lower(F.col("word")).alias("word"), "syn").distinct()
+    table = synonyms.select(F.lower("word").alias("word"), F.lower("syn").alias("syn")).distinct()
     chars = F.sum(F.coalesce(F.octet_length("word"), F.lit(0)) + F.coalesce(F.octet_length("syn"), F.lit(0)))
     rows, size = table.agg(F.count("*"), chars).head()
     return None if rows > THESAURUS_ROWS or (size or 0) > THESAURUS_CHARS else Thesaurus.of(table.toArrow())

@@ -208,7 +208,7 @@ def embed_pairs(
                         "id": np.repeat(chunk["id"].to_numpy(), sizes),
                         "side": np.repeat(chunk["side"].to_numpy(), sizes),
                         "pos": np.concatenate([np.arange(n, dtype=np.int32) for n in sizes]),
-                        "vec": [row.astype(np.float32) for m in matrices for row in np.asarray(m)],
+                        "vec": pd.Series([row.astype(np.float32) for m in matrices for row in np.asarray(m)], dtype=object),
                     }
                 )
 
