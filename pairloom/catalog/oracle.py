@@ -244,12 +244,12 @@ def seconds(begin: str, end: str) -> str:
     return f"(date_diff('microsecond', {begin}, {end}) / 1000000.0::DOUBLE)"
 
 
-def _throughput(done: str, seen: str = "true") -> str:
+def _throughput(done: str, seen: str = "true", closed: str = "true") -> str:
     return f"""WITH {STEPS},
 kept AS (SELECT * REPLACE (min(ts) OVER (PARTITION BY run) AS start) FROM runs WHERE {seen}),
 logged AS (SELECT *, lag(ts) OVER (PARTITION BY run ORDER BY step) AS prev FROM kept WHERE step % {EVERY} = 0)
 SELECT run, step, round({done} / nullif({seconds('start', 'ts')}, 0), 6) AS throughput,
-       round({seconds('coalesce(prev, start)', 'ts')}, 6) AS elapsed_time FROM logged"""
+       round({seconds('coalesce(prev, start)', 'ts')}, 6) AS elapsed_time FROM logged WHERE {closed}"""
 
 
 def _gpu(k: int) -> str:
@@ -434,6 +434,10 @@ SELECT 'bert_score', 'f1', round(avg(sf), 6), count(sf) FROM f""",
     "throughput": _throughput(f"(step * {BATCH * MAX_LEN * ACCUM * WORLD})"),
     "throughput_actual": _throughput("done"),
     "throughput_gaps": _throughput(f"(step * {BATCH * MAX_LEN * ACCUM * WORLD})", "event_type <> 'error'"),
+    "throughput_running": _throughput(
+        f"(step * {BATCH * MAX_LEN * ACCUM * WORLD})",
+        closed="ts <= (SELECT date_trunc('millisecond', max(ts)) - INTERVAL 1 HOUR FROM events)",
+    ),
     "epoch_throughput": f"""WITH {STEPS},
         f AS (SELECT run, day(ts)::BIGINT AS epoch, max(ts) AS b, max(step) AS step, min(start) AS start FROM runs GROUP BY 1, 2),
         e AS (SELECT *, coalesce(lag(b) OVER (PARTITION BY run ORDER BY epoch), start) AS a FROM f)

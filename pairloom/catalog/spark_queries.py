@@ -19,7 +19,7 @@ from pairloom.operators.split import train_test_split
 from pairloom.plans import datasets, jobs
 from pairloom.session import scratch_path
 from pairloom.sources import tables as io
-from pairloom.streaming.throughput import run_to_parquet, throughput_stream
+from pairloom.streaming.throughput import run_to_parquet, running_throughput_stream, throughput_stream
 
 TEXT_METRICS = ("exact_match", "f1_score", "bleu", "rouge", "meteor")
 SYSTEM = "Answer briefly."
@@ -368,6 +368,18 @@ def q_throughput_stream(spark, sf_dir):
     return _rates(spark.read.parquet(out))
 
 
+def q_throughput_running(spark, sf_dir):
+    """Cumulative rates while runs go on: steps that the final watermark has passed."""
+    path = scratch_path(spark, "steps")
+    steps = src.step_events(spark, sf_dir).select("run", "step", "ts")
+    steps.write.parquet(path)
+    stream = spark.readStream.schema(steps.schema).parquet(path)
+    rates = running_throughput_stream(stream, EVERY, BATCH * MAX_LEN * ACCUM * WORLD, DELAY)
+    out = scratch_path(spark, "running")
+    run_to_parquet(rates, out, scratch_path(spark, "running-checkpoint"))
+    return spark.read.parquet(out).select("run", "step", *[r6(F.col(c)).alias(c) for c in ("throughput", "elapsed_time")])
+
+
 def q_csv_round_trip(spark, sf_dir):
     """Multi-line texts with quotes through CSV."""
     path = scratch_path(spark, "pairs-csv")

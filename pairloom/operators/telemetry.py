@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pairloom.operators.ordered import ordered_positions, running_total
+from pairloom.operators.ordered import running_measures
 
 GIB = 1024**3
 
@@ -31,47 +31,35 @@ def throughput(
 ) -> DataFrame:
     """`(run, step, throughput, elapsed_time)` at every N-th step of `(run, step, ts)`, steps from 1.
 
-    Throughput is cumulative since the run's first event, from the nominal token
-    count, or from the `tokens` column. Elapsed time goes back to the run's logged
-    step before, whether or not it is N steps earlier, and from the first one to
-    the run's start. Logged steps are numbered, and each is one window's end and
-    the next one's begin, so one aggregation by (run, number) finds both: no
-    self-join, and a run of any length spreads over tasks.
+    Throughput is cumulative since the run's start, from the nominal token count,
+    or from the `tokens` column. Elapsed time goes back to the run's logged step
+    before, whether or not it is N steps earlier, and from the first one to the
+    run's start: the earliest time among its steps so far. Start, logged step before
+    and tokens come from one scan in order of (run, step), so a run of any length
+    spreads over tasks and nothing is joined to itself. A null run is a run; a null
+    or repeated step of a run is an error; null tokens are none.
     """
-    logged = ordered_positions(steps.where(F.col("step") % every == 0), ["step"], [run], keep=("ts",))
-    no_time = F.lit(None).cast("timestamp")
-    ends = F.struct(F.col("pos").alias("pos"), F.col("step").alias("step"), F.col("ts").alias("end"), no_time.alias("begin"))
-    begins = F.struct(
-        (F.col("pos") + 1).alias("pos"), F.lit(None).cast("long").alias("step"), no_time.alias("end"), F.col("ts").alias("begin")
-    )
-    windows = (
-        logged.withColumn("step", F.col("step").cast("long"))
-        .select(run, F.explode(F.array(ends, begins)).alias("w"))
-        .groupBy(run, F.col("w.pos").alias("pos"))
-        .agg(F.max("w.step").alias("step"), F.max("w.end").alias("__end"), F.max("w.begin").alias("__begin"))
-        .where(F.col("__end").isNotNull())
-        .drop("pos")
-    )
-    joined = windows.join(run_starts(steps, run), run)
-    if tokens is None:
-        done = F.col("step") * F.lit(batch * max_len * accum * world)
-    else:
-        total = running_total(steps, ["step"], F.col(tokens), partition_by=[run]).where(F.col("step") % every == 0)
-        joined = joined.join(total.select(run, "step", (F.col("before") + F.col("amount")).alias("__done")), [run, "step"])
-        done = F.col("__done")
-    return joined.select(
+    micros = F.unix_micros(F.col("ts").cast("timestamp"))
+    sums = {} if tokens is None else {"__done": F.col(tokens)}
+    scanned = running_measures(
+        steps.select(run, F.col("step").cast("long").alias("step"), micros.alias("__at"), *([tokens] if tokens else [])),
+        ["step"],
+        [run],
+        sums=sums,
+        mins={"__start": F.col("__at")},
+        lasts={"__before": F.when(F.col("step") % every == 0, F.col("__at"))},
+        keep=("__at",),
+    ).where(F.col("step") % every == 0)
+    done = F.col("__done") if tokens else F.col("step") * F.lit(batch * max_len * accum * world)
+    since = lambda begin: (F.col("__at") - begin) / F.lit(1_000_000.0)
+    return scanned.select(
         run,
         "step",
-        _rate(done, seconds_between(F.col("__start"), F.col("__end"))).alias("throughput"),
-        seconds_between(F.coalesce("__begin", "__start"), F.col("__end")).alias("elapsed_time"),
+        _rate(done, since(F.col("__start"))).alias("throughput"),
+        since(F.coalesce("__before", "__start")).alias("elapsed_time"),
     )
 
 
-def run_starts(steps: DataFrame, run: str = "run") -> DataFrame:
-    """First timestamp of each run; adaptive execution chooses how it is joined."""
-    return steps.groupBy(run).agg(F.min("ts").alias("__start"))
-
-
 def epoch_throughput(
     steps: DataFrame,
     every: int,
@@ -86,16 +74,18 @@ def epoch_throughput(
 
     The token count is the cumulative one of the N-step windows finished by then.
     An epoch lasts from the end of the one before, the first from the run's start.
+    A null run is a run, and a null epoch one before all others.
     """
     # One row per epoch; a run has few.
-    before = Window.partitionBy(run).orderBy(epoch)
+    whole = Window.partitionBy(run)
     ends = (
         steps.groupBy(run, epoch)
-        .agg(F.max("ts").alias("__end"), F.max("step").alias("step"))
-        .withColumn("__begin", F.lag("__end").over(before))
+        .agg(F.min("ts").alias("__first"), F.max("ts").alias("__end"), F.max("step").alias("step"))
+        .withColumn("__begin", F.lag("__end").over(whole.orderBy(epoch)))
+        .withColumn("__start", F.min("__first").over(whole))
     )
     done = F.floor(F.col("step") / every) * F.lit(every * batch * max_len * accum * world)
-    return ends.join(run_starts(steps, run), run).select(
+    return ends.select(
         run,
         epoch,
         "step",

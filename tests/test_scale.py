@@ -7,7 +7,9 @@ from math import ceil
 import pytest
 from pyspark.sql import functions as F
 
+from pairloom.functions.tokens import python_tokenizer
 from pairloom.operators import ordered, split, tokens
+from pairloom.operators.ordered import running_measures
 
 
 def skewed(spark, n=900, seed=1):
@@ -152,11 +154,78 @@ def test_row_operators_do_not_shuffle(spark):
     assert shuffles(q.registered()["summary_pairs"](spark, sf)) == 0
 
 
-def test_packing_tokenises_once_and_shuffles_text(spark):
-    from pairloom.catalog import spark_queries as q
+def test_packing_tokenises_once_and_shuffles_fragments(spark):
+    """Each text is tokenised once; after the pages only what is left at the ends of partitions is shuffled."""
+    texts = spark.createDataFrame([(i, " ".join(f"{i}.{k}" for k in range(i % 23))) for i in range(400)], "id long, t string")
+    calls = spark.sparkContext.accumulator(0)
+
+    def split(text):
+        calls.add(1)
+        return text.split()
+
+    packed = tokens.pack_sequences(texts, "id", 16, drop_last=False, text="t", tokenizer=python_tokenizer(split), parts=4)
+    found = packed.orderBy("block_id").collect()
+    assert calls.value == 400
+    assert [t for r in found for t in r["tokens"]] == [f"{i}.{k}" for i in range(400) for k in range(i % 23)]
+    plan = packed._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "Join" not in plan and "split(" not in plan
+    rows = {
+        n: sorted(map(tuple, tokens.pack_sequences(texts.repartition(n), "id", 16, False, text="t", parts=n).collect()), key=lambda r: r[0])
+        for n in (1, 17)
+    }
+    assert rows[1] == rows[17] == [tuple(r) for r in found]
+
+
+def test_pack_pages_and_blocks_of_any_size(spark, monkeypatch):
+    """Pages smaller than a block, blocks longer than a partition, a row longer than all, and rows without tokens."""
+    monkeypatch.setattr(tokens, "PAGE_TOKENS", 7)  # goes to the workers with the pass
+    stream, frame = lists(spark, [0, 3, 900, 0, 5, 1, 0])
+    for max_len in (1, 2, 300, 2000):
+        got = tokens.pack_sequences(frame, "id", max_len, drop_last=False, parts=5).orderBy("block_id").collect()
+        assert [r["tokens"] for r in got] == [stream[i : i + max_len] for i in range(0, len(stream), max_len)]
+    none = frame.select("id", F.when(F.col("id") < 3, F.col("tokens")).alias("tokens"))
+    assert sum(r["n_tokens"] for r in tokens.pack_sequences(none, "id", 4, False).collect()) == 903
+    assert tokens.pack_sequences(frame.where("false"), "id", 4, False).collect() == []
+    with pytest.raises(Exception, match="null in an order column"):
+        tokens.pack_sequences(frame.withColumn("id", F.lit(None).cast("long")), "id", 4).collect()
+    with pytest.raises(Exception, match="not unique"):
+        tokens.pack_sequences(frame.withColumn("id", F.lit(1)), "id", 4).collect()
+
+
+def test_pages_round_trip():
+    import pyarrow as pa
+
+    held = [["a", "b"], ["é" * 9], ["b", "b", "a"]]
+    back, sizes = tokens._page(tokens._page_bytes(pa.array([[], *held], pa.list_(pa.string())).slice(1)))
+    assert back.to_pylist() == [t for own in held for t in own] and sizes.tolist() == [2, 1, 3]
 
-    plan = q.registered()["pack_sequences"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("split(") == 1 and "CartesianProduct" not in plan and "NestedLoop" not in plan
+
+def brute_measures(rows):
+    """(group, order, value): sums and minima so far, and the last value before that isn't null."""
+    out, sums, mins, lasts = [], {}, {}, {}
+    for g, o, v in sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1])):
+        before = lasts.get(g)
+        sums[g] = sums.get(g, 0) + (v or 0)
+        if v is not None:
+            mins[g] = min(mins.get(g, v), v)
+            lasts[g] = v
+        out.append((g, o, sums[g], mins.get(g), before))
+    return out
+
+
+@pytest.mark.parametrize("parts", [1, 7])
+def test_running_measures(spark, parts):
+    """A group that owns a third, many small ones, a null one, nulls and wide values."""
+    rnd = random.Random(3)
+    rows = [(rnd.choice([None, 1, 1, 1, *range(60)]), i, rnd.choice([None, None, rnd.randrange(-(10**15), 10**15), 5])) for i in range(4000)]
+    frame = spark.createDataFrame(rows, "g long, o long, v long").repartition(5)
+    with_conf = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 97)
+    try:
+        got = running_measures(frame, ["o"], ["g"], {"s": F.col("v")}, {"m": F.col("v")}, {"l": F.col("v")}, parts=parts).collect()
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", with_conf)
+    assert sorted(map(tuple, got), key=repr) == sorted(brute_measures(rows), key=repr)
 
 
 def test_filters_and_columns_reach_the_scan(spark):
