@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -139,6 +141,37 @@ def thesaurus(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near.select("word", F.explode("syns").alias("syn")).where(F.col("syn").isNotNull())
 
 
+def subword_vocabularies() -> dict[str, tuple[Callable, Callable | None]]:
+    """The given public vocabularies: a factory of encoders, and what cuts a text into independent words."""
+    import public_tokenizers as given
+
+    byte_file, word_file, piece_file = map(given.path, ("byte_bpe_50k.json", "word_bpe_49k.json", "piece_bpe_32k.model"))
+    pattern = given.PATTERN
+
+    def fast(path: str):
+        def make():
+            from tokenizers import Tokenizer
+
+            vocabulary = Tokenizer.from_file(path)
+            vocabulary.encode_special_tokens = True
+            return lambda texts: [e.tokens for e in vocabulary.encode_batch(texts, add_special_tokens=False)]
+
+        return make
+
+    def pieces():
+        import sentencepiece
+
+        vocabulary = sentencepiece.SentencePieceProcessor(model_file=piece_file)
+        return lambda texts: vocabulary.encode(texts, out_type=str, num_threads=1)
+
+    def byte_words(text: str) -> list[str]:
+        import regex
+
+        return regex.findall(pattern, text)
+
+    return {"byte": (fast(byte_file), byte_words), "word": (fast(word_file), str.split), "piece": (pieces, None)}
+
+
 #: Letters whose counts, with the length, are the vector of a token.
 LETTERS = "aeiounst"
 

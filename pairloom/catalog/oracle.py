@@ -457,6 +457,26 @@ SELECT 'bert_score', 'f1', round(avg(sf), 6), count(sf) FROM f""",
         WHERE w + INTERVAL 6 HOURS <= (SELECT date_trunc('millisecond', max(ts)) - INTERVAL 1 HOUR FROM events)""",
     "csv_round_trip": f"WITH {PAIRS} SELECT id, inputs, targets FROM pairs",
     "jsonl_dir": f"""WITH {WIDE} SELECT doc_id, one_line_summary, title_generation FROM wide WHERE one_line_summary IS NOT NULL""",
+    # By name: whole and half numbers are doubles, numbers and names are text, and rows that lack a column are lost.
+    "jsonl_union": """SELECT * FROM (
+          SELECT doc_id, n_chars AS size, lang, source AS origin FROM documents WHERE lang = 'en' UNION ALL BY NAME
+          SELECT doc_id, n_chars + 0.5::DOUBLE AS size, lang, length(source)::VARCHAR AS origin FROM documents WHERE lang = 'fr' UNION ALL BY NAME
+          SELECT doc_id, n_chars AS size, lang FROM documents WHERE lang IN ('de', 'es'))
+        WHERE origin IS NOT NULL""",
+    "infer_then_evaluate": f"""WITH {PAIRS}, h AS (SELECT id, inputs, list_filter({words('inputs')}, lambda t, i: i % 2 = 1) AS half FROM pairs),
+        n AS (SELECT id, {normalized("array_to_string(half, ' ')")} AS p, {normalized('inputs')} AS r FROM h),
+        tok AS (SELECT id, p, r, {words('p')} AS pt, {words('r')} AS rt FROM n),
+        c AS (SELECT id, w, sum(a) AS a, sum(b) AS b FROM (
+          SELECT id, unnest(pt) AS w, 1 AS a, 0 AS b FROM tok UNION ALL SELECT id, unnest(rt), 0, 1 FROM tok) GROUP BY id, w),
+        f AS (SELECT tok.id, any_value({EM_SCORE}) AS em, coalesce(2.0::DOUBLE * sum(least(a, b)) / (sum(a) + sum(b)), 0) AS f1
+          FROM tok LEFT JOIN c ON c.id = tok.id GROUP BY tok.id),
+        m AS (SELECT 'f1_score' AS metric, round(avg(f1), 6) AS score, count(*) AS n FROM f UNION ALL
+          SELECT 'exact_match', round(avg(em), 6), count(*) FROM f)
+        SELECT way, metric, score, n FROM m, (VALUES ('key'), ('position')) AS ways(way)""",
+    "registered_metric": f"""WITH {EVAL} SELECT id, 'lengths' AS metric, 'ratio' AS sub_metric,
+          round(least(length(p), length(r))::DOUBLE / greatest(1, length(p), length(r)), 6) AS score FROM ev UNION ALL
+        SELECT id, 'lengths', 'longer', (length(p) > length(r))::INTEGER::DOUBLE FROM ev UNION ALL
+        SELECT id, 'exact_match', 'score', {EM_SCORE} FROM ev""",
     "splits_round_trip": f"""WITH {PAIRS} SELECT id, {CHAT} AS prompt,
         CASE WHEN md5('7:' || id) < {_below(0.2)} THEN 'test' ELSE 'train' END AS split FROM pairs""",
     "scores_round_trip": f"""WITH {OVERLAP}

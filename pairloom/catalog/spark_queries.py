@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pairloom.catalog import inputs as src
 from pairloom.functions.pair_stats import OVERLAPS
 from pairloom.functions.text import normalize_text, strip
+from pairloom.functions.tokens import vocabulary_tokenizer
 from pairloom.operators import chat, metrics, pairing, prompts, report, telemetry, tokens
 from pairloom.operators.filters import drop_incomplete, drop_marked
 from pairloom.operators.generate import batch_generate
@@ -266,6 +267,15 @@ def q_tokenize(spark, sf_dir):
     )
 
 
+def q_tokenize_subwords(spark, sf_dir):
+    """Turns in the tokens of three public vocabularies: how many, and a checksum of them."""
+    split = src.table(spark, sf_dir, "conversations").select("conv_id", "turn", "text")
+    for name, (make_encode, words) in src.subword_vocabularies().items():
+        split = tokens.tokenize(split, "text", vocabulary_tokenizer(make_encode, words), name)
+    told = lambda n: [F.size(n).cast("long").alias(f"n_{n}"), F.crc32(F.array_join(n, " ").cast("binary")).alias(f"{n}_crc32")]
+    return split.select("conv_id", "turn", *(c for n in ("byte", "word", "piece") for c in told(n)))
+
+
 def q_count_tokens(spark, sf_dir):
     return tokens.count_tokens(src.table(spark, sf_dir, "documents"), "text", "lang")
 
@@ -298,6 +308,11 @@ def make_echo():
     return lambda prompts, **sampling: [f"{p}{len(p)} at {sampling['temperature']}" for p in prompts]
 
 
+def make_half():
+    """A stand-in predictor: the prompt and then every second word of its question, as an answer."""
+    return lambda prompts: [p + " ".join(p.split("\n", 1)[1].rsplit("<|im_end|>", 1)[0].split()[::2]) for p in prompts]
+
+
 def q_batch_generate(spark, sf_dir):
     prompts_in = chat.render_generation_prompt(src.training_pairs(spark, sf_dir), chat.CHATML, SYSTEM)
     generated = batch_generate(prompts_in.select("id", "prompt"), "prompt", make_echo, temperature=0.5)
@@ -396,6 +411,48 @@ def q_jsonl_dir(spark, sf_dir):
     return io.read_jsonl_dir(spark, path, wide.schema, pattern="*.json")
 
 
+def q_jsonl_union(spark, sf_dir):
+    """Files whose columns and types differ, and a folder beside them that isn't read, as one frame."""
+    path = scratch_path(spark, "docs-union")
+    docs = src.table(spark, sf_dir, "documents")
+    named = docs.select("doc_id", F.col("n_chars").alias("size"), "lang", F.col("source").alias("origin"))
+    halves = named.withColumn("size", F.col("size") + 0.5)
+    io.write_jsonl_files(named.where("lang = 'en'"), path, "english")
+    io.write_jsonl_files(halves.where("lang = 'fr'").withColumn("origin", F.length("origin")), path, "french")
+    io.write_jsonl_files(named.where("lang = 'de'").withColumn("origin", F.lit(None).cast("string")), path, "nowhere")
+    io.write_jsonl_files(named.where("lang = 'es'").drop("origin"), path, "spanish")
+    io.write_jsonl_files(named, f"{path}/deeper", "again")
+    return io.read_jsonl_dir(spark, path).select("doc_id", "size", "lang", "origin")
+
+
+def q_infer_then_evaluate(spark, sf_dir):
+    """Prompts in four unequal files through generation and evaluation, by key and by position."""
+    pairs = src.training_pairs(spark, sf_dir)
+    data = scratch_path(spark, "prompts")
+    part = F.when(F.col("id") % 10 < 7, 0).when(F.col("id") % 10 < 9, 1).otherwise(2 + F.col("id") % 2)
+    spread = pairs.withColumn("part", part).repartitionByRange(4, "part").sortWithinPartitions("part", "id").drop("part")
+    io.write_responses_csv(spread, data)
+    found = []
+    for way, key in (("key", "id"), ("position", None)):
+        out = scratch_path(spark, f"replies-{way}")
+        jobs.infer(spark, data, out, "inputs", make_half, key=key, system=None, split_mode="tagged")
+        means = jobs.evaluate_files(spark, data, out, "inputs", "assistant", ("f1_score", "exact_match"), on=key)
+        found.append(means.select(F.lit(way).alias("way"), "metric", r6(F.col("score")).alias("score"), "n"))
+    return found[0].unionByName(found[1])
+
+
+def q_registered_metric(spark, sf_dir):
+    """A metric of the caller's own, of two named scores, beside a built-in one."""
+
+    def lengths(prediction: Column, reference: Column) -> dict[str, Column]:
+        sides = (F.length(prediction), F.length(reference))
+        return {"ratio": F.least(*sides) / F.greatest(F.lit(1), *sides), "longer": (sides[0] > sides[1]).cast("double")}
+
+    metrics.register_metric("lengths", lengths)
+    found = report.score_examples(src.eval_pairs(spark, sf_dir), ("lengths", "exact_match"))
+    return found.select("id", "metric", "sub_metric", r6(F.col("score")).alias("score"))
+
+
 def q_splits_round_trip(spark, sf_dir):
     """Rendered chats, split, written as JSON Lines and loaded again."""
     path = scratch_path(spark, "splits")

@@ -7,6 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructType
@@ -247,24 +248,46 @@ def ordered_positions(
     return ranked.drop("amount").withColumnRenamed("before", "pos")
 
 
+def file_places(df: DataFrame) -> list[Column] | None:
+    """File and offset of the split that each row was read from, or None for a frame that isn't read from files."""
+    places = [F.col("_metadata.file_path").alias("__file"), F.col("_metadata.file_block_start").alias("__block")]
+    try:
+        df.select(*places).schema  # noqa: B018
+    except AnalysisException:
+        return None
+    return places
+
+
 def file_positions(df: DataFrame) -> DataFrame:
-    """Add `pos`, the row's place in the order the frame's partitions hold it.
+    """Add `pos`, the row's place from 0 in the order of the frame's files, by path, and of the lines in them.
 
-    For one file this is line order; frames of several files should carry an
-    order column and use `ordered_positions`.
+    Spark reads splits of files in an order of its own; they are put in order of path
+    and offset, and rows count on within them. The frame must be as it was read but for
+    projections and filters; a split whose rows were dealt to several partitions since
+    is an error. A frame that isn't read from files counts in the order of its partitions.
     """
+    places = file_places(df) or [F.lit("").alias("__file"), F.lit(0).cast("long").alias("__block")]
     held = checkpointed(
-        df.withColumn("__part", F.spark_partition_id()).withColumn("__row", F.monotonically_increasing_id())
+        df.select("*", *places, F.spark_partition_id().alias("__part"), F.monotonically_increasing_id().alias("__row"))
     )
-    earlier = Window.partitionBy(F.lit(0)).orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
-    # One row per input partition, which bounds the broadcast.
+    split = ["__file", "__block", "__part"]
+    earlier = Window.partitionBy(F.lit(0)).orderBy(*split).rowsBetween(Window.unboundedPreceding, -1)
+    # One row per split that was read: the driver lists as many to plan the reading, which bounds the broadcast.
     bases = (
-        held.groupBy("__part")
+        held.groupBy(*split)
         .agg(F.count("*").alias("__n"), F.min("__row").alias("__first"))
-        .select("__part", "__first", F.coalesce(F.sum("__n").over(earlier), F.lit(0)).alias("__base"))
+        .select(
+            *split,
+            "__first",
+            F.coalesce(F.sum("__n").over(earlier), F.lit(0)).alias("__base"),
+            F.lag(F.struct("__file", "__block")).over(Window.partitionBy(F.lit(0)).orderBy(*split)).alias("__last"),
+        )
     )
+    torn = (F.col("__file") != "") & (F.col("__last") == F.struct("__file", "__block"))
+    checked = F.when(torn, F.raise_error(F.lit("rows are no longer in the order of their files"))).otherwise(F.col("__base"))
+    bases = bases.select(*split, "__first", checked.cast("long").alias("__base"))
     return (
-        held.join(F.broadcast(bases), "__part")
+        held.join(F.broadcast(bases), split)
         .withColumn("pos", F.col("__base") + F.col("__row") - F.col("__first"))
-        .drop("__part", "__row", "__first", "__base")
+        .select(*df.columns, "pos")
     )

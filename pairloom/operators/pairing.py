@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from pairloom.constants import NO_ANSWER, NO_ANSWER_VARIANT
 from pairloom.functions.text import normalize_text
-from pairloom.operators.ordered import file_positions, ordered_positions
+from pairloom.operators.ordered import file_places, file_positions, ordered_positions
 
 
 def pair(
@@ -50,6 +50,10 @@ def unmatched(predictions: DataFrame, references: DataFrame, on: str = "id") ->
     )
 
 
+def several_files(df: DataFrame) -> bool:
+    return df.select(F.input_file_name().alias("file")).distinct().limit(2).count() > 1
+
+
 def pair_by_position(
     predictions: DataFrame,
     references: DataFrame,
@@ -60,18 +64,19 @@ def pair_by_position(
     """The n-th prediction with the n-th reference, `id` being n from 0; stops at the shorter side.
 
     `order_by` names the columns both frames are ordered by; a null in them is an
-    error. Without it rows count in the order of their input file, and a side that
-    was read from several files is an error: Spark doesn't read files in order.
+    error. Without it rows count in the order of their input files, by path, and of
+    the lines in them. A side that was read from several files but no longer knows
+    which (after a shuffle, say) is an error.
     """
     order = [order_by] if isinstance(order_by, str) else list(order_by or [])
     if not order:
         for side, df in (("predictions", predictions), ("references", references)):
-            if df.select(F.input_file_name().alias("file")).distinct().limit(2).count() > 1:
+            if file_places(df) is None and several_files(df):
                 raise ValueError(f"{side} come from several files: pairing them by position needs order_by")
 
     def placed(df: DataFrame, column: str, name: str) -> DataFrame:
         if not order:
-            return file_positions(df.select(F.col(column).alias(name))).withColumnRenamed("pos", "id")
+            return file_positions(df.select(F.col(column).alias(name))).select(F.col("pos").alias("id"), name)
         text = df.select(*order, F.col(column).alias(name))
         return text.join(ordered_positions(df, order), order).select(F.col("pos").alias("id"), name)
 

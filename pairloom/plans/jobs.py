@@ -11,7 +11,8 @@ from pairloom.constants import SYSTEM_MESSAGE
 from pairloom.functions.tokens import Tokenizer, whitespace_tokens
 from pairloom.operators.chat import CHATML, ChatFormat, render_chat, render_generation_prompt, split_responses
 from pairloom.operators.generate import Predictor, batch_generate
-from pairloom.operators.pairing import pair, pair_by_position, unmatched
+from pairloom.operators.ordered import file_positions
+from pairloom.operators.pairing import pair, pair_by_position, several_files, unmatched
 from pairloom.operators.report import average, evaluate, listed_scores, score_texts
 from pairloom.operators.split import train_test_split
 from pairloom.operators.tokens import pack_sequences
@@ -77,9 +78,18 @@ def infer(
     key: str | list[str] | None = None,
     **options,
 ) -> None:
-    """CSV prompts to CSV responses, with the `key` columns that evaluation joins or orders by."""
+    """CSV prompts to CSV responses, with the `key` columns that evaluation joins or orders by.
+
+    Without a key a response is known by its place alone. Prompts of several files are
+    then ordered by file and line before generation, so that the files written, by
+    name, hold the responses in the order of the prompts.
+    """
     keys = [key] if isinstance(key, str) else list(key or [])
     texts = read_pairs_csv(spark, data_path, [*keys, prompt_column])
+    if not keys and several_files(texts):
+        parts = options.pop("partitions", None) or int(spark.conf.get("spark.sql.shuffle.partitions"))
+        placed = file_positions(texts)
+        texts = placed.repartitionByRange(parts, "pos").sortWithinPartitions("pos").drop("pos")
     replies = generate_responses(texts, make_predictor, prompt_column, **options)
     write_responses_csv(replies.select(*keys, "user", "assistant"), output_path)
 
@@ -99,7 +109,7 @@ def evaluate_files(
     """Two CSV files to average scores.
 
     With `on`, rows meet by key. Without it they meet by position, in the order of
-    `order_by` (as text) or of a single file, and the average divides by the number
+    `order_by` (as text) or of files and lines, and the average divides by the number
     of predictions. With a key and an output path the unmatched rows are written;
     without a path they are an error. `encoder` is a factory that scores soft
     alignment from the texts. The output has `texts` (both texts and all scores of

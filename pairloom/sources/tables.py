@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.types import StructType
 
 from pairloom.constants import CSV_NA_VALUES
 from pairloom.functions.text import missing_to_null
 from pairloom.schemas import PROMPT_PAIR
+from pairloom.session import checkpointed
+from pairloom.sources.files import write_jsonl_files  # noqa: F401
 
 # Doubled quotes, embedded newlines and outer blanks must survive a round trip.
 _CSV = {
@@ -42,22 +47,54 @@ def write_responses_csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").options(**_CSV).csv(path)
 
 
+def _plain(kind: T.DataType) -> T.DataType:
+    """A type of the union of files: numbers that differ are doubles, and what has no common type is text."""
+    if isinstance(kind, T.DecimalType):
+        return T.DoubleType()
+    if isinstance(kind, (T.VariantType, T.NullType)):
+        return T.StringType()
+    if isinstance(kind, T.ArrayType):
+        return T.ArrayType(_plain(kind.elementType))
+    if isinstance(kind, T.StructType):
+        return T.StructType([T.StructField(f.name, _plain(f.dataType)) for f in kind.fields])
+    return kind
+
+
+def _merged_schema(found: str) -> StructType:
+    """The schema that `schema_of_variant_agg` found, with plain types."""
+    # Names are in back quotes where they aren't plain words; only type names are changed.
+    quoted = re.split(r"(`(?:[^`]|``)*`)", found)
+    ddl = "".join(part if part.startswith("`") else part.replace("OBJECT<", "STRUCT<") for part in quoted)
+    if not ddl.startswith("STRUCT<"):
+        raise ValueError(f"a line that is no JSON object; the lines are {found}")
+    return _plain(T.DataType.fromDDL(ddl))
+
+
 def read_jsonl_dir(
     spark: SparkSession, path: str, schema: StructType | str | None = None, pattern: str = "*.jsonl"
 ) -> DataFrame:
     """Union of every `.jsonl` file directly in a folder; rows with any null are dropped.
 
-    The schema is merged over the files, so a file that lacks a column loses its
-    rows. Pass `schema` for large folders: inference reads the data once more.
-    A folder without such files is an error.
+    Columns and types are merged over the files: whole numbers with fractions are
+    doubles, types with nothing in common are text, and a file that lacks a column
+    loses its rows. Lines are read once, as variants, and kept in a checkpoint from
+    which both the schema and the rows are taken; with a `schema` they are read into
+    it directly. A malformed line is an error, and so is a folder without such files;
+    files without lines give an empty frame.
     """
-    reader = spark.read.option("pathGlobFilter", pattern)
-    if schema is not None:
-        reader = reader.schema(schema)
-    read = reader.json(path)
-    if schema is not None and not read.inputFiles():
+    files = spark.read.option("pathGlobFilter", pattern)
+    if files.format("binaryFile").load(path).select("path").isEmpty():
         raise FileNotFoundError(f"no {pattern} file in {path}")
-    return read.dropna(how="any")
+    files = spark.read.option("pathGlobFilter", pattern).option("mode", "FAILFAST")
+    if schema is not None:
+        return files.schema(schema).json(path).dropna(how="any")
+    lines = checkpointed(files.option("singleVariantColumn", "line").json(path))
+    found = lines.agg(F.schema_of_variant_agg("line")).head()[0]
+    if found == "VOID":
+        return spark.createDataFrame([], StructType([]))
+    merged = _merged_schema(found)
+    row = F.variant_get("line", "$", merged.simpleString()).alias("row")
+    return lines.select(row).select("row.*").dropna(how="any")
 
 
 def write_splits_jsonl(df: DataFrame, path: str) -> None:

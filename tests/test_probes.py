@@ -33,15 +33,29 @@ def test_null_order_keys_are_errors(spark):
         pairing.pair_by_position(sides, sides.withColumnRenamed("prediction", "reference"), order_by="k").collect()
 
 
-def test_positions_over_several_files_need_an_order(spark, tmp_path):
+def test_positions_over_several_files_follow_paths_and_lines(spark, tmp_path):
+    """Unequal files, which Spark reads largest first; without file names an order is still needed."""
     frame = spark.range(400).select("id", F.concat(F.lit("text "), "id").alias("t"))
-    frame.repartition(4, "id").write.option("header", True).csv(f"{tmp_path}/p")
+    unequal = frame.withColumn("part", F.when(F.col("id") < 5, 0).when(F.col("id") < 300, 1).when(F.col("id") < 310, 2).otherwise(3))
+    unequal.repartitionByRange(4, "part").sortWithinPartitions("id").drop("part").write.option("header", True).csv(f"{tmp_path}/p")
     frame.coalesce(1).write.option("header", True).csv(f"{tmp_path}/r")
-    with pytest.raises(ValueError, match="order_by"):
-        jobs.evaluate_files(spark, f"{tmp_path}/r", f"{tmp_path}/p", "t", "t", ["exact_match"])
-    for how in ({"order_by": "id"}, {"on": "id"}):
+    for how in ({}, {"order_by": "id"}, {"on": "id"}):
         found = jobs.evaluate_files(spark, f"{tmp_path}/r", f"{tmp_path}/p", "t", "t", ["exact_match"], **how).head()
         assert (found["score"], found["n"]) == (1.0, 400)
+    # Texts that are cut into splits inside a file.
+    frame.select("t").coalesce(1).write.text(f"{tmp_path}/t")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "700b")
+    try:
+        lines = spark.read.text(f"{tmp_path}/t")
+        placed = ordered.file_positions(lines)
+        assert lines.rdd.getNumPartitions() > 3
+        assert {r["pos"]: r["value"] for r in placed.collect()} == {i: f"text {i}" for i in range(400)}
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    shuffled = spark.read.option("header", True).csv(f"{tmp_path}/p").repartition(3)
+    with pytest.raises(Exception, match="order of their files"):
+        ordered.file_positions(shuffled).collect()
+    assert ordered.file_places(frame) is None
 
 
 def test_inference_then_evaluation_by_key(spark, tmp_path):

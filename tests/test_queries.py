@@ -1,7 +1,10 @@
 """Every registered query against its SQL on the given tables."""
 
+import zlib
+
 import pytest
 from compare import connect, differences
+from pyspark.sql import functions as F
 
 import __spark_entry__ as driver
 from pairloom.catalog.oracle import ORACLE
@@ -16,7 +19,7 @@ def con():
 
 
 #: Queries that SQL can't express on whole tables; each has a test of its own.
-WITHOUT_SQL = {"rouge_documents"}
+WITHOUT_SQL = {"rouge_documents", "tokenize_subwords"}
 
 
 def test_every_query_has_sql():
@@ -52,3 +55,29 @@ def test_rouge_of_whole_documents(spark):
             assert r["rouge_l"] == pytest.approx(line[-1] / len(b), abs=1e-6)
             checked += 1
     assert checked > 50
+
+
+def test_subwords_equal_whole_text_encoding(spark):
+    """Three vocabularies: words cut before, once each, give the tokens of the whole text."""
+    from pairloom.catalog.inputs import subword_vocabularies
+
+    rows = {(r["conv_id"], r["turn"]): r for r in registered()["tokenize_subwords"](spark, SF_DIR).collect()}
+    turns = spark.read.parquet(f"{SF_DIR}/conversations.parquet").collect()
+    assert len(rows) == len(turns)
+    for name, (make_encode, _) in subword_vocabularies().items():
+        whole = make_encode()([r["text"] for r in turns])
+        for r, tokens in zip(turns, whole):
+            got = rows[r["conv_id"], r["turn"]]
+            assert (got[f"n_{name}"], got[f"{name}_crc32"]) == (len(tokens), zlib.crc32(" ".join(tokens).encode()))
+
+
+def test_subwords_of_hard_texts(spark):
+    from pairloom.catalog.inputs import subword_vocabularies
+    from pairloom.functions.tokens import vocabulary_tokenizer
+
+    texts = [None, "", "  ", "a  b\n\n c's DON'T 12345 ...", "é́ İ ß", "<|endoftext|> x<|startoftext|>", "日本語 テスト　全角", "🙂🙂 \t\r\n x", "z" * 5000, "Ünï " * 900]
+    frame = spark.createDataFrame([(i, t) for i, t in enumerate(texts * 3)], "i int, t string").repartition(2)
+    for name, (make_encode, split) in subword_vocabularies().items():
+        got = {r["i"]: r["k"] for r in frame.select("i", vocabulary_tokenizer(make_encode, split)(F.col("t")).alias("k")).collect()}
+        whole = make_encode()([t or "" for t in texts])
+        assert [got[i] for i in range(len(texts))] == whole == [got[i + len(texts)] for i in range(len(texts))], name
