@@ -1,11 +1,12 @@
 """Toxicity scores by weak supervision.
 
-Voters are words (a lexicon) and word beginnings (patterns) mined from labelled
-rows, plus one that votes clean where no other fires. A generative model of the
-votes is fitted by expectation and maximisation: each voter has a rate of firing
-on toxic and on clean texts, and voters that go together within a class share
-their evidence according to their correlation. Its posterior labels train a
-linear classifier over the votes, which scores every text.
+Voters are words (a lexicon) and word beginnings (patterns, also dense ones of
+several words) mined from labelled rows, plus one that votes clean where no other
+fires. A generative model of the votes is fitted by expectation and maximisation:
+each voter, the label among them, has a rate of firing on toxic and on clean
+texts, and voters that go together within a class share their evidence according
+to their correlation. Its posterior labels train a linear classifier over the
+votes, which is calibrated on the labels and scores every text.
 
 Everything is learned from at most `max_toxic + max_clean` labelled rows, chosen
 by a hash of their id; classes are weighed back to their true shares. Every text
@@ -31,17 +32,35 @@ from pairloom.llm.text import slices, texts
 
 _WORD = re.compile(r"[^\W\d_]+")
 PREFIXES = (4, 5, 6, 7, 8)
+#: Words of a text for each that a dense pattern needs.
+SPARSE = 200
 MAX_TOXIC, MAX_CLEAN = 10_000, 20_000
 #: Voters at most, and candidates among which they are chosen.
 MAX_VOTERS, CANDIDATES = 256, 4096
 
 
+def beginnings(words: set[str], n: int) -> Counter[str]:
+    """How many distinct words go on from each beginning of `n` letters."""
+    return Counter(w[:n] for w in words if len(w) > n)
+
+
+def marks(held: int, length: int) -> tuple[str, ...]:
+    """Patterns that a beginning of `held` distinct words fires in a text of `length` words."""
+    return ("*", "**") if held > 1 and held * SPARSE >= length else ("*",)
+
+
 def features_of(text: str) -> set[str]:
-    """Distinct words and, marked by `*`, word beginnings of a text in lower case."""
-    words = set(_WORD.findall(text.lower()))
+    """Distinct words of a text in lower case and its word beginnings.
+
+    A beginning is marked by `*`, and also by `**` where several words have it, at least one in `SPARSE`:
+    in a long text a few may be there by chance.
+    """
+    said = _WORD.findall(text.lower())
+    words = set(said)
     found = set(words)
     for n in PREFIXES:
-        found.update(w[:n] + "*" for w in words if len(w) > n)
+        for begin, held in beginnings(words, n).items():
+            found.update(begin + mark for mark in marks(held, len(said)))
     return found
 
 
@@ -55,14 +74,15 @@ class ToxicityModel:
     def votes(self, rows: list[str]) -> list[list[int]]:
         """For each text the voters that fire."""
         number = {v: i for i, v in enumerate(self.voters)}
-        stems = {n: {v[:-1]: i for v, i in number.items() if v[-1] == "*" and len(v) == n + 1} for n in PREFIXES}
-        stems = {n: s for n, s in stems.items() if s}
+        lengths = [n for n in PREFIXES if any(v[-1] == "*" and len(v.rstrip("*")) == n for v in self.voters)]
         out = []
         for text in rows:
-            words = set(_WORD.findall(text.lower()))
+            said = _WORD.findall(text.lower())
+            words = set(said)
             fired = {number[w] for w in words & number.keys()}
-            for n, known in stems.items():
-                fired.update(known[p] for w in words if len(w) > n and (p := w[:n]) in known)
+            for n in lengths:
+                for begin, held in beginnings(words, n).items():
+                    fired.update(number[v] for mark in marks(held, len(said)) if (v := begin + mark) in number)
             out.append(sorted(fired))
         return out
 
@@ -154,19 +174,23 @@ def _choose(fired: list[list[int]], toxic: np.ndarray, voters: int, cover: int =
     return sorted(chosen)
 
 
-def label_model(votes: np.ndarray, toxic: np.ndarray, weight: np.ndarray, rounds: int = 15) -> np.ndarray:
-    """Posterior probability of toxic per row, from the votes and the row's own noisy label.
+def label_model(votes: np.ndarray, toxic: np.ndarray, weight: np.ndarray, rounds: int = 30) -> np.ndarray:
+    """Posterior probability of toxic per row, from the votes and the row's own label, which may be wrong.
 
-    Voters' evidence is divided by one plus the sum of their positive correlations
-    with other voters of the same class, so copies of one voter count about once.
+    The label is one more voter: how often it is given to toxic and to clean texts is
+    estimated along with the rates of the others, from a start of one error in
+    fifty, with as much prior weight as a tenth of the rows. Voters' evidence is
+    divided by one plus the sum of their positive correlations with other voters of
+    the same class, so copies of one voter count about once.
     """
-    label_noise = 0.02
-    posterior = np.where(toxic == 1, 1 - label_noise, label_noise)
+    start = 0.02
+    posterior = np.where(toxic == 1, 1 - start, start)
     for _ in range(rounds):
-        rates, spread = [], np.zeros((votes.shape[1], votes.shape[1]))
-        for q in (posterior * weight, (1 - posterior) * weight):
+        rates, marked, spread = [], [], np.zeros((votes.shape[1], votes.shape[1]))
+        for q, usual in ((posterior * weight, 1 - start), ((1 - posterior) * weight, start)):
             total = q.sum()
             rate = (q @ votes + 0.05) / (total + 1.0)
+            marked.append(np.clip((q @ toxic + usual * total / 10) / (total * 1.1 + 1e-9), 1e-4, 1 - 1e-4))
             centred = votes - rate
             cov = (centred * q[:, None]).T @ centred / max(total, 1e-9)
             scale = np.sqrt(np.maximum(np.diag(cov), 1e-9))
@@ -176,7 +200,7 @@ def label_model(votes: np.ndarray, toxic: np.ndarray, weight: np.ndarray, rounds
         share = 1.0 / (1.0 + spread.sum(axis=1))
         on, off = np.log(rates[0] / rates[1]), np.log((1 - rates[0]) / (1 - rates[1]))
         prior = np.average(posterior, weights=weight)
-        own = np.where(toxic == 1, 1, -1) * np.log((1 - label_noise) / label_noise)
+        own = np.where(toxic == 1, np.log(marked[0] / marked[1]), np.log((1 - marked[0]) / (1 - marked[1])))
         raw = np.log(prior / (1 - prior)) + own + votes @ (share * (on - off)) + (share * off).sum()
         posterior = 1 / (1 + np.exp(-np.clip(raw, -30, 30)))
     return posterior
@@ -197,6 +221,25 @@ def _logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, penalty: float =
     return w
 
 
+def calibrated(weights: np.ndarray, votes: np.ndarray, toxic: np.ndarray, weight: np.ndarray) -> np.ndarray:
+    """The classifier with its scores stretched and shifted to the shares of toxic labels (Platt 1999).
+
+    Voters are trusted together where one alone is not: the posterior of few votes
+    rests on the model's independence, the labels say how far that holds.
+    """
+    raw = votes @ weights[:-1] + weights[-1]
+    fired = votes[:, -1] == 0
+    if len(np.unique(toxic[fired])) < 2:
+        return weights
+    stretch, shift = _logistic(raw[fired, None], toxic[fired].astype(float), weight[fired], penalty=1e-3)
+    if stretch <= 0:
+        return weights
+    moved = np.append(weights[:-1] * stretch, weights[-1] * stretch + shift)
+    # A text without votes keeps its score.
+    moved[-2] = weights[-2] + weights[-1] - moved[-1]
+    return moved
+
+
 def fit_toxicity(
     docs: DataFrame,
     labels: DataFrame,
@@ -234,7 +277,8 @@ def fit_toxicity(
         own = [place[v] for v in r["fired"] if v in place]
         votes[i, own or -1] = 1.0
     posterior = label_model(votes, toxic, weight)
-    return ToxicityModel(tuple(candidates[v] for v in chosen), _logistic(votes, posterior, weight))
+    weights = _logistic(votes, posterior, weight)
+    return ToxicityModel(tuple(candidates[v] for v in chosen), calibrated(weights, votes, toxic, weight))
 
 
 def score_toxicity(
