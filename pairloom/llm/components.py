@@ -8,11 +8,22 @@ from pyspark.sql import functions as F
 from pairloom.session import checkpointed
 
 
+#: Tasks over which a node that very many rows name is dealt.
+_SALTS = 8
+
+
+def _meet(rows: DataFrame, spread_by: str, labels: DataFrame, on: str) -> DataFrame:
+    """Join `labels`, one row per node, to rows of which any share may name one node."""
+    salted = rows.withColumn("salt", F.pmod(F.xxhash64(spread_by), F.lit(_SALTS)).cast("int"))
+    repeated = labels.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1))))
+    return salted.join(repeated, [on, "salt"]).drop("salt")
+
+
 def connected_components(edges: DataFrame) -> DataFrame:
     """`(node, root)` for each node of `edges(a, b)`; the root is the smallest node that can be reached.
 
-    A node of any degree is reduced map-side first, and joins on it are plain
-    equi-joins that adaptive execution may split. Null ends and loops are ignored.
+    A node of any degree is reduced map-side first, and joins on it are dealt over
+    several tasks. Null ends and loops are ignored.
     No edges give an empty frame.
     """
     real = edges.select("a", "b").where("a <> b")
@@ -20,11 +31,18 @@ def connected_components(edges: DataFrame) -> DataFrame:
     labels = checkpointed(both.groupBy(F.col("a").alias("node")).agg(F.least(F.first("a"), F.min("b")).alias("root")))
     while True:
         heard = (
-            both.join(labels.withColumnRenamed("node", "b"), "b").groupBy(F.col("a").alias("node")).agg(F.min("root").alias("near"))
+            _meet(both, "a", labels.withColumnRenamed("node", "b"), "b").groupBy(F.col("a").alias("node")).agg(F.min("root").alias("near"))
+        )
+        told = checkpointed(
+            labels.join(heard, "node").select("node", F.col("root").alias("was"), F.least("root", "near").alias("root"))
         )
-        told = labels.join(heard, "node").select("node", F.col("root").alias("was"), F.least("root", "near").alias("root"))
-        target = told.select(F.col("node").alias("root"), F.col("root").alias("far"))
-        labels = checkpointed(told.join(target, "root").select("node", "was", F.col("far").alias("root")))
+        # Only nodes that are someone's label, and have a smaller one themselves, move others on.
+        target = told.where("node <> root").select(F.col("node").alias("root"), F.col("root").alias("far"))
+        named = target.join(told.select("root").distinct(), "root", "left_semi")
+        salt = F.pmod(F.xxhash64("node"), F.lit(_SALTS)).cast("int")
+        repeated = named.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1))))
+        moved = told.withColumn("salt", salt).join(repeated, ["root", "salt"], "left")
+        labels = checkpointed(moved.select("node", "was", F.coalesce("far", "root").alias("root")))
         if labels.where("was <> root").isEmpty():
             return labels.select("node", "root")
         labels = labels.select("node", "root")

@@ -14,7 +14,7 @@ grouping, on the half of the tokens with the smaller hashes (all tokens of short
 documents): tokens travel packed by bucket, a task sends a token of several
 documents once, and a member is credited for each token that another has. Then
 again among the survivors, with linked members counting as one, and at last for
-whole groups, looking up the rarest tokens first. Token ids of 32 bits serve the first two bounds,
+each member and each group that has one of its rarest tokens, over all tokens. Token ids of 32 bits serve the first two bounds,
 where a collision can only widen a bound; sets are compared on 64 bits.
 
 Null, empty and wordless texts have no shingles, link with nothing and are their
@@ -348,8 +348,9 @@ def _homes(pairs: DataFrame) -> DataFrame:
     return joined.select("set_id", own.alias("home"))
 
 
-def _block_links(percent: int):
-    """Links between members of two groups; of those that hang together already one suffices."""
+def _group_links(percent: int):
+    """Links between a group's own members (side 1) and visiting ones (side 0) of other roots; of those that
+    hang together already one suffices."""
 
     def links(table: pa.Table) -> pa.Table:
         sides = table.column("side").to_numpy()
@@ -373,12 +374,11 @@ def _block_links(percent: int):
         ends = np.cumsum(sizes)
         own = [column[c[common[c]]] for c in (code[e - n : e] for e, n in zip(ends, sizes))]
         width = int(common.sum())
-        left = np.flatnonzero(sides == 0)
-        right = left if (sides == 0).all() else np.flatnonzero(sides == 1)
+        left, right = np.flatnonzero(sides == 0), np.flatnonzero(sides == 1)
         union = np.zeros(width, dtype=np.float32)
         for i in right:
             union[own[i]] = 1
-        # The bound: a member's overlap with the union of the other group.
+        # The bound on whole sets: a visitor's overlap with the union of the group.
         need = (sizes * percent + 99) // 100
         left = np.array([i for i in left if union[own[i]].sum() >= need[i]], dtype=np.int64)
         step = max(1, min(128, (1 << 25) // max(1, width)))
@@ -390,14 +390,14 @@ def _block_links(percent: int):
             return out
 
         found: list[tuple[bytes, bytes]] = []
-        for p in range(0, len(left), step):
-            some = left[p : p + step]
-            a = matrix(some)
-            for q in range(0, len(right), step):
-                others = right[q : q + step]
+        for q in range(0, len(right), step):
+            others = right[q : q + step]
+            b = matrix(others).T
+            for p in range(0, len(left), step):
+                some = left[p : p + step]
                 if len(set(root[some]) | set(root[others])) == 1:
                     continue
-                both = a @ matrix(others).T
+                both = matrix(some) @ b
                 whole = sizes[some][:, None] + sizes[others][None, :] - both
                 for i, j in zip(*np.nonzero(100 * both >= percent * whole)):
                     x, y = find(root[some[i]]), find(root[others[j]])
@@ -409,35 +409,50 @@ def _block_links(percent: int):
     return links
 
 
+def _half_says_nothing(n: Column, half: Column, percent: int) -> Column:
+    """Whether a member's tokens of smaller hash may all be missing from a partner."""
+    return half - n + _least_overlap(n, percent) < 1
+
+
 def _between_groups(reaching: DataFrame, percent: int) -> DataFrame:
     """Links between members `(set_id, root, home, tokens)` of different roots, by the token-group matrix.
 
     Members that share a pivot make a group, or else the smallest token that they
     share with anyone; a root with many members has groups of its own, and groups
-    hold about `_GROUP` members. Of each member only the
-    tokens of the first bound are looked up, the rarest of them first; groups that
-    have one of them are opened, bounded once more by their whole token union, and
-    compared as matrices. Only links that join different roots come out.
+    hold about `_GROUP` members. The matrix has a cell for each group and token of its
+    union. A member looks up its rarest tokens there; the groups found are its
+    candidates. The cells of a candidate that it has are counted over all tokens it
+    asks with, and only where they allow for a link does the member visit the group.
+    A group with many visitors is opened in several tasks. Only links that join
+    different roots come out.
     """
-    sent_all = int(_ALL_BELOW * 100 / percent)
-
-    def asks(v: np.ndarray) -> int:
-        """How many of a member's tokens, smallest first, are looked up: where half may tell nothing, all."""
-        half = int(np.searchsorted(v, _HALF))
-        return len(v) if len(v) <= _ALL_BELOW or half - len(v) + (len(v) * percent + 99) // 100 < 1 else half
-
-    @F.arrow_udf("struct<asks:bigint,tokens:array<bigint>>")
-    def listed(packed: pa.Array) -> pa.Array:
-        values = [np.frombuffer(v.as_buffer(), dtype=np.uint64) for v in packed]
-        asked = [asks(v) for v in values]
-        values = [v[: len(v) if len(v) <= sent_all else k].view(np.int64) for v, k in zip(values, asked)]
-        return pa.StructArray.from_arrays(
-            [pa.array(asked, pa.int64()), pa.array(values, pa.list_(pa.int64()))], names=["asks", "tokens"]
-        )
 
-    n = (F.octet_length("tokens") / 8).cast("bigint")
-    sent = reaching.select("set_id", F.xxhash64("root").alias("r"), n.alias("n"), listed("tokens").alias("own")).select(
-        "set_id", "r", "n", "own.asks", F.explode("own.tokens").alias("token")
+    @F.arrow_udf("bigint")
+    def below_half(packed: pa.Array) -> pa.Array:
+        values = (np.frombuffer(v.as_buffer(), dtype=np.uint64) for v in packed)
+        return pa.array([int(np.searchsorted(v, _HALF)) for v in values], pa.int64())
+
+    @F.arrow_udf("array<bigint>")
+    def listed(packed: pa.Array, sent: pa.Array) -> pa.Array:
+        values = (np.frombuffer(v.as_buffer(), dtype=np.uint64) for v in packed)
+        return pa.array([v[:k].view(np.int64) for v, k in zip(values, sent.to_pylist())], pa.list_(pa.int64()))
+
+    n, half = F.col("n"), F.col("half")
+    counted = checkpointed(
+        reaching.select("set_id", F.xxhash64("root").alias("r"), (F.octet_length("tokens") / 8).cast("bigint").alias("n"), "tokens").withColumn(
+            "half", below_half("tokens")
+        )
+    )
+    # Where half may tell nothing a member asks with all its tokens, so all it could link with must send all of theirs.
+    asking_all = (n <= _ALL_BELOW) | _half_says_nothing(n, half, percent)
+    longest = counted.where(asking_all).agg(F.max("n")).head()[0] or _ALL_BELOW
+    sends_all = n <= max(_ALL_BELOW, longest) * 100 // percent
+    sent = counted.select(
+        "set_id",
+        "r",
+        "n",
+        F.when(asking_all, n).otherwise(half).alias("asks"),
+        F.explode(listed("tokens", F.when(sends_all, n).otherwise(half))).alias("token"),
     )
     frequent = (
         sent.groupBy("token")
@@ -445,7 +460,7 @@ def _between_groups(reaching: DataFrame, percent: int) -> DataFrame:
         .where("low <> high")
         .select("token", "holders")
     )
-    shared = checkpointed(sent.join(frequent, "token").drop("r"))
+    shared = checkpointed(sent.join(frequent, "token"))
     # Members without a pivot, but mostly of the same passages, meet in the smallest token they share with anyone.
     leads = shared.groupBy("set_id").agg(F.min("token").alias("lead"))
     many = reaching.groupBy("root").count().where(F.col("count") >= _GROUP).select("root", F.lit(True).alias("pure"))
@@ -454,48 +469,51 @@ def _between_groups(reaching: DataFrame, percent: int) -> DataFrame:
         .when(F.col("home") != F.col("set_id"), F.xxhash64("home", F.lit(2)))
         .otherwise(F.col("lead"))
     )
-    pooled = reaching.join(leads, "set_id").join(many, "root", "left").select("set_id", "root", "pure", pool.alias("pool"))
+    pooled = reaching.join(leads, "set_id").join(many, "root", "left").select("set_id", "root", pool.alias("pool"))
     sizes = pooled.groupBy("pool").agg(F.ceil(F.count("*") / _GROUP).alias("groups"))
     grouped = checkpointed(
         pooled.join(sizes, "pool").select(
-            "set_id",
-            F.xxhash64("pool", F.pmod(F.xxhash64("set_id"), "groups")).alias("g"),
-            F.when(F.col("pure"), F.xxhash64("root")).alias("only"),
+            "set_id", F.xxhash64("root").alias("r"), F.xxhash64("pool", F.pmod(F.xxhash64("set_id"), "groups")).alias("g")
         )
     )
-    held = shared.join(grouped.select("set_id", "g"), "set_id")
-    asked = (F.col("asks") == F.col("n")) | (F.col("token") >= 0)
-    need = F.col("asks") - F.col("n") + _least_overlap(F.col("n"), percent)
-    rare = (
-        held.where(asked)
-        .groupBy("set_id", "g", "n", "asks")
-        .agg(F.array_sort(F.collect_list(F.struct("holders", "token"))).alias("rare"))
+    # A group of one root is of no use to that root's members.
+    cells = checkpointed(
+        shared.join(grouped.select("set_id", "g"), "set_id")
+        .groupBy("token", "g")
+        .agg(F.min("r").alias("low"), F.max("r").alias("high"))
     )
+    other = (F.col("low") != F.col("high")) | (F.col("low") != F.col("r"))
+    asked = shared.where((F.col("asks") == n) | (F.col("token") >= 0))
+    need = F.col("asks") - n + _least_overlap(n, percent)
+    rare = asked.groupBy("set_id", "r", "n", "asks").agg(F.array_sort(F.collect_list(F.struct("holders", "token"))).alias("rare"))
     able = checkpointed(
         rare.where(F.size("rare") >= need).select(
-            "set_id", "g", F.slice(F.col("rare.token"), F.lit(1), (F.size("rare") - need + 1).cast("int")).alias("probes")
+            "set_id", "r", need.alias("need"), F.slice(F.col("rare.token"), F.lit(1), (F.size("rare") - need + 1).cast("int")).alias("probes")
         )
     )
-    column = held.select("token", F.col("g").alias("g2")).distinct()
-    met = (
-        able.select("g", F.explode("probes").alias("token"))
-        .distinct()
-        .join(column, "token")
-        .select(F.least("g", "g2").alias("g"), F.greatest("g", "g2").alias("g2"))
+    candidates = (
+        able.select("set_id", "r", F.explode("probes").alias("token"))
+        .join(cells, "token")
+        .where(other)
+        .select("set_id", "g")
         .distinct()
     )
-    only = grouped.select("g", "only").distinct()
-    opened = checkpointed(
-        met.join(only, "g")
-        .join(only.select(F.col("g").alias("g2"), F.col("only").alias("only2")), "g2")
-        .where(~F.coalesce(F.col("only") == F.col("only2"), F.lit(False)))
-        .select("g", "g2")
+    qualified = checkpointed(
+        candidates.join(able.select("set_id", "need"), "set_id")
+        .join(asked.select("set_id", "token"), "set_id")
+        .join(cells.select("token", "g"), ["token", "g"])
+        .groupBy("set_id", "g", "need")
+        .agg(F.count("*").alias("met"))
+        .where("met >= need")
+        .select("set_id", "g")
     )
-    members = checkpointed(reaching.join(able.select("set_id", "g"), "set_id").select("set_id", "root", "tokens", "g"))
-    first = opened.join(members, "g").withColumn("side", F.lit(0))
-    second = opened.where("g < g2").join(members.withColumnRenamed("g", "g2"), "g2").withColumn("side", F.lit(1))
-    return first.unionByName(second).groupBy("g", "g2").applyInArrow(_block_links(percent), "a binary, b binary")
-
+    # Visitors of a group are dealt over tasks; its own members are repeated for each.
+    tasks = checkpointed(qualified.groupBy("g").agg(F.ceil(F.count("*") / (8 * _GROUP)).cast("int").alias("tasks")))
+    sets = reaching.select("set_id", "root", "tokens")
+    visiting = qualified.join(tasks, "g").select("set_id", "g", F.pmod(F.xxhash64("set_id"), "tasks").cast("int").alias("task"))
+    hosting = grouped.join(tasks, "g").select("set_id", "g", F.explode(F.sequence(F.lit(0), F.col("tasks") - 1)).alias("task"))
+    sides = [w.join(sets, "set_id").withColumn("side", F.lit(k)) for k, w in enumerate((visiting, hosting))]
+    return sides[0].unionByName(sides[1]).groupBy("g", "task").applyInArrow(_group_links(percent), "a binary, b binary")
 
 
 def _rooted(docs: DataFrame, width: int, percent: int, keep: tuple[str, ...] = ()) -> tuple[DataFrame, DataFrame]:

@@ -13,6 +13,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from compare import connect, differences
+from pairloom.llm.components import connected_components
 from pairloom.llm.elias_fano import EliasFano
 from pairloom.llm.jaccard import jaccard_components
 from pairloom.llm.lm import score_texts
@@ -81,6 +82,55 @@ def test_jaccard_matches_brute_force(spark, docs):
     assert got == brute_components(rows)
 
 
+def test_jaccard_of_near_copies_and_shared_lines(spark):
+    """Hundreds of near copies, a line that all documents share, passages in many, long texts, sizes about the half's corner."""
+    rng = random.Random(11)
+    say = lambda n: [f"w{rng.randrange(10**7)}" for _ in range(n)]
+    line, rows = say(14), []
+
+    def varied(base, most):
+        own = base[:]
+        for at in rng.sample(range(len(own)), min(len(own), rng.randrange(most + 1))):
+            own[at] = f"v{rng.randrange(10**7)}"
+        return own
+
+    copied = say(80)
+    rows += [varied(copied, 4) + line for _ in range(400)]
+    passages = [say(20) for _ in range(6)]
+    for _ in range(500):  # of the same passages in other order, and mostly of the shared line
+        rows.append(line + [w for p in rng.sample(passages, 3) for w in p] + say(rng.randrange(6)))
+    for size in (64, 65, 70, 85, 86, 100, 113, 114, 151):
+        base = say(size)
+        rows += [varied(base, 4) + line for _ in range(6)]
+    base = say(6000)
+    rows += [varied(base, 150) for _ in range(8)]
+    rows = [(i, " ".join(words)) for i, words in enumerate(rows)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(9)
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in jaccard_components(frame).collect()}
+    assert got == brute_components(rows)
+
+
+def test_components_of_chains_and_stars(spark):
+    rng = random.Random(5)
+    edges = [(i, i + 1) for i in range(0, 60)] + [(1000, 1000 + i) for i in range(1, 400)] + [(7, 7), (None, 3)]
+    edges += [(2000 + rng.randrange(300), 2000 + rng.randrange(300)) for _ in range(200)]
+    shuffled = dict(zip(range(3000), rng.sample(range(3000), 3000)))
+    frame = spark.createDataFrame([(shuffled.get(a), shuffled.get(b)) for a, b in edges], "a int, b int").repartition(4)
+    parent = {}
+
+    def find(x):
+        while parent.setdefault(x, x) != x:
+            x = parent[x]
+        return x
+
+    for a, b in edges:
+        if a is not None and a != b:
+            x, y = find(shuffled[a]), find(shuffled[b])
+            parent[max(x, y)] = min(x, y)
+    assert {r["node"]: r["root"] for r in connected_components(frame).collect()} == {x: find(x) for x in parent}
+    assert connected_components(frame.where("false")).count() == 0
+
+
 def test_packing_round_trip(docs):
     from tokenizers import Tokenizer
 
