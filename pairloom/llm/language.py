@@ -29,6 +29,8 @@ UNDETERMINED = "und"
 _CODES = 0x110000
 _UNIT = 1 << 20
 _BLOCK = 256
+#: Distinct trigrams whose vectors are held at a time.
+_GRAMS = 4096
 #: Bytes of text at a time: a few dozen times as much memory is at work.
 _SLICE = 2 << 20
 #: Distinct languages that may be learned; prototypes are sent to every task, so more is an error.
@@ -90,9 +92,17 @@ def text_vectors(rows: list[str], dims: int, seed: int) -> np.ndarray:
             used, place = np.unique(own, return_inverse=True)
         start = block * _BLOCK
         size = min(_BLOCK, len(rows) - start)
-        counts = np.bincount((row[begin:end] - start) * len(used) + place, minlength=size * len(used))
-        bound = first[used // (n * n)] * second[used // n % n] * memory[used % n]
-        out[start : start + size] = counts.reshape(size, len(used)).astype(np.float32) @ bound.astype(np.float32)
+        # Distinct trigrams are bound and bundled a few thousand at a time, however many a text has.
+        order = np.argsort(place, kind="stable") if len(used) > _GRAMS else np.arange(len(place))
+        sorted_place, sorted_row = place[order], (row[begin:end] - start)[order]
+        ends = np.searchsorted(sorted_place, np.arange(_GRAMS, len(used) + _GRAMS, _GRAMS)) if len(used) > _GRAMS else [len(place)]
+        at = 0
+        for k, stop in enumerate(ends):
+            own = used[k * _GRAMS : (k + 1) * _GRAMS]
+            counts = np.bincount(sorted_row[at:stop] * len(own) + sorted_place[at:stop] - k * _GRAMS, minlength=size * len(own))
+            bound = first[own // (n * n)] * second[own // n % n] * memory[own % n]
+            out[start : start + size] += counts.reshape(size, len(own)).astype(np.float32) @ bound.astype(np.float32)
+            at = stop
     return out
 
 
@@ -187,6 +197,24 @@ def predict_language(
     return source.mapInArrow(predict, f"{fields}, `{out[0]}` string, `{out[1]}` double")
 
 
+def length_class(text: Column) -> Column:
+    """Texts of like length: the whole binary logarithm of their code points, 0 for a null."""
+    return F.floor(F.log2(F.coalesce(F.length(text), F.lit(0)) + 1)).cast("int")
+
+
+def least_likeness(scored: DataFrame, dims: int, share: float = 0.001, part: float = 0.6, deviations: float = 5.0) -> dict[int, float]:
+    """By class of length, the cosine below which a text is like no learned language.
+
+    `scored` has `(length, score)` of texts of the learned languages. The limit is `part`
+    of the quantile that only a `share` of them stay below, so texts like those learned
+    from are kept, and at most `deviations` of the cosine of unrelated vectors: short
+    texts of a language may be no more like it than noise is, long ones are.
+    """
+    noise = deviations / dims**0.5
+    rows = scored.groupBy("length").agg(F.percentile_approx("score", share, 10_000).alias("low")).collect()
+    return {r["length"]: min(noise, part * r["low"]) for r in rows}
+
+
 def identify_language(
     docs: DataFrame, train: Column, keep: tuple[str, ...] = ("doc_id",), dims: int = 1024, seed: int = 7
 ) -> DataFrame:

@@ -7,8 +7,13 @@ as its source's target over its source's size. Within a source documents are
 ordered by size, their expected copies summed up, one random offset per source
 is added, and a document is emitted once for each whole number that its stretch
 crosses. As neighbours are of like size, the words taken come within about one
-long document of the target. Of `draws` random offsets a source uses the one that
-takes the nearest to its target, which matters where one document is much of it.
+long document of the target.
+
+One offset drawn blindly can't promise a source near its target where one document
+is much of it: of twenty sources of fifty documents one missed by 41 %. So `draws`
+random offsets are drawn for a source, and it uses the one that takes the nearest
+to its target (10 % there, 3 % for the next worst). `draws=1` is the plain method,
+in which a document's expected copies are exactly its rate.
 
 A null text has size 0, and so has an empty one; a source of size 0 has target 0.
 Rows that repeat a doc_id or a whole row are rows of their own. Documents of
@@ -67,11 +72,14 @@ def mix_sources(
     """`keep` of every row with `__size, __source_size, __target, __copies`."""
     carried = tuple(f"__keep_{i}" for i in range(len(keep)))
     key, text, source = F.col(columns[0]), F.col(columns[1]).cast("string"), F.col(columns[2]).cast("string")
-    sized = docs.select(
-        *(F.col(c).alias(k) for c, k in zip(keep, carried)),
-        source.alias("source"),
-        F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
-        F.xxhash64(F.lit(seed), key, text).alias("tie"),
+    # Read and counted once; no text goes further.
+    sized = checkpointed(
+        docs.select(
+            *(F.col(c).alias(k) for c, k in zip(keep, carried)),
+            source.alias("source"),
+            F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
+            F.xxhash64(F.lit(seed), key, text).alias("tie"),
+        )
     )
     targets = checkpointed(source_targets(sized.select("source", "size"), weights, max_repeats))
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
@@ -88,6 +96,7 @@ def mix_sources(
         unique=False,
     )
 
+
     def copies(offset: Column) -> Column:
         begin = F.col("before") + offset
         return (F.floor((begin + F.col("amount")) / _UNIT) - F.floor(begin / _UNIT)).cast("long")
@@ -108,11 +117,21 @@ def mix_sources(
 
 
 def emit_mix(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), max_repeats: int = 3, seed: int = 42) -> DataFrame:
-    """The documents of the mix, each as often as it is taken, with the columns of `docs`."""
+    """The documents of the mix, each as often as it is taken, with the columns of `docs`.
+
+    Copies are counted for hashes of the rows; the rows themselves meet their counts in
+    one join. Rows with equal id, text and source are emitted as often as all of them
+    together, as copies of one of them.
+    """
     plain = [f"c{i}" for i in range(len(docs.columns))]
-    named = dict(zip(docs.columns, plain))
-    mixed = mix_sources(
-        docs.toDF(*plain), weights, max_repeats, seed, tuple(plain), columns=(named["doc_id"], named["text"], named["source"])
+    doc_id, text, source = (dict(zip(docs.columns, plain))[c] for c in ("doc_id", "text", "source"))
+    body = F.coalesce(F.col(text).cast("string"), F.lit(""))
+    key = ["a", "b"]
+    named = docs.toDF(*plain).withColumns({"a": F.xxhash64(body), "b": F.xxhash64(F.lit(1), body, doc_id, source)})
+    mixed = mix_sources(named, weights, max_repeats, seed, tuple(key), columns=(doc_id, text, source))
+    taken = checkpointed(
+        mixed.groupBy(*key).agg(F.sum("__copies").alias("copies"), F.count("*").alias("rows")).where("copies > 0")
     )
-    copies = F.explode(F.sequence(F.lit(1), F.col("__copies")))
-    return mixed.where("__copies > 0").withColumn("__copy", copies).select(*plain).toDF(*docs.columns)
+    held = named.join(taken, key)
+    once = held.where("rows = 1").unionByName(held.where("rows > 1").dropDuplicates(key))
+    return once.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).select(*plain).toDF(*docs.columns)

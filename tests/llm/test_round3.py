@@ -260,3 +260,74 @@ def test_large_deviations_are_exact(spark):
     _, deviation, _, _ = brute_white(dict(rows), 2)
     assert {r["vec_id"]: int(r["deviation"]) for r in whiten(frame).collect()} == deviation
     assert scaled_vectors(frame).count() == 50
+
+
+def test_stages_with_any_columns_and_no_rows(spark):
+    """Names that the stages use themselves come through unharmed; empty tables stay empty."""
+    import corpus_pipeline
+
+    sf = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select(
+        "*", *(F.concat(F.lit(f"{c}-"), "doc_id").alias(c) for c in ("own_lang", "own_score", "__lang_pred", "__row_a", "__many", "a", "rows", "c0", "size", "copies"))
+    )
+    kept = docs
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        after = stage(spark, kept, sf)
+        assert after.columns == docs.columns, name
+        rows = after.collect()
+        assert rows and all(r["a"] == f"a-{r['doc_id']}" and r["__row_a"] == f"__row_a-{r['doc_id']}" and r["c0"] == f"c0-{r['doc_id']}" for r in rows), name
+        if name != "mixing":
+            assert len(rows) == len({r["doc_id"] for r in rows}) <= kept.count()
+        assert stage(spark, docs.where("false"), sf).collect() == [], name
+        kept = after
+    assert corpus_pipeline.packing(spark, docs.where("false"), sf).collect() == []
+
+
+def test_texts_of_no_learned_language_go(spark):
+    import corpus_pipeline
+
+    rng = random.Random(1)
+    say = lambda letters, words: " ".join("".join(rng.choice(letters) for _ in range(rng.randint(2, 9))) for _ in range(words))
+    sf = "/root/testdata/sf0.01"
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    odd = [(10**6 + i, say("абвгдежзийклмнопрстуфхцчшщ", 40), None, "x", 1) for i in range(100)]
+    odd += [(2 * 10**6 + i, say("abcdefghijklmnopqrstuvwxyz", 60), None, "x", 1) for i in range(100)]
+    odd += [(3 * 10**6, "12 34", "en", "x", 1), (3 * 10**6 + 1, None, "en", "x", 1), (3 * 10**6 + 2, "", "en", "x", 1)]
+    both = docs.unionByName(spark.createDataFrame(odd, docs.schema))
+    kept = {r["doc_id"] for r in corpus_pipeline.language_id(spark, both, sf).select("doc_id").collect()}
+    real = {r["doc_id"] for r in docs.where("text rlike '[A-Za-z]'").select("doc_id").collect()}
+    assert len(kept & {r[0] for r in odd}) <= 2
+    assert len(real - kept) <= 0.005 * len(real)
+
+
+def test_memory_of_texts_of_many_letters():
+    import subprocess
+    import sys
+    from pathlib import Path
+
+    code = """
+import random, resource
+from pairloom.llm.language import text_vectors
+rng = random.Random(0)
+letters = [chr(0x4E00 + i) for i in range(3000)]
+one = "".join(rng.choices(letters, k=700_000))
+small = text_vectors([one[:4000]], 1024, 7)
+before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+whole = text_vectors([one], 1024, 7)
+rows = text_vectors([one[i : i + 2000] for i in range(0, len(one), 2000)], 1024, 7)
+assert whole.shape == (1, 1024) and rows.shape == (350, 1024) and abs(whole).max() > 0
+print((resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before) // 1024)
+"""
+    done = subprocess.run([sys.executable, "-c", code], cwd=Path(__file__).resolve().parents[2], capture_output=True, text=True, timeout=300)
+    assert done.returncode == 0, done.stderr
+    assert int(done.stdout.split()[-1]) < 500
+
+
+def test_blocks_of_trigrams_change_nothing(monkeypatch):
+    from pairloom.llm import language
+
+    rng = random.Random(3)
+    texts = ["".join(rng.choices("abcdé ñ日本語 xyz", k=rng.choice((0, 5, 300)))) for _ in range(40)]
+    whole = language.text_vectors(texts, 256, 7)
+    monkeypatch.setattr(language, "_GRAMS", 50)
+    assert np.array_equal(language.text_vectors(texts, 256, 7), whole)
