@@ -438,11 +438,8 @@ def _between_groups(reaching: DataFrame, percent: int) -> DataFrame:
         return pa.array([v[:k].view(np.int64) for v, k in zip(values, sent.to_pylist())], pa.list_(pa.int64()))
 
     n, half = F.col("n"), F.col("half")
-    counted = checkpointed(
-        reaching.select("set_id", F.xxhash64("root").alias("r"), (F.octet_length("tokens") / 8).cast("bigint").alias("n"), "tokens").withColumn(
-            "half", below_half("tokens")
-        )
-    )
+    size = (F.octet_length("tokens") / 8).cast("bigint")
+    counted = reaching.select("set_id", F.xxhash64("root").alias("r"), size.alias("n"), "tokens", below_half("tokens").alias("half"))
     # Where half may tell nothing a member asks with all its tokens, so all it could link with must send all of theirs.
     asking_all = (n <= _ALL_BELOW) | _half_says_nothing(n, half, percent)
     longest = counted.where(asking_all).agg(F.max("n")).head()[0] or _ALL_BELOW
