@@ -24,7 +24,11 @@ HEADLINE = (
     "bleu",
     "rouge",
     "meteor",
+    "ngram_overlap",
+    "meteor_stem_synonyms",
     "soft_alignment",
+    "bert_score_texts",
+    "mrc_report",
     "eval_report",
     "score_examples",
     "pair_by_key",
@@ -44,6 +48,7 @@ HEADLINE = (
     "pack_sequences",
     "batch_generate",
     "throughput",
+    "throughput_actual",
     "epoch_throughput",
     "sample_metrics",
     "throughput_stream",

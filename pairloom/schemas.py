@@ -21,30 +21,3 @@ NESTED_MRC = T.StructType(
 )
 
 TEMPLATE = T.StructType([T.StructField("type", T.StringType()), T.StructField("template", T.StringType())])
-
-RESPONSE = T.StructType([T.StructField("user", T.StringType()), T.StructField("assistant", T.StringType())])
-
-EVAL_PAIR = T.StructType(
-    [
-        T.StructField("id", T.LongType()),
-        T.StructField("prediction", T.StringType()),
-        T.StructField("reference", T.StringType()),
-    ]
-)
-
-VECTOR = T.StructType(
-    [
-        T.StructField("id", T.LongType()),
-        T.StructField("side", T.StringType()),
-        T.StructField("pos", T.IntegerType()),
-        T.StructField("vec", T.ArrayType(T.FloatType())),
-    ]
-)
-
-STEP_EVENT = T.StructType(
-    [
-        T.StructField("run", T.LongType()),
-        T.StructField("step", T.LongType()),
-        T.StructField("ts", T.TimestampType()),
-    ]
-)
