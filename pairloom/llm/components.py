@@ -12,11 +12,11 @@ from pairloom.session import checkpointed
 _SALTS = 8
 
 
-def _meet(rows: DataFrame, spread_by: str, labels: DataFrame, on: str) -> DataFrame:
+def meet(rows: DataFrame, spread_by: str, labels: DataFrame, on: str, how: str = "inner") -> DataFrame:
     """Join `labels`, one row per node, to rows of which any share may name one node."""
     salted = rows.withColumn("salt", F.pmod(F.xxhash64(spread_by), F.lit(_SALTS)).cast("int"))
     repeated = labels.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1))))
-    return salted.join(repeated, [on, "salt"]).drop("salt")
+    return salted.join(repeated, [on, "salt"], how).drop("salt")
 
 
 def connected_components(edges: DataFrame) -> DataFrame:
@@ -31,7 +31,7 @@ def connected_components(edges: DataFrame) -> DataFrame:
     labels = checkpointed(both.groupBy(F.col("a").alias("node")).agg(F.least(F.first("a"), F.min("b")).alias("root")))
     while True:
         heard = (
-            _meet(both, "a", labels.withColumnRenamed("node", "b"), "b").groupBy(F.col("a").alias("node")).agg(F.min("root").alias("near"))
+            meet(both, "a", labels.withColumnRenamed("node", "b"), "b").groupBy(F.col("a").alias("node")).agg(F.min("root").alias("near"))
         )
         told = checkpointed(
             labels.join(heard, "node").select("node", F.col("root").alias("was"), F.least("root", "near").alias("root"))
@@ -39,9 +39,7 @@ def connected_components(edges: DataFrame) -> DataFrame:
         # Only nodes that are someone's label, and have a smaller one themselves, move others on.
         target = told.where("node <> root").select(F.col("node").alias("root"), F.col("root").alias("far"))
         named = target.join(told.select("root").distinct(), "root", "left_semi")
-        salt = F.pmod(F.xxhash64("node"), F.lit(_SALTS)).cast("int")
-        repeated = named.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1))))
-        moved = told.withColumn("salt", salt).join(repeated, ["root", "salt"], "left")
+        moved = meet(told, "node", named, "root", "left")
         labels = checkpointed(moved.select("node", "was", F.coalesce("far", "root").alias("root")))
         if labels.where("was <> root").isEmpty():
             return labels.select("node", "root")

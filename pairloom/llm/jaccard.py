@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pairloom.llm.components import connected_components
+from pairloom.llm.components import connected_components, meet
 from pairloom.llm.text import mix, slices, split_words, texts
 from pairloom.session import checkpointed
 
@@ -349,13 +349,12 @@ def _homes(pairs: DataFrame) -> DataFrame:
 
 
 def _group_links(percent: int):
-    """Links between a group's own members (side 1) and visiting ones (side 0) of other roots; of those that
-    hang together already one suffices."""
+    """Roots linked by a group's own members (side 1) and visiting ones (side 0); of those that hang together
+    already one link suffices."""
 
     def links(table: pa.Table) -> pa.Table:
         sides = table.column("side").to_numpy()
         roots = np.array(table.column("root").to_pylist(), dtype=object)
-        ids = table.column("set_id").to_pylist()
         sets = [np.frombuffer(t, dtype=np.uint64) for t in table.column("tokens").to_pylist()]
         sizes = np.array([len(s) for s in sets])
         number = {r: i for i, r in enumerate(dict.fromkeys(roots))}
@@ -389,6 +388,7 @@ def _group_links(percent: int):
                 out[at, own[i]] = 1
             return out
 
+        names = list(number)
         found: list[tuple[bytes, bytes]] = []
         for q in range(0, len(right), step):
             others = right[q : q + step]
@@ -400,10 +400,11 @@ def _group_links(percent: int):
                 both = matrix(some) @ b
                 whole = sizes[some][:, None] + sizes[others][None, :] - both
                 for i, j in zip(*np.nonzero(100 * both >= percent * whole)):
-                    x, y = find(root[some[i]]), find(root[others[j]])
+                    one, two = root[some[i]], root[others[j]]
+                    x, y = find(one), find(two)
                     if x != y:
                         parent[x] = y
-                        found.append((ids[some[i]], ids[others[j]]))
+                        found.append((names[one], names[two]))
         return pa.table({"a": pa.array([f[0] for f in found], pa.binary()), "b": pa.array([f[1] for f in found], pa.binary())})
 
     return links
@@ -415,7 +416,7 @@ def _half_says_nothing(n: Column, half: Column, percent: int) -> Column:
 
 
 def _between_groups(reaching: DataFrame, percent: int) -> DataFrame:
-    """Links between members `(set_id, root, home, tokens)` of different roots, by the token-group matrix.
+    """Roots `(a, b)` that links between members `(set_id, root, home, tokens)` join, by the token-group matrix.
 
     Members that share a pivot make a group, or else the smallest token that they
     share with anyone; a root with many members has groups of its own, and groups
@@ -423,8 +424,7 @@ def _between_groups(reaching: DataFrame, percent: int) -> DataFrame:
     union. A member looks up its rarest tokens there; the groups found are its
     candidates. The cells of a candidate that it has are counted over all tokens it
     asks with, and only where they allow for a link does the member visit the group.
-    A group with many visitors is opened in several tasks. Only links that join
-    different roots come out.
+    A group with many visitors is opened in several tasks.
     """
 
     @F.arrow_udf("bigint")
@@ -561,11 +561,13 @@ def _rooted(docs: DataFrame, width: int, percent: int, keep: tuple[str, ...] = (
         .where(_open(F.coalesce(F.col("credit"), F.lit(0)), F.col("n"), F.col("probed"), percent))
         .select("set_id")
     )
-    links = links.unionByName(_between_groups(checkpointed(grouped.join(reaching, "set_id", "left_semi")), percent))
-    rooted = members.select("set_id", "doc_id").join(
-        connected_components(links).withColumnRenamed("node", "set_id"), "set_id", "left"
-    )
-    return rows, checkpointed(rooted.select("set_id", "doc_id", F.coalesce("root", "set_id").alias("root")))
+    # Between roots only: what hangs together already is one node there.
+    between = connected_components(_between_groups(checkpointed(grouped.join(reaching, "set_id", "left_semi")), percent))
+    first = members.select("set_id", "doc_id").join(groups.withColumnRenamed("node", "set_id"), "set_id", "left")
+    named = first.select("set_id", "doc_id", F.coalesce("root", "set_id").alias("root"))
+    wider = between.select(F.col("node").alias("root"), F.col("root").alias("whole"))
+    rooted = meet(named, "set_id", wider, "root", "left").select("set_id", "doc_id", F.coalesce("whole", "root").alias("root"))
+    return rows, checkpointed(rooted)
 
 
 def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 75) -> DataFrame:
