@@ -4,16 +4,19 @@ Sources in code point order, null last, get the weights in turn and share the
 words of all documents; a target above `max_repeats` times its source's size is
 cut there and the excess shared again by weight. A document is expected as often
 as its source's target over its source's size. Within a source documents are
-ordered by size, their expected copies summed up, one random offset per source
-is added, and a document is emitted once for each whole number that its stretch
-crosses. As neighbours are of like size, the words taken come within about one
-long document of the target.
-
-One offset drawn blindly can't promise a source near its target where one document
-is much of it: of twenty sources of fifty documents one missed by 41 %. So `draws`
-random offsets are drawn for a source, and it uses the one that takes the nearest
-to its target (10 % there, 3 % for the next worst). `draws=1` is the plain method,
-in which a document's expected copies are exactly its rate.
+ordered by size, their expected copies summed up, one random offset is added, and a
+document is emitted once for each whole number that its stretch crosses. As
+neighbours are of like size, the words taken come within about one long document
+of the target.
+
+Where one document is much of a target, that isn't near. So documents of at least
+`certain` of their source's target, and a thousandth of its size, are expected in
+whole copies: from the largest down each is rounded, with what the ones before took
+too little or too much, and the rest of the source is expected as often as what is
+left of the target wants. The whole copies go through the same sums and the same
+offset, which can't change them. A source misses its target by no more than about
+`certain` of it, or a thousandth of its size. `certain=None` rounds none, and every
+document's expected copies are its source's rate.
 
 A null text has size 0, and so has an empty one; a source of size 0 has target 0.
 Rows that repeat a doc_id or a whole row are rows of their own. Documents of
@@ -60,13 +63,47 @@ def source_targets(sized: DataFrame, weights: tuple[int, ...], max_repeats: int)
     return placed.select("source", "source_size", target.alias("target"))
 
 
+def _whole_copies(large: DataFrame, max_repeats: int) -> DataFrame:
+    """`(source, taken, mass, dealt)` of `(source, source_size, target, size, tie)` rows of large documents.
+
+    `dealt` has the units of each document, `mass` and `taken` the words of all before and after. A source
+    has at most a thousand large documents, as each has a thousandth of its words; equal rows share one entry.
+    """
+    rate = F.col("target") / F.col("source_size")
+    entries = large.groupBy("source", "source_size", "target", "size", "tie").agg(F.count("*").alias("n"))
+    listed = entries.groupBy("source", "source_size", "target").agg(
+        F.sort_array(F.collect_list(F.struct("size", "tie", "n")), asc=False).alias("entries")
+    )
+
+    def deal(state: Column, entry: Column) -> Column:
+        n, size = entry["n"], entry["size"]
+        copies = F.least(F.greatest(F.round(rate * n + state["owed"] / size), F.lit(0.0)), n * F.lit(float(max_repeats)))
+        units = F.round(copies / n * _UNIT).cast("long")
+        one = F.struct(size.alias("size"), entry["tie"].alias("tie"), units.alias("units"))
+        return F.struct(
+            (state["owed"] + (rate * n - copies) * size).alias("owed"),
+            (state["taken"] + copies * size).alias("taken"),
+            (state["mass"] + n * size).alias("mass"),
+            F.concat(state["dealt"], F.array(one)).alias("dealt"),
+        )
+
+    start = F.struct(
+        F.lit(0.0).alias("owed"),
+        F.lit(0.0).alias("taken"),
+        F.lit(0).cast("long").alias("mass"),
+        F.array().cast("array<struct<size:bigint,tie:bigint,units:bigint>>").alias("dealt"),
+    )
+    done = listed.select("source", F.aggregate("entries", start, deal).alias("done"))
+    return done.select("source", "done.taken", "done.mass", "done.dealt")
+
+
 def mix_sources(
     docs: DataFrame,
     weights: tuple[int, ...] = (5, 2, 1),
     max_repeats: int = 3,
     seed: int = 42,
     keep: tuple[str, ...] = ("doc_id",),
-    draws: int = 32,
+    certain: float | None = 0.02,
     columns: tuple[str, str, str] = ("doc_id", "text", "source"),
 ) -> DataFrame:
     """`keep` of every row with `__size, __source_size, __target, __copies`."""
@@ -82,37 +119,43 @@ def mix_sources(
         )
     )
     targets = checkpointed(source_targets(sized.select("source", "size"), weights, max_repeats))
-    rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
-    table = targets.select(
-        F.col("source").alias("__source"), "source_size", "target", F.round(rate * _UNIT).cast("long").alias("units")
+
+    def of_source(rows: DataFrame, table: DataFrame, *on: str) -> DataFrame:
+        named = table.withColumnsRenamed({c: f"__{c}" for c in ("source", *on)})
+        same = F.col("source").eqNullSafe(F.col("__source"))
+        for c in on:
+            same = same & (F.col(c) == F.col(f"__{c}"))
+        return rows.join(named, same, "left").drop("__source", *(f"__{c}" for c in on))
+
+    least = F.greatest(F.lit(certain or 0.0) * F.col("target"), F.col("source_size") / 1000)
+    is_large = F.lit(certain is not None) & (F.col("size") > 0) & (F.col("size") >= least)
+    large = of_source(sized.select("source", "size", "tie"), targets).where(is_large)
+    whole = checkpointed(_whole_copies(large, max_repeats))
+    left = F.col("target") - F.coalesce("taken", F.lit(0.0))
+    small = F.col("source_size") - F.coalesce("mass", F.lit(0))
+    rate = F.when(small > 0, F.least(F.greatest(left / small, F.lit(0.0)), F.lit(float(max_repeats)))).otherwise(0.0)
+    table = of_source(targets, whole.select("source", "taken", "mass")).select(
+        "source", "source_size", "target", F.round(rate * _UNIT).cast("long").alias("units")
     )
-    expected = sized.join(table, F.col("source").eqNullSafe(F.col("__source")), "left").drop("__source")
+    expected = of_source(sized, table)
+    dealt = whole.select("source", F.inline("dealt"))
+    ample = of_source(expected.where(is_large).drop("units"), dealt, "size", "tie")
     summed = running_total(
-        expected,
+        expected.where(~is_large).unionByName(ample),
         ["size", "tie"],
         F.col("units"),
         partition_by=["source"],
         keep=(*carried, "source_size", "target"),
         unique=False,
     )
-
-
-    def copies(offset: Column) -> Column:
-        begin = F.col("before") + offset
-        return (F.floor((begin + F.col("amount")) / _UNIT) - F.floor(begin / _UNIT)).cast("long")
-
-    offsets = [F.pmod(F.xxhash64(F.lit(seed), "source", F.lit(k)), F.lit(_UNIT)) for k in range(draws)]
-    missed = [F.abs(F.sum(copies(u) * F.col("size")) - F.first("target")).alias(f"missed_{k}") for k, u in enumerate(offsets)]
-    tried = summed.groupBy("source").agg(*missed)
-    best = F.array_min(F.array(*(F.struct(F.col(f"missed_{k}").alias("missed"), u.alias("offset")) for k, u in enumerate(offsets))))
-    drawn = tried.select(F.col("source").alias("__source"), best["offset"].alias("offset"))
-    summed = summed.join(drawn, F.col("source").eqNullSafe(F.col("__source")), "left")
+    begin = F.col("before") + F.pmod(F.xxhash64(F.lit(seed), "source"), F.lit(_UNIT))
+    copies = F.floor((begin + F.col("amount")) / _UNIT) - F.floor(begin / _UNIT)
     return summed.select(
         *(F.col(k).alias(c) for c, k in zip(keep, carried)),
         F.col("size").alias("__size"),
         F.col("source_size").alias("__source_size"),
         F.col("target").alias("__target"),
-        copies(F.col("offset")).alias("__copies"),
+        copies.cast("long").alias("__copies"),
     )
 
 
