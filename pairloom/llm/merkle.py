@@ -1,12 +1,15 @@
 """Document fingerprints: a Merkle tree over pieces, paragraphs and sections.
 
 Paragraphs are lines. A paragraph's leaves are its clauses, cut after
-punctuation; a clause of more than 256 bytes is cut after words chosen by their
-hash. Sections end at paragraphs chosen by their hash, so an insertion moves no
-other border. Nodes hash their children; the root is the fingerprint. Equal
-texts have equal roots, and texts that differ are compared from the top: equal
-sections and paragraphs count as a whole, others are opened. The likeness of two
-trees is twice the bytes of the leaves they share over the bytes of both.
+punctuation; a clause of more than 256 bytes is cut after sentence marks of other
+scripts, then after words chosen by their hash, and a long stretch without white
+space after characters chosen by the hash of the three up to them. Sections end at
+paragraphs chosen by their hash, so an insertion moves no other border. Nodes hash
+their children; the root is the fingerprint. Equal texts have equal roots, and
+texts that differ are compared from the top: sections are aligned in their order,
+aligned ones count as a whole, and only what lies between them is opened, first to
+paragraphs and then to leaves. The likeness of two trees is twice the bytes so
+aligned over the bytes of both; text that moved counts once at most.
 
 Every text is read whole. Null and empty texts have the fingerprint of the empty
 text, and are like each other. In `edited_fingerprints` rows follow each other
@@ -19,37 +22,68 @@ from __future__ import annotations
 import hashlib
 import re
 import zlib
-from collections import Counter
-from collections.abc import Iterator
+from bisect import bisect_left
+from collections import defaultdict
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
+import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pairloom.llm.text import slices, texts
+from pairloom.llm.text import mix, slices, texts
 
 _CLAUSE = re.compile(rb"[^.!?;|]+[.!?;|]*\s*|[.!?;|]+\s*")
 _TOKEN = re.compile(rb"\S+\s*|\s+")
+#: Sentence marks of other scripts: ideographic, fullwidth, halfwidth, Devanagari, Arabic, Urdu, Ethiopic.
+_MARK = re.compile("(?:[^{0}]*[{0}]+\\s*)|[^{0}]+".format("\u3002\uff01\uff1f\uff1b\uff61\u0964\u061f\u06d4\u1362"))
 _LONG = 256
+#: Stretches without white space of more bytes are cut by content, on average after _RUN characters and at least _LEAST.
+_UNBROKEN, _RUN, _LEAST = 128, 24, 8
 _SECTION = 4
 
 
+def _unbroken(token: bytes) -> list[bytes]:
+    """A long stretch cut after characters chosen by the hash of the last three, so that an edit moves few borders."""
+    text = token.decode("utf-8", "surrogatepass")
+    points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype=np.uint32).astype(np.uint64)
+    chosen = np.flatnonzero(mix(points[:-2] + mix(points[1:-1] + mix(points[2:]))) % np.uint64(_RUN) == 0) + 3
+    out, begin = [], 0
+    for end in chosen.tolist():
+        if end - begin >= _LEAST:
+            out.append(text[begin:end].encode("utf-8", "surrogatepass"))
+            begin = end
+    if begin < len(text):
+        out.append(text[begin:].encode("utf-8", "surrogatepass"))
+    return out
+
+
 def _pieces(paragraph: bytes) -> list[bytes]:
     out: list[bytes] = []
     for clause in _CLAUSE.findall(paragraph):
         if len(clause) <= _LONG:
             out.append(clause)
             continue
-        run: list[bytes] = []
-        for token in _TOKEN.findall(clause):
-            run.append(token)
-            if zlib.crc32(token.rstrip()) % 8 == 0:
+        marked = [clause] if clause.isascii() else _MARK.findall(clause.decode("utf-8", "surrogatepass"))
+        for part in marked:
+            part = part if isinstance(part, bytes) else part.encode("utf-8", "surrogatepass")
+            if len(part) <= _LONG and len(marked) > 1:
+                out.append(part)
+                continue
+            run: list[bytes] = []
+            for token in _TOKEN.findall(part):
+                if len(token) > _UNBROKEN:
+                    out += [b"".join(run), *_unbroken(token)] if run else _unbroken(token)
+                    run = []
+                    continue
+                run.append(token)
+                if zlib.crc32(token.rstrip()) % 8 == 0:
+                    out.append(b"".join(run))
+                    run = []
+            if run:
                 out.append(b"".join(run))
-                run = []
-        if run:
-            out.append(b"".join(run))
     return out
 
 
@@ -57,6 +91,7 @@ def _pieces(paragraph: bytes) -> list[bytes]:
 class Paragraph:
     digest: bytes
     leaves: tuple[tuple[bytes, int], ...]
+    size: int
 
 
 @dataclass(frozen=True)
@@ -67,14 +102,6 @@ class Tree:
     sections: tuple[tuple[bytes, tuple[Paragraph, ...]], ...]
     size: int
 
-    def leaves(self) -> Counter:
-        counted: Counter = Counter()
-        for _, paragraphs in self.sections:
-            for p in paragraphs:
-                for digest, size in p.leaves:
-                    counted[digest] += size
-        return counted
-
 
 def build(text: str) -> Tree:
     hashed = xxhash.xxh3_128_digest
@@ -82,7 +109,7 @@ def build(text: str) -> Tree:
     sections, current = [], []
     for line in raw.split(b"\n"):
         leaves = tuple((hashed(p), len(p)) for p in _pieces(line))
-        current.append(Paragraph(hashed(b"P" + b"".join(d for d, _ in leaves)), leaves))
+        current.append(Paragraph(hashed(b"P" + b"".join(d for d, _ in leaves)), leaves, len(line)))
         if current[-1].digest[0] % _SECTION == 0:
             sections.append((hashed(b"S" + b"".join(p.digest for p in current)), tuple(current)))
             current = []
@@ -92,34 +119,94 @@ def build(text: str) -> Tree:
     return Tree(root, tuple(sections), len(raw))
 
 
+def _aligned(x: Sequence[bytes], y: Sequence[bytes]) -> list[tuple[int, int]]:
+    """Places of equal digests in the order of both: the common beginning and end, and between them a longest
+    rising run of the k-th occurrence in one with the k-th in the other."""
+    head, most = 0, min(len(x), len(y))
+    while head < most and x[head] == y[head]:
+        head += 1
+    tail = 0
+    while tail < most - head and x[-1 - tail] == y[-1 - tail]:
+        tail += 1
+    waiting: defaultdict[bytes, list[int]] = defaultdict(list)
+    for j in range(len(y) - tail - 1, head - 1, -1):
+        waiting[y[j]].append(j)
+    # The end of the best run of each length, and for each pair the one before it.
+    ends: list[int] = []
+    held: list[int] = []
+    pairs: list[tuple[int, int, int]] = []
+    for i in range(head, len(x) - tail):
+        places = waiting.get(x[i])
+        if places:
+            j = places.pop()
+            length = bisect_left(ends, j)
+            pairs.append((i, j, held[length - 1] if length else -1))
+            ends[length : length + 1] = [j]
+            held[length : length + 1] = [len(pairs) - 1]
+    run, at = [], held[-1] if held else -1
+    while at >= 0:
+        i, j, at = pairs[at]
+        run.append((i, j))
+    return [(i, i) for i in range(head)] + run[::-1] + [(len(x) - k, len(y) - k) for k in range(tail, 0, -1)]
+
+
+def _between(x: Sequence, y: Sequence, aligned: list[tuple[int, int]]) -> Iterator[tuple[range, range]]:
+    """The stretches between aligned places."""
+    i = j = 0
+    for p, q in [*aligned, (len(x), len(y))]:
+        if p > i or q > j:
+            yield range(i, p), range(j, q)
+        i, j = p + 1, q + 1
+
+
+def _opened(a: Tree, b: Tree) -> tuple[list, list[tuple[list, list]]]:
+    """Aligned sections of `a`, and the numbered paragraphs of both trees between them."""
+    aligned = _aligned([d for d, _ in a.sections], [d for d, _ in b.sections])
+    sides = []
+    for tree in (a, b):
+        numbered, at = [], 0
+        for _, paragraphs in tree.sections:
+            numbered.append([(at + k, p) for k, p in enumerate(paragraphs)])
+            at += len(paragraphs)
+        sides.append(numbered)
+    gaps = [
+        tuple([p for k in places for p in side[k]] for side, places in zip(sides, gap))
+        for gap in _between(a.sections, b.sections, aligned)
+    ]
+    return [a.sections[i][1] for i, _ in aligned], gaps
+
+
+def _differing(a: Tree, b: Tree) -> tuple[int, list[tuple[list, list]]]:
+    """The bytes of aligned sections and paragraphs, and the numbered paragraphs that lie between them."""
+    whole, gaps = _opened(a, b)
+    shared, left = sum(p.size for section in whole for p in section), []
+    for x, y in gaps:
+        pairs = _aligned([p.digest for _, p in x], [p.digest for _, p in y])
+        shared += sum(x[i][1].size for i, _ in pairs)
+        left += [([x[i] for i in own], [y[j] for j in other]) for own, other in _between(x, y, pairs)]
+    return shared, left
+
+
 def likeness(a: Tree, b: Tree) -> float:
-    """Twice the shared leaf bytes over the bytes of both, 1 for equal roots."""
+    """Twice the aligned bytes over the bytes of both, 1 for equal roots alone."""
     if a.root == b.root:
         return 1.0
-    x, y = a.leaves(), b.leaves()
-    total = sum(x.values()) + sum(y.values())
+    total = sum(p.size for tree in (a, b) for _, section in tree.sections for p in section)
     if not total:
-        return 1.0 if a.size == b.size else 0.0
-    fewer, more = (x, y) if len(x) <= len(y) else (y, x)
-    shared = sum(min(size, more[d]) for d, size in fewer.items() if d in more)
-    # Only equal roots give 1.
+        return 0.0
+    shared, left = _differing(a, b)
+    for x, y in left:
+        if x and y:
+            leaves = [leaf for _, p in x for leaf in p.leaves]
+            pairs = _aligned([d for d, _ in leaves], [d for _, p in y for d, _ in p.leaves])
+            shared += sum(leaves[i][1] for i, _ in pairs)
     return min(2.0 * shared / total, 1.0 - 1e-9)
 
 
 def changed_paragraphs(a: Tree, b: Tree) -> tuple[list[int], list[int]]:
-    """Numbers of the paragraphs in the branches of each tree that the other lacks."""
-
-    def lacking(own: Tree, other: Tree) -> list[int]:
-        known = {d for d, _ in other.sections}
-        within = Counter(p.digest for _, ps in other.sections for p in ps)
-        out, at = [], 0
-        for digest, paragraphs in own.sections:
-            if digest not in known:
-                out += [at + i for i, p in enumerate(paragraphs) if not within[p.digest]]
-            at += len(paragraphs)
-        return out
-
-    return lacking(a, b), lacking(b, a)
+    """Numbers of the paragraphs of each tree that have no equal in the other, in the order of both."""
+    _, left = _differing(a, b)
+    return [i for x, _ in left for i, _ in x], [j for _, y in left for j, _ in y]
 
 
 def fingerprints(docs: DataFrame, key: str = "doc_id") -> DataFrame:
