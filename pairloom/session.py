@@ -45,17 +45,15 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 def checkpointed(df: DataFrame) -> DataFrame:
     """Materialise a frame in the shared folder, so later passes see the same partitions."""
     shared_dir(df.sparkSession)
-    held = df.checkpoint(eager=True)
-    del df
-    free_unused(held.sparkSession)
-    return held
+    return df.checkpoint(eager=True)
 
 
 def free_unused(spark: SparkSession) -> None:
     """Have Spark delete the shuffle files and checkpoints of frames that nobody holds any more.
 
     Its cleaner learns of them from the driver's garbage collection, which a driver with
-    little to do runs too rarely for the executors' disks.
+    little to do runs too rarely for the executors' disks. A call takes a fifth of a second,
+    so it belongs after steps that wrote much.
     """
     gc.collect()
     spark.sparkContext._jvm.System.gc()
