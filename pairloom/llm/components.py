@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pairloom.session import checkpointed
+from pairloom.session import checkpointed, free_unused
 
 
 #: Tasks over which a node that very many rows name is dealt.
@@ -42,5 +42,7 @@ def connected_components(edges: DataFrame) -> DataFrame:
         moved = meet(told, "node", named, "root", "left")
         labels = checkpointed(moved.select("node", "was", F.coalesce("far", "root").alias("root")))
         if labels.where("was <> root").isEmpty():
+            del both, heard, told, target, named, moved
+            free_unused(labels.sparkSession)
             return labels.select("node", "root")
         labels = labels.select("node", "root")

@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 
 from pairloom.llm.components import connected_components, meet
 from pairloom.llm.text import mix, slices, split_words, texts
-from pairloom.session import checkpointed
+from pairloom.session import checkpointed, free_unused
 
 #: Up to so many shingles a document is probed with all of them, and a document that could link with it sends all.
 _ALL_BELOW = 64
@@ -504,6 +504,8 @@ def _between_groups(reaching: DataFrame, percent: int) -> DataFrame:
         .where("met >= need")
         .select("set_id", "g")
     )
+    del sent, frequent, shared, leads, pooled, sizes, cells, asked, rare, able, candidates
+    free_unused(reaching.sparkSession)
     # Visitors of a group are dealt over tasks; its own members are repeated for each.
     tasks = checkpointed(qualified.groupBy("g").agg(F.ceil(F.count("*") / (8 * _GROUP)).cast("int").alias("tasks")))
     sets = reaching.select("set_id", "root", "tokens")
@@ -544,7 +546,9 @@ def _rooted(docs: DataFrame, width: int, percent: int, keep: tuple[str, ...] = (
     survivors = checkpointed(
         members.join(credits, "member", "left").where(_open(credit, F.col("n"), F.col("probed"), percent)).select("set_id", "doc_id")
     )
+    del credits, credit
     sets = checkpointed(_survivor_sets(docs, survivors, width))
+    free_unused(docs.sparkSession)
     pairs = checkpointed(_pivot_pairs(sets))
     links = checkpointed(_verified(pairs.where(F.col("agreeing") >= _AGREE).select("a", "b"), sets, percent))
     groups = connected_components(links)
@@ -554,6 +558,8 @@ def _rooted(docs: DataFrame, width: int, percent: int, keep: tuple[str, ...] = (
         .join(_homes(pairs), "set_id", "left")
         .select("set_id", "tokens", F.coalesce("root", "set_id").alias("root"), F.coalesce("home", "set_id").alias("home"))
     )
+    del sets, pairs, links
+    free_unused(docs.sparkSession)
     again = _shared_credits(grouped.mapInArrow(pack_groups, _PACKED))
     sized = rows.where("set_id IS NOT NULL").select("set_id", "member", F.col("n_shingles").alias("n"), "probed").dropDuplicates(["set_id"])
     reaching = (
@@ -562,7 +568,10 @@ def _rooted(docs: DataFrame, width: int, percent: int, keep: tuple[str, ...] = (
         .select("set_id")
     )
     # Between roots only: what hangs together already is one node there.
-    between = connected_components(_between_groups(checkpointed(grouped.join(reaching, "set_id", "left_semi")), percent))
+    reached = checkpointed(grouped.join(reaching, "set_id", "left_semi"))
+    del grouped, again, reaching
+    free_unused(docs.sparkSession)
+    between = connected_components(_between_groups(reached, percent))
     first = members.select("set_id", "doc_id").join(groups.withColumnRenamed("node", "set_id"), "set_id", "left")
     named = first.select("set_id", "doc_id", F.coalesce("root", "set_id").alias("root"))
     wider = between.select(F.col("node").alias("root"), F.col("root").alias("whole"))
