@@ -50,7 +50,7 @@ from pyspark.sql import functions as F
 
 from pairloom.llm.elias_fano import EliasFano
 from pairloom.llm.text import Words, mix, slices, split_words, texts
-from pairloom.session import checkpointed
+from pairloom.session import checkpointed, free_unused
 
 _HEAVY, _PARTS = 512, 64
 #: Weight of a word's chance in the next shorter context, for each different follower of the context.
@@ -356,6 +356,7 @@ def score_texts(docs: DataFrame, train: Column, shards: int | None = None, order
         .groupBy("shard", "spread")
         .applyInArrow(_count_shard(speller.words / _HEAVY), schema)
     )
+    free_unused(docs.sparkSession)
     # One row per shard, and at most _HEAVY words in all.
     distinct, heavy = 0, [np.zeros(0, dtype=np.uint64)]
     for r in counted.where("slice = -1").select("body").collect():
@@ -441,6 +442,8 @@ def score_texts(docs: DataFrame, train: Column, shards: int | None = None, order
 
     shipped = counted.where("slice <> -1").groupBy("slice").applyInArrow(ship, schema).withColumn("spread", spread)
     answered = checkpointed(shipped.groupBy("shard", "spread").applyInArrow(_score_shard(order), schema))
+    del counted, shipped
+    free_unused(docs.sparkSession)
     # The counts of split contexts: at most (_HEAVY + 2) ** 2 numbers.
     split = np.zeros(side**2)
     for r in answered.where("slice = -1").select("body").collect():
