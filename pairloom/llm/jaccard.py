@@ -488,23 +488,20 @@ def _between_groups(reaching: DataFrame, percent: int) -> DataFrame:
             "set_id", "r", need.alias("need"), F.slice(F.col("rare.token"), F.lit(1), (F.size("rare") - need + 1).cast("int")).alias("probes")
         )
     )
+    free_unused(reaching.sparkSession)
+    # Members by a short form, of which two alike could only count more.
+    short = F.xxhash64("set_id").alias("m")
     candidates = (
-        able.select("set_id", "r", F.explode("probes").alias("token"))
-        .join(cells, "token")
-        .where(other)
-        .select("set_id", "g")
-        .distinct()
+        able.select(short, "r", F.explode("probes").alias("token")).join(cells, "token").where(other).select("m", "g").distinct()
     )
-    qualified = checkpointed(
-        candidates.join(able.select("set_id", "need"), "set_id")
-        .join(asked.select("set_id", "token"), "set_id")
+    counted_cells = (
+        candidates.join(asked.select(short, "token"), "m")
         .join(cells.select("token", "g"), ["token", "g"])
-        .groupBy("set_id", "g", "need")
+        .groupBy("m", "g")
         .agg(F.count("*").alias("met"))
-        .where("met >= need")
-        .select("set_id", "g")
     )
-    del sent, frequent, shared, leads, pooled, sizes, cells, asked, rare, able, candidates
+    qualified = checkpointed(able.select("set_id", "need", short).join(counted_cells, "m").where("met >= need").select("set_id", "g"))
+    del sent, frequent, shared, leads, pooled, sizes, cells, asked, rare, able, candidates, counted_cells
     free_unused(reaching.sparkSession)
     # Visitors of a group are dealt over tasks; its own members are repeated for each.
     tasks = checkpointed(qualified.groupBy("g").agg(F.ceil(F.count("*") / (8 * _GROUP)).cast("int").alias("tasks")))
