@@ -9,26 +9,23 @@ spelt) / (n + t) over all words, and below these the chance of the word's letter
 under a letter-trigram model. So every word has a probability. A text's score is
 the sum of log10 p. All counts are exact; nothing depends on the partitions.
 
-Single words are a level of their own, split by word: tasks send each slice's
-distinct words and their uses in training texts, packed by shard; a shard adds
-them up and sends the slice the sums. The levels above are split by the word
-before, so each shard holds all longer contexts that end in it. A level is a
-sequence of context ids, pointers into its followers, exact context counts as a
-cumulative sequence, and there the followers' ids, all monotone and in Elias-Fano
-form on memory-mapped files, with quantised probabilities beside them. Contexts
-and followers are found by successor search, the latter within their context's
-range. Shards are built and asked in one pass: tasks send each slice's words with
-what is before them, packed by shard, those of training texts marked; a shard
-counts the marked ones, builds its levels, asks them for all, and returns sums by
-text.
-
-Words with more than 1/512 of all training words would make hot shards. As the
-word before they are split into 64 by a hash of the word before that, so that
-their pairs are counted by its class, and longer contexts as ever. Where both are
-such words (or the text's start), the two make one context and are split into 64
-by a hash of the follower: p is then the chance of the part, (cb + 1) / (c + 64),
-times the chance within it. The 512 words such a share leaves room for bound what
-is broadcast.
+The trie's levels are single words, pairs and so on, each split into shards by
+context. A level is a sequence of its contexts' node numbers in the level below,
+pointers into their children, the children's words (as node numbers of the word
+level; there, as hashes of 64 bits) and cumulative counts, all monotone and in
+Elias-Fano form on memory-mapped files, with quantised chances beside them. A
+child is found by successor search within its context's range, and its place and
+shard make its node number, by which the next level knows it as a context.
+
+Levels are built and asked one after the other. Texts are cut into slices once. A
+slice asks for its distinct word sequences, packed by shard, with their uses in
+training texts; a shard adds these up, builds its part of the level, and answers
+each slice. A sequence whose context isn't in the trie isn't asked for any more.
+
+A context with more than 1/512 of all training words would make a hot shard. Its
+children are dealt over all shards, and the only number that then takes all of
+them, how many there are, is added up for at most 512 such contexts a level and
+broadcast. Chances are the same as without.
 
 Null and empty texts are the end alone. Repeated rows are texts of their own.
 Words of any length and texts of any length are scored whole. Without training
@@ -49,13 +46,19 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pairloom.llm.elias_fano import EliasFano
-from pairloom.llm.text import Words, mix, slices, split_words, texts
+from pairloom.llm.text import Words, mix, release, slices, split_words, texts
 from pairloom.session import checkpointed, free_unused
 
-_HEAVY, _PARTS = 512, 64
+#: Contexts with more than this share of the training words are dealt over all shards.
+_HOT = 512
+#: Training words that make a shard.
+_SHARD = 4_000_000
 #: Weight of a word's chance in the next shorter context, for each different follower of the context.
 _TRUST = 8.0
-_START_ID, _END_ID = np.uint64(1), np.uint64(2)
+#: Nodes: 0 is none; the start of a text and its end; and from there on those of the levels.
+_START, _END, _NODES = np.uint64(1), np.uint64(2), np.uint64(3)
+#: What a slice holds besides its words' numbers, before and after the first level's answers.
+_HELD = (("<u8", "<u2"), ("<u8", "<u8", "<u8", "<u2", "<f8", "<u4"))
 #: Symbols of the letter model: byte classes, the mark before a word, the mark after it.
 _SYMBOLS, _BEFORE, _AFTER = 64, 62, 63
 _DOCS = 30_000
@@ -106,15 +109,6 @@ class Speller:
         number, byte, first = _trigrams(*_letters(words))
         return np.add.reduceat(self.next[number] + self.letter[byte], first)
 
-    def alone(self, spelt: np.ndarray, uses: np.ndarray, kinds: int) -> np.ndarray:
-        """log10 of (c + t * spelt) / (n + t); of words too unlikely for a double, in logarithms."""
-        if not self.words:
-            return spelt
-        whole = np.log10(self.words + kinds)
-        rare = np.log10(kinds) + spelt - whole
-        used = np.log10(np.maximum(uses, 1) + kinds * 10.0 ** np.maximum(spelt, -300)) - whole
-        return np.where(uses > 0, used, rare)
-
 
 # A word's -log10 in 16 bits: steps of 1/256 below 128, then of 1/2048 of a doubling.
 _DECODED = np.append(np.arange(32768) / 256, 128 * 2.0 ** (np.arange(32768) / 2048))
@@ -152,13 +146,7 @@ def _learn_letters(train: DataFrame) -> Speller:
     return Speller(letters[:size], letters[size:-2], int(letters[-2]), int(letters[-1]))
 
 
-def _number(heavy: np.ndarray, hashed: np.ndarray) -> np.ndarray:
-    """1 and up for the heavy words, 0 for others."""
-    at = np.searchsorted(heavy, hashed)
-    return np.where((at < len(heavy)) & (np.append(heavy, 0)[np.minimum(at, len(heavy))] == hashed), at + 1, 0)
-
-
-_SHIPPED = "slice bigint, shard int, body binary, docs array<struct<doc_id:{kind},train:boolean,tokens:bigint>>"
+_SHIPPED = "slice bigint, shard int, body binary, docs array<struct<doc_id:{kind},train:boolean,tokens:bigint>>, context bigint, kinds bigint"
 
 
 def _bytes(*arrays: np.ndarray) -> bytes:
@@ -179,130 +167,163 @@ def _arrays(raw: bytes, *kinds: str) -> list[np.ndarray]:
     return out
 
 
-class Shard:
-    """One level of a shard's trie, from its training pairs sorted by context and successor."""
-
-    def __init__(self, contexts: np.ndarray, pair_context: np.ndarray, follower: np.ndarray, count: np.ndarray, folder: Path) -> None:
-        kinds = np.bincount(pair_context, minlength=len(contexts))
-        total = np.bincount(pair_context, weights=count, minlength=len(contexts))
-        self.level1 = EliasFano(contexts, folder, "contexts")
-        self.pointers = EliasFano(np.append(0, np.cumsum(kinds)), folder, "pointers")
-        self.cumulated = EliasFano(np.append(0, np.cumsum(total)), folder, "counts")
-        self.level2 = EliasFano((pair_context.astype(np.uint64) << np.uint64(32)) | follower.astype(np.uint64), folder, "followers")
-        share = count / (total + _TRUST * kinds)[pair_context]
-        codes = np.minimum(np.rint(-1024 * np.log2(share)), 65535).astype(np.uint16) if len(count) else np.zeros(0, np.uint16)
+class Level:
+    """One shard of a level, from (context, word, uses) of all slices; a pair may come several times."""
+
+    def __init__(self, context: np.ndarray, total: np.ndarray, word: np.ndarray, uses: np.ndarray, folder: Path) -> None:
+        contexts, first, rank = np.unique(context, return_index=True, return_inverse=True)
+        self.bits = np.uint64(int(word.max()).bit_length() if len(word) else 0)
+        keys, place = np.unique(self._key(rank, word), return_inverse=True)
+        counts = np.bincount(place, weights=uses, minlength=len(keys)).astype(np.int64)
+        parent = np.zeros(len(keys), dtype=np.int64)
+        parent[place] = rank
+        self.contexts = EliasFano(contexts, folder, "contexts")
+        self.pointers = EliasFano(np.append(0, np.cumsum(np.bincount(parent, minlength=len(contexts)))), folder, "pointers")
+        self.children = EliasFano(keys, folder, "children")
+        self.cumulated = EliasFano(np.append(0, np.cumsum(counts)), folder, "counts")
+        share = counts / np.maximum(total[first][parent], 1) if len(keys) else np.zeros(0)
+        codes = np.minimum(np.rint(-1024 * np.log2(share)), 65535).astype(np.uint16)
         np.save(folder / "chances.npy", codes)
         self.chances = np.load(folder / "chances.npy", mmap_mode="r") if len(codes) else codes
 
-    def ask(self, context: np.ndarray, place: np.ndarray, follower: np.ndarray) -> tuple[np.ndarray, ...]:
-        """For distinct contexts, counts and followers' numbers; for pairs (place in them, follower) c / (n + 8 t)."""
-        rank, known = self.level1.successor(context)
+    def _key(self, rank: np.ndarray, word: np.ndarray) -> np.ndarray:
+        # Single words, hashes of all 64 bits, have one context alone, of rank 0.
+        return (rank.astype(np.uint64) << self.bits) | word if self.bits < 64 else word
+
+    def ask(self, contexts: np.ndarray, runs: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, ...]:
+        """Children of each context; and of each word after it the coded chance, the count and the place, or -1."""
+        if not self.children.n:
+            none = np.zeros(len(word), dtype=np.int64)
+            return np.zeros(len(contexts), dtype=np.int64), none.astype(np.uint16), none, none - 1
+        rank, known = self.contexts.successor(contexts)
         rank = np.where(known, rank, 0)
-        if not self.level1.n:
-            zero = np.zeros(len(context))
-            return zero, zero, np.zeros(len(place))
-        total = np.where(known, (self.cumulated.get(rank + 1) - self.cumulated.get(rank)).astype(np.float64), 0)
         begin, end = self.pointers.get(rank).astype(np.int64), self.pointers.get(rank + 1).astype(np.int64)
-        kinds = np.where(known, end - begin, 0)
-        at, found = self.level2.successor((rank[place].astype(np.uint64) << np.uint64(32)) | follower.astype(np.uint64))
-        found &= known[place] & (at >= begin[place]) & (at < end[place])
-        share = np.where(found, 2.0 ** (-self.chances[np.where(found, at, 0)].astype(np.float64) / 1024), 0.0)
-        return total, kinds, share
-
-
-def _table(rows: list[tuple], table: pa.Table) -> pa.Table:
-    kinds = (pa.int64(), pa.int32(), pa.binary(), table.schema.field("docs").type)
-    columns = list(zip(*rows)) or [()] * 4
-    return pa.table([pa.array(c, k) for c, k in zip(columns, kinds)], names=["slice", "shard", "body", "docs"])
-
-
-def _count_shard(least: float) -> Callable[[pa.Table], pa.Table]:
-    """Uses of the shard's words in all slices, for each slice that has them; and how many words, and those above `least`."""
-
-    def count(table: pa.Table) -> pa.Table:
-        if table.column("shard")[0].as_py() < 0:
-            return table.select(["slice", "shard", "body", "docs"])
-        held = [_arrays(b, "<u8", "<u4") for b in table.column("body").to_pylist()]
-        own, place = np.unique(np.concatenate([h[0] for h in held]), return_inverse=True)
-        uses = np.bincount(place, weights=np.concatenate([h[1] for h in held]), minlength=len(own))
-        rows, at = [], 0
-        for slice_id, shard, h in zip(table.column("slice").to_pylist(), table.column("shard").to_pylist(), held):
-            rows.append((slice_id, shard, _bytes(uses[place[at : at + len(h[0])]].astype("<f8")), None))
-            at += len(h[0])
-        rows.append((-1, 0, _bytes(np.array([(uses > 0).sum()], dtype="<u8"), own[uses > least]), None))
-        return _table(rows, table)
-
-    return count
-
-
-def _level(
-    contexts: np.ndarray, context: np.ndarray, follower: np.ndarray, train: np.ndarray
-) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """One level, built of the training pairs and asked for all: count and kinds by context, c / (n + 8 t) by pair."""
-    keys, inverse = np.unique((context.astype(np.uint64) << np.uint64(32)) | follower, return_inverse=True)
-    counted = np.bincount(inverse, weights=train, minlength=len(keys))
-    learnt = counted > 0
-    place, own_follower = (keys >> np.uint64(32)).astype(np.int64), (keys & np.uint64(0xFFFFFFFF)).astype(np.uint32)
-    own, rank = np.unique(place[learnt], return_inverse=True)
+        own = np.repeat(np.arange(len(contexts)), runs)
+        # A word wider than those of this shard can't be among them.
+        fits = known[own] & ((word >> self.bits) == 0) if self.bits < 64 else known[own]
+        at, found = self.children.successor(self._key(rank[own], np.where(fits, word, 0)))
+        found &= fits & (at >= begin[own]) & (at < end[own])
+        at = np.where(found, at, 0)
+        count = np.where(found, (self.cumulated.get(at + 1) - self.cumulated.get(at)).astype(np.int64), 0)
+        return np.where(known, end - begin, 0), np.where(found, self.chances[at], 0).astype(np.uint16), count, np.where(found, at, -1)
+
+
+_COLUMNS = ["slice", "shard", "body", "docs", "context", "kinds"]
+
+
+def _table(rows: list[tuple], docs: pa.DataType) -> pa.Table:
+    """Rows of `_SHIPPED`; what a row leaves out at its end is null."""
+    kinds = (pa.int64(), pa.int32(), pa.binary(), docs, pa.int64(), pa.int64())
+    columns = list(zip(*(r + (None,) * (6 - len(r)) for r in rows))) or [()] * 6
+    return pa.table([pa.array(c, k) for c, k in zip(columns, kinds)], names=_COLUMNS)
+
+
+class Asked:
+    """What a slice asks a level for, by shard: which of its sequences, and the runs of equal contexts among them."""
+
+    def __init__(self, context: np.ndarray, total: np.ndarray, word: np.ndarray, hot: np.ndarray, shards: int) -> None:
+        self.context, self.total, self.word, self.hot = context, total, word, hot
+        goal = mix(context + np.where(hot, mix(word), np.uint64(0))) % np.uint64(shards)
+        real = np.flatnonzero((context > 0) & (total > 0))
+        self.line = real[np.lexsort((word[real], context[real], goal[real]))]
+        goal, own = goal[self.line], context[self.line]
+        new = np.append(True, goal[1:] != goal[:-1])[: len(goal)]
+        self.cuts = np.append(np.flatnonzero(new), len(goal))
+        self.starts = np.flatnonzero(new | np.append(True, own[1:] != own[:-1])[: len(goal)])
+        self.runs = np.diff(np.append(self.starts, len(goal)))
+        self.firsts = np.searchsorted(self.starts, self.cuts)
+        self.shards = goal[self.cuts[:-1]].astype(np.int64)
+
+    def rows(self, number: int, uses: np.ndarray) -> list[tuple]:
+        out = []
+        for k, shard in enumerate(self.shards):
+            some = self.line[self.cuts[k] : self.cuts[k + 1]]
+            heads = self.line[self.starts[self.firsts[k] : self.firsts[k + 1]]]
+            runs = self.runs[self.firsts[k] : self.firsts[k + 1]]
+            body = _bytes(
+                self.context[heads],
+                self.total[heads].astype("<u8"),
+                self.hot[heads].astype("<u1"),
+                runs.astype("<u4"),
+                self.word[some],
+                uses[some].astype("<u4"),
+            )
+            out.append((number, int(shard), body))
+        return out
+
+    def answers(self, bodies: dict[int, bytes], kinds_of: dict[int, int]) -> tuple[np.ndarray, ...]:
+        """Of all sequences: children of the context, chance after it, count and node; 0 where there is none."""
+        n = len(self.context)
+        kinds, chance, count, node = np.zeros(n), np.zeros(n), np.zeros(n, dtype=np.int64), np.zeros(n, dtype=np.uint64)
+        for k, shard in enumerate(self.shards):
+            some = self.line[self.cuts[k] : self.cuts[k + 1]]
+            t, code, c, place = _arrays(bodies[int(shard)], "<u4", "<u2", "<u8", "<u8")
+            kinds[some] = np.repeat(t, self.runs[self.firsts[k] : self.firsts[k + 1]])
+            found = place > 0
+            chance[some] = np.where(found, 2.0 ** (-code.astype(np.float64) / 1024), 0.0)
+            count[some] = c
+            node[some] = np.where(found, (place - np.uint64(1)) * np.uint64(self.total_shards) + np.uint64(shard) + _NODES, 0)
+        for context, t in kinds_of.items():
+            kinds[self.hot & (self.context == np.uint64(context))] = t
+        return kinds, chance, count, node
+
+    total_shards = 1
+
+
+def _interpolated(chance: np.ndarray, total: np.ndarray, kinds: np.ndarray, lower: np.ndarray) -> np.ndarray:
+    """log10 of (c + kinds * p) / (n + kinds), `lower` being log10 p, which may be too small for a double's p."""
+    weight = np.where(kinds > 0, kinds / np.maximum(total + kinds, 1), 1.0)
+    unseen = np.log10(weight) + lower
+    seen = chance * total / np.maximum(total + kinds, 1) + weight * 10.0 ** np.maximum(lower, -300)
+    return np.where(chance > 0, np.log10(np.maximum(seen, 1e-300)), unseen)
+
+
+def _answer_shard(table: pa.Table) -> pa.Table:
+    """Build the shard's part of a level and answer each slice; and how many children its hot contexts have here."""
+    docs = table.schema.field("docs").type
+    numbers, shard, rows = table.column("slice").to_pylist(), table.column("shard")[0].as_py(), []
+    held = [_arrays(b, "<u8", "<u8", "<u1", "<u4", "<u8", "<u4") for b in table.column("body").to_pylist()]
+    learnt: list[list[np.ndarray]] = [[], [], [], []]
+    for contexts, total, _, runs, word, uses in held:
+        some = uses > 0
+        for into, values in zip(learnt, (np.repeat(contexts, runs), np.repeat(total, runs), word, uses)):
+            into.append(values[some])
+    hot = np.unique(np.concatenate([h[0][h[2] > 0] for h in held]))
     with tempfile.TemporaryDirectory() as folder:
-        shard = Shard(contexts[own], rank, own_follower[learnt], counted[learnt], Path(folder))
-        total, kinds, share = shard.ask(contexts, place, own_follower)
-    return total, kinds, share[inverse]
-
-
-def _score_shard(order: int) -> Callable[[pa.Table], pa.Table]:
-    """Build the shard's levels and ask them for every word: sums by document, and the counts of split contexts."""
-
-    def score(table: pa.Table) -> pa.Table:
-        rows = [(s, b) for s, b in zip(table.column("slice").to_pylist(), table.column("body").to_pylist())]
-        if table.column("shard")[0].as_py() < 0:
-            return table.select(["slice", "shard", "body", "docs"])
-        kinds = ("<u8", "<u4", "<u4", "<u4", "<u2", "<u2", *["<u4"] * max(0, order - 2))
-        held = [_arrays(b, *kinds) for _, b in rows]
-        sizes = [len(h[3]) for h in held]
-        lists = [np.concatenate(c) for c in zip(*held)]
-        lengths = [h[2] for h in held]
-        del held
-        contexts, place = np.unique(lists[0], return_inverse=True)
-        which = np.zeros(len(contexts), dtype=np.int64)
-        which[place] = lists[1]
-        context = np.repeat(place, lists[2])
-        follower, spelt, marked = lists[3:6]
-        train, doc = marked >= 32768, (marked & 32767).astype(np.int64)
-        split = which[context] > 0
-        p = 10.0 ** -_DECODED[spelt]
-        p = np.where(split, np.minimum(1.0, p * _PARTS), p)
-        # A word too unlikely for a double keeps the logarithm of its chance alone and of the weights.
-        small = -_DECODED[spelt]
-        first, at = None, context
-        for depth in range(order - 1):
-            if depth:
-                keys = (at.astype(np.uint64) << np.uint64(32)) | lists[5 + depth]
-                ids, at = np.unique(keys, return_inverse=True)
-            else:
-                ids = contexts
-            total, t, share = _level(ids, at, follower, train)
-            first = total if first is None else first
-            total, t = total[at], _TRUST * t[at]
-            # A split context has the word before it already.
-            known = (total > 0) & ~(split & (depth == 1))
-            weight = np.where(known, t / np.maximum(total + t, 1), 1.0)
-            p = np.where(known, share, 0.0) + weight * p
-            small = small + np.log10(weight)
-        logs = np.where(p < 1e-290, small, np.log10(np.maximum(p, 1e-300)))
-        logs += np.where(split, np.log10(first[context] + 1), 0.0)
-        out, begin = [], 0
-        for (slice_id, _), n in zip(rows, sizes):
-            some = slice(begin, begin + n)
-            docs, where = np.unique(doc[some], return_inverse=True)
-            sums = np.bincount(where, weights=logs[some], minlength=len(docs))
-            out.append((slice_id, 0, _bytes(docs.astype("<u2"), sums), None))
-            begin += n
-        heavies = np.flatnonzero((which > 0) & (first > 0))
-        out.append((-1, 1, _bytes(which[heavies].astype("<u4"), first[heavies]), None))
-        return _table(out, table)
-
-    return score
+        level = Level(*(np.concatenate(x) for x in learnt), Path(folder))
+        del learnt
+        for number, (contexts, _, _, runs, word, _) in zip(numbers, held):
+            kinds, code, count, place = level.ask(contexts, runs, word)
+            body = _bytes(kinds.astype("<u4"), code, count.astype("<u8"), (place + 1).astype("<u8"))
+            rows.append((number, shard, body))
+        # A hot context's words that aren't learnt here ask too, of no children.
+        kinds = level.ask(hot, np.zeros(len(hot), dtype=np.int64), np.zeros(0, dtype=np.uint64))[0]
+        del level
+    rows += [(-1, shard, None, None, int(c), int(t)) for c, t in zip(hot, kinds)]
+    release()
+    return _table(rows, docs)
+
+
+class Slice:
+    """Words of a slice's texts, each text with its end, and the word sequences that end at each of them."""
+
+    def __init__(self, codes: np.ndarray, counts: np.ndarray, n_words: int) -> None:
+        counts = counts.astype(np.int64)
+        # Words are numbered 0 and up, then the end and the start.
+        self.width = n_words + 2
+        self.word = np.insert(codes.astype(np.int64), np.cumsum(counts), n_words)
+        self.doc = np.repeat(np.arange(len(counts)), counts + 1)
+        self.first = np.append(True, self.doc[1:] != self.doc[:-1])[: len(self.doc)]
+        self.grams, self.kinds = self.word, n_words + 1
+
+    def lengthen(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """To sequences longer by a word: numbers of their contexts, last words and sequences without the first word."""
+        before = np.where(self.first, self.kinds, np.append(0, self.grams[:-1])[: len(self.grams)])
+        keys, longer = np.unique(before * self.width + self.word, return_inverse=True)
+        lower = np.zeros(len(keys), dtype=np.int64)
+        lower[longer] = self.grams
+        self.grams, self.kinds = longer, len(keys)
+        return keys // self.width, keys % self.width, lower
 
 
 def score_texts(docs: DataFrame, train: Column, shards: int | None = None, order: int = 3) -> DataFrame:
@@ -312,18 +333,24 @@ def score_texts(docs: DataFrame, train: Column, shards: int | None = None, order
     """
     if order < 2:
         raise ValueError("order must be 2 or more")
-    shards = shards or 2 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     sc = docs.sparkSession.sparkContext
     source = docs.select("doc_id", F.col("text").cast("string").alias("text"), F.coalesce(train, F.lit(False)).alias("train"))
     kind = source.schema["doc_id"].dataType.simpleString()
     speller = _learn_letters(source.where("train").select("text"))
     letters = sc.broadcast(speller)
-    ends = speller.ends
+    ends, train_tokens = speller.ends, speller.words + speller.ends
+    shards = shards or max(2 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), speller.words // _SHARD)
+    least = train_tokens / _HOT
     schema = _SHIPPED.format(kind=kind)
-    names = ["slice", "shard", "body", "docs"]
+
+    def of_words(hashed: np.ndarray) -> Asked:
+        every = np.ones(len(hashed), dtype=np.uint64)
+        return Asked(every, every * np.uint64(speller_words), hashed, every > 0, shards)
+
+    speller_words = speller.words
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """A slice as word numbers, and its distinct words by shard."""
+        """Slices as word numbers, and what they ask the word level."""
         speller = letters.value
         number = TaskContext.get().partitionId() << 32
         few = (b.slice(i, _DOCS) for b in slices(batches, limit=_SLICE) for i in range(0, b.num_rows, _DOCS))
@@ -333,152 +360,83 @@ def score_texts(docs: DataFrame, train: Column, shards: int | None = None, order
             hashed, spelt = words.hashes(), speller.spelt(words)
             trained = piece.column("train").to_numpy(zero_copy_only=False).astype(bool)
             uses = np.bincount(words.codes[trained[words.row]], minlength=len(hashed))
-            shard = mix(hashed) % np.uint64(shards)
-            rows = []
-            for k in np.unique(shard):
-                own = shard == k
-                rows.append((number, int(k), _bytes(hashed[own], uses[own].astype("<u4")), None))
             header = [
                 {"doc_id": i, "train": bool(t), "tokens": int(n) + 1}
                 for i, t, n in zip(piece.column("doc_id").to_pylist(), trained, words.counts)
             ]
-            body = _bytes(hashed, _encoded(spelt), words.codes.astype("<u4"), words.counts.astype("<u4"))
-            rows.append((number, -1, body, header))
+            body = _bytes(words.codes.astype("<u4"), words.counts.astype("<u4"), hashed, _encoded(spelt))
+            rows = [*of_words(hashed).rows(number, uses), (number, -1, body, header)]
             shape = pa.list_(pa.struct([("doc_id", piece.schema.field("doc_id").type), ("train", pa.bool_()), ("tokens", pa.int64())]))
-            yield pa.record_batch(
-                [pa.array(c, k) for c, k in zip(zip(*rows), (pa.int64(), pa.int32(), pa.binary(), shape))], names=names
-            )
-
-    spread = F.when(F.col("shard") < 0, F.col("slice")).otherwise(F.lit(-1))
-    counted = checkpointed(
-        source.mapInArrow(read, schema)
-        .withColumn("spread", spread)
-        .groupBy("shard", "spread")
-        .applyInArrow(_count_shard(speller.words / _HEAVY), schema)
-    )
-    free_unused(docs.sparkSession)
-    # One row per shard, and at most _HEAVY words in all.
-    distinct, heavy = 0, [np.zeros(0, dtype=np.uint64)]
-    for r in counted.where("slice = -1").select("body").collect():
-        n, most = _arrays(r["body"], "<u8", "<u8")
-        distinct += int(n[0])
-        heavy.append(most)
-    heavy = np.sort(np.concatenate(heavy))
-    side = len(heavy) + 2
-    common = sc.broadcast(heavy)
-    train_tokens = speller.words + ends
-    v = distinct + int(ends > 0)
-    floor = np.log10(train_tokens + 0.5 * (v + 1))
-
-    def ship(table: pa.Table) -> pa.Table:
-        """A slice's words, each with those before it, by the shard of the word before; and its documents' base scores."""
-        speller, heavy = letters.value, common.value
-        places, bodies = table.column("shard").to_pylist(), table.column("body").to_pylist()
-        number, head = table.column("slice")[0].as_py(), places.index(-1)
-        header = table.column("docs")[head].as_py()
-        hashed, spelt, codes, counts = _arrays(bodies[head], "<u8", "<u2", "<u4", "<u4")
-        spelt = -_DECODED[spelt]
-        codes, counts = codes.astype(np.int64), counts.astype(np.int64)
-        shard, uses = mix(hashed) % np.uint64(shards), np.zeros(len(hashed))
-        for k, body in zip(places, bodies):
-            if k >= 0:
-                uses[shard == np.uint64(k)] = _arrays(body, "<f8")[0]
-        n_words, n_docs, stops = len(hashed), len(counts), np.cumsum(counts)
-        alone = _encoded(np.append(speller.alone(spelt, uses, distinct), [0.0, speller.end]))
-        hashed, uses = np.append(hashed, [_START_ID, _END_ID]), np.append(uses, [0, ends])
-        # Each document: its words, then the end; before them as many start marks as are looked at.
-        following = np.insert(codes, stops, n_words + 1)
-        doc = np.repeat(np.arange(n_docs), counts + 1)
-        since = np.arange(len(following)) - np.repeat(stops - counts + np.arange(n_docs), counts + 1)
-
-        def before(k: int) -> np.ndarray:
-            moved = np.append(np.full(min(k, len(following)), n_words), following[: len(following) - min(k, len(following))])
-            return np.where(since >= k, moved, n_words)
-
-        base = np.bincount(doc, weights=np.log10(uses + 0.5)[following], minlength=n_docs) - (counts + 1) * floor
-        known = np.bincount(doc, weights=(uses > 0)[following], minlength=n_docs)
-        numbers = _number(heavy, hashed)
-        numbers[n_words], numbers[n_words + 1] = side - 1, 0
-        context, second = before(1), before(2)
-        own, other = numbers[context], numbers[second]
-        pair = np.where((own > 0) & (other > 0), own * side + other, 0)
-        part = np.where(pair > 0, hashed[following] % np.uint64(_PARTS), mix(hashed[second]) % np.uint64(_PARTS))
-        class_ = np.where(pair > 0, mix(hashed[second] + np.uint64(3)) + part, part)
-        ids = np.where(own > 0, mix(hashed[context] + class_ + np.uint64(1)), hashed[context])
-        longer, chain = [], np.zeros(len(ids), dtype=np.uint64)
-        for k in range(2, order):
-            chain = mix(chain + hashed[before(k)] + np.uint64(k))
-            longer.append((chain >> np.uint64(20)).astype(np.uint32))
-        goal = (mix(ids) % np.uint64(shards)).astype(np.int32)
-        trained = np.array([d["train"] for d in header], dtype=bool)
-        line = np.lexsort((ids, goal))
-        ids, goal, pair_ = ids[line], goal[line], pair[line]
-        follower = (hashed[following] >> np.uint64(20)).astype(np.uint32)[line]
-        marked = (doc + np.where(trained[doc], 32768, 0)).astype(np.uint16)[line]
-        word, longer = alone[following][line], [x[line] for x in longer]
-        cuts = np.append(np.flatnonzero(np.append(True, goal[1:] != goal[:-1])), len(goal))
-        starts = np.flatnonzero(np.append(True, (ids[1:] != ids[:-1]) | (goal[1:] != goal[:-1])))
-        runs = np.diff(np.append(starts, len(ids)))
-        firsts = np.searchsorted(starts, cuts)
-        rows = []
-        for b, e, f, g in zip(cuts[:-1], cuts[1:], firsts[:-1], firsts[1:]):
-            at = starts[f:g]
+            yield from _table(rows, shape).to_batches()
+
+    def advance(depth: int, kinds_of: dict[int, int]) -> Callable[[pa.Table], pa.Table]:
+        """Take level `depth`'s answers to a slice, and ask the next level or, after the last, sum by text."""
+
+        def step(table: pa.Table) -> pa.Table:
+            bodies = dict(zip(table.column("shard").to_pylist(), table.column("body").to_pylist()))
+            number, place = table.column("slice")[0].as_py(), table.column("shard").to_pylist().index(-1)
+            docs_type, header = table.schema.field("docs").type, table.column("docs")[place].as_py()
+            codes, counts, *held = _arrays(bodies[-1], "<u4", "<u4", *_HELD[depth > 1])
+            marks = np.array([_END, _START], dtype=np.uint64)
+            if depth == 1:
+                own = Slice(codes, counts, len(held[0]))
+                asked = of_words(held[0])
+                asked.total_shards = shards
+                kinds, chance, uses, node = asked.answers(bodies, kinds_of)
+                chances = _interpolated(chance, np.full(len(node), speller_words), kinds, -_DECODED[held[1]])
+                node, uses, chances = np.append(node, marks), np.append(uses, [ends, ends]), np.append(chances, [speller_end, 0.0])
+                base = np.bincount(own.doc, weights=np.log10(uses + 0.5)[own.word], minlength=len(counts)) - (counts + 1.0) * floor
+                known = np.bincount(own.doc, weights=(uses > 0)[own.word], minlength=len(counts))
+                words = node
+            else:
+                words, node, uses, chances, base, known = held
+                chances = -_DECODED[chances]
+                own = Slice(codes, counts, len(words) - 2)
+                for _ in range(depth - 2):
+                    own.lengthen()
+                context, word, lower = own.lengthen()
+                asked = Asked(node[context], uses[context], words[word], uses[context] > least, shards)
+                asked.total_shards = shards
+                kinds, chance, seen, node = asked.answers(bodies, kinds_of)
+                chances = _interpolated(chance, uses[context], _TRUST * kinds, chances[lower])
+                node, uses, chances = np.append(node, _START), np.append(seen, ends), np.append(chances, 0.0)
+            if depth == order:
+                score = np.bincount(own.doc, weights=chances[own.grams], minlength=len(counts))
+                columns = [
+                    pa.array([d["doc_id"] for d in header], docs_type.value_type.field("doc_id").type),
+                    pa.array([d["tokens"] for d in header], pa.int64()),
+                    pa.array(known.astype(np.int64)),
+                    pa.array(np.full(len(counts), train_tokens, dtype=np.int64)),
+                    pa.array(base),
+                    pa.array(score),
+                ]
+                return pa.table(columns, names=["doc_id", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
+            trained = np.array([d["train"] for d in header], dtype=bool)[own.doc]
+            context, word, _ = own.lengthen()
+            times = np.bincount(own.grams[trained], minlength=own.kinds)
+            asked = Asked(node[context], uses[context].astype(np.uint64), words[word], uses[context] > least, shards)
             body = _bytes(
-                ids[at],
-                pair_[at].astype("<u4"),
-                runs[f:g].astype("<u4"),
-                follower[b:e],
-                word[b:e],
-                marked[b:e],
-                *(x[b:e] for x in longer),
+                codes, counts, words, node, uses.astype("<u8"), _encoded(chances), base, known.astype("<u4")
             )
-            rows.append((number, int(goal[b]), body, None))
-        pairs, times = np.unique(doc[pair > 0] * side**2 + pair[pair > 0], return_counts=True)
-        summed = _bytes(
-            (pairs // side**2).astype("<u2"), (pairs % side**2).astype("<u4"), times.astype("<u4"), base, known.astype("<u4")
-        )
-        rows.append((number, -1, summed, header))
-        return _table(rows, table)
-
-    shipped = counted.where("slice <> -1").groupBy("slice").applyInArrow(ship, schema).withColumn("spread", spread)
-    answered = checkpointed(shipped.groupBy("shard", "spread").applyInArrow(_score_shard(order), schema))
-    del counted, shipped
-    free_unused(docs.sparkSession)
-    # The counts of split contexts: at most (_HEAVY + 2) ** 2 numbers.
-    split = np.zeros(side**2)
-    for r in answered.where("slice = -1").select("body").collect():
-        which, total = _arrays(r["body"], "<u4", "<f8")
-        split += np.bincount(which, weights=total, minlength=side**2)
-
-    def finish(table: pa.Table) -> pa.Table:
-        kinds = table.column("shard").to_pylist()
-        bodies = table.column("body").to_pylist()
-        head = kinds.index(-1)
-        docs = table.column("docs")[head].as_py()
-        n = len(docs)
-        doc, which, times, base, known = _arrays(bodies[head], "<u2", "<u4", "<u4", "<f8", "<u4")
-        score = np.zeros(n)
-        for sort, body in zip(kinds, bodies):
-            if sort == 0:
-                at, s = _arrays(body, "<u2", "<f8")
-                score[at] += s
-        np.add.at(score, doc, -times.astype(np.float64) * np.log10(splits.value[which] + _PARTS))
-        columns = [
-            pa.array([d["doc_id"] for d in docs], docs_type),
-            pa.array([d["tokens"] for d in docs], pa.int64()),
-            pa.array(known.astype(np.int64)),
-            pa.array(np.full(n, train_tokens, dtype=np.int64)),
-            pa.array(base),
-            pa.array(score),
-        ]
-        return pa.table(columns, names=["doc_id", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
-
-    splits = sc.broadcast(split)
-    docs_type = pa.int64() if kind == "bigint" else None
-    return (
-        answered.where("slice <> -1")
-        .groupBy("slice")
-        .applyInArrow(
-            finish, f"doc_id {kind}, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double"
-        )
+            return _table([*asked.rows(number, times), (number, -1, body, header)], docs_type)
+
+        return step
+
+    sent = checkpointed(source.mapInArrow(read, schema))
+    speller_end, floor = speller.end, 0.0
+    for depth in range(1, order + 1):
+        answered = checkpointed(sent.where("shard >= 0").groupBy("shard").applyInArrow(_answer_shard, schema))
+        # At most _HOT contexts, and the one of all single words.
+        counted = answered.where("slice = -1").groupBy("context").agg(F.sum("kinds").alias("kinds")).collect()
+        kinds_of = {r["context"]: r["kinds"] for r in counted}
+        if depth == 1:
+            floor = np.log10(train_tokens + 0.5 * (kinds_of.get(1, 0) + int(ends > 0) + 1))
+        told = sent.where("shard = -1").unionByName(answered.where("slice <> -1")).groupBy("slice")
+        if depth < order:
+            sent = checkpointed(told.applyInArrow(advance(depth, kinds_of), schema))
+            del answered, told
+            free_unused(docs.sparkSession)
+    return told.applyInArrow(
+        advance(order, kinds_of),
+        f"doc_id {kind}, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double",
     )
