@@ -168,21 +168,30 @@ def _arrays(raw: bytes, *kinds: str) -> list[np.ndarray]:
 
 
 class Level:
-    """One shard of a level, from (context, word, uses) of all slices; a pair may come several times."""
-
-    def __init__(self, context: np.ndarray, total: np.ndarray, word: np.ndarray, uses: np.ndarray, folder: Path) -> None:
-        contexts, first, rank = np.unique(context, return_index=True, return_inverse=True)
+    """One shard of a level, from what slices ask of it; a pair may come from several."""
+
+    def __init__(self, held: list[list[np.ndarray]], folder: Path, last: bool) -> None:
+        contexts, rank = np.unique(np.concatenate([h[0] for h in held]), return_inverse=True)
+        total = np.zeros(len(contexts))
+        total[rank] = np.concatenate([h[1] for h in held])
+        rank = np.repeat(rank, np.concatenate([h[3] for h in held]))
+        word, uses = np.concatenate([h[4] for h in held]), np.concatenate([h[5] for h in held])
+        some = uses > 0
+        rank, word, uses = rank[some], word[some], uses[some]
         self.bits = np.uint64(int(word.max()).bit_length() if len(word) else 0)
-        keys, place = np.unique(self._key(rank, word), return_inverse=True)
-        counts = np.bincount(place, weights=uses, minlength=len(keys)).astype(np.int64)
-        parent = np.zeros(len(keys), dtype=np.int64)
-        parent[place] = rank
+        keys = self._key(rank, word)
+        line = np.argsort(keys)
+        keys = keys[line]
+        first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])[: len(keys)])
+        counts = np.add.reduceat(uses[line].astype(np.int64), first) if len(first) else np.zeros(0, np.int64)
+        parent = rank[line][first]
         self.contexts = EliasFano(contexts, folder, "contexts")
         self.pointers = EliasFano(np.append(0, np.cumsum(np.bincount(parent, minlength=len(contexts)))), folder, "pointers")
-        self.children = EliasFano(keys, folder, "children")
-        self.cumulated = EliasFano(np.append(0, np.cumsum(counts)), folder, "counts")
-        share = counts / np.maximum(total[first][parent], 1) if len(keys) else np.zeros(0)
-        codes = np.minimum(np.rint(-1024 * np.log2(share)), 65535).astype(np.uint16)
+        self.children = EliasFano(keys[first], folder, "children")
+        # Of the last level no counts are asked.
+        self.cumulated = None if last else EliasFano(np.append(0, np.cumsum(counts)), folder, "counts")
+        share = counts / np.maximum(total[parent], 1)
+        codes = np.minimum(1 + np.rint(-1024 * np.log2(share)), 65535).astype(np.uint16)
         np.save(folder / "chances.npy", codes)
         self.chances = np.load(folder / "chances.npy", mmap_mode="r") if len(codes) else codes
 
@@ -190,11 +199,11 @@ class Level:
         # Single words, hashes of all 64 bits, have one context alone, of rank 0.
         return (rank.astype(np.uint64) << self.bits) | word if self.bits < 64 else word
 
-    def ask(self, contexts: np.ndarray, runs: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, ...]:
-        """Children of each context; and of each word after it the coded chance, the count and the place, or -1."""
+    def ask(self, contexts: np.ndarray, runs: np.ndarray, word: np.ndarray) -> list[np.ndarray]:
+        """Children of each context, the coded chance (or 0) of each word after it, and of those found count and step in place."""
         if not self.children.n:
-            none = np.zeros(len(word), dtype=np.int64)
-            return np.zeros(len(contexts), dtype=np.int64), none.astype(np.uint16), none, none - 1
+            none = [] if self.cumulated is None else [np.zeros(0, "<u8")] * 2
+            return [np.zeros(len(contexts), "<u4"), np.zeros(len(word), "<u2"), *none]
         rank, known = self.contexts.successor(contexts)
         rank = np.where(known, rank, 0)
         begin, end = self.pointers.get(rank).astype(np.int64), self.pointers.get(rank + 1).astype(np.int64)
@@ -204,8 +213,13 @@ class Level:
         at, found = self.children.successor(self._key(rank[own], np.where(fits, word, 0)))
         found &= fits & (at >= begin[own]) & (at < end[own])
         at = np.where(found, at, 0)
-        count = np.where(found, (self.cumulated.get(at + 1) - self.cumulated.get(at)).astype(np.int64), 0)
-        return np.where(known, end - begin, 0), np.where(found, self.chances[at], 0).astype(np.uint16), count, np.where(found, at, -1)
+        out = [np.where(known, end - begin, 0).astype("<u4"), np.where(found, self.chances[at], 0).astype("<u2")]
+        if self.cumulated is not None:
+            at = at[found]
+            step = np.diff(at, prepend=0)  # small, as words are asked in nearly the order of their nodes
+            out.append((self.cumulated.get(at + 1) - self.cumulated.get(at)).astype("<u8"))
+            out.append(((step << 1) ^ (step >> 63)).astype("<u8"))
+        return out
 
 
 _COLUMNS = ["slice", "shard", "body", "docs", "context", "kinds"]
@@ -222,11 +236,13 @@ class Asked:
     """What a slice asks a level for, by shard: which of its sequences, and the runs of equal contexts among them."""
 
     def __init__(self, context: np.ndarray, total: np.ndarray, word: np.ndarray, hot: np.ndarray, shards: int) -> None:
-        self.context, self.total, self.word, self.hot = context, total, word, hot
-        goal = mix(context + np.where(hot, mix(word), np.uint64(0))) % np.uint64(shards)
+        self.context, self.total, self.word, self.hot, self.of = context, total, word, hot, shards
         real = np.flatnonzero((context > 0) & (total > 0))
-        self.line = real[np.lexsort((word[real], context[real], goal[real]))]
-        goal, own = goal[self.line], context[self.line]
+        goal = mix(context[real] + np.where(hot[real], mix(word[real]), np.uint64(0))) % np.uint64(shards)
+        goal = goal.astype(np.uint16 if shards <= 1 << 16 else np.uint64)
+        line = np.argsort(goal, kind="stable")
+        goal, self.line = goal[line], real[line]
+        own = context[self.line]
         new = np.append(True, goal[1:] != goal[:-1])[: len(goal)]
         self.cuts = np.append(np.flatnonzero(new), len(goal))
         self.starts = np.flatnonzero(new | np.append(True, own[1:] != own[:-1])[: len(goal)])
@@ -251,23 +267,27 @@ class Asked:
             out.append((number, int(shard), body))
         return out
 
-    def answers(self, bodies: dict[int, bytes], kinds_of: dict[int, int]) -> tuple[np.ndarray, ...]:
+    def answers(self, bodies: dict[int, bytes], kinds_of: dict[int, int], last: bool) -> tuple[np.ndarray, ...]:
         """Of all sequences: children of the context, chance after it, count and node; 0 where there is none."""
         n = len(self.context)
         kinds, chance, count, node = np.zeros(n), np.zeros(n), np.zeros(n, dtype=np.int64), np.zeros(n, dtype=np.uint64)
         for k, shard in enumerate(self.shards):
             some = self.line[self.cuts[k] : self.cuts[k + 1]]
-            t, code, c, place = _arrays(bodies[int(shard)], "<u4", "<u2", "<u8", "<u8")
+            t, code, *more = _arrays(bodies[int(shard)], "<u4", "<u2", *(() if last else ("<u8", "<u8")))
             kinds[some] = np.repeat(t, self.runs[self.firsts[k] : self.firsts[k + 1]])
-            found = place > 0
-            chance[some] = np.where(found, 2.0 ** (-code.astype(np.float64) / 1024), 0.0)
-            count[some] = c
-            node[some] = np.where(found, (place - np.uint64(1)) * np.uint64(self.total_shards) + np.uint64(shard) + _NODES, 0)
+            chance[some] = np.where(code > 0, _CHANCES[code], 0.0)
+            if more:
+                found, step = some[code > 0], more[1].astype(np.int64)
+                place = np.cumsum((step >> 1) ^ -(step & 1)).astype(np.uint64)
+                count[found] = more[0]
+                node[found] = place * np.uint64(self.of) + np.uint64(shard) + _NODES
         for context, t in kinds_of.items():
             kinds[self.hot & (self.context == np.uint64(context))] = t
         return kinds, chance, count, node
 
-    total_shards = 1
+
+#: A chance by its code: steps of 1/1024 of a halving.
+_CHANCES = np.append(0.0, 2.0 ** (-np.arange(65535) / 1024))
 
 
 def _interpolated(chance: np.ndarray, total: np.ndarray, kinds: np.ndarray, lower: np.ndarray) -> np.ndarray:
@@ -278,30 +298,24 @@ def _interpolated(chance: np.ndarray, total: np.ndarray, kinds: np.ndarray, lowe
     return np.where(chance > 0, np.log10(np.maximum(seen, 1e-300)), unseen)
 
 
-def _answer_shard(table: pa.Table) -> pa.Table:
+def _answer_shard(last: bool) -> Callable[[pa.Table], pa.Table]:
     """Build the shard's part of a level and answer each slice; and how many children its hot contexts have here."""
-    docs = table.schema.field("docs").type
-    numbers, shard, rows = table.column("slice").to_pylist(), table.column("shard")[0].as_py(), []
-    held = [_arrays(b, "<u8", "<u8", "<u1", "<u4", "<u8", "<u4") for b in table.column("body").to_pylist()]
-    learnt: list[list[np.ndarray]] = [[], [], [], []]
-    for contexts, total, _, runs, word, uses in held:
-        some = uses > 0
-        for into, values in zip(learnt, (np.repeat(contexts, runs), np.repeat(total, runs), word, uses)):
-            into.append(values[some])
-    hot = np.unique(np.concatenate([h[0][h[2] > 0] for h in held]))
-    with tempfile.TemporaryDirectory() as folder:
-        level = Level(*(np.concatenate(x) for x in learnt), Path(folder))
-        del learnt
-        for number, (contexts, _, _, runs, word, _) in zip(numbers, held):
-            kinds, code, count, place = level.ask(contexts, runs, word)
-            body = _bytes(kinds.astype("<u4"), code, count.astype("<u8"), (place + 1).astype("<u8"))
-            rows.append((number, shard, body))
-        # A hot context's words that aren't learnt here ask too, of no children.
-        kinds = level.ask(hot, np.zeros(len(hot), dtype=np.int64), np.zeros(0, dtype=np.uint64))[0]
-        del level
-    rows += [(-1, shard, None, None, int(c), int(t)) for c, t in zip(hot, kinds)]
-    release()
-    return _table(rows, docs)
+
+    def answer(table: pa.Table) -> pa.Table:
+        docs = table.schema.field("docs").type
+        numbers, shard, rows = table.column("slice").to_pylist(), table.column("shard")[0].as_py(), []
+        held = [_arrays(b, "<u8", "<u8", "<u1", "<u4", "<u8", "<u4") for b in table.column("body").to_pylist()]
+        hot = np.unique(np.concatenate([h[0][h[2] > 0] for h in held]))
+        with tempfile.TemporaryDirectory() as folder:
+            level = Level(held, Path(folder), last)
+            for number, (contexts, _, _, runs, word, _) in zip(numbers, held):
+                rows.append((number, shard, _bytes(*level.ask(contexts, runs, word))))
+            kinds = level.ask(hot, np.zeros(len(hot), dtype=np.int64), np.zeros(0, dtype=np.uint64))[0]
+            del level
+        rows += [(-1, shard, None, None, int(c), int(t)) for c, t in zip(hot, kinds)]
+        return _table(rows, docs)
+
+    return answer
 
 
 class Slice:
@@ -343,14 +357,8 @@ def score_texts(docs: DataFrame, train: Column, shards: int | None = None, order
     least = train_tokens / _HOT
     schema = _SHIPPED.format(kind=kind)
 
-    def of_words(hashed: np.ndarray) -> Asked:
-        every = np.ones(len(hashed), dtype=np.uint64)
-        return Asked(every, every * np.uint64(speller_words), hashed, every > 0, shards)
-
-    speller_words = speller.words
-
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Slices as word numbers, and what they ask the word level."""
+        """Slices: texts as numbers of words, and these by hash, so that numbers and nodes are in much the same order."""
         speller = letters.value
         number = TaskContext.get().partitionId() << 32
         few = (b.slice(i, _DOCS) for b in slices(batches, limit=_SLICE) for i in range(0, b.num_rows, _DOCS))
@@ -358,85 +366,98 @@ def score_texts(docs: DataFrame, train: Column, shards: int | None = None, order
             number += 1
             words = split_words(texts(piece), lower=True)
             hashed, spelt = words.hashes(), speller.spelt(words)
+            line = np.argsort(hashed)
+            place = np.empty(len(line), dtype=np.uint32)
+            place[line] = np.arange(len(line))
             trained = piece.column("train").to_numpy(zero_copy_only=False).astype(bool)
-            uses = np.bincount(words.codes[trained[words.row]], minlength=len(hashed))
             header = [
                 {"doc_id": i, "train": bool(t), "tokens": int(n) + 1}
                 for i, t, n in zip(piece.column("doc_id").to_pylist(), trained, words.counts)
             ]
-            body = _bytes(words.codes.astype("<u4"), words.counts.astype("<u4"), hashed, _encoded(spelt))
-            rows = [*of_words(hashed).rows(number, uses), (number, -1, body, header)]
+            body = _bytes(place[words.codes], words.counts.astype("<u4"), hashed[line], _encoded(spelt[line]))
             shape = pa.list_(pa.struct([("doc_id", piece.schema.field("doc_id").type), ("train", pa.bool_()), ("tokens", pa.int64())]))
-            yield from _table(rows, shape).to_batches()
+            yield from _table([(number, -1, body, header)], shape).to_batches()
 
-    def advance(depth: int, kinds_of: dict[int, int]) -> Callable[[pa.Table], pa.Table]:
-        """Take level `depth`'s answers to a slice, and ask the next level or, after the last, sum by text."""
+    def longest(depth: int, held: list[np.ndarray]) -> tuple[Slice, Asked, np.ndarray | None]:
+        """The slice's sequences of `depth` words, what they ask their level, and those of them without the first word."""
+        codes, counts = held[:2]
+        if depth == 1:
+            every = np.ones(len(held[2]), dtype=np.uint64)
+            return Slice(codes, counts, len(every)), Asked(every, every * np.uint64(n_words), held[2], every > 0, shards), None
+        words, node, total = held[2:5]
+        own = Slice(codes, counts, len(words) - 2)
+        for _ in range(depth - 2):
+            own.lengthen()
+        context, word, lower = own.lengthen()
+        return own, Asked(node[context], total[context], words[word], total[context] > least, shards), lower
+
+    def ask(depth: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+        """What slices ask level `depth`, by shard, with the uses in training texts."""
+
+        def requests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for number, body, header in zip(*(batch.column(c) for c in ("slice", "body", "docs"))):
+                    own, asked, _ = longest(depth, _arrays(body.as_py(), "<u4", "<u4", *_HELD[depth > 1]))
+                    trained = np.array([d["train"] for d in header.as_py()], dtype=bool)[own.doc]
+                    uses = np.bincount(own.grams[trained], minlength=own.kinds)
+                    yield from _table(asked.rows(number.as_py(), uses), batch.schema.field("docs").type).to_batches()
+            release()
+
+        return requests
+
+    def take(depth: int, kinds_of: dict[int, int]) -> Callable[[pa.Table], pa.Table]:
+        """A slice with level `depth`'s answers or, after the last, sums by text."""
 
         def step(table: pa.Table) -> pa.Table:
-            bodies = dict(zip(table.column("shard").to_pylist(), table.column("body").to_pylist()))
-            number, place = table.column("slice")[0].as_py(), table.column("shard").to_pylist().index(-1)
-            docs_type, header = table.schema.field("docs").type, table.column("docs")[place].as_py()
-            codes, counts, *held = _arrays(bodies[-1], "<u4", "<u4", *_HELD[depth > 1])
-            marks = np.array([_END, _START], dtype=np.uint64)
+            shard = table.column("shard").to_pylist()
+            bodies, at = dict(zip(shard, table.column("body").to_pylist())), shard.index(-1)
+            docs_type, header = table.schema.field("docs").type, table.column("docs")[at].as_py()
+            held = _arrays(bodies[-1], "<u4", "<u4", *_HELD[depth > 1])
+            own, asked, lower = longest(depth, held)
+            kinds, chance, uses, node = asked.answers(bodies, kinds_of, depth == order)
+            counts = held[1]
             if depth == 1:
-                own = Slice(codes, counts, len(held[0]))
-                asked = of_words(held[0])
-                asked.total_shards = shards
-                kinds, chance, uses, node = asked.answers(bodies, kinds_of)
-                chances = _interpolated(chance, np.full(len(node), speller_words), kinds, -_DECODED[held[1]])
-                node, uses, chances = np.append(node, marks), np.append(uses, [ends, ends]), np.append(chances, [speller_end, 0.0])
-                base = np.bincount(own.doc, weights=np.log10(uses + 0.5)[own.word], minlength=len(counts)) - (counts + 1.0) * floor
+                chances = _interpolated(chance, asked.total.astype(np.float64), kinds, -_DECODED[held[3]])
+                # The end and the start of texts are no words of the level.
+                node, uses = np.append(node, [_END, _START]), np.append(uses, [ends, ends])
+                words, chances = node, np.append(chances, [end_chance, 0.0])
                 known = np.bincount(own.doc, weights=(uses > 0)[own.word], minlength=len(counts))
-                words = node
+                base = np.bincount(own.doc, weights=np.log10(uses + 0.5)[own.word], minlength=len(counts)) - (counts + 1.0) * floor
             else:
-                words, node, uses, chances, base, known = held
-                chances = -_DECODED[chances]
-                own = Slice(codes, counts, len(words) - 2)
-                for _ in range(depth - 2):
-                    own.lengthen()
-                context, word, lower = own.lengthen()
-                asked = Asked(node[context], uses[context], words[word], uses[context] > least, shards)
-                asked.total_shards = shards
-                kinds, chance, seen, node = asked.answers(bodies, kinds_of)
-                chances = _interpolated(chance, uses[context], _TRUST * kinds, chances[lower])
-                node, uses, chances = np.append(node, _START), np.append(seen, ends), np.append(chances, 0.0)
-            if depth == order:
-                score = np.bincount(own.doc, weights=chances[own.grams], minlength=len(counts))
-                columns = [
-                    pa.array([d["doc_id"] for d in header], docs_type.value_type.field("doc_id").type),
-                    pa.array([d["tokens"] for d in header], pa.int64()),
-                    pa.array(known.astype(np.int64)),
-                    pa.array(np.full(len(counts), train_tokens, dtype=np.int64)),
-                    pa.array(base),
-                    pa.array(score),
-                ]
-                return pa.table(columns, names=["doc_id", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
-            trained = np.array([d["train"] for d in header], dtype=bool)[own.doc]
-            context, word, _ = own.lengthen()
-            times = np.bincount(own.grams[trained], minlength=own.kinds)
-            asked = Asked(node[context], uses[context].astype(np.uint64), words[word], uses[context] > least, shards)
-            body = _bytes(
-                codes, counts, words, node, uses.astype("<u8"), _encoded(chances), base, known.astype("<u4")
-            )
-            return _table([*asked.rows(number, times), (number, -1, body, header)], docs_type)
+                words, base, known = held[2], held[6], held[7]
+                chances = _interpolated(chance, asked.total.astype(np.float64), _TRUST * kinds, -_DECODED[held[5][lower]])
+                node, uses, chances = np.append(node, _START), np.append(uses, ends), np.append(chances, 0.0)
+            if depth < order:
+                body = _bytes(*held[:2], words, node, uses.astype("<u8"), _encoded(chances), base, known.astype("<u4"))
+                return _table([(table.column("slice")[at].as_py(), -1, body, header)], docs_type)
+            columns = [
+                pa.array([d["doc_id"] for d in header], docs_type.value_type.field("doc_id").type),
+                pa.array([d["tokens"] for d in header], pa.int64()),
+                pa.array(known.astype(np.int64)),
+                pa.array(np.full(len(counts), train_tokens, dtype=np.int64)),
+                pa.array(base),
+                pa.array(np.bincount(own.doc, weights=chances[own.grams], minlength=len(counts))),
+            ]
+            return pa.table(columns, names=["doc_id", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
 
         return step
 
-    sent = checkpointed(source.mapInArrow(read, schema))
-    speller_end, floor = speller.end, 0.0
+    held = checkpointed(source.mapInArrow(read, schema))
+    end_chance, n_words, floor = speller.end, speller.words, 0.0
     for depth in range(1, order + 1):
-        answered = checkpointed(sent.where("shard >= 0").groupBy("shard").applyInArrow(_answer_shard, schema))
+        answered = checkpointed(held.mapInArrow(ask(depth), schema).groupBy("shard").applyInArrow(_answer_shard(depth == order), schema))
+        free_unused(docs.sparkSession)
         # At most _HOT contexts, and the one of all single words.
         counted = answered.where("slice = -1").groupBy("context").agg(F.sum("kinds").alias("kinds")).collect()
         kinds_of = {r["context"]: r["kinds"] for r in counted}
         if depth == 1:
             floor = np.log10(train_tokens + 0.5 * (kinds_of.get(1, 0) + int(ends > 0) + 1))
-        told = sent.where("shard = -1").unionByName(answered.where("slice <> -1")).groupBy("slice")
+        told = held.unionByName(answered.where("slice <> -1")).groupBy("slice")
         if depth < order:
-            sent = checkpointed(told.applyInArrow(advance(depth, kinds_of), schema))
+            held = checkpointed(told.applyInArrow(take(depth, kinds_of), schema))
             del answered, told
             free_unused(docs.sparkSession)
     return told.applyInArrow(
-        advance(order, kinds_of),
+        take(order, kinds_of),
         f"doc_id {kind}, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double",
     )
