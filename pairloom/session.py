@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import gc
 import tempfile
+import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -52,8 +53,10 @@ def free_unused(spark: SparkSession) -> None:
     """Have Spark delete the shuffle files and checkpoints of frames that nobody holds any more.
 
     Its cleaner learns of them from the driver's garbage collection, which a driver with
-    little to do runs too rarely for the executors' disks. A call takes a fifth of a second,
-    so it belongs after steps that wrote much.
+    little to do runs too rarely for the executors' disks; and the JVM learns only once a
+    second which objects Python holds no more. A call takes one and a half seconds, so it
+    belongs after steps that wrote much.
     """
     gc.collect()
+    time.sleep(1.2)
     spark.sparkContext._jvm.System.gc()
