@@ -168,30 +168,18 @@ def _arrays(raw: bytes, *kinds: str) -> list[np.ndarray]:
 
 
 class Level:
-    """One shard of a level, from what slices ask of it; a pair may come from several."""
-
-    def __init__(self, held: list[list[np.ndarray]], folder: Path, last: bool) -> None:
-        contexts, rank = np.unique(np.concatenate([h[0] for h in held]), return_inverse=True)
-        total = np.zeros(len(contexts))
-        total[rank] = np.concatenate([h[1] for h in held])
-        rank = np.repeat(rank, np.concatenate([h[3] for h in held]))
-        word, uses = np.concatenate([h[4] for h in held]), np.concatenate([h[5] for h in held])
-        some = uses > 0
-        rank, word, uses = rank[some], word[some], uses[some]
+    """One shard of a level: learnt children as (rank of their context, word) in order, with their counts."""
+
+    def __init__(
+        self, contexts: np.ndarray, total: np.ndarray, rank: np.ndarray, word: np.ndarray, counts: np.ndarray, folder: Path, last: bool
+    ) -> None:
         self.bits = np.uint64(int(word.max()).bit_length() if len(word) else 0)
-        keys = self._key(rank, word)
-        line = np.argsort(keys)
-        keys = keys[line]
-        first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])[: len(keys)])
-        counts = np.add.reduceat(uses[line].astype(np.int64), first) if len(first) else np.zeros(0, np.int64)
-        parent = rank[line][first]
         self.contexts = EliasFano(contexts, folder, "contexts")
-        self.pointers = EliasFano(np.append(0, np.cumsum(np.bincount(parent, minlength=len(contexts)))), folder, "pointers")
-        self.children = EliasFano(keys[first], folder, "children")
+        self.pointers = EliasFano(np.append(0, np.cumsum(np.bincount(rank, minlength=len(contexts)))), folder, "pointers")
+        self.children = EliasFano(self._key(rank, word), folder, "children")
         # Of the last level no counts are asked.
         self.cumulated = None if last else EliasFano(np.append(0, np.cumsum(counts)), folder, "counts")
-        share = counts / np.maximum(total[parent], 1)
-        codes = np.minimum(1 + np.rint(-1024 * np.log2(share)), 65535).astype(np.uint16)
+        codes = np.minimum(1 + np.rint(-1024 * np.log2(counts / np.maximum(total[rank], 1))), 65535).astype(np.uint16)
         np.save(folder / "chances.npy", codes)
         self.chances = np.load(folder / "chances.npy", mmap_mode="r") if len(codes) else codes
 
@@ -199,11 +187,11 @@ class Level:
         # Single words, hashes of all 64 bits, have one context alone, of rank 0.
         return (rank.astype(np.uint64) << self.bits) | word if self.bits < 64 else word
 
-    def ask(self, contexts: np.ndarray, runs: np.ndarray, word: np.ndarray) -> list[np.ndarray]:
-        """Children of each context, the coded chance (or 0) of each word after it, and of those found count and step in place."""
+    def ask(self, contexts: np.ndarray, runs: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, ...]:
+        """Children of each context; and of each word after it the coded chance, or 0, the count and the place."""
+        none = np.zeros(len(word), dtype=np.int64)
         if not self.children.n:
-            none = [] if self.cumulated is None else [np.zeros(0, "<u8")] * 2
-            return [np.zeros(len(contexts), "<u4"), np.zeros(len(word), "<u2"), *none]
+            return np.zeros(len(contexts), dtype=np.int64), none, none, none
         rank, known = self.contexts.successor(contexts)
         rank = np.where(known, rank, 0)
         begin, end = self.pointers.get(rank).astype(np.int64), self.pointers.get(rank + 1).astype(np.int64)
@@ -213,13 +201,8 @@ class Level:
         at, found = self.children.successor(self._key(rank[own], np.where(fits, word, 0)))
         found &= fits & (at >= begin[own]) & (at < end[own])
         at = np.where(found, at, 0)
-        out = [np.where(known, end - begin, 0).astype("<u4"), np.where(found, self.chances[at], 0).astype("<u2")]
-        if self.cumulated is not None:
-            at = at[found]
-            step = np.diff(at, prepend=0)  # small, as words are asked in nearly the order of their nodes
-            out.append((self.cumulated.get(at + 1) - self.cumulated.get(at)).astype("<u8"))
-            out.append(((step << 1) ^ (step >> 63)).astype("<u8"))
-        return out
+        count = none if self.cumulated is None else np.where(found, (self.cumulated.get(at + 1) - self.cumulated.get(at)).astype(np.int64), 0)
+        return np.where(known, end - begin, 0), np.where(found, self.chances[at], 0), count, at
 
 
 _COLUMNS = ["slice", "shard", "body", "docs", "context", "kinds"]
@@ -305,14 +288,36 @@ def _answer_shard(last: bool) -> Callable[[pa.Table], pa.Table]:
         docs = table.schema.field("docs").type
         numbers, shard, rows = table.column("slice").to_pylist(), table.column("shard")[0].as_py(), []
         held = [_arrays(b, "<u8", "<u8", "<u1", "<u4", "<u8", "<u4") for b in table.column("body").to_pylist()]
-        hot = np.unique(np.concatenate([h[0][h[2] > 0] for h in held]))
+        sizes = [(len(h[0]), len(h[4])) for h in held]
+        context, all_total, is_hot, runs, word, uses = (np.concatenate(x) for x in zip(*held))
+        del held
+        contexts, place = np.unique(context, return_inverse=True)
+        total, hot = np.zeros(len(contexts)), np.zeros(len(contexts), dtype=bool)
+        total[place], hot[place] = all_total, is_hot > 0
+        # Slices ask much the same: each pair is looked up once for all.
+        rank = np.repeat(place, runs)
+        bits = np.uint64(int(word.max()).bit_length())
+        keys, which = np.unique((rank.astype(np.uint64) << bits) | word if bits < 64 else word, return_inverse=True)
+        counts = np.bincount(which, weights=uses, minlength=len(keys)).astype(np.int64)
+        rank, word = np.zeros(len(keys), dtype=np.int64), keys
+        if bits < 64:
+            rank, word = (keys >> bits).astype(np.int64), keys & ((np.uint64(1) << bits) - np.uint64(1))
+        learnt = counts > 0
         with tempfile.TemporaryDirectory() as folder:
-            level = Level(held, Path(folder), last)
-            for number, (contexts, _, _, runs, word, _) in zip(numbers, held):
-                rows.append((number, shard, _bytes(*level.ask(contexts, runs, word))))
-            kinds = level.ask(hot, np.zeros(len(hot), dtype=np.int64), np.zeros(0, dtype=np.uint64))[0]
+            level = Level(contexts, total, rank[learnt], word[learnt], counts[learnt], Path(folder), last)
+            kinds, code, count, at = level.ask(contexts, np.bincount(rank, minlength=len(contexts)), word)
             del level
-        rows += [(-1, shard, None, None, int(c), int(t)) for c, t in zip(hot, kinds)]
+        heads = pairs = 0
+        for number, (n, m) in zip(numbers, sizes):
+            some = which[pairs : pairs + m]
+            told = [kinds[place[heads : heads + n]].astype("<u4"), code[some].astype("<u2")]
+            if not last:
+                found = some[code[some] > 0]
+                step = np.diff(at[found], prepend=0)  # small, as words are asked in nearly the order of their nodes
+                told += [count[found].astype("<u8"), ((step << 1) ^ (step >> 63)).astype("<u8")]
+            rows.append((number, shard, _bytes(*told)))
+            heads, pairs = heads + n, pairs + m
+        rows += [(-1, shard, None, None, int(c), int(t)) for c, t in zip(contexts[hot], kinds[hot])]
         return _table(rows, docs)
 
     return answer
@@ -385,6 +390,7 @@ def score_texts(docs: DataFrame, train: Column, shards: int | None = None, order
             every = np.ones(len(held[2]), dtype=np.uint64)
             return Slice(codes, counts, len(every)), Asked(every, every * np.uint64(n_words), held[2], every > 0, shards), None
         words, node, total = held[2:5]
+        node = node if len(node) else words  # the first level's sequences are the words
         own = Slice(codes, counts, len(words) - 2)
         for _ in range(depth - 2):
             own.lengthen()
@@ -428,7 +434,7 @@ def score_texts(docs: DataFrame, train: Column, shards: int | None = None, order
                 chances = _interpolated(chance, asked.total.astype(np.float64), _TRUST * kinds, -_DECODED[held[5][lower]])
                 node, uses, chances = np.append(node, _START), np.append(uses, ends), np.append(chances, 0.0)
             if depth < order:
-                body = _bytes(*held[:2], words, node, uses.astype("<u8"), _encoded(chances), base, known.astype("<u4"))
+                body = _bytes(*held[:2], words, node if depth > 1 else node[:0], uses.astype("<u8"), _encoded(chances), base, known.astype("<u4"))
                 return _table([(table.column("slice")[at].as_py(), -1, body, header)], docs_type)
             columns = [
                 pa.array([d["doc_id"] for d in header], docs_type.value_type.field("doc_id").type),
