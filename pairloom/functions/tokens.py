@@ -54,27 +54,31 @@ def _encoded(texts: pa.Array, encode: Encode, split: Callable[[str], list[str]]
     return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), found.flatten())
 
 
+def _token_lists(batches: Iterator[pa.Array], encode: Encode, split: Callable[[str], list[str]] | None) -> Iterator[pa.Array]:
+    """Token lists of the texts in order, of at most `BATCH_CHARS` characters or one text at a time."""
+    for batch in batches:
+        texts = pc.fill_null(batch, "").cast(pa.string())
+        sizes = np.cumsum(pc.utf8_length(texts).to_numpy(zero_copy_only=False), dtype=np.int64)
+        at = 0
+        while at < len(texts):
+            end = max(at + 1, int(np.searchsorted(sizes, (sizes[at - 1] if at else 0) + BATCH_CHARS, side="right")))
+            lists = _encoded(texts.slice(at, end - at), encode, split)
+            yield pc.if_else(pc.is_null(batch.slice(at, end - at)), pa.scalar([], pa.list_(pa.string())), lists)
+            at = end
+
+
 def vocabulary_tokenizer(make_encode: Callable[[], Encode], split: Callable[[str], list[str]] | None = None) -> Tokenizer:
     """A subword vocabulary as a column tokeniser, in Arrow batches.
 
     `make_encode` runs once per task and loads the vocabulary there. `split` cuts a
     text into words whose tokens don't depend on each other; then every distinct word
     of a batch is encoded once, and texts are put together from them. Without it every
-    distinct text is encoded whole. A null text has no tokens.
+    distinct text is encoded whole. A null text has no tokens. Tokens leave the worker
+    slice by slice, so what it holds doesn't grow with the rows of a batch.
     """
 
     @F.arrow_udf("array<string>")
     def tokens(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        encode = make_encode()
-        for batch in batches:
-            texts = pc.fill_null(batch, "").cast(pa.string())
-            sizes = np.cumsum(pc.utf8_length(texts).to_numpy(zero_copy_only=False), dtype=np.int64)
-            done, at = [], 0
-            while at < len(texts):
-                end = max(at + 1, int(np.searchsorted(sizes, (sizes[at - 1] if at else 0) + BATCH_CHARS, side="right")))
-                done.append(_encoded(texts.slice(at, end - at), encode, split))
-                at = end
-            lists = pa.concat_arrays(done) if done else pa.array([], pa.list_(pa.string()))
-            yield pc.if_else(pc.is_null(batch), pa.scalar([], pa.list_(pa.string())), lists)
+        yield from _token_lists(batches, make_encode(), split)
 
     return lambda c: tokens(c)

@@ -81,3 +81,16 @@ def test_subwords_of_hard_texts(spark):
         got = {r["i"]: r["k"] for r in frame.select("i", vocabulary_tokenizer(make_encode, split)(F.col("t")).alias("k")).collect()}
         whole = make_encode()([t or "" for t in texts])
         assert [got[i] for i in range(len(texts))] == whole == [got[i + len(texts)] for i in range(len(texts))], name
+
+
+def test_tokens_leave_slice_by_slice():
+    """A batch's token lists are never held all at once."""
+    import pyarrow as pa
+
+    from pairloom.functions.tokens import BATCH_CHARS, _token_lists
+
+    texts = ["ab " * (BATCH_CHARS // 6), None, "", "c d", "x " * BATCH_CHARS, "e"] * 3
+    told = list(_token_lists(iter([pa.array(texts, pa.string()), pa.array(["f", None])]), lambda words: [[w] for w in words], str.split))
+    assert max(sum(len(w) for own in lists.to_pylist() for w in own) for lists in told) <= BATCH_CHARS
+    assert len(told) > 6
+    assert [own for lists in told for own in lists.to_pylist()] == [(t or "").split() for t in [*texts, "f", None]]
