@@ -2,7 +2,7 @@
 
 Documents are sets of word shingles. Equal sets are one member. Members are put
 in groups of similar ones: minhash buckets name a pivot each, verified members
-of a pivot are linked to it, and members that share a pivot make a group. The
+of a pivot are linked to it, and members that share a pivot go to one group. The
 token-group matrix holds which groups' token unions have a token. A member's
 overlap with a group's union bounds its overlap with every member of it, and a
 link needs an overlap of three quarters of its own tokens. Groups whose union
@@ -14,7 +14,8 @@ grouping, on the half of the tokens with the smaller hashes (all tokens of short
 documents): tokens travel packed by bucket, a task sends a token of several
 documents once, and a member is credited for each token that another has. Then
 again among the survivors, with linked members counting as one, and at last for
-each member and each group that has one of its rarest tokens, over all tokens. Token ids of 32 bits serve the first two bounds,
+each member and each group that has one of its rarest tokens, over all tokens, where
+the group is opened. Token ids of 32 bits serve the first two bounds,
 where a collision can only widen a bound; sets are compared on 64 bits.
 
 Null, empty and wordless texts have no shingles, link with nothing and are their
@@ -35,7 +36,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pairloom.llm.components import connected_components, meet
-from pairloom.llm.text import mix, slices, split_words, texts
+from pairloom.llm.text import mix, release, slices, split_words, texts
 from pairloom.session import checkpointed, free_unused
 
 #: Up to so many shingles a document is probed with all of them, and a document that could link with it sends all.
@@ -44,6 +45,8 @@ _HALF = np.uint64(1 << 63)
 _BANDS, _ROWS, _AGREE = 16, 2, 4
 #: Members of a group that is opened as a whole.
 _GROUP = 512
+#: Bytes of a group's rows from which its task gives freed memory back at once.
+_LARGE = 1 << 22
 #: Bits of the prefilter for survivors' texts; beyond its capacity it lets more through, never less.
 _FILTER_BITS = 1 << 23
 
@@ -213,7 +216,10 @@ def _credits(table: pa.Table, parts: int) -> pa.Table:
     none = np.logical_or.reduceat(owner == 0, start)
     shared = ((low != high) | none)[np.cumsum(new) - 1] & (member != 0)
     distinct, count = np.unique(member[shared], return_counts=True)
-    return _by_part(distinct, count.astype(np.int64), parts)
+    del owners, members, token, owner, member, order, new, start, low, high, none, shared
+    credited = _by_part(distinct, count.astype(np.int64), parts)
+    release()
+    return credited
 
 
 def _buckets(df: DataFrame) -> int:
@@ -367,20 +373,20 @@ def _group_links(percent: int):
                 x = parent[x]
             return x
 
-        _, code, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
-        common = count > 1
+        distinct, code = np.unique(np.concatenate(sets), return_inverse=True)
+        held = np.zeros((2, len(distinct)), dtype=bool)
+        held[np.repeat(sides, sizes), code] = True
+        common = held.all(axis=0)
         column = np.cumsum(common) - 1
         ends = np.cumsum(sizes)
         own = [column[c[common[c]]] for c in (code[e - n : e] for e, n in zip(ends, sizes))]
         width = int(common.sum())
-        left, right = np.flatnonzero(sides == 0), np.flatnonzero(sides == 1)
-        union = np.zeros(width, dtype=np.float32)
-        for i in right:
-            union[own[i]] = 1
         # The bound on whole sets: a visitor's overlap with the union of the group.
         need = (sizes * percent + 99) // 100
-        left = np.array([i for i in left if union[own[i]].sum() >= need[i]], dtype=np.int64)
-        step = max(1, min(128, (1 << 25) // max(1, width)))
+        left = np.array([i for i in np.flatnonzero(sides == 0) if len(own[i]) >= need[i]], dtype=np.int64)
+        right = np.flatnonzero(sides == 1)
+        # Two blocks of at most 32 MB, or two members.
+        step = max(1, min(128, (1 << 23) // max(1, width)))
 
         def matrix(rows: np.ndarray) -> np.ndarray:
             out = np.zeros((len(rows), width), dtype=np.float32)
@@ -405,6 +411,9 @@ def _group_links(percent: int):
                     if x != y:
                         parent[x] = y
                         found.append((names[one], names[two]))
+        del sets, distinct, code, held, own
+        if table.nbytes > _LARGE:
+            release()
         return pa.table({"a": pa.array([f[0] for f in found], pa.binary()), "b": pa.array([f[1] for f in found], pa.binary())})
 
     return links
@@ -415,16 +424,14 @@ def _half_says_nothing(n: Column, half: Column, percent: int) -> Column:
     return half - n + _least_overlap(n, percent) < 1
 
 
-def _between_groups(reaching: DataFrame, percent: int) -> DataFrame:
-    """Roots `(a, b)` that links between members `(set_id, root, home, tokens)` join, by the token-group matrix.
+def _visits(reaching: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+    """`(set_id, r, g)`, the group of each member `(set_id, root, home, tokens)`, and `(set_id, g)`, the groups it visits.
 
-    Members that share a pivot make a group, or else the smallest token that they
-    share with anyone; a root with many members has groups of its own, and groups
-    hold about `_GROUP` members. The matrix has a cell for each group and token of its
-    union. A member looks up its rarest tokens there; the groups found are its
-    candidates. The cells of a candidate that it has are counted over all tokens it
-    asks with, and only where they allow for a link does the member visit the group.
-    A group with many visitors is opened in several tasks.
+    Members that share a pivot stay together. A root or home with many members has
+    groups of its own; the others are put with those of the same most common token.
+    Groups hold about `_GROUP` members. The matrix has a cell for each group and token
+    of its union. A member looks up its rarest tokens there, and of two that link
+    only the smaller one has to: a cell holds the sizes of its members too.
     """
 
     @F.arrow_udf("bigint")
@@ -458,55 +465,56 @@ def _between_groups(reaching: DataFrame, percent: int) -> DataFrame:
         .select("token", "holders")
     )
     shared = checkpointed(sent.join(frequent, "token"))
-    # Members without a pivot, but mostly of the same passages, meet in the smallest token they share with anyone.
-    leads = shared.groupBy("set_id").agg(F.min("token").alias("lead"))
+    # Members of one pivot stay together, and small such units are put with others of the same most common token:
+    # alike members that found no common pivot are in few groups, however many they are.
+    leads = shared.groupBy("set_id").agg(F.max(F.struct("holders", "token")).alias("lead"))
     many = reaching.groupBy("root").count().where(F.col("count") >= _GROUP).select("root", F.lit(True).alias("pure"))
-    pool = (
-        F.when(F.col("pure"), F.xxhash64("root", F.lit(1)))
-        .when(F.col("home") != F.col("set_id"), F.xxhash64("home", F.lit(2)))
-        .otherwise(F.col("lead"))
+    unit = F.when(F.col("pure"), F.xxhash64("root", F.lit(1))).otherwise(F.xxhash64("home", F.lit(2)))
+    placed = reaching.join(leads, "set_id").join(many, "root", "left").select("set_id", "root", "lead", unit.alias("unit"))
+    own = F.col("size") >= _GROUP
+    units = checkpointed(
+        placed.groupBy("unit")
+        .agg(F.count("*").alias("size"), F.max("lead").alias("lead"))
+        .select("unit", "size", own.alias("own"), F.when(own, F.col("unit")).otherwise(F.col("lead.token")).alias("pool"))
     )
-    pooled = reaching.join(leads, "set_id").join(many, "root", "left").select("set_id", "root", pool.alias("pool"))
-    sizes = pooled.groupBy("pool").agg(F.ceil(F.count("*") / _GROUP).alias("groups"))
+    sizes = units.groupBy("own", "pool").agg(F.ceil(F.sum("size") / _GROUP).alias("groups"))
+    within = F.pmod(F.when(F.col("own"), F.xxhash64("set_id")).otherwise(F.col("unit")), F.col("groups"))
     grouped = checkpointed(
-        pooled.join(sizes, "pool").select(
-            "set_id", F.xxhash64("root").alias("r"), F.xxhash64("pool", F.pmod(F.xxhash64("set_id"), "groups")).alias("g")
+        placed.join(units.join(sizes, ["own", "pool"]), "unit").select(
+            "set_id", F.xxhash64("root").alias("r"), F.xxhash64("own", "pool", within).alias("g")
         )
     )
-    # A group of one root is of no use to that root's members.
+    # A group of one root is of no use to that root's members, and of two that link the smaller one visits.
     cells = checkpointed(
         shared.join(grouped.select("set_id", "g"), "set_id")
         .groupBy("token", "g")
-        .agg(F.min("r").alias("low"), F.max("r").alias("high"))
+        .agg(F.min("r").alias("low"), F.max("r").alias("high"), F.min("n").alias("least"), F.max("n").alias("most"))
     )
     other = (F.col("low") != F.col("high")) | (F.col("low") != F.col("r"))
+    large = (F.col("most") >= n) & (F.col("least") * percent <= n * 100)
     asked = shared.where((F.col("asks") == n) | (F.col("token") >= 0))
     need = F.col("asks") - n + _least_overlap(n, percent)
     rare = asked.groupBy("set_id", "r", "n", "asks").agg(F.array_sort(F.collect_list(F.struct("holders", "token"))).alias("rare"))
-    able = checkpointed(
-        rare.where(F.size("rare") >= need).select(
-            "set_id", "r", need.alias("need"), F.slice(F.col("rare.token"), F.lit(1), (F.size("rare") - need + 1).cast("int")).alias("probes")
-        )
-    )
-    free_unused(reaching.sparkSession)
-    # Members by a short form, of which two alike could only count more.
-    short = F.xxhash64("set_id").alias("m")
-    candidates = (
-        able.select(short, "r", F.explode("probes").alias("token")).join(cells, "token").where(other).select("m", "g").distinct()
-    )
-    counted_cells = (
-        candidates.join(asked.select(short, "token"), "m")
-        .join(cells.select("token", "g"), ["token", "g"])
-        .groupBy("m", "g")
-        .agg(F.count("*").alias("met"))
+    able = rare.where(F.size("rare") >= need).select(
+        "set_id", "r", "n", F.explode(F.slice(F.col("rare.token"), F.lit(1), (F.size("rare") - need + 1).cast("int"))).alias("token")
     )
-    qualified = checkpointed(able.select("set_id", "need", short).join(counted_cells, "m").where("met >= need").select("set_id", "g"))
-    del sent, frequent, shared, leads, pooled, sizes, cells, asked, rare, able, candidates, counted_cells
+    visits = checkpointed(able.join(cells, "token").where(other & large).select("set_id", "g").distinct())
+    return grouped, visits
+
+
+def _between_groups(reaching: DataFrame, percent: int) -> DataFrame:
+    """Roots `(a, b)` that links between members `(set_id, root, home, tokens)` join, by the token-group matrix.
+
+    A member goes to each group it visits once, with all its tokens, and is counted
+    against the group's union there; only where that allows for a link is it compared.
+    A group with many visitors is opened in several tasks.
+    """
+    grouped, visits = _visits(reaching, percent)
     free_unused(reaching.sparkSession)
     # Visitors of a group are dealt over tasks; its own members are repeated for each.
-    tasks = checkpointed(qualified.groupBy("g").agg(F.ceil(F.count("*") / (8 * _GROUP)).cast("int").alias("tasks")))
+    tasks = checkpointed(visits.groupBy("g").agg(F.ceil(F.count("*") / (8 * _GROUP)).cast("int").alias("tasks")))
     sets = reaching.select("set_id", "root", "tokens")
-    visiting = qualified.join(tasks, "g").select("set_id", "g", F.pmod(F.xxhash64("set_id"), "tasks").cast("int").alias("task"))
+    visiting = visits.join(tasks, "g").select("set_id", "g", F.pmod(F.xxhash64("set_id"), "tasks").cast("int").alias("task"))
     hosting = grouped.join(tasks, "g").select("set_id", "g", F.explode(F.sequence(F.lit(0), F.col("tasks") - 1)).alias("task"))
     sides = [w.join(sets, "set_id").withColumn("side", F.lit(k)) for k, w in enumerate((visiting, hosting))]
     return sides[0].unionByName(sides[1]).groupBy("g", "task").applyInArrow(_group_links(percent), "a binary, b binary")

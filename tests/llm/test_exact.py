@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from compare import connect, differences
 from pairloom.llm.components import connected_components
 from pairloom.llm.elias_fano import EliasFano
-from pairloom.llm.jaccard import jaccard_components
+from pairloom.llm.jaccard import _visits, jaccard_components
 from pairloom.llm.lm import score_texts
 from pairloom.llm.merkle import _pieces, build, changed_paragraphs, likeness
 from pairloom.llm.mixing import mix_sources, source_targets
@@ -83,6 +83,20 @@ def test_jaccard_matches_brute_force(spark, docs):
     assert got == brute_components(rows)
 
 
+def test_alike_members_of_many_pivots_visit_few_groups(spark):
+    """Members that share most tokens but have hundreds of pivots visit some groups each, not one per pivot."""
+    rng = random.Random(5)
+    some = lambda n: [rng.getrandbits(63) for _ in range(n)]
+    base, pivots, rows = some(100), 300, []
+    for i in range(3 * pivots):
+        own = np.array(sorted(rng.sample(base, 80) + some(10)), dtype=np.uint64)
+        rows.append((i.to_bytes(16, "big"), i.to_bytes(16, "big"), (i % pivots).to_bytes(16, "big"), own.tobytes()))
+    reaching = spark.createDataFrame(rows, "set_id binary, root binary, home binary, tokens binary")
+    grouped, visits = _visits(reaching, 75)
+    assert grouped.count() == len(rows)
+    assert 0 < visits.count() <= 12 * len(rows)
+
+
 def test_jaccard_of_near_copies_and_shared_lines(spark):
     """Hundreds of near copies, a line that all documents share, passages in many, long texts, sizes about the half's corner."""
     rng = random.Random(11)
