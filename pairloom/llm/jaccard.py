@@ -43,8 +43,8 @@ from pairloom.session import checkpointed, free_unused
 _ALL_BELOW = 64
 _HALF = np.uint64(1 << 63)
 _BANDS, _ROWS, _AGREE = 16, 2, 4
-#: Members of a group that is opened as a whole.
-_GROUP = 512
+#: Members of a group that is opened as a whole, and their mean tokens; longer ones count as several.
+_GROUP, _MEAN = 512, 1024
 #: Bytes of a group's rows from which its task gives freed memory back at once.
 _LARGE = 1 << 22
 #: Bits of the prefilter for survivors' texts; beyond its capacity it lets more through, never less.
@@ -425,11 +425,11 @@ def _half_says_nothing(n: Column, half: Column, percent: int) -> Column:
 
 
 def _visits(reaching: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
-    """`(set_id, r, g)`, the group of each member `(set_id, root, home, tokens)`, and `(set_id, g)`, the groups it visits.
+    """`(set_id, r, g)`, the group of each member `(set_id, root, home, tokens)`, and `(set_id, n, g)`, the groups it visits.
 
     Members that share a pivot stay together. A root or home with many members has
     groups of its own; the others are put with those of the same most common token.
-    Groups hold about `_GROUP` members. The matrix has a cell for each group and token
+    Groups hold about `_GROUP` members, fewer of many tokens. The matrix has a cell for each group and token
     of its union. A member looks up its rarest tokens there, and of two that link
     only the smaller one has to: a cell holds the sizes of its members too.
     """
@@ -470,11 +470,13 @@ def _visits(reaching: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
     leads = shared.groupBy("set_id").agg(F.max(F.struct("holders", "token")).alias("lead"))
     many = reaching.groupBy("root").count().where(F.col("count") >= _GROUP).select("root", F.lit(True).alias("pure"))
     unit = F.when(F.col("pure"), F.xxhash64("root", F.lit(1))).otherwise(F.xxhash64("home", F.lit(2)))
-    placed = reaching.join(leads, "set_id").join(many, "root", "left").select("set_id", "root", "lead", unit.alias("unit"))
+    placed = reaching.join(leads, "set_id").join(many, "root", "left").select(
+        "set_id", "root", "lead", unit.alias("unit"), F.greatest(F.lit(1.0), size / _MEAN).alias("weight")
+    )
     own = F.col("size") >= _GROUP
     units = checkpointed(
         placed.groupBy("unit")
-        .agg(F.count("*").alias("size"), F.max("lead").alias("lead"))
+        .agg(F.sum("weight").alias("size"), F.max("lead").alias("lead"))
         .select("unit", "size", own.alias("own"), F.when(own, F.col("unit")).otherwise(F.col("lead.token")).alias("pool"))
     )
     sizes = units.groupBy("own", "pool").agg(F.ceil(F.sum("size") / _GROUP).alias("groups"))
@@ -498,7 +500,7 @@ def _visits(reaching: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
     able = rare.where(F.size("rare") >= need).select(
         "set_id", "r", "n", F.explode(F.slice(F.col("rare.token"), F.lit(1), (F.size("rare") - need + 1).cast("int"))).alias("token")
     )
-    visits = checkpointed(able.join(cells, "token").where(other & large).select("set_id", "g").distinct())
+    visits = checkpointed(able.join(cells, "token").where(other & large).select("set_id", "n", "g").distinct())
     return grouped, visits
 
 
@@ -512,7 +514,8 @@ def _between_groups(reaching: DataFrame, percent: int) -> DataFrame:
     grouped, visits = _visits(reaching, percent)
     free_unused(reaching.sparkSession)
     # Visitors of a group are dealt over tasks; its own members are repeated for each.
-    tasks = checkpointed(visits.groupBy("g").agg(F.ceil(F.count("*") / (8 * _GROUP)).cast("int").alias("tasks")))
+    weight = F.greatest(F.lit(1.0), 4 * F.col("n") / _MEAN)
+    tasks = checkpointed(visits.groupBy("g").agg(F.ceil(F.sum(weight) / (8 * _GROUP)).cast("int").alias("tasks")))
     sets = reaching.select("set_id", "root", "tokens")
     visiting = visits.join(tasks, "g").select("set_id", "g", F.pmod(F.xxhash64("set_id"), "tasks").cast("int").alias("task"))
     hosting = grouped.join(tasks, "g").select("set_id", "g", F.explode(F.sequence(F.lit(0), F.col("tasks") - 1)).alias("task"))
