@@ -15,6 +15,7 @@ that of the input's partitions. An empty table gives no pieces.
 
 from __future__ import annotations
 
+import os
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -29,6 +30,8 @@ from pairloom.session import checkpointed
 
 #: Parts of words whose ids a worker remembers; it then starts afresh.
 _REMEMBERED = 800_000
+#: Bytes of text that are encoded at a time.
+_SLICE = 2 << 20
 
 
 #: Letters and the ASCII punctuation behind them, without the apostrophe that begins a contraction: two parts whose
@@ -40,6 +43,8 @@ class WordEncoder:
     """Token ids of texts, encoding each distinct part of a word once."""
 
     def __init__(self, path: str) -> None:
+        # Tasks are what runs side by side; each thread of the library would keep memory of its own for a worker's life.
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -125,15 +130,18 @@ def tokenised(docs: DataFrame, path: str, end_id: int, key: str = "doc_id") -> D
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(path)
         narrow = max(encoder.tokenizer.get_vocab_size(), end_id + 1) <= 1 << 16
-        for piece in slices(batches):
+
+        def encoded(piece: pa.RecordBatch) -> pa.RecordBatch:
             ids, counts = encoder.encode(texts(piece), end_id)
             ids = ids.astype("<u2" if narrow else "<u4")
             ends = np.cumsum(counts) * ids.itemsize
             offsets = pa.py_buffer(np.append(0, ends).astype(np.int64))
             packed = pa.Array.from_buffers(pa.large_binary(), len(counts), [None, offsets, pa.py_buffer(ids)])
-            yield pa.record_batch(
+            return pa.record_batch(
                 [piece.column(key), packed.cast(pa.binary()), pa.array(counts, pa.int64())], names=[key, "ids", "n"]
             )
+
+        yield from map(encoded, slices(batches, limit=_SLICE))
         encoder.forget()
         release()
 

@@ -331,3 +331,27 @@ def test_blocks_of_trigrams_change_nothing(monkeypatch):
     whole = language.text_vectors(texts, 256, 7)
     monkeypatch.setattr(language, "_GRAMS", 50)
     assert np.array_equal(language.text_vectors(texts, 256, 7), whole)
+
+
+def test_encoding_keeps_to_its_own_thread():
+    """Threads of the tokenizer keep memory in every worker that ever encoded."""
+    import os
+    import subprocess
+    import sys
+    from pathlib import Path
+
+    code = """
+import os
+import pyarrow as pa
+import public_tokenizers
+from pairloom.llm.packing import WordEncoder
+encoder = WordEncoder(public_tokenizers.path("word_bpe_49k.json"))
+before = len(os.listdir("/proc/self/task"))
+ids, counts = encoder.encode(pa.array([" ".join(f"word{i}" for i in range(20_000)), ""]), 1)
+assert len(ids) == counts.sum() > 20_000 and counts[1] == 1
+print(len(os.listdir("/proc/self/task")) - before)
+"""
+    env = {k: v for k, v in os.environ.items() if k != "TOKENIZERS_PARALLELISM"} | {"RAYON_NUM_THREADS": "4"}
+    done = subprocess.run([sys.executable, "-c", code], cwd=Path(__file__).resolve().parents[2], env=env, capture_output=True, text=True, timeout=300)
+    assert done.returncode == 0, done.stderr
+    assert int(done.stdout.split()[-1]) == 0
