@@ -47,7 +47,7 @@ from pyspark.sql import functions as F
 
 from pairloom.llm.elias_fano import EliasFano
 from pairloom.llm.text import Words, mix, release, slices, split_words, texts
-from pairloom.session import checkpointed, free_unused
+from pairloom.session import checkpointed, checkpointed_by, free_unused
 
 #: Contexts with more than this share of the training words are dealt over all shards.
 _HOT = 512
@@ -317,7 +317,7 @@ def _answer_shard(last: bool) -> Callable[[pa.Table], pa.Table]:
                 told += [count[found].astype("<u8"), ((step << 1) ^ (step >> 63)).astype("<u8")]
             rows.append((number, shard, _bytes(*told)))
             heads, pairs = heads + n, pairs + m
-        rows += [(-1, shard, None, None, int(c), int(t)) for c, t in zip(contexts[hot], kinds[hot])]
+        rows += [(-1 - shard, shard, None, None, int(c), int(t)) for c, t in zip(contexts[hot], kinds[hot])]
         return _table(rows, docs)
 
     return answer
@@ -411,14 +411,13 @@ def score_texts(docs: DataFrame, train: Column, shards: int | None = None, order
 
         return requests
 
-    def take(depth: int, kinds_of: dict[int, int]) -> Callable[[pa.Table], pa.Table]:
+    def take(depth: int, kinds_of: dict[int, int]) -> Callable[[pa.Table, pa.Table], pa.Table]:
         """A slice with level `depth`'s answers or, after the last, sums by text."""
 
-        def step(table: pa.Table) -> pa.Table:
-            shard = table.column("shard").to_pylist()
-            bodies, at = dict(zip(shard, table.column("body").to_pylist())), shard.index(-1)
-            docs_type, header = table.schema.field("docs").type, table.column("docs")[at].as_py()
-            held = _arrays(bodies[-1], "<u4", "<u4", *_HELD[depth > 1])
+        def step(table: pa.Table, answers: pa.Table) -> pa.Table:
+            bodies = dict(zip(answers.column("shard").to_pylist(), answers.column("body").to_pylist()))
+            docs_type, header = table.schema.field("docs").type, table.column("docs")[0].as_py()
+            held = _arrays(table.column("body")[0].as_py(), "<u4", "<u4", *_HELD[depth > 1])
             own, asked, lower = longest(depth, held)
             kinds, chance, uses, node = asked.answers(bodies, kinds_of, depth == order)
             counts = held[1]
@@ -435,7 +434,7 @@ def score_texts(docs: DataFrame, train: Column, shards: int | None = None, order
                 node, uses, chances = np.append(node, _START), np.append(uses, ends), np.append(chances, 0.0)
             if depth < order:
                 body = _bytes(*held[:2], words, node if depth > 1 else node[:0], uses.astype("<u8"), _encoded(chances), base, known.astype("<u4"))
-                return _table([(table.column("slice")[at].as_py(), -1, body, header)], docs_type)
+                return _table([(table.column("slice")[0].as_py(), -1, body, header)], docs_type)
             columns = [
                 pa.array([d["doc_id"] for d in header], docs_type.value_type.field("doc_id").type),
                 pa.array([d["tokens"] for d in header], pa.int64()),
@@ -451,14 +450,17 @@ def score_texts(docs: DataFrame, train: Column, shards: int | None = None, order
     held = checkpointed(source.mapInArrow(read, schema))
     end_chance, n_words, floor = speller.end, speller.words, 0.0
     for depth in range(1, order + 1):
-        answered = checkpointed(held.mapInArrow(ask(depth), schema).groupBy("shard").applyInArrow(_answer_shard(depth == order), schema))
+        answers = held.mapInArrow(ask(depth), schema).groupBy("shard").applyInArrow(_answer_shard(depth == order), schema)
+        # Dealt by slice before they are written, so that they are on disk once when the slices come to them.
+        answered = checkpointed_by(answers, "slice")
+        del answers
         free_unused(docs.sparkSession)
         # At most _HOT contexts, and the one of all single words.
-        counted = answered.where("slice = -1").groupBy("context").agg(F.sum("kinds").alias("kinds")).collect()
+        counted = answered.where("slice < 0").groupBy("context").agg(F.sum("kinds").alias("kinds")).collect()
         kinds_of = {r["context"]: r["kinds"] for r in counted}
         if depth == 1:
             floor = np.log10(train_tokens + 0.5 * (kinds_of.get(1, 0) + int(ends > 0) + 1))
-        told = held.unionByName(answered.where("slice <> -1")).groupBy("slice")
+        told = held.groupBy("slice").cogroup(answered.where("slice >= 0").groupBy("slice"))
         if depth < order:
             held = checkpointed(told.applyInArrow(take(depth, kinds_of), schema))
             del answered, told

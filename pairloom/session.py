@@ -49,6 +49,20 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def checkpointed_by(df: DataFrame, column: str) -> DataFrame:
+    """`checkpointed`, dealt by a column in a way that Spark remembers: grouping by it shuffles these rows no more.
+
+    Spark forgets how an adaptive plan dealt its rows, so this step is planned once and for all.
+    """
+    conf = df.sparkSession.conf
+    parts, adaptive = int(conf.get("spark.sql.shuffle.partitions")), conf.get("spark.sql.adaptive.enabled")
+    conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        return checkpointed(df.repartition(parts, column))
+    finally:
+        conf.set("spark.sql.adaptive.enabled", adaptive)
+
+
 def free_unused(spark: SparkSession) -> None:
     """Have Spark delete the shuffle files and checkpoints of frames that nobody holds any more.
 

@@ -93,3 +93,11 @@ def test_contexts_dealt_over_shards_change_nothing(spark, monkeypatch):
         monkeypatch.setattr(lm, "_HOT", hot)
         found.append({r["doc_id"]: r["score"] for r in lm.score_texts(frame, F.col("own"), shards=4).collect()})
     assert all(found[0][i] == pytest.approx(found[1][i], rel=1e-9) for i in found[0])
+
+
+def test_answers_are_not_dealt_twice(spark):
+    """The slices come to the answers, which already lie by slice; only the slices are shuffled."""
+    frame = spark.createDataFrame(written(5), "doc_id long, text string, own boolean").repartition(3)
+    plan = lm.score_texts(frame, F.col("own"))._jdf.queryExecution().executedPlan().toString()
+    assert "FlatMapCoGroupsInArrow" in plan
+    assert plan.count("Exchange hashpartitioning") == 1
